@@ -9,6 +9,7 @@ from pagelode import options as O
 from pagelode import schemas
 from pagelode.functions import text, urls
 from pagelode.operators import spread
+from pagelode.session import through_table, workdir
 
 # Message that goes with each status.
 MESSAGES = {
@@ -19,7 +20,7 @@ MESSAGES = {
     "domain_budget_exceeded": "domain_limit",
     "added": "ok",
 }
-QUEUE = "url string, depth int, tier int, score double, seq long"
+QUEUE = "url string, depth int, tier int, score double, seq long, round int"
 
 
 def seeds(start: DataFrame, queued: DataFrame, inflight: DataFrame, domains=O.VALID_DOMAINS) -> DataFrame:
@@ -69,16 +70,16 @@ def set_union(*sets: DataFrame) -> DataFrame:
     return out.distinct()
 
 
-def domain_budgets(domains: DataFrame, counts: DataFrame, budgets: DataFrame | None,
+def domain_budgets(counts: DataFrame, budgets: DataFrame | None = None,
                    default: int = O.CrawlOptions.domain_max_requests_default) -> DataFrame:
-    """Acknowledged count, budget and whether it is used up, per domain.
+    """Acknowledged count, budget and whether it is used up, per domain that has either.
 
-    `domains`, `counts` and `budgets` have one row per domain. A budget that is no integer
-    falls back to the default.
+    `counts` and `budgets` have one row per domain. A budget that is no integer falls back to
+    the default.
     """
-    out = domains.select("domain").join(counts.select("domain", F.col("n").alias("_n")), "domain", "left")
+    out = counts.select("domain", F.col("n").alias("_n"))
     if budgets is not None:
-        out = out.join(budgets.select("domain", F.col("budget").cast("string").alias("_b")), "domain", "left")
+        out = out.join(budgets.select("domain", F.col("budget").cast("string").alias("_b")), "domain", "full")
     else:
         out = out.withColumn("_b", F.lit(None).cast("string"))
     count = F.coalesce(F.col("_n"), F.lit(0)).cast("long")
@@ -87,10 +88,28 @@ def domain_budgets(domains: DataFrame, counts: DataFrame, budgets: DataFrame | N
                       (count >= budget).alias("over_budget"))
 
 
-def admission(candidates: DataFrame, visited: DataFrame, discovered: DataFrame,
+def url_facts(rows: DataFrame, visited: DataFrame | None, discovered: DataFrame, domain_counts: DataFrame,
+              budgets: DataFrame | None, default_budget: int, hot_rows: int) -> DataFrame:
+    """What admission needs to know of each distinct URL: its first place, its copies, and
+    whether it is visited, discovered or in a domain over budget."""
+    first = rows.where(F.col("url") != "").groupBy("url").agg(
+        F.min("seq").alias("_first"), F.count(F.lit(1)).alias("_copies"))
+    first = is_member(first, discovered, "_discovered")
+    if visited is None:
+        first = first.withColumn("_visited", F.lit(False))
+    else:
+        first = is_member(first, visited, "_visited")
+    unknown = default_budget <= 0  # a domain without a count or a budget of its own
+    special = domain_budgets(domain_counts, budgets, default_budget).where(
+        F.col("over_budget") != F.lit(unknown)).select("domain", F.col("over_budget").alias("_over"))
+    return spread.lookup_join(with_domain(first), special, "domain", "url", hot_rows=hot_rows).withColumn(
+        "_over", F.coalesce(F.col("_over"), F.lit(unknown))).drop("domain")
+
+
+def admission(candidates: DataFrame, visited: DataFrame | None, discovered: DataFrame,
               domain_counts: DataFrame, budgets: DataFrame | None = None, queue_size: int = 0,
               max_queue: int = O.CrawlOptions.max_frontier_queue_size,
-              default_budget: int = O.CrawlOptions.domain_max_requests_default,
+              default_budget: int = O.CrawlOptions.domain_max_requests_default, path: str | None = None,
               width: int = spread.BUCKET_ROWS, hot_rows: int = spread.HOT_ROWS) -> DataFrame:
     """Status of every candidate, as if the candidates were queued one by one in `seq` order.
 
@@ -98,21 +117,28 @@ def admission(candidates: DataFrame, visited: DataFrame, discovered: DataFrame,
     copy of a new URL in a domain under budget takes a place, and the places run out at one
     point of the order: the `seq` of the last such copy that fits. So one selection over
     distinct URLs and one join back decide all rows; nothing is numbered.
+
+    Facts per distinct URL are written once (to `path`, or a new folder), because the cut, the
+    hot URLs and the rows all need them. `visited` may be None if it is part of `discovered`
+    and the two statuses need not be told apart.
     """
+    spark = candidates.sparkSession
     rows = candidates.withColumn("url", urls.normalize_url(F.col("url")))
-    first = rows.where(F.col("url") != "").groupBy("url").agg(F.min("seq").alias("_first"))
-    first = is_member(is_member(first, visited, "_visited"), discovered, "_discovered")
-    first = with_domain(first)
-    known = domain_budgets(first.select("domain").distinct(), domain_counts, budgets, default_budget)
-    over = known.where("over_budget").select("domain", F.lit(True).alias("_over"))
-    first = spread.lookup_join(first, over, "domain", "url", hot_rows=hot_rows).withColumn(
-        "_over", F.coalesce(F.col("_over"), F.lit(False)))
-
+    facts = through_table(
+        url_facts(rows, visited, discovered, domain_counts, budgets, default_budget, hot_rows),
+        path or workdir(spark, "admission"))
+    eligible = facts.where(~F.col("_visited") & ~F.col("_discovered") & ~F.col("_over"))
     room = max(max_queue - queue_size, 0)
-    eligible = first.where(~F.col("_visited") & ~F.col("_discovered") & ~F.col("_over"))
-    last = spread.kth_smallest(eligible, "_first", room, width).scalar() if room else F.lit(-(2**63))
-    late = F.coalesce(F.col("seq") > last, F.lit(False))
-    first_fits = ~F.coalesce(F.col("_first") > last, F.lit(False))
+    sizes = facts.agg(F.count_if(~F.col("_visited") & ~F.col("_discovered") & ~F.col("_over")).alias("eligible"),
+                      F.coalesce(F.max("_copies"), F.lit(0)).alias("most")).first()
+    if not room:
+        last = -(2**63)
+    elif sizes.eligible <= room:
+        last = None
+    else:
+        last = spread.kth_smallest(eligible, "_first", room, width).first()[0]
+    late = F.lit(False) if last is None else F.col("seq") > last
+    first_fits = F.lit(True) if last is None else F.col("_first") <= last
     copy = ~F.col("_over") & (F.col("seq") > F.col("_first"))
     status = (
         F.when(F.col("url") == "", "dropped")
@@ -123,9 +149,12 @@ def admission(candidates: DataFrame, visited: DataFrame, discovered: DataFrame,
         .when(F.col("_over"), "domain_budget_exceeded")
         .otherwise("added")
     )
-    facts = first.select("url", "_first", "_visited", "_discovered", "_over")
-    out = spread.lookup_join(rows, facts, "url", "seq", hot_rows=hot_rows).withColumn("status", status)
-    return out.drop("_first", "_visited", "_discovered", "_over")
+    table = facts.drop("_copies")
+    if sizes.most > hot_rows:
+        joined = spread.lookup_join(rows, table, "url", "seq", hot=spread.hot_pieces(facts, "url", "_copies", hot_rows))
+    else:
+        joined = rows.join(table, "url", "left")
+    return joined.withColumn("status", status).drop("_first", "_visited", "_discovered", "_over")
 
 
 def with_message(rows: DataFrame) -> DataFrame:
@@ -140,14 +169,15 @@ def enqueue_summary(statuses: DataFrame) -> DataFrame:
         F.count_if(F.col("status") != "added").alias("dropped"))
 
 
-def queued(statuses: DataFrame, priority: bool = True) -> DataFrame:
-    """Queue rows of the admitted candidates: tier 0 by score, tier 1 in arrival order."""
+def queued(statuses: DataFrame, priority: bool = True, round_no: int = 0) -> DataFrame:
+    """Queue rows of the admitted candidates: tier 0 by score, tier 1 in arrival order, which
+    is the round of the crawl and the place in it."""
     scored = F.col("score").isNotNull() if priority else F.lit(False)
     return statuses.where(F.col("status") == "added").select(
         "url", F.col("depth").cast("int").alias("depth"),
         F.when(scored, 0).otherwise(1).alias("tier"),
         F.when(scored, F.col("score")).alias("score"),
-        F.col("seq").cast("long").alias("seq"))
+        F.col("seq").cast("long").alias("seq"), F.lit(round_no).alias("round"))
 
 
 def queue_union(priority: DataFrame, fifo: DataFrame) -> DataFrame:
@@ -156,10 +186,10 @@ def queue_union(priority: DataFrame, fifo: DataFrame) -> DataFrame:
         fifo.select("url", "depth", F.lit(1).alias("tier"), F.lit(None).cast("double").alias("score"), "seq"))
 
 
-def queue_order() -> list[Column]:
+def queue_order(arrival=("seq",)) -> list[Column]:
     """Priority tier by score, then payload bytes; then the other tier by arrival."""
     key = F.when(F.col("tier") == 0, text.payload_key(F.col("url"), F.col("depth")))
-    return [F.col("tier"), F.col("score").asc_nulls_last(), key.asc_nulls_last(), F.col("seq")]
+    return [F.col("tier"), F.col("score").asc_nulls_last(), key.asc_nulls_last(), *[F.col(c) for c in arrival]]
 
 
 def reserve_batch(queue: DataFrame, size: int, worker_id: str, now: float,

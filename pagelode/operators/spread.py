@@ -14,20 +14,26 @@ BUCKET_ROWS = 1_000_000
 HOT_ROWS = 2_000_000
 
 
+def hot_pieces(counts: DataFrame, key: str, count: str, hot_rows: int) -> DataFrame:
+    """Keys with more than `hot_rows` rows and the number of pieces to cut each into.
+
+    There are at most `rows / hot_rows` of them, so the list is safe to broadcast.
+    """
+    return counts.where(F.col(count) > hot_rows).select(
+        F.col(key), F.ceil(F.col(count) / hot_rows).cast("int").alias("_pieces"))
+
+
 def lookup_join(rows: DataFrame, table: DataFrame, key: str, spread_by: Column | str,
-                how: str = "left", hot_rows: int = HOT_ROWS) -> DataFrame:
+                how: str = "left", hot_rows: int = HOT_ROWS, hot: DataFrame | None = None) -> DataFrame:
     """Join rows to a table with one row per key, when a few keys may hold most of the rows.
 
-    Keys with more than `hot_rows` rows are counted first. There are at most
-    `rows / hot_rows` of them, so that list is safe to broadcast; each is cut into pieces by
-    a hash of `spread_by`, and its table row is repeated once per piece. Other keys are
-    joined as they are.
+    Hot keys are counted first (unless given, see `hot_pieces`); each is cut into pieces by a
+    hash of `spread_by`, and its table row is repeated once per piece. Other keys are joined
+    as they are.
     """
     spread = F.col(spread_by) if isinstance(spread_by, str) else spread_by
-    hot = (
-        rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
-        .select(F.col(key), F.ceil(F.col("_n") / hot_rows).cast("int").alias("_pieces"))
-    )
+    if hot is None:
+        hot = hot_pieces(rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n")), key, "_n", hot_rows)
     left = rows.join(F.broadcast(hot), key, "left").withColumn(
         "_piece", F.when(F.col("_pieces").isNull(), 0)
         .otherwise(F.pmod(F.xxhash64(spread), F.col("_pieces"))).cast("int")).drop("_pieces")

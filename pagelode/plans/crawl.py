@@ -5,73 +5,82 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from pagelode.functions import html, urls
 from pagelode.operators import frontier, links, robots
 from pagelode.options import CrawlOptions
-from pagelode.sources import index, pages as page_store
+from pagelode.session import no_rows, through_table, workdir
+from pagelode.sources import index
 
 
 @dataclass(frozen=True)
 class CrawlStep:
-    """What a round does: `documents` to index, `rejects` per page, `statuses` of the offered
-    links, `acks` of the whole batch."""
+    """What a round does. `found` are the pages read, `statuses` those of the offered links,
+    `acks` all rows of the batch."""
 
-    documents: DataFrame
-    rejects: DataFrame
+    found: DataFrame
     statuses: DataFrame
     acks: DataFrame
 
+    def documents(self) -> DataFrame:
+        """Pages to index, with all their links."""
+        return self.found.drop("seq")
+
+    def rejects(self) -> DataFrame:
+        """Rejected links per reason, for pages that have any."""
+        return links.reject_stats(links.link_rows(self.found, ("url",)), ("url",)).where(F.col("total") > 0)
+
 
 def depth_gate(batch: DataFrame, max_depth: int = CrawlOptions.max_depth) -> tuple[DataFrame, DataFrame]:
     """Rows to fetch, and rows too deep, which are acknowledged unread."""
     return batch.where(F.col("depth") <= max_depth), batch.where(F.col("depth") > max_depth)
 
 
-def parsed_store(pages: DataFrame, options: CrawlOptions = CrawlOptions()) -> DataFrame:
+def parsed_store(pages: DataFrame, options: CrawlOptions = CrawlOptions(), want=("links",)) -> DataFrame:
     """The page store as documents by normalised URL, newest copy of each, parsed once.
 
     Rounds need the links only; parsing a page every time it is asked for, or joining HTML in
-    every round, would read the whole store per round.
+    every round, would read the whole store per round. Pages are parsed where they are read,
+    so the HTML is never shuffled; copies are dropped on the parsed rows.
     """
-    ids = page_store.latest_page_ids(pages).select("page_id")
-    newest = pages.join(ids, "page_id", "left_semi")
-    docs = html.parse_pages(newest, options.valid_domains, options.junk_patterns)
-    return docs.select(urls.normalize_url(F.col("url")).alias("url"), "title", "content", "links")
+    docs = html.parse_pages(pages, options.valid_domains, options.junk_patterns, want)
+    return index.latest(docs.withColumn("url", urls.normalize_url(F.col("url"))), ["page_id"]).select("url", *want)
 
 
-def crawl_step(batch: DataFrame, store: DataFrame, visited: DataFrame, discovered: DataFrame,
+def crawl_step(batch: DataFrame, store: DataFrame, visited: DataFrame | None, discovered: DataFrame,
                domain_counts: DataFrame, budgets: DataFrame | None = None, queue_size: int = 0,
-               options: CrawlOptions = CrawlOptions(), rules: DataFrame | None = None) -> CrawlStep:
+               options: CrawlOptions = CrawlOptions(), rules: DataFrame | None = None,
+               path: str | None = None) -> CrawlStep:
     """One round over `batch(url, depth, seq)`; `store` is a parsed store, `rules` robots rules.
 
     A page is indexed before its links are judged. A page that is missing or denied is
-    acknowledged like any other and leaves no document.
+    acknowledged like any other and leaves no document. The batch is joined to the store once;
+    what came of it is written with the links that passed, and the rest works on that.
     """
+    path = path or workdir(batch.sparkSession, "step")
     due, _ = depth_gate(batch, options.max_depth)
     if rules is not None:
         due = robots.robots_filter(due, rules, options.robots_agent).where("allowed").select(*batch.columns)
     found = due.join(store, "url")
-    rows = links.link_rows(found, ("seq", "url"))
-    rejects = links.reject_stats(rows, ("url",)).where(F.col("total") > 0)
     cap = options.max_urls_per_page
-    offered = found.select(
-        F.col("seq").alias("page_seq"), F.col("depth").alias("page_depth"), F.col("url").alias("src"),
-        F.posexplode(links.accepted_links(F.col("links"), cap)).alias("_pos", "url"))
+    read = found.select("url", F.lit(True).alias("fetched"), links.accepted_links(F.col("links"), cap).alias("links"))
+    acks = through_table(
+        frontier.with_domain(batch.select("url", "depth", "seq")).join(read, "url", "left").select(
+            "url", "depth", "seq", "domain", F.coalesce("fetched", F.lit(False)).alias("fetched"), "links"),
+        f"{path}/acks")
+    offered = acks.select(
+        F.col("url").alias("src"), F.col("seq").alias("_page"), F.col("depth").alias("_depth"),
+        F.posexplode("links").alias("_pos", "url"))
     candidates = offered.select(
-        (F.col("page_seq") * (cap + 1) + F.col("_pos") + 1).alias("seq"), "src", "url",
-        (F.col("page_depth") + 1).alias("depth"),
-        urls.url_priority(F.col("url"), F.col("page_depth"), options.article_bonus).alias("score"))
+        (F.col("_page") * (cap + 1) + F.col("_pos") + 1).alias("seq"), "src", "url",
+        (F.col("_depth") + 1).alias("depth"),
+        urls.url_priority(F.col("url"), F.col("_depth"), options.article_bonus).alias("score"))
     statuses = frontier.admission(
         candidates, visited, discovered, domain_counts, budgets, queue_size,
-        options.max_frontier_queue_size, options.domain_max_requests_default)
-    fetched = found.select("url", F.lit(True).alias("fetched"))
-    acks = frontier.with_domain(batch.select("url", "depth")).join(fetched, "url", "left").withColumn(
-        "fetched", F.coalesce("fetched", F.lit(False)))
-    return CrawlStep(found.select("url", "depth", "title", "content", "links") if "title" in store.columns
-                     else found.select("url", "depth", "links"), rejects, statuses, acks)
+        options.max_frontier_queue_size, options.domain_max_requests_default, f"{path}/facts")
+    return CrawlStep(found, statuses, acks.drop("seq", "links"))
 
 
 class CrawlState:
@@ -85,7 +94,7 @@ class CrawlState:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
 
-    _PROGRESS = "round int, batch_size long, added long, queue_size long, pages_crawled long"
+    _PROGRESS = "round int, batch_size long, added long, left_over long, pages_crawled long"
     _QUEUE = frontier.QUEUE
     _ACKS = "url string, depth int, domain string, fetched boolean"
 
@@ -98,29 +107,38 @@ class CrawlState:
         except AnalysisException:
             return None
 
-    def _rounds(self, name: str, schema: str, last: int, first: int = 0) -> DataFrame:
-        paths = [f"{self.path}/{name}/{r}" for r in range(first, last + 1)]
+    def read(self, name: str, schema: str, first: int, last: int) -> DataFrame:
+        paths = [f"{self.path}/round-{r}/{name}" for r in range(first, last + 1)]
         reader = self.spark.read.schema(schema)
-        return reader.parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+        return reader.parquet(*paths) if paths else no_rows(self.spark, schema)
 
-    def queue(self, r: int) -> DataFrame:
-        return self._rounds("queue", self._QUEUE, r, r)
+    def queue(self, last) -> DataFrame:
+        fresh = self.read("added", self._QUEUE, last.round, last.round)
+        if not last.left_over:
+            return fresh
+        return fresh.unionByName(self.read("left", self._QUEUE, last.round, last.round))
 
     def discovered(self, r: int) -> DataFrame:
-        return self._rounds("added", self._QUEUE, r).select("url")
+        return self.read("added", self._QUEUE, 0, r).select("url")
 
     def acks(self, r: int) -> DataFrame:
-        return self._rounds("acks", self._ACKS, r, 1)
+        return self.read("acks", self._ACKS, 1, r)
 
     def domains(self, r: int) -> DataFrame:
-        return self._rounds("domains", "domain string, n long", r, r)
+        return self.read("domains", "domain string, n long", r, r)
+
+    def folder(self, r: int) -> str:
+        return f"{self.path}/round-{r}"
 
     def write(self, df: DataFrame, name: str, r: int) -> None:
-        df.write.mode("overwrite").parquet(f"{self.path}/{name}/{r}")
+        df.write.mode("overwrite").parquet(f"{self.folder(r)}/{name}")
 
-    def commit(self, r: int, batch_size: int, added: int, queue_size: int, pages_crawled: int) -> None:
-        row = [(r, batch_size, added, queue_size, pages_crawled)]
-        self.spark.createDataFrame(row, self._PROGRESS).coalesce(1).write.mode("append").parquet(f"{self.path}/progress")
+    def commit(self, r: int, batch_size: int, added: int, left_over: int, pages_crawled: int):
+        done = Row(round=r, batch_size=batch_size, added=added, left_over=left_over, pages_crawled=pages_crawled)
+        columns = [F.lit(done[f.split(" ")[0]]).cast(f.split(" ")[1]).alias(f.split(" ")[0])
+                   for f in self._PROGRESS.split(", ")]
+        self.spark.range(0, 1, 1, 1).select(*columns).write.mode("append").parquet(f"{self.path}/progress")
+        return done
 
 
 def _budget_frame(spark: SparkSession, budgets: dict) -> DataFrame | None:
@@ -141,11 +159,9 @@ def crawl_bfs(store: DataFrame, start: DataFrame, path: str, options: CrawlOptio
     spark = store.sparkSession
     state = CrawlState(spark, path)
     budgets = _budget_frame(spark, options.domain_budgets)
-    last = state.last()
-    if last is None:
-        last = _begin(state, start, options, budgets)
+    last = state.last() or _begin(state, start, options, budgets)
     rounds = 0
-    while last.queue_size and last.pages_crawled < options.max_pages:
+    while last.added + last.left_over and last.pages_crawled < options.max_pages:
         if max_rounds is not None and rounds >= max_rounds:
             break
         last = _round(state, last, store, options, budgets, batch_size, rules)
@@ -155,47 +171,38 @@ def crawl_bfs(store: DataFrame, start: DataFrame, path: str, options: CrawlOptio
 
 def _begin(state: CrawlState, start: DataFrame, options: CrawlOptions, budgets: DataFrame | None):
     spark = state.spark
-    none = spark.createDataFrame([], "url string")
-    empty = spark.createDataFrame([], state._QUEUE)
+    none = no_rows(spark, "url string")
+    empty = no_rows(spark, state._QUEUE)
+    no_counts = no_rows(spark, "domain string, n long")
     seeds = frontier.seeds(start, empty, empty, options.valid_domains)
     statuses = frontier.admission(
-        seeds, none, none, spark.createDataFrame([], "domain string, n long"), budgets, 0,
-        options.max_frontier_queue_size, options.domain_max_requests_default)
+        seeds, None, none, no_counts, budgets, 0,
+        options.max_frontier_queue_size, options.domain_max_requests_default, f"{state.folder(0)}/facts")
     state.write(frontier.queued(statuses, options.priority_enabled), "added", 0)
-    added = state._rounds("added", state._QUEUE, 0)
-    state.write(added, "queue", 0)
-    state.write(spark.createDataFrame([], "domain string, n long"), "domains", 0)
-    n = added.count()
-    state.commit(0, 0, n, n, 0)
-    return state.last()
+    state.write(no_counts, "domains", 0)
+    return state.commit(0, 0, state.read("added", state._QUEUE, 0, 0).count(), 0, 0)
 
 
 def _round(state: CrawlState, last, store: DataFrame, options: CrawlOptions, budgets: DataFrame | None,
            batch_size: int | None, rules: DataFrame | None):
     r = last.round + 1
-    queue = state.queue(last.round)
-    ordered = queue.orderBy(*frontier.queue_order())
+    queue, waiting = state.queue(last), last.added + last.left_over
+    ordered = queue.orderBy(*frontier.queue_order(("round", "seq")))
     reserved = ordered.limit(batch_size) if batch_size else ordered
     # After the sort the ids rise with the order; written once, they stay what they are.
     state.write(reserved.select("url", "depth", F.monotonically_increasing_id().alias("seq")), "batch", r)
-    batch = state._rounds("batch", "url string, depth int, seq long", r, r)
-    taken = batch.count()
-    left = queue.join(batch.select("url"), "url", "left_anti") if taken < last.queue_size else None
-    waiting = last.queue_size - taken
-
-    step = crawl_step(
-        batch, store, state.acks(last.round).select("url"), state.discovered(last.round),
-        state.domains(last.round), budgets, waiting, options, rules)
-    # Later admissions are numbered behind all earlier ones.
-    added = frontier.queued(step.statuses, options.priority_enabled)
-    state.write(added, "added", r)
-    state.write(step.acks, "acks", r)
-    new_acks = state._rounds("acks", state._ACKS, r, r)
+    batch = state.read("batch", "url string, depth int, seq long", r, r)
+    taken = min(batch_size, waiting) if batch_size else waiting
+    left_over = waiting - taken
+    if left_over:
+        state.write(queue.join(batch.select("url"), "url", "left_anti").select(*[f.name for f in queue.schema]), "left", r)
+
+    # Whatever is visited was discovered before, so the discovered set alone keeps URLs out.
+    step = crawl_step(batch, store, None, state.discovered(last.round), state.domains(last.round), budgets,
+                      left_over, options, rules, state.folder(r))
+    state.write(frontier.queued(step.statuses, options.priority_enabled, r), "added", r)
     counts = state.domains(last.round).unionByName(
-        new_acks.groupBy("domain").agg(F.count(F.lit(1)).alias("n")))
+        state.read("acks", state._ACKS, r, r).groupBy("domain").agg(F.count(F.lit(1)).alias("n")))
     state.write(counts.groupBy("domain").agg(F.sum("n").alias("n")), "domains", r)
-    fresh = state._rounds("added", state._QUEUE, r, r)
-    n_added = fresh.count()
-    state.write(fresh if left is None else left.unionByName(fresh), "queue", r)
-    state.commit(r, taken, n_added, waiting + n_added, last.pages_crawled + taken)
-    return state.last()
+    added = state.read("added", state._QUEUE, r, r).count()
+    return state.commit(r, taken, added, left_over, last.pages_crawled + taken)

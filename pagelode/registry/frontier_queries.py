@@ -114,7 +114,7 @@ def budget_join(spark, sf_dir):
     size = F.length("domain")
     budgets = counts.where(size % 3 != 0).select("domain", F.when(
         size % 3 == 1, F.floor(size / 3).cast("string")).otherwise("many").alias("budget"))
-    known = frontier.domain_budgets(counts, counts, budgets, 4)
+    known = frontier.domain_budgets(counts, budgets, 4)
     rows = D.pages(spark, sf_dir).select("page_id", urls.url_domain(F.col("url")).alias("domain"))
     return spread.lookup_join(rows, known, "domain", "page_id")
 

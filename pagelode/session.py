@@ -48,3 +48,9 @@ def through_table(df: DataFrame, path: str) -> DataFrame:
     """Write a frame and read it back: one computation, lineage cut, survives lost executors."""
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def no_rows(spark: SparkSession, schema: str) -> DataFrame:
+    """An empty frame of the given columns."""
+    columns = [c.strip().split(" ", 1) for c in schema.split(",")]
+    return spark.range(0).selectExpr(*[f"cast(null as {kind}) as {name}" for name, kind in columns])

@@ -28,8 +28,11 @@ def latest_page_ids(pages: DataFrame) -> DataFrame:
 def fetched(frontier: DataFrame, pages: DataFrame) -> DataFrame:
     """Frontier rows with the HTML of their page; null HTML is a failed fetch.
 
-    Ids are matched first on narrow columns. Both joins have one row per key on both sides.
+    Ids are matched first, on narrow columns. The HTML is joined to the matched rows only, as
+    an inner join, so that a small frontier is broadcast and the store is not shuffled.
     """
     ids = latest_page_ids(pages)
-    found = frontier.join(ids, "url", "left")
-    return found.join(pages.select("page_id", "html"), "page_id", "left")
+    hits = pages.select("page_id", "html").join(frontier.join(ids, "url"), "page_id")
+    misses = frontier.join(ids, "url", "left_anti").select(
+        "*", F.lit(None).cast("long").alias("page_id"), F.lit(None).cast("string").alias("html"))
+    return hits.unionByName(misses)
