@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,19 +49,9 @@ def allowed_edits(term: Column) -> Column:
     return F.when(size <= 2, 0).when(size <= 5, 1).otherwise(2)
 
 
-def _without(text: Column, at: Column) -> Column:
-    return F.concat(F.substr(text, F.lit(1), at - 1), F.substr(text, at + 1))
-
-
-def deletion_keys(term: Column, most: Column) -> Column:
-    """All texts left after deleting up to `most` (1 or 2) letters."""
-    size = F.length(term)
-    once = F.transform(F.sequence(F.lit(1), size), lambda i: _without(term, i))
-    twice = F.when((most >= 2) & (size >= 2), F.flatten(F.transform(
-        F.sequence(F.lit(1), size - 1),
-        lambda i: F.transform(F.sequence(i, size - 1), lambda j: _without(_without(term, i), j)),
-    ))).otherwise(F.array().cast("array<string>"))
-    return F.array_distinct(F.concat(F.array(term), once, twice))
+def without(text: Column, at: Column) -> Column:
+    """The text without the letter at this place; place 0 takes none away."""
+    return F.when(at == 0, text).otherwise(F.concat(F.substr(text, F.lit(1), at - 1), F.substr(text, at + 1)))
 
 
 def _piece_start(size: Column, piece: Column) -> Column:
@@ -88,9 +78,33 @@ def piece_keys(term: Column, query_size: Column, drift: int) -> Column:
         pieces, lambda p: F.transform(shifts, lambda s: cut(p, s))))))
 
 
-def match_keys(term: Column, query_size: Column, is_query: bool) -> Column:
-    """Keys that a query term and every vocabulary term within its allowed edits share."""
-    # The query's length decides the kind of key for both sides.
-    most = F.when(query_size <= 5, 1).otherwise(2)
-    return F.when(query_size <= SHORT, deletion_keys(term, most)).otherwise(
-        piece_keys(term, query_size, 0 if is_query else 2))
+def key_class(query_size: Column) -> Column:
+    """Which keys a query term of this length is found by: 1 or 2 deletions, or, for long ones,
+    pieces cut for exactly this length."""
+    return F.when(query_size <= 5, 1).when(query_size <= SHORT, 2).otherwise(query_size)
+
+
+def reachable_classes(term: Column, query_sizes: Column) -> Column:
+    """Key classes of the query lengths, out of an array of them, that a vocabulary term may match."""
+    size = F.length(term)
+    near = F.filter(query_sizes, lambda q: F.abs(q - size) <= F.when(q <= 5, 1).otherwise(2))
+    return F.array_distinct(F.transform(near, key_class))
+
+
+def match_keys(rows: DataFrame, term: str, is_query: bool) -> DataFrame:
+    """`cls, key, term`: keys that a query term and every vocabulary term within its allowed
+    edits share. Expects `term` and the class `cls`.
+
+    The places to delete are exploded one after the other, so that the cutting itself runs in
+    generated code.
+    """
+    text, cls, size = F.col(term), F.col("cls"), F.length(term)
+    once = rows.where(cls <= 2).select("cls", term, F.explode(F.sequence(F.lit(0), size)).alias("_i")) \
+        .select("cls", term, "_i", without(text, F.col("_i")).alias("_once"))
+    again = F.when((cls == 2) & F.col("_i").between(1, size - 1),
+                   F.concat(F.array(F.lit(0)), F.sequence(F.col("_i"), size - 1))).otherwise(F.array(F.lit(0)))
+    short = once.select("cls", term, "_once", F.explode(again).alias("_j")).select(
+        "cls", without(F.col("_once"), F.col("_j")).alias("key"), term)
+    pieces = rows.where(cls > 2).select(
+        "cls", F.explode(piece_keys(text, cls, 0 if is_query else 2)).alias("key"), term)
+    return short.unionByName(pieces)

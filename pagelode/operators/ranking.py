@@ -21,12 +21,13 @@ def token_rows(docs: DataFrame, key: str = "url", fields=FIELDS) -> DataFrame:
 
 
 def postings(docs: DataFrame, key: str = "url", fields=FIELDS) -> DataFrame:
-    """Term counts per document and field. The tokens of a document lie in one task, so the
-    partial aggregate does nearly all the work; no row is larger than a term.
+    """Term counts per document and field.
 
+    Documents are dealt out by their key before they are cut into tokens. The counts need the
+    same partitioning, so it is the text that is shuffled, once, and not the tokens.
     `opens` marks the posting of a field's first token: exactly one per document and field.
     """
-    return token_rows(docs, key, fields).groupBy(key, "field", "dl", "term").agg(
+    return token_rows(docs.repartition(key), key, fields).groupBy(key, "field", "dl", "term").agg(
         F.count(F.lit(1)).alias("tf"), (F.min("pos") == 0).alias("opens"))
 
 
@@ -71,17 +72,14 @@ def fuzzy_terms(terms: DataFrame, vocab: DataFrame, small: bool = False) -> Data
     exact = vocab.join(give(terms), vocab.term == terms.qterm).select(
         "field", "qterm", "term", "df", F.lit(0).alias("edits"))
     wide = terms.withColumn("qlen", F.length("qterm")).where(F.col("qlen") > 2)
-    asked = wide.select(F.col("qlen"), F.explode(
-        edits.match_keys(F.col("qterm"), F.col("qlen"), True)).alias("key"), "qterm")
-    size = F.length("term")
-    words = vocab.groupBy("term").agg(F.first(F.lit(1)).alias("_")).select("term")
-    near = words.withColumn("qlen", F.explode(F.sequence(
-        F.greatest(size - 2, F.lit(3)), F.greatest(size + 2, F.lit(3))))) \
-        .where(F.abs(F.col("qlen") - size) <= F.when(F.col("qlen") <= 5, 1).otherwise(2)) \
-        .join(give(wide.select("qlen").distinct()), "qlen", "left_semi")
-    offered = near.select("qlen", F.explode(
-        edits.match_keys(F.col("term"), F.col("qlen"), False)).alias("key"), "term")
-    pairs = offered.join(give(asked), ["qlen", "key"]).where(F.col("term") != F.col("qterm")) \
+    asked = edits.match_keys(
+        wide.select("qterm", edits.key_class(F.col("qlen")).alias("cls")), "qterm", True)
+    # Distinct lengths of query terms: one short array.
+    sizes = wide.agg(F.collect_set("qlen")).scalar()
+    words = vocab.select("term").distinct().withColumn("sizes", sizes).select(
+        "term", F.explode(edits.reachable_classes(F.col("term"), F.col("sizes"))).alias("cls"))
+    offered = edits.match_keys(words, "term", False)
+    pairs = offered.join(give(asked), ["cls", "key"]).where(F.col("term") != F.col("qterm")) \
         .where(F.levenshtein("term", "qterm", 4) >= 0).select("qterm", "term").distinct()
     measured = pairs.withColumn("edits", edits.edits(F.col("qterm"), F.col("term"))) \
         .where(F.col("edits") <= edits.allowed_edits(F.col("qterm")))
@@ -100,12 +98,15 @@ def expansions(matches: DataFrame, options: SearchOptions = SearchOptions()) ->
     return kept.withColumn("shared_df", F.max("df").over(W.partitionBy("field", "qterm"))).drop("_place")
 
 
-def postings_join(postings: DataFrame, expanded: DataFrame, terms: DataFrame, small: bool = False) -> DataFrame:
-    """Postings of every expanded term, once per query that asks for it. With `small` the
-    query side is broadcast; it also prunes the term buckets that are read."""
-    asked = expanded.join(terms, "qterm").select(
-        "query_id", "qterm", "qtf", "field", "term", "weight", "shared_df", *(
-            ["term_bucket"] if "term_bucket" in expanded.columns else []))
+def asked_terms(expanded: DataFrame, terms: DataFrame) -> DataFrame:
+    """Expanded terms of every query: what is looked up in the postings."""
+    return expanded.join(terms, "qterm").select(
+        "query_id", "qterm", "qtf", "field", "term", "weight", "shared_df")
+
+
+def postings_join(postings: DataFrame, asked: DataFrame, small: bool = False) -> DataFrame:
+    """Postings of every asked term, once per query that asks for it. With `small` the asked
+    terms are broadcast; a `term_bucket` column in both also prunes what is read."""
     on = ["field", "term"] + (["term_bucket"] if "term_bucket" in asked.columns else [])
     return postings.join(F.broadcast(asked) if small else asked, on)
 

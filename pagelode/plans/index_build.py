@@ -8,15 +8,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagelode.operators import ranking
-from pagelode.session import through_table
 
 TERM_BUCKETS = 16
 
+_DOCS = "doc long, url string, title string, content string, shard int"
+_POSTINGS = "doc long, field string, dl int, term string, tf long, opens boolean, term_bucket int"
+_VOCAB = "field string, term string, df long, total_tf long"
+_STATS = "field string, n_docs long, n_tokens long, avgdl double"
+
 
 @dataclass(frozen=True)
 class TextIndex:
-    """Stored tables: `docs(url, title, content)`, `postings(url, field, dl, term,
-    tf, opens, term_bucket)`, `vocab(field, term, df, total_tf)`, `stats(field, n_docs, n_tokens, avgdl)`."""
+    """Stored tables of an index. `doc` numbers rise with the URL."""
 
     docs: DataFrame
     postings: DataFrame
@@ -29,38 +32,42 @@ def term_bucket(term: Column, buckets: int) -> Column:
     return F.pmod(F.hash(term), F.lit(buckets)).cast("int")
 
 
+def doc_shard(doc: Column) -> Column:
+    """The folder of a document: numbers given out by one task share their upper bits."""
+    return F.shiftright(doc, 33).cast("int")
+
+
 def build_index(docs: DataFrame, path: str, buckets: int = TERM_BUCKETS) -> TextIndex:
     """Write the index of `docs` (one row per URL; see `sources.index.upsert`).
 
-    Postings are partitioned by a hash of the term, so a search reads only the buckets of its
-    terms, and sorted by term inside, so it skips row groups too. The rebalance splits a bucket
-    that a frequent term has made large. Vocabulary and statistics come from the stored
-    postings, so documents are tokenised once.
+    Documents are stored in URL order and numbered on the way: postings carry a number instead
+    of a URL, equal scores are told apart by it as they would be by the URL, and a search reads
+    the text of its results from the shards that hold them. Postings are
+    partitioned by a hash of the term, so a search reads only the buckets of its terms, and
+    sorted by term inside, so it skips row groups too. The rebalance splits a bucket that a
+    frequent term has made large. Vocabulary and statistics come from the stored postings, so
+    documents are cut into tokens once.
     """
     spark = docs.sparkSession
-    stored = through_table(docs.select("url", "title", "content"), f"{path}/docs")
-    rows = ranking.postings(stored).withColumn("term_bucket", term_bucket(F.col("term"), buckets))
+    ordered = docs.select("url", "title", "content").repartitionByRange("url").sortWithinPartitions("url")
+    ordered.withColumn("doc", F.monotonically_increasing_id()).withColumn("shard", doc_shard(F.col("doc"))) \
+        .write.mode("overwrite").partitionBy("shard").parquet(f"{path}/docs")
+    rows = ranking.postings(spark.read.schema(_DOCS).parquet(f"{path}/docs"), "doc")
     (
-        rows.hint("rebalance", "term_bucket")
+        rows.withColumn("term_bucket", term_bucket(F.col("term"), buckets))
+        .hint("rebalance", "term_bucket")
         .sortWithinPartitions("term_bucket", "term", "field")
         .write.mode("overwrite").partitionBy("term_bucket").parquet(f"{path}/postings")
     )
-    posted = _postings(spark, path)
-    vocab = through_table(ranking.vocabulary(posted), f"{path}/vocab")
-    stats = through_table(ranking.field_stats(posted), f"{path}/stats")
-    return TextIndex(stored, posted, vocab, stats, buckets)
-
-
-def _postings(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(
-        "url string, field string, dl int, term string, tf long, opens boolean, term_bucket int").parquet(f"{path}/postings")
+    posted = spark.read.schema(_POSTINGS).parquet(f"{path}/postings")
+    ranking.vocabulary(posted).write.mode("overwrite").parquet(f"{path}/vocab")
+    ranking.field_stats(posted).write.mode("overwrite").parquet(f"{path}/stats")
+    return open_index(spark, path, buckets)
 
 
 def open_index(spark: SparkSession, path: str, buckets: int = TERM_BUCKETS) -> TextIndex:
-    read = spark.read
-    return TextIndex(
-        read.schema("url string, title string, content string").parquet(f"{path}/docs"),
-        _postings(spark, path),
-        read.schema("field string, term string, df long, total_tf long").parquet(f"{path}/vocab"),
-        read.schema("field string, n_docs long, n_tokens long, avgdl double").parquet(f"{path}/stats"),
-        buckets)
+    def stored(name: str, schema: str) -> DataFrame:
+        return spark.read.schema(schema).parquet(f"{path}/{name}")
+
+    return TextIndex(stored("docs", _DOCS), stored("postings", _POSTINGS), stored("vocab", _VOCAB),
+                     stored("stats", _STATS), buckets)

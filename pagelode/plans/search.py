@@ -7,33 +7,47 @@ from pyspark.sql import functions as F
 
 from pagelode.operators import ranking
 from pagelode.options import SearchOptions
-from pagelode.plans.index_build import TextIndex, term_bucket
+from pagelode.plans.index_build import TextIndex, doc_shard, term_bucket
+from pagelode.session import through_table, workdir
 
 
-def search_pool(index: TextIndex, queries: DataFrame, options: SearchOptions = SearchOptions()) -> DataFrame:
-    """The 50 best documents per query: `query_id, url, score, rank`."""
+def asked_terms(index: TextIndex, queries: DataFrame,
+                options: SearchOptions = SearchOptions()) -> tuple[DataFrame, bool]:
+    """What the queries look up, stored, and whether all that comes of it is small enough to be
+    broadcast: terms, and with them queries and results, are counted against a bound."""
     terms = ranking.query_terms(queries)
     small = ranking.is_small(terms)
-    matches = ranking.fuzzy_terms(terms.select("qterm").distinct(), index.vocab, small)
-    expanded = ranking.expansions(matches, options).withColumn(
+    found = ranking.fuzzy_terms(terms.select("qterm").distinct(), index.vocab, small)
+    asked = ranking.asked_terms(ranking.expansions(found, options), terms).withColumn(
         "term_bucket", term_bucket(F.col("term"), index.buckets))
-    hits = ranking.postings_join(index.postings, expanded, terms, small)
-    return ranking.search_rank(ranking.document_scores(hits, index.stats, options), options.pool_size)
+    # All weights are above 0; the filter lets the planner prune term buckets by this table.
+    return through_table(asked, workdir(queries.sparkSession, "asked")).where(F.col("weight") > 0), small
+
+
+def search_pool(index: TextIndex, queries: DataFrame,
+                options: SearchOptions = SearchOptions()) -> tuple[DataFrame, bool]:
+    """The 50 best documents per query, `query_id, doc, score, rank`, and whether they are few."""
+    asked, small = asked_terms(index, queries, options)
+    hits = ranking.postings_join(index.postings, asked, small)
+    scores = ranking.document_scores(hits, index.stats, options, "doc")
+    return ranking.search_rank(scores, options.pool_size, "doc"), small
+
+
+def with_docs(rows: DataFrame, index: TextIndex, columns: tuple[str, ...], small: bool) -> DataFrame:
+    """Join rows to columns of their documents. Few rows are broadcast, and then only the
+    shards they point to are read."""
+    keyed = rows.withColumn("shard", doc_shard(F.col("doc")))
+    docs = index.docs.select("doc", "shard", *columns)
+    return docs.join(F.broadcast(keyed) if small else keyed, ["shard", "doc"]).drop("shard")
 
 
 def search(index: TextIndex, queries: DataFrame, options: SearchOptions = SearchOptions()) -> DataFrame:
     """Results as shown: `query_id, position, url, title, preview, score`.
 
-    Titles and contents are fetched for the final rows only.
+    URLs are fetched for the pool, titles and contents for the final rows only.
     """
-    pool = search_pool(index, queries, options)
-    return show_results(ranking.search_top(
-        pool.withColumn("doc_url", F.col("url")), options), index.docs, options)
-
-
-def show_results(top: DataFrame, docs: DataFrame, options: SearchOptions = SearchOptions()) -> DataFrame:
-    """Join the final rows to their documents by the URL they are stored under."""
-    text = docs.select(F.col("url").alias("doc_url"), "title", "content")
+    pool, small = search_pool(index, queries, options)
+    top = ranking.search_top(with_docs(pool, index, ("url",), small), options)
     title, shown = ranking.result_projection(F.col("title"), F.col("content"), options.preview_chars)
-    return top.join(text, "doc_url", "left").select(
+    return with_docs(top, index, ("title", "content"), small).select(
         "query_id", "position", "url", title, shown, "score")

@@ -43,7 +43,8 @@ def build_index(spark, sf_dir):
     from pagelode.sources import index
 
     docs = index.upsert(fetched_docs(spark, sf_dir), ["fetched_at", "page_id"])
-    return index_build.build_index(docs, workdir(spark, "index")).postings.select("url", "field", "term", "tf", "dl")
+    built = index_build.build_index(docs, workdir(spark, "index"))
+    return search_plan.with_docs(built.postings, built, ("url",), False).select("url", "field", "term", "tf", "dl")
 
 
 @query("fuzzy_term_join", f"WITH {S.EXPANDED} SELECT field, qterm, term, df, edits::INTEGER AS edits FROM fuzzy")
@@ -62,33 +63,32 @@ def term_expansions(spark, sf_dir):
 @query("postings_join", f"""WITH {S.HITS} SELECT query_id, qterm, field, term, url, tf, dl::INTEGER AS dl, shared_df FROM hits""")
 def postings_join(spark, sf_dir):
     index = D.search_index(spark, sf_dir)
-    terms = ranking.query_terms(D.search_queries(index.vocab))
-    small = ranking.is_small(terms)
-    found = ranking.expansions(ranking.fuzzy_terms(terms.select("qterm").distinct(), index.vocab, small)).withColumn(
-        "term_bucket", index_build.term_bucket(F.col("term"), index.buckets))
-    return ranking.postings_join(index.postings, found, terms, small).select(
+    asked, small = search_plan.asked_terms(index, D.search_queries(index.vocab))
+    hits = ranking.postings_join(index.postings, asked, small)
+    return search_plan.with_docs(hits, index, ("url",), False).select(
         "query_id", "qterm", "field", "term", "url", "tf", "dl", "shared_df")
 
 
 def _pool(spark, sf_dir):
     index = D.search_index(spark, sf_dir)
-    return index, search_plan.search_pool(index, D.search_queries(index.vocab))
+    pool, small = search_plan.search_pool(index, D.search_queries(index.vocab))
+    return search_plan.with_docs(pool, index, ("url",), small)
 
 
 @query("search_rank", f"WITH {S.SCORES} SELECT query_id, url, score, rank::INTEGER AS rank FROM ranked")
 def search_rank(spark, sf_dir):
-    return _pool(spark, sf_dir)[1]
+    return _pool(spark, sf_dir).drop("doc")
 
 
 @query("result_dedupe", f"WITH {S.SCORES}, r AS (SELECT query_id, split_part(url, '#', 1) AS url, score, rank FROM ranked) "
        "SELECT query_id, url, arg_min(score, rank) AS score, min(rank)::INTEGER AS rank FROM r GROUP BY query_id, url")
 def result_dedupe(spark, sf_dir):
-    return ranking.result_dedupe(_pool(spark, sf_dir)[1])
+    return ranking.result_dedupe(_pool(spark, sf_dir).drop("doc"))
 
 
 @query("search_top", f"WITH {S.DEDUPED} SELECT query_id, position::INTEGER AS position, url, score, rank::INTEGER AS rank FROM top")
 def search_top(spark, sf_dir):
-    return ranking.search_top(_pool(spark, sf_dir)[1]).select("query_id", "position", "url", "score", "rank")
+    return ranking.search_top(_pool(spark, sf_dir)).select("query_id", "position", "url", "score", "rank")
 
 
 @query("search", f"""WITH {S.DEDUPED} SELECT query_id, position::INTEGER AS position, t.url, title,

@@ -67,8 +67,9 @@ def verdict(u: str) -> str:
 
 
 def unescape(s: str) -> str:
-    for entity, char in (("&copy;", "©"), ("&middot;", "·"), ("&quot;", '"'), ("&amp;", "&")):
-        s = f"replace({s}, '{entity}', '{char}')"
+    # The texts are cut at tags, so an entity without its semicolon stands at the end.
+    for entity, char in (("copy", "©"), ("middot", "·"), ("quot", '"'), ("amp", "&")):
+        s = f"regexp_replace({s}, '&{entity}(;|$)', '{char}', 'g')"
     return s
 
 
