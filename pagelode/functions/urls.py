@@ -16,6 +16,13 @@ _SCHEME = r"(?:[A-Za-z][A-Za-z0-9+.-]*:)?"
 # The blanks a URL may start with, and the characters dropped anywhere in it.
 _LEADING = "".join(chr(c) for c in range(1, 33))
 _DROPPED = "\t\r\n"
+# Schemes that are followed by a host.
+_HOST_SCHEMES = (
+    r"ftp|http|gopher|nntp|telnet|imap|wais|file|mms|https|shttp|snews|prospero|rtsp|rtsps|rtspu|rsync|svn|svn\+ssh"
+    r"|sftp|nfs|git|git\+ssh|ws|wss|itms-services"
+)
+# Schemes whose last path segment may carry `;params`.
+_PARAM_SCHEMES = "ftp|hdl|prospero|http|imap|https|shttp|rtsp|rtsps|rtspu|sip|sips|mms|sftp|tel"
 
 
 def _any(tests) -> Column:
@@ -38,8 +45,11 @@ def normalize_url(url: Column) -> Column:
     bare = F.when(F.instr(bare, "?") == F.length(bare), F.rtrim(bare, F.lit("?"))).otherwise(bare)
     scheme = F.regexp_extract(bare, r"^([A-Za-z][A-Za-z0-9+.-]*):", 1)
     lowered = F.concat(F.lower(scheme), F.substr(bare, F.length(scheme) + 1))
-    # `http:/x` has an empty host and is written out with its three slashes.
-    lowered = F.regexp_replace(lowered, r"^(https?|ftp):/(?=[^/])", "$1:///")
+    # An empty host: schemes with hosts are written out with all three slashes, without such a
+    # scheme the slashes of the host are left out.
+    lowered = F.when(
+        scheme.rlike(f"(?i)^(?:{_HOST_SCHEMES})\\z"), F.regexp_replace(lowered, r"^([^:]*):/(?=[^/])", "$1:///"),
+    ).otherwise(F.regexp_replace(lowered, r"^([A-Za-z][A-Za-z0-9+.-]*:)?//(?=\?|/(?!/)|\z)", "$1"))
     return F.coalesce(F.rtrim(lowered, F.lit("/")), F.lit(""))
 
 
@@ -56,7 +66,8 @@ url_domain = netloc
 def url_path(url: Column) -> Column:
     """Path without the `;params` of its last segment."""
     path = F.regexp_extract(_prepared(url), rf"^{_SCHEME}(?://[^/?#]*)?([^?#]*)", 1)
-    return F.regexp_replace(path, r";[^/]*\z", "")
+    other = F.contains(path, F.lit(";")) & _prepared(url).rlike(rf"(?i)^(?!(?:{_PARAM_SCHEMES}):)[a-z][a-z0-9+.-]*:")
+    return F.when(other, path).otherwise(F.regexp_replace(path, r";[^/]*\z", ""))
 
 
 def last_segment(url: Column) -> Column:

@@ -80,9 +80,9 @@ class LeaseTracker(StatefulProcessor):
 
 
 def stream_leases(events: DataFrame, lease_seconds: int = CrawlOptions.lease_seconds,
-                  delay: str = "0 seconds") -> DataFrame:
+                  delay: str = "1 minute") -> DataFrame:
     """State changes per URL. Expects `url, ts, event_id, action, worker_id`; the session needs
-    the RocksDB state store."""
+    the RocksDB state store. Events may come out of order by `delay`; timers wait for it."""
     timed = (
         events.where(F.col("action").isin("enqueue", "reserve", "acknowledge"))
         .withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", delay)

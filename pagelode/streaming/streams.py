@@ -100,7 +100,7 @@ def read_url_batch_stream(spark: SparkSession, path: str) -> DataFrame:
     return url_batches.read_url_batches(messages.select("value"))
 
 
-def stream_ticks(events: DataFrame, width: str = "5 seconds", delay: str = "0 seconds") -> DataFrame:
+def stream_ticks(events: DataFrame, width: str = "5 seconds", delay: str = "1 minute") -> DataFrame:
     """Events per tick and kind of state change, by event time. Expects `ts`, `action`."""
     timed = events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", delay)
     state = metrics.state_after(F.col("action"))
