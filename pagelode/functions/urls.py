@@ -1,8 +1,12 @@
-"""URL expressions. All are built-in column expressions, so they run inside generated code."""
+"""URL expressions. All are built-in column expressions, so they run inside generated code.
+
+An expression that is used twice is generated twice, so each step here refers to the step
+before it once or twice at most; tests on one text are put into one pattern.
+"""
 
 from __future__ import annotations
 
-from functools import reduce
+import re
 from urllib.parse import urljoin
 
 import pandas as pd
@@ -12,7 +16,12 @@ from pyspark.sql import types as T
 
 from pagelode import options as O
 
-_SCHEME = r"(?:[A-Za-z][A-Za-z0-9+.-]*:)?"
+_NAME = r"[A-Za-z][A-Za-z0-9+.-]*"
+_SCHEME = rf"(?:{_NAME}:)?"
+_HOST = r"(?://[^/?#]*)?"
+_PATH_END = r"(?=[?#]|\z)"
+# A host with an opening and no closing bracket, or the reverse, is no host.
+_BRACKETS = r"(?:(?=[^/?#\[\]]*(?:[/?#]|\z))|(?=[^/?#]*\[)(?=[^/?#]*\]))"
 # The blanks a URL may start with, and the characters dropped anywhere in it.
 _LEADING = "".join(chr(c) for c in range(1, 33))
 _DROPPED = "\t\r\n"
@@ -23,10 +32,13 @@ _HOST_SCHEMES = (
 )
 # Schemes whose last path segment may carry `;params`.
 _PARAM_SCHEMES = "ftp|hdl|prospero|http|imap|https|shttp|rtsp|rtsps|rtspu|sip|sips|mms|sftp|tel"
+# The start of a URL of such a scheme, or of none.
+_PARAM_START = rf"(?:(?i:{_PARAM_SCHEMES}):|(?!{_NAME}:))"
 
 
-def _any(tests) -> Column:
-    return reduce(lambda a, b: a | b, tests, F.lit(False))
+def _one_of(parts) -> str:
+    """A pattern for any of these texts. Texts with capitals cannot occur in a lower-cased one."""
+    return "|".join(re.escape(p) for p in parts if p == p.lower()) or r"(?!)"
 
 
 def _prepared(url: Column) -> Column:
@@ -40,24 +52,20 @@ def clean_url(url: Column) -> Column:
 
 def normalize_url(url: Column) -> Column:
     """The identity of a URL in the frontier; null and empty become ''."""
-    bare = F.split_part(_prepared(url), F.lit("#"), F.lit(1))
-    # An empty query disappears, a non-empty one stays.
-    bare = F.when(F.instr(bare, "?") == F.length(bare), F.rtrim(bare, F.lit("?"))).otherwise(bare)
-    scheme = F.regexp_extract(bare, r"^([A-Za-z][A-Za-z0-9+.-]*):", 1)
-    lowered = F.concat(F.lower(scheme), F.substr(bare, F.length(scheme) + 1))
+    # No fragment, no empty query; a non-empty query stays.
+    bare = F.regexp_replace(F.split_part(_prepared(url), F.lit("#"), F.lit(1)), r"^([^?]*)\?\z", "$1")
+    lowered = F.concat(F.lower(F.regexp_extract(bare, rf"^{_SCHEME}", 0)), F.regexp_replace(bare, rf"^{_NAME}:", ""))
     # An empty host: schemes with hosts are written out with all three slashes, without such a
     # scheme the slashes of the host are left out.
-    lowered = F.when(
-        scheme.rlike(f"(?i)^(?:{_HOST_SCHEMES})\\z"), F.regexp_replace(lowered, r"^([^:]*):/(?=[^/])", "$1:///"),
-    ).otherwise(F.regexp_replace(lowered, r"^([A-Za-z][A-Za-z0-9+.-]*:)?//(?=\?|/(?!/)|\z)", "$1"))
-    return F.coalesce(F.rtrim(lowered, F.lit("/")), F.lit(""))
+    filled = F.regexp_replace(lowered, rf"^({_HOST_SCHEMES}):/(?=[^/])", "$1:///")
+    filled = F.regexp_replace(filled, rf"^((?!(?:{_HOST_SCHEMES}):){_NAME}:)?//(?=\?|/(?!/)|\z)", "$1")
+    return F.coalesce(F.rtrim(filled, F.lit("/")), F.lit(""))
 
 
 def netloc(url: Column) -> Column:
     """Lower-cased authority with user and port; '' when there is none or brackets are broken."""
-    loc = F.lower(F.regexp_extract(_prepared(url), rf"^{_SCHEME}//([^/?#]*)", 1))
-    broken = F.contains(loc, F.lit("[")) != F.contains(loc, F.lit("]"))
-    return F.coalesce(F.when(~broken, loc), F.lit(""))
+    found = F.regexp_extract(_prepared(url), rf"^{_SCHEME}//{_BRACKETS}([^/?#]*)", 1)
+    return F.coalesce(F.lower(found), F.lit(""))
 
 
 url_domain = netloc
@@ -65,9 +73,11 @@ url_domain = netloc
 
 def url_path(url: Column) -> Column:
     """Path without the `;params` of its last segment."""
-    path = F.regexp_extract(_prepared(url), rf"^{_SCHEME}(?://[^/?#]*)?([^?#]*)", 1)
-    other = F.contains(path, F.lit(";")) & _prepared(url).rlike(rf"(?i)^(?!(?:{_PARAM_SCHEMES}):)[a-z][a-z0-9+.-]*:")
-    return F.when(other, path).otherwise(F.regexp_replace(path, r";[^/]*\z", ""))
+    whole = rf"^{_SCHEME}{_HOST}([^?#]*)"
+    cut = rf"^{_SCHEME}{_HOST}([^?#]*?)(?:;[^/?#]*)?{_PATH_END}"
+    text = _prepared(url)
+    return F.when(text.rlike(rf"^{_PARAM_START}"), F.regexp_extract(text, cut, 1)).otherwise(
+        F.regexp_extract(text, whole, 1))
 
 
 def last_segment(url: Column) -> Column:
@@ -81,22 +91,22 @@ def url_extension(url: Column) -> Column:
 
 def valid_url(url: Column, domains=O.VALID_DOMAINS) -> Column:
     """http(s), with a host, and some allowed text inside the host."""
-    web = F.lower(F.substr(_prepared(url), F.lit(1), F.lit(8)))
-    host = netloc(url)
-    ok = (web.startswith("http://") | web.startswith("https://")) & _any(
-        F.contains(host, F.lit(d)) for d in domains)
-    return F.coalesce(ok, F.lit(False))
+    return F.coalesce(_prepared(url).rlike(rf"(?i)^https?://{_BRACKETS}(?=[^/?#])[^/?#]*?(?:{_one_of(domains)})"), F.lit(False))
 
 
 def junk_url(url: Column, patterns=O.JUNK_PATTERNS) -> Column:
-    low = F.lower(url)
-    return F.coalesce(_any(F.contains(low, F.lit(p)) for p in patterns), F.lit(False))
+    return F.coalesce(F.lower(url).rlike(_one_of(patterns)), F.lit(False))
 
 
 def trusted_url(url: Column, domains=O.TRUSTED_DOMAINS) -> Column:
     """Allowed text anywhere in the URL. Looser than `valid_url`, which looks at the host only."""
-    low = F.lower(url)
-    return F.coalesce(_any(F.contains(low, F.lit(d)) for d in domains), F.lit(False))
+    return F.coalesce(F.lower(url).rlike(_one_of(domains)), F.lit(False))
+
+
+def _wiki_number(digits: str) -> str:
+    """Pattern for URLs whose path is `/wiki/` and so many digits."""
+    return (rf"(?U)^(?:{_SCHEME}{_HOST}/wiki/\d{digits}{_PATH_END}"
+            rf"|{_PARAM_START}{_HOST}/wiki/\d{digits};[^/?#]*{_PATH_END})")
 
 
 def url_verdict(url: Column, max_length: int = O.MAX_URL_LENGTH) -> Column:
@@ -105,28 +115,21 @@ def url_verdict(url: Column, max_length: int = O.MAX_URL_LENGTH) -> Column:
     `year_page` is listed but never returned: `numeric_page` takes all its URLs.
     """
     low = F.lower(url)
-    path = url_path(url)
-    last = last_segment(url)
-
-    def has(text: str) -> Column:
-        return F.contains(low, F.lit(text))
-
-    english = low.startswith("https://en.") | low.startswith("http://en.")
+    text = _prepared(url)
     return (
         F.when(url.isNull() | (url == ""), "empty")
         .when(F.length(url) > max_length, "url_length")
         .when(F.contains(url, F.lit("?")), "query_params")
-        .when(_any(low.endswith("." + e) for e in O.BLOCKED_EXTENSIONS), "extension")
-        .when(_any(has(ns) for ns in O.BLOCKED_NAMESPACES), "namespace")
-        .when(has(".wikipedia.org") & ~english, "non_en_wikipedia")
-        .when(path.rlike(r"(?U)^/wiki/\d+\z"), "numeric_page")
-        .when(path.rlike(r"(?U)^/wiki/\d{3,4}\z"), "year_page")
-        .when(has("list_of") | has("list%5fof"), "list_page")
-        .when(has("(disambiguation)") | (has("disambiguation") & F.contains(url, F.lit("("))),
-              "disambiguation")
-        .when(has("timeline"), "timeline")
-        .when(F.length(last).isin(1, 2), "low_quality")
-        .when(percent_count(url) > 5, "low_quality")
+        .when(low.rlike(rf"\.(?:{_one_of(O.BLOCKED_EXTENSIONS)})\z"), "extension")
+        .when(low.rlike(_one_of(O.BLOCKED_NAMESPACES)), "namespace")
+        .when(low.rlike(r"(?s)^(?!https?://en\.).*\.wikipedia\.org"), "non_en_wikipedia")
+        .when(text.rlike(_wiki_number("+")), "numeric_page")
+        .when(text.rlike(_wiki_number("{3,4}")), "year_page")
+        .when(low.rlike("list_of|list%5fof"), "list_page")
+        # With or without brackets around the word, a bracket must be there.
+        .when(F.contains(url, F.lit("(")) & F.contains(low, F.lit("disambiguation")), "disambiguation")
+        .when(F.contains(low, F.lit("timeline")), "timeline")
+        .when(F.length(last_segment(url)).isin(1, 2) | (percent_count(url) > 5), "low_quality")
         .otherwise("ok")
     )
 
@@ -141,9 +144,9 @@ def url_priority(url: Column, depth: Column, article_bonus: str = "whole") -> Co
     The bonus for article paths needs a URL without any colon, so with 'whole' no absolute
     URL ever gets it. 'path' tests only what follows the host.
     """
-    low = F.lower(url)
-    tested = low if article_bonus == "whole" else F.regexp_replace(low, rf"^{_SCHEME}//[^/]*", "")
-    article = F.contains(low, F.lit("/wiki/")) & ~F.contains(tested, F.lit(":"))
+    # Something of the tested text before `/wiki/`, `/wiki/` itself and the rest, all without a colon.
+    start = "^" if article_bonus == "whole" else rf"^(?:{_SCHEME}//[^/]*)?"
+    article = F.lower(url).rlike(rf"(?s){start}[^:]*/wiki/[^:]*\z")
     return (
         depth + F.lit(1)
         + F.when(junk_url(url), 10000).otherwise(0)
