@@ -49,18 +49,22 @@ def is_member(rows: DataFrame, members: DataFrame, out: str) -> DataFrame:
     return rows.join(marked, "url", "left").withColumn(out, F.coalesce(F.col(out), F.lit(False)))
 
 
-def visited_lookup(rows: DataFrame, visited: DataFrame, seen: bool = True) -> DataFrame:
+def visited_lookup(rows: DataFrame, visited: DataFrame, seen: bool = True,
+                   hot_rows: int = spread.HOT_ROWS) -> DataFrame:
     """Rows whose normalised URL is (or is not) in the visited set."""
     keyed = rows.withColumn("_key", urls.normalize_url(F.col("url")))
-    keys = visited.select(F.col("url").alias("_key"))
-    return keyed.join(keys, "_key", "left_semi" if seen else "left_anti").drop("_key")
+    keys = visited.select(F.col("url").alias("_key"), F.lit(True).alias("_seen"))
+    joined = spread.lookup_join(keyed, keys, "_key", F.struct(*[F.col(c) for c in rows.columns]), hot_rows=hot_rows)
+    return joined.where(F.col("_seen").isNotNull() if seen else F.col("_seen").isNull()).select(*rows.columns)
 
 
 def unseen(rows: DataFrame, *sets: DataFrame) -> DataFrame:
-    """Rows in none of the URL sets."""
-    for known in sets:
-        rows = rows.join(known.select("url"), "url", "left_anti")
-    return rows
+    """Rows in none of the URL sets. The sets are looked up by distinct URLs, so a URL that many
+    rows share is hot in the last join only, which cuts it."""
+    known = rows.select("url").distinct()
+    for members in sets:
+        known = known.join(members.select("url"), "url", "left_anti")
+    return spread.lookup_join(rows, known, "url", F.struct(*[F.col(c) for c in rows.columns]), "inner")
 
 
 def set_union(*sets: DataFrame) -> DataFrame:
@@ -110,7 +114,7 @@ def admission(candidates: DataFrame, visited: DataFrame | None, discovered: Data
               domain_counts: DataFrame, budgets: DataFrame | None = None, queue_size: int = 0,
               max_queue: int = O.CrawlOptions.max_frontier_queue_size,
               default_budget: int = O.CrawlOptions.domain_max_requests_default, path: str | None = None,
-              width: int = spread.BUCKET_ROWS, hot_rows: int = spread.HOT_ROWS) -> DataFrame:
+              width: int | None = None, hot_rows: int = spread.HOT_ROWS) -> DataFrame:
     """Status of every candidate, as if the candidates were queued one by one in `seq` order.
 
     `candidates` has a unique integer `seq`, `url`, and any other columns. Only the first

@@ -86,26 +86,3 @@ def monitor_ticks(events: DataFrame, seconds: int = 5,
         "tick_start", F.col("_queued").alias("queue_size"), F.col("_inflight").alias("inflight_size"),
         F.col("_visited").alias("visited_count"))
     return frontier_pressure(gauges, max_queue)
-
-
-def top_domains_per_tick(acks: DataFrame, seconds: int, size: int = 5) -> DataFrame:
-    """The domains with most acknowledgements so far, at the end of every tick.
-
-    Expects `domain`, `ts`. Counts are first reduced to one row per tick and domain. A tick
-    in which a domain was quiet still ranks it by its count so far, so each count holds until
-    the domain's next one: it is entered at its tick, removed at the next, and carried over
-    the ticks between.
-    """
-    tick = F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / seconds)
-    cells = acks.groupBy("domain", tick.alias("tick")).agg(F.count(F.lit(1)).alias("_n"))
-    by_time = W.partitionBy("domain").orderBy("tick")
-    end = cells.agg(F.max("tick")).scalar()
-    held = (
-        cells.withColumn("n", F.sum("_n").over(by_time.rowsBetween(W.unboundedPreceding, 0)))
-        .withColumn("_until", F.coalesce(F.lead("tick").over(by_time), end + 1))
-        .select("domain", "n", F.explode(F.sequence("tick", F.col("_until") - 1)).alias("tick"))
-    )
-    seen = held.join(cells.select("tick").distinct(), "tick", "left_semi")
-    place = F.row_number().over(W.partitionBy("tick").orderBy(F.desc("n"), "domain"))
-    return seen.withColumn("place", place).where(F.col("place") <= size).select(
-        F.timestamp_seconds(F.col("tick") * seconds).alias("tick_start"), "domain", "n", "place")

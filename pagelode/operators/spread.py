@@ -60,9 +60,19 @@ def bucket_offsets(counts: DataFrame, bucket: str, values: dict[str, str]) -> Da
     return in_runs.join(runs, "_run").select(*counts.columns, *sums)
 
 
-def numbered(rows: DataFrame, order: list[str], out: str = "seq", width: int = BUCKET_ROWS) -> DataFrame:
+def even_width(rows: DataFrame, column: str, target: int = BUCKET_ROWS) -> int:
+    """Bucket width at which an integer column has about `target` rows per bucket."""
+    span = rows.agg(F.min(column).alias("a"), F.max(column).alias("b"), F.count(column).alias("n")).first()
+    return max(1, (span.b - span.a + 1) * target // span.n) if span.n else 1
+
+
+def numbered(rows: DataFrame, order: list[str], out: str = "seq", width: int | None = None) -> DataFrame:
     """Dense numbers from 1 in the order given. The first order column is an integer; a value
-    of it holds a bounded number of rows (it is a row id, or a page id with its links)."""
+    of it holds a bounded number of rows (it is a row id, or a page id with its links).
+
+    The rows are read more than once, so what is costly to make should be stored before.
+    """
+    width = width or even_width(rows, order[0])
     bucketed = rows.withColumn("_bucket", F.floor(F.col(order[0]) / width))
     counts = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
     offsets = bucket_offsets(counts, "_bucket", {"_n": "_offset"}).drop("_n")
@@ -74,9 +84,10 @@ def numbered(rows: DataFrame, order: list[str], out: str = "seq", width: int = B
     )
 
 
-def kth_smallest(rows: DataFrame, column: str, k: int, width: int = BUCKET_ROWS) -> DataFrame:
+def kth_smallest(rows: DataFrame, column: str, k: int, width: int | None = None) -> DataFrame:
     """One row, one column: the k-th smallest value of a unique integer column, null if there
     are fewer. Counts per bucket find the bucket, and only that bucket is sorted."""
+    width = width or even_width(rows, column)
     counts = (
         rows.groupBy(F.floor(F.col(column) / width).alias("_bucket"))
         .agg(F.count(F.lit(1)).alias("_n"))

@@ -42,9 +42,9 @@ def visited(state):
     return state.acks(state.last().round)
 
 
-@query("depth_gate", f"""WITH {S.WIKI} SELECT url, (s % 6)::INTEGER AS depth, s % 6 <= 3 AS fetch FROM (SELECT DISTINCT s, url FROM wiki_links)""")
+@query("depth_gate", f"""WITH {S.WIKI} SELECT url, length(s::VARCHAR)::INTEGER AS depth, length(s::VARCHAR) <= 3 AS fetch FROM (SELECT DISTINCT s, url FROM wiki_links)""")
 def depth_gate(spark, sf_dir):
-    rows = D.wiki_store(spark, sf_dir).select("url", (F.col("s") % 6).cast("int").alias("depth"))
+    rows = D.wiki_store(spark, sf_dir).select("url", F.length(F.col("s").cast("string")).alias("depth"))
     due, deep = crawl.depth_gate(rows)
     return due.withColumn("fetch", F.lit(True)).unionByName(deep.withColumn("fetch", F.lit(False)))
 
@@ -61,18 +61,19 @@ def frontier_pages_join(spark, sf_dir):
 
 
 @query("crawl_step", f"""WITH {S.LINKS}, newest AS (SELECT max(page_id) AS page_id, {S.norm('url')} AS url FROM pages GROUP BY 2),
-offered AS (SELECT n.page_id, n.url AS src, l.link AS url, row_number() OVER (PARTITION BY n.page_id ORDER BY pos) AS place
-  FROM newest n JOIN links l USING (page_id) WHERE n.page_id % 5 <= 3 AND ({S.verdict('l.link')}) = 'ok'),
+offered AS (SELECT n.page_id, length({S.last_segment('n.url')}) AS d, n.url AS src, l.link AS url, row_number() OVER (PARTITION BY n.page_id ORDER BY pos) AS place
+  FROM newest n JOIN links l USING (page_id) WHERE length({S.last_segment('n.url')}) <= 3 AND ({S.verdict('l.link')}) = 'ok'),
 cand AS (SELECT page_id * 51 + place AS seq, *, {S.norm('url')} AS u FROM offered WHERE place <= 50),
 facts AS (SELECT *, u IN (SELECT url FROM newest) AS known, min(seq) OVER (PARTITION BY u) AS first_seq FROM cand)
-SELECT src, u AS url, (page_id % 5 + 1)::INTEGER AS depth, (page_id % 5 + 1)::DOUBLE AS score,
+SELECT src, u AS url, (d + 1)::INTEGER AS depth, (d + 1)::DOUBLE AS score,
   CASE WHEN known THEN 'exists' WHEN seq = first_seq THEN 'added' ELSE 'exists' END AS status FROM facts""")
 def crawl_step(spark, sf_dir):
-    """One round over all pages, at depths 0 to 4; nothing visited yet, all pages discovered."""
+    """One round over all pages, as deep as their last segment is long; all pages are discovered."""
     pages = D.pages(spark, sf_dir, True)
     store = crawl.parsed_store(pages, _HERE)
     batch = pages.select(F.col("page_id"), urls.normalize_url(F.col("url")).alias("url")).groupBy("url").agg(
-        F.max("page_id").alias("seq")).withColumn("depth", (F.col("seq") % 5).cast("int"))
+        F.max("page_id").alias("seq")).withColumn(
+        "depth", F.length(urls.last_segment(F.col("url"))))
     none = spark.createDataFrame([], "url string")
     step = crawl.crawl_step(batch, store, none, batch.select("url"), spark.createDataFrame([], "domain string, n long"), options=_HERE)
     return step.statuses.select("src", "url", "depth", "score", "status")

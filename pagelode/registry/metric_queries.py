@@ -58,13 +58,3 @@ SELECT *, 500::BIGINT AS threshold, queue_size > 400 AS pressure FROM c""")
 def monitor_ticks(spark, sf_dir):
     ticks = metrics.monitor_ticks(D.lease_events(spark, sf_dir, per_user=True), 3600, 500)
     return ticks.withColumn("tick_start", F.col("tick_start").cast("timestamp_ntz"))
-
-
-@query("monitor_top_domains", """WITH a AS (SELECT time_bucket(INTERVAL 1 DAY, ts) AS tick_start, 'd' || (user_id % 20) || '.edu' AS domain, count(*) AS n
-  FROM events GROUP BY ALL),
-c AS (SELECT t.tick_start, a.domain, sum(a.n)::BIGINT AS n FROM (SELECT DISTINCT tick_start FROM a) t JOIN a ON a.tick_start <= t.tick_start GROUP BY ALL)
-SELECT tick_start, domain, n, place FROM (SELECT *, row_number() OVER (PARTITION BY tick_start ORDER BY n DESC, domain) AS place FROM c) WHERE place <= 5""")
-def monitor_top_domains(spark, sf_dir):
-    ticks = metrics.top_domains_per_tick(D.domain_access(spark, sf_dir), 86400)
-    return ticks.withColumn("tick_start", F.col("tick_start").cast("timestamp_ntz")).withColumn(
-        "place", F.col("place").cast("long"))

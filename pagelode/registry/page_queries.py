@@ -9,13 +9,14 @@ from pagelode.operators import links as L
 from pagelode.registry import derived as D
 from pagelode.registry import query
 from pagelode.registry import sql as S
-from pagelode.session import workdir
+from pagelode.session import through_table, workdir
 from pagelode.sources import crawl_log as log
 from pagelode.sources import index
 from pagelode.sources import pages as store
 from pagelode.sources import url_batches as batches
 
 _PUBLISHED = "2024-01-01T00:00:00"
+_DEPTH = f"length({S.last_segment('d.url')})"
 
 
 @query("page_scan", f"""WITH wanted AS (SELECT DISTINCT unnest([u, u || '/missing']) AS url FROM (SELECT {S.norm('url')} AS u FROM pages)),
@@ -47,12 +48,12 @@ def page_links(spark, sf_dir):
 
 
 @query("page_sizes", f"""WITH {S.DOCS}, {S.LINKS} SELECT d.page_id,
-  CASE WHEN d.page_id % 5 = 4 THEN 0 ELSE length(content) END AS content_chars,
-  CASE WHEN d.page_id % 5 = 4 THEN 0 ELSE coalesce(n, 0) END AS n_links
+  CASE WHEN {_DEPTH} > 3 THEN 0 ELSE length(content) END AS content_chars,
+  CASE WHEN {_DEPTH} > 3 THEN 0 ELSE coalesce(n, 0) END AS n_links
   FROM docs d LEFT JOIN (SELECT page_id, count(*) AS n FROM links GROUP BY page_id) l USING (page_id)""")
 def page_sizes(spark, sf_dir):
-    """Pages beyond the depth limit (here: depth is page_id % 5, limit 3) are skipped: (0, 0)."""
-    read = (F.col("page_id") % 5) <= 3
+    """Pages beyond the depth limit are skipped: (0, 0). Depth is the length of the last segment."""
+    read = F.length(urls.last_segment(F.col("url"))) <= 3
     return D.docs(spark, sf_dir, ("content", "links")).select(
         "page_id", F.when(read, F.length("content")).otherwise(0).cast("long").alias("content_chars"),
         F.when(read, F.size("links")).otherwise(0).cast("long").alias("n_links"))
@@ -126,9 +127,10 @@ _ACCEPTED_SQL = f"""{S.LINKS}, pub AS (SELECT page_id, pos, link AS url, row_num
 
 
 def published(spark, sf_dir):
-    """Accepted links in publishing order, at depth 1."""
-    return L.accepted(D.page_links(spark, sf_dir).drop("url")).select(
+    """Accepted links in publishing order, at depth 1; stored, since numbering reads them twice."""
+    rows = L.accepted(D.page_links(spark, sf_dir).drop("url")).select(
         "page_id", "pos", F.col("link").alias("url"), F.lit(1).alias("depth"))
+    return through_table(rows, workdir(spark, "published"))
 
 
 @query("batch_number", f"WITH {_ACCEPTED_SQL} SELECT page_id, pos, url, seq, (seq - 1) // 25 AS batch FROM pub")

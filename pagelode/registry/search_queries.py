@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pagelode.functions import text
 from pagelode.operators import ranking
 from pagelode.plans import index_build, search as search_plan
 from pagelode.registry import derived as D
@@ -15,8 +14,7 @@ from pagelode.session import workdir
 
 @query("tokens", f"""SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest({S.tokens('text')}) AS term FROM documents) GROUP BY doc_id, term""")
 def tokens(spark, sf_dir):
-    rows = D.table(spark, sf_dir, "documents").select("doc_id", F.explode(text.tokens(F.col("text"))).alias("term"))
-    return rows.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"))
+    return ranking.postings(D.table(spark, sf_dir, "documents"), "doc_id", ("text",)).select("doc_id", "term", "tf")
 
 
 @query("corpus_stats", f"""WITH {S.POSTINGS} SELECT s.field, n_docs, n_tokens, round(n_tokens::DOUBLE / n_docs, 6) AS avgdl, n_terms

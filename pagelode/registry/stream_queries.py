@@ -35,15 +35,30 @@ def stream_discovered(spark, sf_dir):
     return _drain(streams.stream_discovered(_pages(spark, sf_dir).select("url")), spark, "discovered")
 
 
-@query("stream_domain_counts", "SELECT 'd' || (user_id % 20) || '.edu' AS domain, count(*) AS n, max(ts) AS last_access FROM events GROUP BY 1")
-def stream_domain_counts(spark, sf_dir):
-    acks = _events(spark, sf_dir).select("ts", F.concat(
+def _accesses(spark, sf_dir):
+    return _events(spark, sf_dir).select("ts", F.concat(
         F.lit("d"), (F.col("user_id") % 20).cast("string"), F.lit(".edu")).alias("domain"))
+
+
+_COUNTS_SQL = "SELECT 'd' || (user_id % 20) || '.edu' AS domain, count(*) AS n, max(ts) AS last_access FROM events GROUP BY 1"
+
+
+@query("stream_domain_counts", _COUNTS_SQL)
+def stream_domain_counts(spark, sf_dir):
     path = workdir(spark, "domain-counts")
-    streams.keep_updates(streams.stream_domain_counts(acks), f"{path}/out", f"{path}/checkpoint").awaitTermination()
+    counts = streams.stream_domain_counts(_accesses(spark, sf_dir))
+    streams.keep_updates(counts, f"{path}/out", f"{path}/checkpoint").awaitTermination()
     return streams.read_updates(spark, f"{path}/out", "domain", "domain string, n long, last_access timestamp_ntz")
 
 
+@query("monitor_top_domains", f"SELECT * FROM ({_COUNTS_SQL}) ORDER BY n DESC, domain LIMIT 5")
+def monitor_top_domains(spark, sf_dir):
+    path = workdir(spark, "top-domains")
+    counts = streams.stream_domain_counts(_accesses(spark, sf_dir))
+    streams.stream_top_domains(counts, f"{path}/out", f"{path}/checkpoint").awaitTermination()
+    return streams.read_latest(spark, f"{path}/out", "domain string, n long, last_access timestamp_ntz")
+
+
 @query("stream_index_upsert", _UPSERT_SQL)
 def stream_index_upsert(spark, sf_dir):
     docs = html.parse_pages(_pages(spark, sf_dir), S.DOMAINS).select(

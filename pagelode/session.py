@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -16,6 +17,8 @@ def local_session(cores: int | str = 8, **conf: str) -> SparkSession:
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.shuffle.partitions": "8",
         "spark.sql.adaptive.enabled": "true",
+        # Small tables on one machine: keep its cores busy rather than its partitions large.
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128KB",
         "spark.driver.memory": "8g",
         "spark.driver.bindAddress": "127.0.0.1",
         "spark.driver.host": "127.0.0.1",
@@ -39,11 +42,15 @@ def workdir(spark: SparkSession, label: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="pagelode-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_root()
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+@functools.cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="pagelode-")
+
+
 def through_table(df: DataFrame, path: str) -> DataFrame:
     """Write a frame and read it back: one computation, lineage cut, survives lost executors."""
     df.write.mode("overwrite").parquet(path)

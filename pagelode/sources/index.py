@@ -47,7 +47,7 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.DOCS).parquet(f"{path}/docs")
 
 
-def bulk_summary(docs: DataFrame, order: list[str], chunk: int = 500, width: int = spread.BUCKET_ROWS) -> DataFrame:
+def bulk_summary(docs: DataFrame, order: list[str], chunk: int = 500, width: int | None = None) -> DataFrame:
     """Size, indexed and failed rows of every chunk of writes, in arrival order."""
     rows = spread.numbered(docs.withColumn("_bad", is_bad()).select(*order, "_bad"), order, "_seq", width)
     number = F.floor((F.col("_seq") - 1) / chunk).cast("long")

@@ -11,14 +11,14 @@ from pagelode.operators import spread
 
 
 def batch_number(rows: DataFrame, order: list[str], size: int = O.CrawlOptions.url_batch_size,
-                 width: int = spread.BUCKET_ROWS) -> DataFrame:
+                 width: int | None = None) -> DataFrame:
     """Dense `seq` and the `batch` it falls in, in publishing order."""
     return spread.numbered(rows, order, "seq", width).withColumn(
         "batch", F.floor((F.col("seq") - 1) / size).cast("long"))
 
 
 def url_batches(rows: DataFrame, published_at: Column, order: list[str],
-                size: int = O.CrawlOptions.url_batch_size, width: int = spread.BUCKET_ROWS) -> DataFrame:
+                size: int = O.CrawlOptions.url_batch_size, width: int | None = None) -> DataFrame:
     """JSON messages of `size` URLs each; only the last may be short. Expects `url`, `depth`
     (a missing depth is 0)."""
     item = F.struct(F.col("seq"), F.struct(

@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from pagelode import options as O
 from pagelode.functions import urls
-from pagelode.operators import metrics
+from pagelode.operators import frontier, metrics
 from pagelode.sources import index, url_batches
 
 
@@ -56,6 +56,17 @@ def keep_updates(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuer
     )
 
 
+def stream_top_domains(counts: DataFrame, path: str, checkpoint: str, size: int = 5) -> StreamingQuery:
+    """The domains with most acknowledgements so far, written after every micro-batch."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        frontier.top_domains(batch, size).write.mode("overwrite").parquet(f"{path}/generation={batch_id}")
+
+    return (
+        counts.writeStream.foreachBatch(write).outputMode("complete")
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    )
+
+
 def read_updates(spark: SparkSession, path: str, key: str, schema: str) -> DataFrame:
     """Newest generation of each key."""
     rows = spark.read.schema(f"{schema}, generation long").parquet(path)
@@ -63,6 +74,12 @@ def read_updates(spark: SparkSession, path: str, key: str, schema: str) -> DataF
     return rows.groupBy(key).agg(F.max_by(F.struct(*rest), "generation").alias("_r")).select(key, "_r.*")
 
 
+def read_latest(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The newest generation as a whole."""
+    rows = spark.read.schema(f"{schema}, generation long").parquet(path)
+    return rows.where(F.col("generation") == rows.agg(F.max("generation")).scalar()).drop("generation")
+
+
 def stream_index_upsert(docs: DataFrame, path: str, checkpoint: str, order: list[str]) -> StreamingQuery:
     """Index writes per micro-batch: the newest copy per URL within the batch, then a
     generation of its own. `read_index_stream` merges generations."""
