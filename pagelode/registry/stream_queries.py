@@ -97,7 +97,37 @@ def monitor_ticks_stream(spark, sf_dir):
                                 "tick_start timestamp_ntz, to_queued long, to_inflight long, to_visited long")
 
 
-@query("stream_leases", None)
+_DAY = 86_400_000
+_RAN_OUT = f"acc.status = 'inflight' AND e.at >= acc.since + {_DAY}"
+_TAKES = f"e.action = 'reserve' AND (acc.status = 'queued' OR ({_RAN_OUT}))"
+# The state machine as a fold over the ordered events of each URL; a lease still running at the
+# end is given back if it ran out before the end of the log, less the delay.
+_LEASES_SQL = f"""WITH ev AS (
+  SELECT 'https://en.wikipedia.org/wiki/K' || regexp_extract(props, '[0-9]+') AS url, epoch_us(ts) // 1000 AS at_ms, event_id,
+    CASE event_type WHEN 'signup' THEN 'enqueue' WHEN 'view' THEN 'reserve' ELSE 'acknowledge' END AS action, user_id::VARCHAR AS worker
+  FROM events WHERE event_type IN ('signup', 'view', 'purchase')),
+ended AS (SELECT max(at_ms) - 60000 AS until FROM ev),
+seqs AS (SELECT url, list({{'at': at_ms, 'action': action, 'worker': worker}} ORDER BY at_ms, event_id) AS es FROM ev GROUP BY url),
+run AS (SELECT url, list_reduce(es, lambda acc, e: {{
+    'status': CASE WHEN e.action = 'enqueue' AND acc.status = '' THEN 'queued'
+      WHEN {_TAKES} THEN 'inflight'
+      WHEN e.action = 'acknowledge' THEN 'visited'
+      WHEN {_RAN_OUT} THEN 'queued' ELSE acc.status END,
+    'worker': CASE WHEN {_TAKES} THEN e.worker ELSE acc.worker END,
+    'since': CASE WHEN {_TAKES} THEN e.at ELSE acc.since END,
+    'out': acc.out
+      || CASE WHEN {_RAN_OUT} THEN [{{'at_ms': acc.since + {_DAY}, 'status': 'queued', 'worker_id': acc.worker}}] ELSE [] END
+      || CASE WHEN e.action = 'enqueue' AND acc.status = '' THEN [{{'at_ms': e.at, 'status': 'queued', 'worker_id': e.worker}}]
+           WHEN {_TAKES} THEN [{{'at_ms': e.at, 'status': 'inflight', 'worker_id': e.worker}}]
+           WHEN e.action = 'acknowledge' AND acc.status <> 'visited' THEN [{{'at_ms': e.at, 'status': 'visited', 'worker_id': e.worker}}] ELSE [] END
+  }}, {{'status': '', 'worker': '', 'since': 0::BIGINT, 'out': []::STRUCT(at_ms BIGINT, status VARCHAR, worker_id VARCHAR)[]}}) AS fin FROM seqs),
+tail AS (SELECT url, unnest(fin.out) AS o FROM run UNION ALL
+  SELECT url, {{'at_ms': fin.since + {_DAY}, 'status': 'queued', 'worker_id': fin.worker}} FROM run, ended
+  WHERE fin.status = 'inflight' AND fin.since + {_DAY} <= until)
+SELECT url, o.at_ms AS at_ms, o.status AS status, o.worker_id AS worker_id FROM tail"""
+
+
+@query("stream_leases", _LEASES_SQL)
 def stream_leases(spark, sf_dir):
     """State changes of every URL's lease; leases last a day here."""
     provider = "spark.sql.streaming.stateStore.providerClass"
