@@ -106,8 +106,11 @@ def url_facts(rows: DataFrame, visited: DataFrame | None, discovered: DataFrame,
     unknown = default_budget <= 0  # a domain without a count or a budget of its own
     special = domain_budgets(domain_counts, budgets, default_budget).where(
         F.col("over_budget") != F.lit(unknown)).select("domain", F.col("over_budget").alias("_over"))
-    return spread.lookup_join(with_domain(first), special, "domain", "url", hot_rows=hot_rows).withColumn(
-        "_over", F.coalesce(F.col("_over"), F.lit(unknown))).drop("domain")
+    if spread.is_small(special):
+        joined = with_domain(first).join(F.broadcast(special), "domain", "left")
+    else:
+        joined = spread.lookup_join(with_domain(first), special, "domain", "url", hot_rows=hot_rows)
+    return joined.withColumn("_over", F.coalesce(F.col("_over"), F.lit(unknown))).drop("domain")
 
 
 def admission(candidates: DataFrame, visited: DataFrame | None, discovered: DataFrame,

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from pagelode.functions import edits, text, urls
+from pagelode.operators import spread
 from pagelode.options import SearchOptions
 
 FIELDS = ("title", "content")
@@ -56,9 +57,8 @@ def query_terms(queries: DataFrame) -> DataFrame:
 SMALL_QUERY_TERMS = 2000
 
 
-def is_small(terms: DataFrame, bound: int = SMALL_QUERY_TERMS) -> bool:
-    """Whether a frame of query terms is within the bound: counts at most one row beyond it."""
-    return terms.limit(bound + 1).count() <= bound
+def is_small(terms: DataFrame) -> bool:
+    return spread.is_small(terms, SMALL_QUERY_TERMS)
 
 
 def fuzzy_terms(terms: DataFrame, vocab: DataFrame, small: bool = False) -> DataFrame:

@@ -12,6 +12,13 @@ from pyspark.sql import Window as W
 
 BUCKET_ROWS = 1_000_000
 HOT_ROWS = 2_000_000
+# Rows of a key and a few numbers that may be broadcast: some ten MB at most.
+SMALL_ROWS = 100_000
+
+
+def is_small(rows: DataFrame, bound: int = SMALL_ROWS) -> bool:
+    """Whether a frame is within the bound. Counts at most one row beyond it."""
+    return rows.limit(bound + 1).count() <= bound
 
 
 def hot_pieces(counts: DataFrame, key: str, count: str, hot_rows: int) -> DataFrame:
@@ -29,7 +36,7 @@ def lookup_join(rows: DataFrame, table: DataFrame, key: str, spread_by: Column |
 
     Hot keys are counted first (unless given, see `hot_pieces`); each is cut into pieces by a
     hash of `spread_by`, and its table row is repeated once per piece. Other keys are joined
-    as they are.
+    as they are. The rows are read twice, so what is costly to make should be stored before.
     """
     spread = F.col(spread_by) if isinstance(spread_by, str) else spread_by
     if hot is None:

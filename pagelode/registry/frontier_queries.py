@@ -9,6 +9,7 @@ from pagelode.operators import frontier
 from pagelode.registry import derived as D
 from pagelode.registry import query
 from pagelode.registry import sql as S
+from pagelode.session import through_table, workdir
 
 # Candidates are the links of all pages. Links with a short last segment count as visited, those
 # a letter longer as discovered.
@@ -21,11 +22,12 @@ acks AS (SELECT {S.netloc('url')} AS domain, count(*) AS n FROM pages GROUP BY 1
 
 
 def candidates(spark, sf_dir):
+    """Stored, since every set below is made from them."""
     links = D.page_links(spark, sf_dir).select(
         (F.col("page_id") * 64 + F.col("pos")).alias("seq"), F.col("link").alias("url"), F.lit(1).alias("depth"))
     blank = D.pages(spark, sf_dir).where(F.contains("url", F.lit("utm_source"))).select(
         (F.col("page_id") * 64).alias("seq"), F.lit("").alias("url"), F.lit(1).alias("depth"))
-    return links.unionByName(blank)
+    return through_table(links.unionByName(blank), workdir(spark, "candidates"))
 
 
 def short(rows, most):
