@@ -32,7 +32,11 @@ def link_rows(docs: DataFrame, keep=("page_id", "url"), out: str = "link") -> Da
 
 
 def judged(rows: DataFrame, column: str = "link") -> DataFrame:
-    return rows.withColumn("reason", urls.url_verdict(F.col(column)))
+    """Adds the verdict as `reason`. What several rules look at is made once, as columns."""
+    url = F.col(column)
+    made = rows.select("*", F.lower(url).alias("_low"), urls.prepared(url).alias("_text"))
+    reason = urls.url_verdict(url, low=F.col("_low"), text=F.col("_text"))
+    return made.select(*rows.columns, reason.alias("reason"))
 
 
 def accepted(rows: DataFrame, column: str = "link") -> DataFrame:

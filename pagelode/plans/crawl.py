@@ -5,14 +5,14 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from pagelode.functions import html, urls
 from pagelode.operators import frontier, links, robots
 from pagelode.options import CrawlOptions
 from pagelode.session import no_rows, through_table, workdir
-from pagelode.sources import index
+from pagelode.sources import index, url_batches
 
 
 @dataclass(frozen=True)
@@ -28,6 +28,10 @@ class CrawlStep:
         """Pages to index, with all their links."""
         return self.found.drop("seq")
 
+    def messages(self, published_at: Column, size: int = CrawlOptions.url_batch_size) -> DataFrame:
+        """URL batches of all offered links, admitted or not, in the order they were offered."""
+        return url_batches.url_batches(self.statuses.select("seq", "url", "depth"), published_at, ["seq"], size)
+
     def rejects(self) -> DataFrame:
         """Rejected links per reason, for pages that have any."""
         return links.reject_stats(links.link_rows(self.found, ("url",)), ("url",)).where(F.col("total") > 0)
@@ -124,6 +128,10 @@ class CrawlState:
     def acks(self, r: int) -> DataFrame:
         return self.read("acks", self._ACKS, 1, r)
 
+    def documents(self, store: DataFrame) -> DataFrame:
+        """The pages read so far, as stored."""
+        return store.join(self.acks(self.last().round).where("fetched").select("url", "depth"), "url")
+
     def domains(self, r: int) -> DataFrame:
         return self.read("domains", "domain string, n long", r, r)
 

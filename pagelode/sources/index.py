@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pagelode import schemas
 from pagelode.operators import spread
@@ -33,18 +34,36 @@ def upsert(docs: DataFrame, order: list[str]) -> DataFrame:
     return latest(docs.where(~is_bad()), order)
 
 
-def write_index(docs: DataFrame, path: str, order: list[str], partitions: int | None = None) -> DataFrame:
-    """Write the index and its quarantine; returns the stored documents."""
-    quarantined(docs).write.mode("overwrite").parquet(f"{path}/quarantine")
-    kept = upsert(docs, order).select(*[f.name for f in schemas.DOCS])
-    if partitions:
-        kept = kept.repartition(partitions, "url")
-    kept.write.mode("overwrite").parquet(f"{path}/docs")
+def write_index(docs: DataFrame, path: str, order: list[str], observation: Observation | None = None) -> DataFrame:
+    """Write the index and its quarantine in one pass; returns the stored documents.
+
+    Rows that cannot be keyed go through the same aggregate, each as a group of its own. An
+    observation gets `bulk_size`, `indexed_count` and `failed_count` of the write.
+    """
+    marked = docs.withColumn("bad", is_bad()).withColumn(
+        "_apart", F.when(F.col("bad"), F.monotonically_increasing_id()))
+    if observation is not None:
+        marked = marked.observe(
+            observation, F.count(F.lit(1)).alias("bulk_size"), F.count_if(~F.col("bad")).alias("indexed_count"),
+            F.count_if(F.col("bad")).alias("failed_count"))
+    rest = [c for c in marked.columns if c not in ("url", "_apart")]
+    best = marked.groupBy("url", "_apart").agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_d"))
+    best.select("url", "_d.*").select(*[f.name for f in schemas.DOCS], "bad") \
+        .write.mode("overwrite").partitionBy("bad").parquet(path)
     return read_index(docs.sparkSession, path)
 
 
+def _stored(spark: SparkSession, path: str, bad: bool) -> DataFrame:
+    schema = T.StructType([*schemas.DOCS, T.StructField("bad", T.BooleanType())])
+    return spark.read.schema(schema).parquet(path).where(F.col("bad") == bad).drop("bad")
+
+
 def read_index(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.DOCS).parquet(f"{path}/docs")
+    return _stored(spark, path, False)
+
+
+def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
+    return _stored(spark, path, True)
 
 
 def bulk_summary(docs: DataFrame, order: list[str], chunk: int = 500, width: int | None = None) -> DataFrame:

@@ -88,6 +88,7 @@ def test_stop_and_go_on(spark):
     assert a.exceptAll(b).count() == b.exceptAll(a).count() == 0 < b.count()
     counts = {r.domain: r.n for r in resumed.domains(resumed.last().round).collect()}
     assert sum(counts.values()) == b.count()
+    assert resumed.documents(store).count() == b.where("fetched").count()
 
 
 def test_denied_pages_are_acknowledged_without_a_document(spark):
@@ -109,6 +110,8 @@ def test_step_reports(spark):
     assert [(r.url, r.extension, r.low_quality_pages, r.accepted) for r in step.rejects().collect()] == [(ROOT.format("a", 1), 1, 1, 1)]
     assert [(r.url, r.depth, r.score, r.status) for r in step.statuses.collect()] == [(ROOT.format("a", 2), 1, 1.0, "added")]
     assert step.documents().count() == 1
+    assert [r.value for r in step.messages(F.lit("t")).collect()] == [
+        '{"items":[{"url":"https://a.edu/page2","depth":1}],"batch_size":1,"published_at":"t"}']
     assert sorted(r.fetched for r in step.acks.collect()) == [False, False, True]
 
 

@@ -1,8 +1,10 @@
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from pagelode.functions import html
 from pagelode.operators import links
+from pagelode.session import workdir
 from pagelode.sources import crawl_log, index, pages, url_batches
 
 CASES = [
@@ -75,6 +77,18 @@ def test_upsert_keeps_last_and_sets_bad_rows_aside(spark):
     assert [(c.bulk_size, c.indexed_count, c.failed_count) for c in chunks] == [(2, 2, 0), (2, 0, 2), (1, 1, 0)]
 
 
+def test_index_write_is_one_pass_with_counts(spark):
+    rows = [("a", "1", 1), ("a", "2", 2), ("b", "3", 1), ("", "4", 1), (None, "5", 1), (None, "5", 1)]
+    docs = spark.createDataFrame(rows, "url string, title string, s int").select(
+        "url", "title", F.lit("c").alias("content"), F.array().cast("array<string>").alias("links"),
+        F.timestamp_seconds("s").alias("fetched_at"))
+    path, seen = workdir(spark, "docs"), Observation()
+    stored = index.write_index(docs.repartition(4), path, ["fetched_at"], seen)
+    assert sorted((r.url, r.title) for r in stored.collect()) == [("a", "2"), ("b", "3")]
+    assert sorted(r.title for r in index.read_quarantine(spark, path).collect()) == ["4", "5", "5"]
+    assert seen.get == {"bulk_size": 6, "indexed_count": 3, "failed_count": 3}
+
+
 def test_fetch_finds_newest_copy_or_nothing(spark):
     store = spark.createDataFrame([(1, "http://a/x#1", "old"), (2, "http://a/x/", "new")],
                                   "page_id long, url string, html string")

@@ -1,9 +1,11 @@
 import json
 import random
+import re
 from urllib.parse import urljoin, urlparse, urlsplit, urlunsplit
 
 from pyspark.sql import functions as F
 
+from pagelode import options
 from pagelode.functions import text, urls
 
 WIKI = "https://en.wikipedia.org/wiki/"
@@ -53,6 +55,34 @@ def test_predicates(spark):
         assert column(spark, given, expr) == [p[at] for p in PREDICATES]
 
 
+def verdict(url):
+    """The rules one after the other."""
+    low, path = url.lower(), urlparse(url).path
+    last = path.rstrip("/").split("/")[-1]
+    rules = [
+        ("empty", not url), ("url_length", len(url) > 200), ("query_params", "?" in url),
+        ("extension", low.endswith(tuple("." + e for e in options.BLOCKED_EXTENSIONS))),
+        ("namespace", any(n in low for n in options.BLOCKED_NAMESPACES)),
+        ("non_en_wikipedia", ".wikipedia.org" in low and not re.match("https?://en\\.", low)),
+        ("numeric_page", re.fullmatch(r"/wiki/\d+", path)), ("list_page", "list_of" in low or "list%5fof" in low),
+        ("disambiguation", "disambiguation" in low and "(" in url), ("timeline", "timeline" in low),
+        ("low_quality", 0 < len(last) < 3 or url.count("%") > 5),
+    ]
+    return next((reason for reason, hit in rules if hit), "ok")
+
+
+def test_verdicts_of_odd_urls(spark):
+    rng = random.Random(23)
+    starts = ["http://", "https://en.", "HTTP://", "ftp://", "//", "", "/", "mailto:", "foo://", "https://de."]
+    hosts = ["h.edu", "wikipedia.org", "a.wikipedia.org", "u@M.edu:80", ""]
+    pieces = ["/", "a", "bc", "//", "#", "f", ";p", ";", "\t", "..", "%20", ":", "ü", "12", "/wiki/", "1", "Talk:", "x.png",
+              "List_of", "(", "disambiguation", "timeline", "\U0001f600", "%41%42%43"]
+    given = [rng.choice(starts) + rng.choice(hosts) + "".join(rng.choices(pieces, k=rng.randint(0, 6))) for _ in range(6000)]
+    want = [verdict(u) for u in given]
+    assert column(spark, given, urls.url_verdict) == want
+    assert len(set(want)) == 9
+
+
 def test_priority(spark):
     def score(u):
         return urls.url_priority(u, F.lit(2))
