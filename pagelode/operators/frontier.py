@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -94,10 +96,12 @@ def domain_budgets(counts: DataFrame, budgets: DataFrame | None = None,
 
 def url_facts(rows: DataFrame, visited: DataFrame | None, discovered: DataFrame, domain_counts: DataFrame,
               budgets: DataFrame | None, default_budget: int, hot_rows: int) -> DataFrame:
-    """What admission needs to know of each distinct URL: its first place, its copies, and
-    whether it is visited, discovered or in a domain over budget."""
+    """What admission needs to know of each distinct URL: its first place with depth and score,
+    its copies, and whether it is visited, discovered or in a domain over budget."""
+    carried = [c for c in ("depth", "score") if c in rows.columns]
     first = rows.where(F.col("url") != "").groupBy("url").agg(
-        F.min("seq").alias("_first"), F.count(F.lit(1)).alias("_copies"))
+        F.min("seq").alias("_first"), F.count(F.lit(1)).alias("_copies"),
+        *[F.min_by(c, "seq").alias(f"_{c}") for c in carried])
     first = is_member(first, discovered, "_discovered")
     if visited is None:
         first = first.withColumn("_visited", F.lit(False))
@@ -113,55 +117,86 @@ def url_facts(rows: DataFrame, visited: DataFrame | None, discovered: DataFrame,
     return joined.withColumn("_over", F.coalesce(F.col("_over"), F.lit(unknown))).drop("domain")
 
 
-def admission(candidates: DataFrame, visited: DataFrame | None, discovered: DataFrame,
-              domain_counts: DataFrame, budgets: DataFrame | None = None, queue_size: int = 0,
-              max_queue: int = O.CrawlOptions.max_frontier_queue_size,
-              default_budget: int = O.CrawlOptions.domain_max_requests_default, path: str | None = None,
-              width: int | None = None, hot_rows: int = spread.HOT_ROWS) -> DataFrame:
-    """Status of every candidate, as if the candidates were queued one by one in `seq` order.
+@dataclass(frozen=True)
+class Admission:
+    """Decision on a set of candidates: `added` of them take a place, the last one at `last`
+    (None if places are left over). `facts` has one row per distinct URL."""
+
+    rows: DataFrame
+    facts: DataFrame
+    added: int
+    last: int | None
+    most_copies: int
+    hot_rows: int
+
+    def statuses(self) -> DataFrame:
+        """Status of every candidate. Rows of a hot URL are spread in the join."""
+        table = self.facts.select("url", "_first", "_visited", "_discovered", "_over")
+        if self.most_copies > self.hot_rows:
+            hot = spread.hot_pieces(self.facts, "url", "_copies", self.hot_rows)
+            joined = spread.lookup_join(self.rows, table, "url", "seq", hot=hot)
+        else:
+            joined = self.rows.join(table, "url", "left")
+        late = F.lit(False) if self.last is None else F.col("seq") > self.last
+        first_fits = F.lit(True) if self.last is None else F.col("_first") <= self.last
+        copy = ~F.col("_over") & (F.col("seq") > F.col("_first"))
+        status = (
+            F.when(F.col("url") == "", "dropped")
+            .when(F.col("_visited"), "visited")
+            .when(F.col("_discovered"), "exists")
+            .when(copy & first_fits, "exists")
+            .when(late, "throttled")
+            .when(F.col("_over"), "domain_budget_exceeded")
+            .otherwise("added")
+        )
+        return joined.withColumn("status", status).drop("_first", "_visited", "_discovered", "_over")
+
+    def queue(self, priority: bool = True, round_no: int = 0) -> DataFrame:
+        """Queue rows of the admitted URLs, from the facts alone: candidates are not joined back."""
+        fits = F.lit(True) if self.last is None else F.col("_first") <= self.last
+        rows = self.facts.where(_eligible() & fits).select(
+            "url", F.col("_depth").alias("depth"), F.col("_score").alias("score"), F.col("_first").alias("seq"))
+        return queued(rows, priority, round_no)
+
+
+def _eligible() -> Column:
+    return ~F.col("_visited") & ~F.col("_discovered") & ~F.col("_over")
+
+
+def decide(candidates: DataFrame, visited: DataFrame | None, discovered: DataFrame,
+           domain_counts: DataFrame, budgets: DataFrame | None = None, queue_size: int = 0,
+           max_queue: int = O.CrawlOptions.max_frontier_queue_size,
+           default_budget: int = O.CrawlOptions.domain_max_requests_default, path: str | None = None,
+           width: int | None = None, hot_rows: int = spread.HOT_ROWS) -> Admission:
+    """Decide on all candidates as if they were queued one by one in `seq` order.
 
     `candidates` has a unique integer `seq`, `url`, and any other columns. Only the first
     copy of a new URL in a domain under budget takes a place, and the places run out at one
     point of the order: the `seq` of the last such copy that fits. So one selection over
-    distinct URLs and one join back decide all rows; nothing is numbered.
+    distinct URLs decides all rows; nothing is numbered.
 
     Facts per distinct URL are written once (to `path`, or a new folder), because the cut, the
     hot URLs and the rows all need them. `visited` may be None if it is part of `discovered`
     and the two statuses need not be told apart.
     """
-    spark = candidates.sparkSession
     rows = candidates.withColumn("url", urls.normalize_url(F.col("url")))
     facts = through_table(
         url_facts(rows, visited, discovered, domain_counts, budgets, default_budget, hot_rows),
-        path or workdir(spark, "admission"))
-    eligible = facts.where(~F.col("_visited") & ~F.col("_discovered") & ~F.col("_over"))
+        path or workdir(candidates.sparkSession, "admission"))
     room = max(max_queue - queue_size, 0)
-    sizes = facts.agg(F.count_if(~F.col("_visited") & ~F.col("_discovered") & ~F.col("_over")).alias("eligible"),
-                      F.coalesce(F.max("_copies"), F.lit(0)).alias("most")).first()
+    sizes = facts.agg(F.count_if(_eligible()).alias("eligible"), F.coalesce(F.max("_copies"), F.lit(0)).alias("most")).first()
     if not room:
         last = -(2**63)
     elif sizes.eligible <= room:
         last = None
     else:
-        last = spread.kth_smallest(eligible, "_first", room, width).first()[0]
-    late = F.lit(False) if last is None else F.col("seq") > last
-    first_fits = F.lit(True) if last is None else F.col("_first") <= last
-    copy = ~F.col("_over") & (F.col("seq") > F.col("_first"))
-    status = (
-        F.when(F.col("url") == "", "dropped")
-        .when(F.col("_visited"), "visited")
-        .when(F.col("_discovered"), "exists")
-        .when(copy & first_fits, "exists")
-        .when(late, "throttled")
-        .when(F.col("_over"), "domain_budget_exceeded")
-        .otherwise("added")
-    )
-    table = facts.drop("_copies")
-    if sizes.most > hot_rows:
-        joined = spread.lookup_join(rows, table, "url", "seq", hot=spread.hot_pieces(facts, "url", "_copies", hot_rows))
-    else:
-        joined = rows.join(table, "url", "left")
-    return joined.withColumn("status", status).drop("_first", "_visited", "_discovered", "_over")
+        last = spread.kth_smallest(facts.where(_eligible()), "_first", room, width).first()[0]
+    return Admission(rows, facts, min(room, sizes.eligible), last, sizes.most, hot_rows)
+
+
+def admission(*candidates_and_state, **limits) -> DataFrame:
+    """Status of every candidate; takes what `decide` takes."""
+    return decide(*candidates_and_state, **limits).statuses()
 
 
 def with_message(rows: DataFrame) -> DataFrame:
@@ -176,11 +211,11 @@ def enqueue_summary(statuses: DataFrame) -> DataFrame:
         F.count_if(F.col("status") != "added").alias("dropped"))
 
 
-def queued(statuses: DataFrame, priority: bool = True, round_no: int = 0) -> DataFrame:
-    """Queue rows of the admitted candidates: tier 0 by score, tier 1 in arrival order, which
-    is the round of the crawl and the place in it."""
+def queued(rows: DataFrame, priority: bool = True, round_no: int = 0) -> DataFrame:
+    """Queue rows of admitted URLs: tier 0 by score, tier 1 in arrival order, which is the round
+    of the crawl and the place in it. Expects `url, depth, score, seq`."""
     scored = F.col("score").isNotNull() if priority else F.lit(False)
-    return statuses.where(F.col("status") == "added").select(
+    return rows.select(
         "url", F.col("depth").cast("int").alias("depth"),
         F.when(scored, 0).otherwise(1).alias("tier"),
         F.when(scored, F.col("score")).alias("score"),

@@ -17,20 +17,24 @@ from pagelode.sources import index, url_batches
 
 @dataclass(frozen=True)
 class CrawlStep:
-    """What a round does. `found` are the pages read, `statuses` those of the offered links,
-    `acks` all rows of the batch."""
+    """What a round does. `found` are the pages read, `admission` the decision on the offered
+    links, `acks` all rows of the batch."""
 
     found: DataFrame
-    statuses: DataFrame
+    admission: frontier.Admission
     acks: DataFrame
 
+    def statuses(self) -> DataFrame:
+        """Status of every offered link, with the page it is on."""
+        return self.admission.statuses()
+
     def documents(self) -> DataFrame:
         """Pages to index, with all their links."""
         return self.found.drop("seq")
 
     def messages(self, published_at: Column, size: int = CrawlOptions.url_batch_size) -> DataFrame:
         """URL batches of all offered links, admitted or not, in the order they were offered."""
-        return url_batches.url_batches(self.statuses.select("seq", "url", "depth"), published_at, ["seq"], size)
+        return url_batches.url_batches(self.admission.rows.select("seq", "url", "depth"), published_at, ["seq"], size)
 
     def rejects(self) -> DataFrame:
         """Rejected links per reason, for pages that have any."""
@@ -81,10 +85,10 @@ def crawl_step(batch: DataFrame, store: DataFrame, visited: DataFrame | None, di
         (F.col("_page") * (cap + 1) + F.col("_pos") + 1).alias("seq"), "src", "url",
         (F.col("_depth") + 1).alias("depth"),
         urls.url_priority(F.col("url"), F.col("_depth"), options.article_bonus).alias("score"))
-    statuses = frontier.admission(
+    decision = frontier.decide(
         candidates, visited, discovered, domain_counts, budgets, queue_size,
         options.max_frontier_queue_size, options.domain_max_requests_default, f"{path}/facts")
-    return CrawlStep(found, statuses, acks.drop("seq", "links"))
+    return CrawlStep(found, decision, acks.drop("seq", "links"))
 
 
 class CrawlState:
@@ -183,12 +187,12 @@ def _begin(state: CrawlState, start: DataFrame, options: CrawlOptions, budgets:
     empty = no_rows(spark, state._QUEUE)
     no_counts = no_rows(spark, "domain string, n long")
     seeds = frontier.seeds(start, empty, empty, options.valid_domains)
-    statuses = frontier.admission(
+    decision = frontier.decide(
         seeds, None, none, no_counts, budgets, 0,
         options.max_frontier_queue_size, options.domain_max_requests_default, f"{state.folder(0)}/facts")
-    state.write(frontier.queued(statuses, options.priority_enabled), "added", 0)
+    state.write(decision.queue(options.priority_enabled), "added", 0)
     state.write(no_counts, "domains", 0)
-    return state.commit(0, 0, state.read("added", state._QUEUE, 0, 0).count(), 0, 0)
+    return state.commit(0, 0, decision.added, 0, 0)
 
 
 def _round(state: CrawlState, last, store: DataFrame, options: CrawlOptions, budgets: DataFrame | None,
@@ -208,9 +212,8 @@ def _round(state: CrawlState, last, store: DataFrame, options: CrawlOptions, bud
     # Whatever is visited was discovered before, so the discovered set alone keeps URLs out.
     step = crawl_step(batch, store, None, state.discovered(last.round), state.domains(last.round), budgets,
                       left_over, options, rules, state.folder(r))
-    state.write(frontier.queued(step.statuses, options.priority_enabled, r), "added", r)
+    state.write(step.admission.queue(options.priority_enabled, r), "added", r)
     counts = state.domains(last.round).unionByName(
         state.read("acks", state._ACKS, r, r).groupBy("domain").agg(F.count(F.lit(1)).alias("n")))
     state.write(counts.groupBy("domain").agg(F.sum("n").alias("n")), "domains", r)
-    added = state.read("added", state._QUEUE, r, r).count()
-    return state.commit(r, taken, added, left_over, last.pages_crawled + taken)
+    return state.commit(r, taken, step.admission.added, left_over, last.pages_crawled + taken)

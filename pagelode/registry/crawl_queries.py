@@ -76,7 +76,7 @@ def crawl_step(spark, sf_dir):
         "depth", F.length(urls.last_segment(F.col("url"))))
     none = spark.createDataFrame([], "url string")
     step = crawl.crawl_step(batch, store, none, batch.select("url"), spark.createDataFrame([], "domain string, n long"), options=_HERE)
-    return step.statuses.select("src", "url", "depth", "score", "status")
+    return step.statuses().select("src", "url", "depth", "score", "status")
 
 
 @query("crawl_bfs", _bfs_sql(1))

@@ -108,7 +108,7 @@ def test_step_reports(spark):
     none, counts = batch.limit(0).select("url"), spark.createDataFrame([], "domain string, n long")
     step = crawl.crawl_step(batch, store, none, none, counts)
     assert [(r.url, r.extension, r.low_quality_pages, r.accepted) for r in step.rejects().collect()] == [(ROOT.format("a", 1), 1, 1, 1)]
-    assert [(r.url, r.depth, r.score, r.status) for r in step.statuses.collect()] == [(ROOT.format("a", 2), 1, 1.0, "added")]
+    assert [(r.url, r.depth, r.score, r.status) for r in step.statuses().collect()] == [(ROOT.format("a", 2), 1, 1.0, "added")]
     assert step.documents().count() == 1
     assert [r.value for r in step.messages(F.lit("t")).collect()] == [
         '{"items":[{"url":"https://a.edu/page2","depth":1}],"batch_size":1,"published_at":"t"}']
