@@ -58,7 +58,7 @@ def main() -> None:
 
     def bfs():
         options = CrawlOptions(domain_max_requests_default=10**9)
-        state = crawl.crawl_bfs(wiki.drop("s"), D.wiki_seeds(wiki), workdir(spark, "crawl"), options)
+        state = crawl.crawl_bfs(wiki.drop("s"), D.wiki_seeds(wiki), workdir(spark, "crawl"), options, stored=True)
         rounds["n"] = state.last().round
 
     def registered(name):

@@ -319,7 +319,7 @@ def politeness_wait(rows: DataFrame, stats: DataFrame, now: Column,
 
 
 def politeness_gaps(accesses: DataFrame, delay_seconds: float = O.CrawlOptions.per_domain_delay_seconds,
-                    width_micros: int = 3_600_000_000) -> DataFrame:
+                    width_micros: int | None = None) -> DataFrame:
     """Seconds since the access before, per domain, and whether that is too soon.
 
     Expects `domain`, `ts` and a unique `event_id` to order equal times.

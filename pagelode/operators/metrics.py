@@ -57,7 +57,7 @@ def crawl_rate(acks: DataFrame, batch: Column) -> DataFrame:
         .drop("_from", "_to")
 
 
-def state_changes(events: DataFrame, width_micros: int = 86_400_000_000) -> DataFrame:
+def state_changes(events: DataFrame, width_micros: int | None = None) -> DataFrame:
     """Events that change a state, with the state before (null for a new URL)."""
     steps = events.withColumn("state", state_after(F.col("action"))).where(F.col("state").isNotNull()) \
         .withColumn("_at", F.col("ts").cast("timestamp"))
@@ -66,7 +66,7 @@ def state_changes(events: DataFrame, width_micros: int = 86_400_000_000) -> Data
 
 def monitor_ticks(events: DataFrame, seconds: int = 5,
                   max_queue: int = O.CrawlOptions.max_frontier_queue_size,
-                  width_micros: int = 86_400_000_000) -> DataFrame:
+                  width_micros: int | None = None) -> DataFrame:
     """Gauges and pressure at the end of every tick that saw a change.
 
     Each change adds one to its new state and takes one from the old; changes are summed per

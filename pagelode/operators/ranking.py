@@ -76,7 +76,8 @@ def fuzzy_terms(terms: DataFrame, vocab: DataFrame, small: bool = False) -> Data
         wide.select("qterm", edits.key_class(F.col("qlen")).alias("cls")), "qterm", True)
     # Distinct lengths of query terms: one short array.
     sizes = wide.agg(F.collect_set("qlen")).scalar()
-    words = vocab.select("term").distinct().withColumn("sizes", sizes).select(
+    # A term of both fields is offered twice; that is cheaper than a shuffle of the vocabulary.
+    words = vocab.select("term").withColumn("sizes", sizes).select(
         "term", F.explode(edits.reachable_classes(F.col("term"), F.col("sizes"))).alias("cls"))
     offered = edits.match_keys(words, "term", False)
     pairs = offered.join(give(asked), ["cls", "key"]).where(F.col("term") != F.col("qterm")) \

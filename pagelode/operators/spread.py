@@ -114,15 +114,16 @@ def kth_smallest(rows: DataFrame, column: str, k: int, width: int | None = None)
 
 
 def previous_value(rows: DataFrame, key: str, order: list[str], value: str, out: str,
-                   width_micros: int = 3_600_000_000) -> DataFrame:
+                   width_micros: int | None = None) -> DataFrame:
     """`value` of the row before, per key, in the order given; its first column is a timestamp.
 
     A hot key is spread over time buckets. Inside a bucket the row before is a plain `lag`;
     the first row of a bucket takes the last value of the nearest earlier bucket of its key,
     found on one summary row per key and bucket.
     """
-    bucket = F.floor(F.unix_micros(F.col(order[0]).cast("timestamp")) / width_micros)
-    bucketed = rows.withColumn("_bucket", bucket)
+    micros = F.unix_micros(F.col(order[0]).cast("timestamp"))
+    width = width_micros or even_width(rows.select(micros.alias("_t")), "_t")
+    bucketed = rows.withColumn("_bucket", F.floor(micros / width))
     cells = bucketed.groupBy(key, "_bucket").agg(
         F.max(F.struct(*[F.col(c) for c in order], F.col(value).alias("_v")))["_v"].alias("_last"))
     carried = cells.withColumn(

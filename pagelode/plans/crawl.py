@@ -161,17 +161,24 @@ def _budget_frame(spark: SparkSession, budgets: dict) -> DataFrame | None:
 
 def crawl_bfs(store: DataFrame, start: DataFrame, path: str, options: CrawlOptions = CrawlOptions(),
               batch_size: int | None = None, max_rounds: int | None = None,
-              rules: DataFrame | None = None) -> CrawlState:
+              rules: DataFrame | None = None, stored: bool = False) -> CrawlState:
     """Rounds of `crawl_step` until `max_pages` are visited or no work is left.
 
     `batch_size` reserves that many URLs per round; without it a round takes the whole queue,
     which is one level of the search. The page limit is checked between rounds, so the last
     round may go beyond it. Called again on the same path, it goes on where it stopped.
+    The URLs and links of the store are written first, because every round reads them, unless
+    `stored` says that the store is a table already.
     """
     spark = store.sparkSession
     state = CrawlState(spark, path)
     budgets = _budget_frame(spark, options.domain_budgets)
-    last = state.last() or _begin(state, start, options, budgets)
+    last = state.last()
+    if not stored:
+        if last is None:
+            store.select("url", "links").write.mode("overwrite").parquet(f"{path}/store")
+        store = spark.read.schema("url string, links array<string>").parquet(f"{path}/store")
+    last = last or _begin(state, start, options, budgets)
     rounds = 0
     while last.added + last.left_over and last.pages_crawled < options.max_pages:
         if max_rounds is not None and rounds >= max_rounds:

@@ -34,7 +34,7 @@ def stored_wiki(spark, sf_dir):
 def bfs(spark, sf_dir, options=CrawlOptions(max_depth=1, domain_max_requests_default=10**9), **more):
     store = stored_wiki(spark, sf_dir)
     path = workdir(spark, "crawl")
-    state = crawl.crawl_bfs(store.drop("s"), D.wiki_seeds(store), path, options, **more)
+    state = crawl.crawl_bfs(store.drop("s"), D.wiki_seeds(store), path, options, stored=True, **more)
     return store, path, state
 
 
@@ -94,7 +94,7 @@ def resume_state(spark, sf_dir):
     """The same crawl, stopped after one round and taken up again from its tables."""
     options = CrawlOptions(max_depth=1, domain_max_requests_default=10**9)
     store, path, _ = bfs(spark, sf_dir, options, max_rounds=1)
-    return visited(crawl.crawl_bfs(store.drop("s"), D.wiki_seeds(store), path, options))
+    return visited(crawl.crawl_bfs(store.drop("s"), D.wiki_seeds(store), path, options, stored=True))
 
 
 @query("page_budget", _bfs_sql(3, """, levels AS (SELECT depth, count(*) AS n FROM found GROUP BY depth),
