@@ -8,7 +8,6 @@ from pyspark.sql import Window as W
 
 from pagelode.functions import html, urls
 from pagelode.operators import links as link_ops
-from pagelode.operators import ranking
 from pagelode.plans import index_build
 from pagelode.registry.sql import DOMAINS
 from pagelode.session import workdir

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from pagelode import schemas
 from pagelode.functions import html, urls
 from pagelode.operators import links
-from pagelode.registry import derived as D
 from pagelode.registry import query
 from pagelode.registry import sql as S
 from pagelode.registry.frontier_queries import LOG_SQL

@@ -3,7 +3,6 @@ import random
 import re
 from collections import Counter
 
-from pyspark.sql import functions as F
 
 from pagelode.functions.edits import edit_distance
 from pagelode.operators import ranking

@@ -3,7 +3,6 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from pagelode.functions import urls
 from pagelode.operators import metrics
 from pagelode.session import workdir
 from pagelode.streaming import leases, streams
