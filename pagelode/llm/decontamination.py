@@ -194,7 +194,7 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, n: int = SHINGLE_WORDS,
     return docs
 
 
-_WORDS = "list_filter(string_split_regex(lower(regexp_replace(text, '[^\\p{L}\\p{N}]+', ' ', 'g')), ' +'), x -> x <> '')"
+_WORDS = "list_filter(string_split_regex(lower(regexp_replace(text, '[^\\p{L}\\p{N}]+', ' ', 'g')), ' +'), lambda x: x <> '')"
 SQL = f"""
 WITH items AS (
   SELECT item_id, row_number() OVER () AS r, {_WORDS} AS w FROM benchmark),
