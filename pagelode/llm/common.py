@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pagelode.session import workdir
 
@@ -54,3 +55,8 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", chars: int =
             held += size
         if batch.num_rows > start:
             yield batch.slice(start)
+
+
+def with_fields(df: DataFrame, **kinds: str) -> T.StructType:
+    """The schema of df and more columns behind it."""
+    return T.StructType([*df.schema.fields, *(T.StructField(n, T.DataType.fromDDL(k)) for n, k in kinds.items())])

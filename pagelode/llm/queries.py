@@ -6,7 +6,7 @@ import importlib
 
 from pagelode.llm.common import ORACLES, QUERIES
 
-MODULES = ("chat", "decontamination", "packing", "rules", "simhash", "attribution", "fixity", "slots")
+MODULES = ("chat", "quality", "decontamination", "packing", "rules", "simhash", "attribution", "fixity", "language", "slots")
 
 for _module in MODULES:
     importlib.import_module(f"pagelode.llm.{_module}")

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagelode.llm.common import query, stored, table
+from pagelode.llm.common import query, stored, table, with_fields
 from pagelode.operators.spread import lookup_join
 
 SHINGLE_WORDS = 3
@@ -74,15 +74,15 @@ def fingerprint(hashes: np.ndarray) -> int:
 
 
 def fingerprints(docs: DataFrame, n: int = SHINGLE_WORDS) -> DataFrame:
-    """doc_id and its fingerprint as a signed long."""
+    """All columns of docs but text, and behind them `mark`, the text's fingerprint as a signed long."""
+    kept = [c for c in docs.columns if c != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             marks = [fingerprint(shingle_hashes(text.as_py(), n)) for text in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(marks, pa.int64())], names=["doc_id", "mark"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(marks, pa.int64())], names=[*kept, "mark"])
 
-    narrow = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return narrow.mapInArrow(run, "doc_id long, mark long")
+    return docs.mapInArrow(run, with_fields(docs.select(*kept), mark="long"))
 
 
 def anchors_of(half: np.ndarray) -> np.ndarray:
@@ -246,19 +246,50 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     raise RuntimeError(f"components did not settle in {rounds} rounds")
 
 
-def near_duplicates(docs: DataFrame, n: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits) and component_id, a row per row of docs."""
-    marks = stored(fingerprints(docs, n), "fingerprints")
+def roots_of_marks(marks: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """mark, the root mark of its component, and the least doc_id that has it, a row per distinct mark."""
     distinct = stored(marks.groupBy("mark").agg(F.min("doc_id").alias("least_id")), "marks")
     roots = components(fingerprint_links(distinct, max_bits))
-    linked = distinct.join(roots, distinct["mark"] == roots["node"], "left").select(
-        "mark", "least_id", F.coalesce("root", "mark").alias("root"))
-    ids = linked.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    of_mark = stored(lookup_join(stored(linked.select("mark", "root"), "roots"), ids, "root", "mark").select("mark", "component_id"), "classes")
+    return stored(
+        distinct.join(roots, distinct["mark"] == roots["node"], "left")
+        .select("mark", "least_id", F.coalesce("root", "mark").alias("root")), "roots")
+
+
+def near_duplicates(docs: DataFrame, n: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
+    """doc_id, fingerprint (16 hex digits) and component_id, a row per row of docs."""
+    narrow = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    marks = stored(fingerprints(narrow, n), "fingerprints")
+    roots = roots_of_marks(marks, max_bits)
+    ids = roots.groupBy("root").agg(F.min("least_id").alias("component_id"))
+    of_mark = stored(lookup_join(roots.select("mark", "root"), ids, "root", "mark").select("mark", "component_id"), "classes")
     return lookup_join(marks, of_mark, "mark", "doc_id").select(
         "doc_id", F.lower(F.lpad(F.hex("mark"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def one_of_each(docs: DataFrame, n: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
+    """One row per component of near duplicates, with all columns: that of the least doc_id (a row
+    without one only where the component has no other), the least hash of the text among its rows."""
+    key = F.xxhash64(F.col("text").cast("string"))
+    narrow = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), key.alias("key"))
+    marks = stored(fingerprints(narrow, n), "fingerprints")
+    rows = marks.groupBy("mark", "doc_id", "key").agg(F.count(F.lit(1)).alias("copies"))
+    firsts = rows.groupBy("mark").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key", "copies")).alias("first"))
+    kept = stored(
+        firsts.join(roots_of_marks(marks, max_bits), "mark").groupBy("root").agg(F.min("first").alias("first"))
+        .select(F.col("first.doc_id").alias("_id"), F.col("first.key").alias("_key"), F.col("first.copies").alias("_copies")), "kept")
+
+    def held(wanted: DataFrame) -> DataFrame:
+        same = F.col("doc_id").cast("long").eqNullSafe(wanted["_id"]) & (key == wanted["_key"])
+        return docs.join(wanted, same, "left_semi")
+
+    single = held(kept.where("_copies = 1"))
+    repeated = kept.where("_copies > 1")
+    if repeated.isEmpty():
+        return single
+    again = held(repeated).withColumn("_key", key)
+    return single.unionByName(again.dropDuplicates(["doc_id", "_key"]).drop("_key"))
+
+
 @query("op6_simhash")
 def op6(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"))
