@@ -154,8 +154,11 @@ class Admission:
     def queue(self, priority: bool = True, round_no: int = 0) -> DataFrame:
         """Queue rows of the admitted URLs, from the facts alone: candidates are not joined back."""
         fits = F.lit(True) if self.last is None else F.col("_first") <= self.last
+        # Candidates may come without a depth or a score: depth 0, and the tier without priority.
+        depth = F.col("_depth") if "_depth" in self.facts.columns else F.lit(0)
+        score = F.col("_score") if "_score" in self.facts.columns else F.lit(None).cast("double")
         rows = self.facts.where(_eligible() & fits).select(
-            "url", F.col("_depth").alias("depth"), F.col("_score").alias("score"), F.col("_first").alias("seq"))
+            "url", depth.alias("depth"), score.alias("score"), F.col("_first").alias("seq"))
         return queued(rows, priority, round_no)
 
 
@@ -167,7 +170,7 @@ def decide(candidates: DataFrame, visited: DataFrame | None, discovered: DataFra
            domain_counts: DataFrame, budgets: DataFrame | None = None, queue_size: int = 0,
            max_queue: int = O.CrawlOptions.max_frontier_queue_size,
            default_budget: int = O.CrawlOptions.domain_max_requests_default, path: str | None = None,
-           width: int | None = None, hot_rows: int = spread.HOT_ROWS) -> Admission:
+           target: int = spread.BUCKET_ROWS, hot_rows: int = spread.HOT_ROWS) -> Admission:
     """Decide on all candidates as if they were queued one by one in `seq` order.
 
     `candidates` has a unique integer `seq`, `url`, and any other columns. Only the first
@@ -190,7 +193,7 @@ def decide(candidates: DataFrame, visited: DataFrame | None, discovered: DataFra
     elif sizes.eligible <= room:
         last = None
     else:
-        last = spread.kth_smallest(facts.where(_eligible()), "_first", room, width).first()[0]
+        last = spread.kth_smallest(facts.where(_eligible()), "_first", room, target).first()[0]
     return Admission(rows, facts, min(room, sizes.eligible), last, sizes.most, hot_rows)
 
 
@@ -255,11 +258,22 @@ def encode_payload(url: Column, depth: Column) -> Column:
 
 
 def decode_payload(payload: Column) -> Column:
-    """Struct of url and depth; a malformed payload is ('', 0)."""
-    parsed = F.from_json(payload, schemas.PAYLOAD)
+    """Struct of url and depth; a malformed payload is ('', 0), and so is one whose depth is no number.
+
+    A depth may be a number (cut to an integer), an integer as text, or missing, which is 0.
+    """
+    parsed = F.try_parse_json(payload)
+    given = F.try_variant_get(parsed, "$.depth", "variant")
+    kind, words = F.schema_of_variant(given), F.trim(F.try_variant_get(parsed, "$.depth", "string"))
+    depth = (
+        F.when(given.isNull(), 0)
+        .when(kind == "STRING", F.when(words.rlike("^[+-]?[0-9]+$"), words.try_cast("int")))
+        .when(kind == "BOOLEAN", (words == "true").cast("int"))
+        .otherwise(words.try_cast("double").try_cast("int")))
+    good = depth.isNotNull()
     return F.struct(
-        urls.normalize_url(parsed["url"]).alias("url"),
-        F.coalesce(parsed["depth"], F.lit(0)).alias("depth"))
+        F.when(good, urls.normalize_url(F.try_variant_get(parsed, "$.url", "string"))).otherwise("").alias("url"),
+        F.coalesce(depth, F.lit(0)).alias("depth"))
 
 
 def acknowledged(visited: DataFrame, inflight: DataFrame, acks: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -319,13 +333,13 @@ def politeness_wait(rows: DataFrame, stats: DataFrame, now: Column,
 
 
 def politeness_gaps(accesses: DataFrame, delay_seconds: float = O.CrawlOptions.per_domain_delay_seconds,
-                    width_micros: int | None = None) -> DataFrame:
+                    target: int = spread.BUCKET_ROWS) -> DataFrame:
     """Seconds since the access before, per domain, and whether that is too soon.
 
     Expects `domain`, `ts` and a unique `event_id` to order equal times.
     """
     rows = accesses.withColumn("_ts", F.col("ts").cast("timestamp"))
-    gaps = spread.previous_value(rows, "domain", ["_ts", "event_id"], "_ts", "_prev", width_micros)
+    gaps = spread.previous_value(rows, "domain", ["_ts", "event_id"], "_ts", "_prev", target)
     gap = (F.unix_micros("_ts") - F.unix_micros("_prev")) / F.lit(1e6)
     return gaps.withColumn("gap_seconds", gap).withColumn(
         "too_soon", F.coalesce(gap < float(delay_seconds), F.lit(False))).drop("_ts", "_prev")

@@ -57,22 +57,22 @@ def crawl_rate(acks: DataFrame, batch: Column) -> DataFrame:
         .drop("_from", "_to")
 
 
-def state_changes(events: DataFrame, width_micros: int | None = None) -> DataFrame:
+def state_changes(events: DataFrame, target: int = spread.BUCKET_ROWS) -> DataFrame:
     """Events that change a state, with the state before (null for a new URL)."""
     steps = events.withColumn("state", state_after(F.col("action"))).where(F.col("state").isNotNull()) \
         .withColumn("_at", F.col("ts").cast("timestamp"))
-    return spread.previous_value(steps, "url", ["_at", "event_id"], "state", "before", width_micros)
+    return spread.previous_value(steps, "url", ["_at", "event_id"], "state", "before", target)
 
 
 def monitor_ticks(events: DataFrame, seconds: int = 5,
                   max_queue: int = O.CrawlOptions.max_frontier_queue_size,
-                  width_micros: int | None = None) -> DataFrame:
+                  target: int = spread.BUCKET_ROWS) -> DataFrame:
     """Gauges and pressure at the end of every tick that saw a change.
 
     Each change adds one to its new state and takes one from the old; changes are summed per
     tick, and the running sum goes over ticks only, in two steps.
     """
-    changes = state_changes(events, width_micros)
+    changes = state_changes(events, target)
     tick = F.floor(F.unix_seconds("_at") / seconds)
     net = [
         F.sum((F.col("state") == s).cast("long") - F.coalesce((F.col("before") == s).cast("long"), F.lit(0)))

@@ -1,6 +1,6 @@
 """Building blocks for order and for hot keys, without a task that holds a whole group.
 
-Order is worked out in buckets of a fixed width in the order column: a bucket is one task's
+Order is worked out in buckets of the order column, cut where the rows are: a bucket is one task's
 share, and only one row per bucket takes part in the running sum over buckets.
 """
 
@@ -10,9 +10,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from pagelode.session import through_table, workdir
+
 BUCKET_ROWS = 1_000_000
 HOT_ROWS = 2_000_000
-# Rows of a key and a few numbers that may be broadcast: some ten MB at most.
+# Rows of a key of up to a few hundred bytes and a few numbers that may be broadcast: some ten MB.
 SMALL_ROWS = 100_000
 
 
@@ -24,10 +26,11 @@ def is_small(rows: DataFrame, bound: int = SMALL_ROWS) -> bool:
 def hot_pieces(counts: DataFrame, key: str, count: str, hot_rows: int) -> DataFrame:
     """Keys with more than `hot_rows` rows and the number of pieces to cut each into.
 
-    There are at most `rows / hot_rows` of them, so the list is safe to broadcast.
+    At most the `SMALL_ROWS` hottest keys, whatever the number of rows, so the list may be
+    broadcast. A key beyond them is joined uncut, like one below the bound.
     """
-    return counts.where(F.col(count) > hot_rows).select(
-        F.col(key), F.ceil(F.col(count) / hot_rows).cast("int").alias("_pieces"))
+    hot = counts.where(F.col(count) > hot_rows).orderBy(F.col(count).desc(), key).limit(SMALL_ROWS)
+    return hot.select(F.col(key), F.ceil(F.col(count) / hot_rows).cast("int").alias("_pieces"))
 
 
 def lookup_join(rows: DataFrame, table: DataFrame, key: str, spread_by: Column | str,
@@ -49,16 +52,16 @@ def lookup_join(rows: DataFrame, table: DataFrame, key: str, spread_by: Column |
     return left.join(right, [key, "_piece"], how).drop("_piece")
 
 
-def bucket_offsets(counts: DataFrame, bucket: str, values: dict[str, str]) -> DataFrame:
+def bucket_offsets(counts: DataFrame, bucket: str, values: dict[str, str], run_width: int = 10_000) -> DataFrame:
     """Sums over all earlier buckets, for a frame with one row per bucket. `values` maps each
     column to the name of its sum; other columns are kept.
 
-    Two steps: inside runs of 10,000 buckets, then over the runs, so the one task at the end
-    sees one row per 10,000 buckets.
+    Two steps: inside runs of neighbouring buckets (`run_width` bucket numbers), then over the runs,
+    so the one task at the end sees one row per run.
     """
     inside = W.partitionBy("_run").orderBy(bucket).rowsBetween(W.unboundedPreceding, -1)
     over_runs = W.orderBy("_run").rowsBetween(W.unboundedPreceding, -1)
-    in_runs = counts.withColumn("_run", F.floor(F.col(bucket) / 10_000))
+    in_runs = counts.withColumn("_run", F.floor(F.col(bucket) / run_width))
     runs = in_runs.groupBy("_run").agg(*[F.sum(v).alias(f"_t{v}") for v in values]).select(
         "_run", *[F.coalesce(F.sum(f"_t{v}").over(over_runs), F.lit(0)).alias(f"_r{v}") for v in values])
     sums = [
@@ -67,22 +70,54 @@ def bucket_offsets(counts: DataFrame, bucket: str, values: dict[str, str]) -> Da
     return in_runs.join(runs, "_run").select(*counts.columns, *sums)
 
 
-def even_width(rows: DataFrame, column: str, target: int = BUCKET_ROWS) -> int:
-    """Bucket width at which an integer column has about `target` rows per bucket."""
-    span = rows.agg(F.min(column).alias("a"), F.max(column).alias("b"), F.count(column).alias("n")).first()
-    return max(1, (span.b - span.a + 1) * target // span.n) if span.n else 1
-
+def order_buckets(rows: DataFrame, column: str, target: int = BUCKET_ROWS) -> tuple[DataFrame, int]:
+    """Adds `_bucket`, a number that rises with an integer column, and returns the width of the
+    first cut (for `bucket_offsets`).
 
-def numbered(rows: DataFrame, order: list[str], out: str = "seq", width: int | None = None) -> DataFrame:
+    Buckets are cut where the rows are: the whole span into even parts first, and then every part
+    with more than `target` rows again, between its own smallest and largest value, until none
+    is left but those of a single value. So an outlier or a sparse id costs one more cut, not a
+    bucket with everything. A cut counts the rows of the parts it divided; nulls come first.
+    """
+    spark = rows.sparkSession
+    span = rows.agg(F.min(column).alias("a"), F.max(column).alias("b"), F.count(F.lit(1)).alias("n")).first()
+    if span.a is None or span.n <= target:
+        return rows.withColumn("_bucket", F.lit(0).cast("long")), 1
+    value = F.coalesce(F.col(column).cast("long"), F.lit(span.a))
+    parts = 2 * -(-span.n // target)
+    width = -(-(span.b - span.a + 1) // parts)
+    # Numbers start at 0 for the smallest value, so that runs of buckets are of equal length.
+    place = value - F.lit(span.a)
+    out = rows.withColumn("_bucket", (F.floor(place / width) * width).cast("long"))
+    counted = out
+    for _ in range(64):  # each cut at least halves a span of 64 bits
+        sizes = counted.groupBy("_bucket").agg(
+            F.min(place).alias("_low"), F.max(place).alias("_high"), F.count(F.lit(1)).alias("_n"))
+        cut = F.ceil((F.col("_high") - F.col("_low") + 1) / (2 * F.ceil(F.col("_n") / target))).cast("long")
+        large = through_table(
+            sizes.where((F.col("_n") > target) & (F.col("_high") > F.col("_low"))).select("_bucket", "_low", cut.alias("_cut")),
+            workdir(spark, "cuts"))
+        if large.isEmpty():
+            break
+        # One row per oversized bucket: broadcast within the bound, which is checked.
+        side = F.broadcast(large) if is_small(large) else large
+        moved = F.col("_low") + F.floor((place - F.col("_low")) / F.col("_cut")) * F.col("_cut")
+        joined = out.join(side, "_bucket", "left").withColumn(
+            "_bucket", F.when(F.col("_low").isNull(), F.col("_bucket")).otherwise(moved).cast("long"))
+        out = joined.select(*rows.columns, "_bucket")
+        counted = joined.where(F.col("_low").isNotNull()).select(*rows.columns, "_bucket")
+    return out, width
+
+
+def numbered(rows: DataFrame, order: list[str], out: str = "seq", target: int = BUCKET_ROWS) -> DataFrame:
     """Dense numbers from 1 in the order given. The first order column is an integer; a value
     of it holds a bounded number of rows (it is a row id, or a page id with its links).
 
     The rows are read more than once, so what is costly to make should be stored before.
     """
-    width = width or even_width(rows, order[0])
-    bucketed = rows.withColumn("_bucket", F.floor(F.col(order[0]) / width))
+    bucketed, width = order_buckets(rows, order[0], target)
     counts = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = bucket_offsets(counts, "_bucket", {"_n": "_offset"}).drop("_n")
+    offsets = bucket_offsets(counts, "_bucket", {"_n": "_offset"}, 10_000 * width).drop("_n")
     place = F.row_number().over(W.partitionBy("_bucket").orderBy(*order))
     return (
         bucketed.join(offsets, "_bucket")
@@ -91,22 +126,18 @@ def numbered(rows: DataFrame, order: list[str], out: str = "seq", width: int | N
     )
 
 
-def kth_smallest(rows: DataFrame, column: str, k: int, width: int | None = None) -> DataFrame:
+def kth_smallest(rows: DataFrame, column: str, k: int, target: int = BUCKET_ROWS) -> DataFrame:
     """One row, one column: the k-th smallest value of a unique integer column, null if there
     are fewer. Counts per bucket find the bucket, and only that bucket is sorted."""
-    width = width or even_width(rows, column)
-    counts = (
-        rows.groupBy(F.floor(F.col(column) / width).alias("_bucket"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
+    bucketed, width = order_buckets(rows.select(column), column, target)
+    counts = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
     chosen = (
-        bucket_offsets(counts, "_bucket", {"_n": "_offset"})
+        bucket_offsets(counts, "_bucket", {"_n": "_offset"}, 10_000 * width)
         .where((F.col("_offset") < k) & (F.col("_offset") + F.col("_n") >= k))
         .select("_bucket", "_offset")
     )
     inside = (
-        rows.select(column, F.floor(F.col(column) / width).alias("_bucket"))
-        .join(F.broadcast(chosen), "_bucket")  # one row at most
+        bucketed.join(F.broadcast(chosen), "_bucket")  # one row at most
         .withColumn("_place", F.row_number().over(W.partitionBy("_bucket").orderBy(column)))
         .where(F.col("_offset") + F.col("_place") == k)
     )
@@ -114,16 +145,15 @@ def kth_smallest(rows: DataFrame, column: str, k: int, width: int | None = None)
 
 
 def previous_value(rows: DataFrame, key: str, order: list[str], value: str, out: str,
-                   width_micros: int | None = None) -> DataFrame:
+                   target: int = BUCKET_ROWS) -> DataFrame:
     """`value` of the row before, per key, in the order given; its first column is a timestamp.
 
     A hot key is spread over time buckets. Inside a bucket the row before is a plain `lag`;
     the first row of a bucket takes the last value of the nearest earlier bucket of its key,
     found on one summary row per key and bucket.
     """
-    micros = F.unix_micros(F.col(order[0]).cast("timestamp"))
-    width = width_micros or even_width(rows.select(micros.alias("_t")), "_t")
-    bucketed = rows.withColumn("_bucket", F.floor(micros / width))
+    timed = rows.withColumn("_micros", F.unix_micros(F.col(order[0]).cast("timestamp")))
+    bucketed, _ = order_buckets(timed, "_micros", target)
     cells = bucketed.groupBy(key, "_bucket").agg(
         F.max(F.struct(*[F.col(c) for c in order], F.col(value).alias("_v")))["_v"].alias("_last"))
     carried = cells.withColumn(
@@ -135,5 +165,5 @@ def previous_value(rows: DataFrame, key: str, order: list[str], value: str, out:
         .withColumn("_first", F.row_number().over(inside) == 1)
         .join(carried, [key, "_bucket"])
         .withColumn(out, F.when(F.col("_first"), F.col("_carried")).otherwise(F.col("_lag")))
-        .drop("_bucket", "_lag", "_first", "_carried")
+        .drop("_bucket", "_lag", "_first", "_carried", "_micros")
     )

@@ -15,23 +15,38 @@ from pagelode.session import through_table, workdir
 
 _HERE = CrawlOptions(valid_domains=S.DOMAINS)
 
-_BFS_SQL = f"""WITH RECURSIVE {S.WIKI}, r(url, depth) AS (
-  SELECT url, 0 FROM wiki_seeds UNION
-  SELECT l.link, r.depth + 1 FROM r JOIN wiki_links l ON l.url = r.url WHERE r.depth <= {{max_depth}}),
-found AS (SELECT url, min(depth) AS depth FROM r GROUP BY url)"""
-_BFS_OUT = """ SELECT url, depth::INTEGER AS depth, 'en.wikipedia.org' AS domain,
-  depth <= {max_depth} AND url IN (SELECT url FROM wiki_links) AS fetched FROM found"""
+_NO_LIMIT = 10**9
 
 
-def _bfs_sql(max_depth: int, out: str = _BFS_OUT) -> str:
-    return (_BFS_SQL + out).replace("{max_depth}", str(max_depth))
+def _levels_sql(options: CrawlOptions) -> str:
+    """The crawl level by level. Offered links are in the order of their pages and places; the queue
+    takes as many as it may, nothing goes in once the domain's pages read before the round are
+    as many as its budget."""
+    parts = [S.WIKI, """offers AS (SELECT url, link, pos FROM wiki_links WHERE pos <= 50),
+level_0 AS (SELECT url, row_number() OVER (ORDER BY s) AS place FROM wiki_seeds)"""]
+    for d in range(options.max_depth + 1):
+        known = " UNION ALL ".join(f"SELECT url FROM level_{k}" for k in range(d + 1))
+        before = " + ".join(["0", *(f"(SELECT count(*) FROM level_{k})" for k in range(d))])
+        parts.append(f"""level_{d + 1} AS (
+  SELECT url, row_number() OVER (ORDER BY {S.payload_key('url', str(d + 1))}) AS place FROM (
+    SELECT link AS url, min((place, pos)) AS first FROM level_{d} JOIN offers USING (url)
+    WHERE link NOT IN ({known}) AND {before} < {options.domain_max_requests_default}
+    GROUP BY link ORDER BY first LIMIT {options.max_frontier_queue_size}))""")
+    found = " UNION ALL ".join(f"SELECT url, {d} AS depth FROM level_{d}" for d in range(options.max_depth + 2))
+    return f"WITH {', '.join(parts)}, found AS ({found})"
+
+
+def _bfs_sql(options: CrawlOptions = CrawlOptions(), out: str = """
+SELECT url, depth::INTEGER AS depth, 'en.wikipedia.org' AS domain,
+  depth <= {max_depth} AND url IN (SELECT url FROM wiki_links) AS fetched FROM found""") -> str:
+    return _levels_sql(options) + out.replace("{max_depth}", str(options.max_depth))
 
 
 def stored_wiki(spark, sf_dir):
     return through_table(D.wiki_store(spark, sf_dir), workdir(spark, "store"))
 
 
-def bfs(spark, sf_dir, options=CrawlOptions(max_depth=1, domain_max_requests_default=10**9), **more):
+def bfs(spark, sf_dir, options=CrawlOptions(), **more):
     store = stored_wiki(spark, sf_dir)
     path = workdir(spark, "crawl")
     state = crawl.crawl_bfs(store.drop("s"), D.wiki_seeds(store), path, options, stored=True, **more)
@@ -69,7 +84,7 @@ SELECT src, u AS url, (d + 1)::INTEGER AS depth, (d + 1)::DOUBLE AS score,
   CASE WHEN known THEN 'exists' WHEN seq = first_seq THEN 'added' ELSE 'exists' END AS status FROM facts""")
 def crawl_step(spark, sf_dir):
     """One round over all pages, as deep as their last segment is long; all pages are discovered."""
-    pages = D.pages(spark, sf_dir, True)
+    pages = D.pages(spark, sf_dir)
     store = crawl.parsed_store(pages, _HERE)
     batch = pages.select(F.col("page_id"), urls.normalize_url(F.col("url")).alias("url")).groupBy("url").agg(
         F.max("page_id").alias("seq")).withColumn(
@@ -79,34 +94,44 @@ def crawl_step(spark, sf_dir):
     return step.statuses().select("src", "url", "depth", "score", "status")
 
 
-@query("crawl_bfs", _bfs_sql(1))
+@query("crawl_bfs", _bfs_sql())
 def crawl_bfs(spark, sf_dir):
     return visited(bfs(spark, sf_dir)[2])
 
 
-@query("crawl_bfs_deep", _bfs_sql(3))
+_WIDE = CrawlOptions(domain_max_requests_default=_NO_LIMIT)
+# Both bind at any size of the tables: the queue in the second round, the budget in the last.
+_NARROW = CrawlOptions(max_depth=4, max_frontier_queue_size=40, domain_max_requests_default=80)
+
+
+@query("crawl_bfs_deep", _bfs_sql(_WIDE))
 def crawl_bfs_deep(spark, sf_dir):
-    return visited(bfs(spark, sf_dir, CrawlOptions(domain_max_requests_default=10**9))[2])
+    return visited(bfs(spark, sf_dir, _WIDE)[2])
+
+
+@query("crawl_bfs_limits", _bfs_sql(_NARROW))
+def crawl_bfs_limits(spark, sf_dir):
+    """A queue and a domain budget that are used up on the way."""
+    return visited(bfs(spark, sf_dir, _NARROW)[2])
 
 
-@query("resume_state", _bfs_sql(1))
+@query("resume_state", _bfs_sql())
 def resume_state(spark, sf_dir):
     """The same crawl, stopped after one round and taken up again from its tables."""
-    options = CrawlOptions(max_depth=1, domain_max_requests_default=10**9)
-    store, path, _ = bfs(spark, sf_dir, options, max_rounds=1)
-    return visited(crawl.crawl_bfs(store.drop("s"), D.wiki_seeds(store), path, options, stored=True))
+    store, path, _ = bfs(spark, sf_dir, max_rounds=1)
+    return visited(crawl.crawl_bfs(store.drop("s"), D.wiki_seeds(store), path, CrawlOptions(), stored=True))
 
 
-@query("page_budget", _bfs_sql(3, """, levels AS (SELECT depth, count(*) AS n FROM found GROUP BY depth),
+@query("page_budget", _bfs_sql(CrawlOptions(), """, levels AS (SELECT depth, count(*) AS n FROM found GROUP BY depth),
 upto AS (SELECT depth, coalesce(sum(n) OVER (ORDER BY depth ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM levels)
 SELECT depth::INTEGER AS depth, count(*) AS n FROM found JOIN upto USING (depth) WHERE before < 100 GROUP BY depth"""))
 def page_budget(spark, sf_dir):
     """Stop at 100 visited pages; the round that gets there is finished."""
-    state = bfs(spark, sf_dir, CrawlOptions(max_pages=100, domain_max_requests_default=10**9))[2]
+    state = bfs(spark, sf_dir, CrawlOptions(max_pages=100))[2]
     return visited(state).groupBy("depth").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("crawl_progress", _bfs_sql(1, """, levels AS (SELECT depth, count(*) AS n FROM found GROUP BY depth)
+@query("crawl_progress", _bfs_sql(CrawlOptions(), """, levels AS (SELECT depth, count(*) AS n FROM found GROUP BY depth)
 SELECT (depth + 1)::INTEGER AS round, n AS batch_size, (sum(n) OVER (ORDER BY depth))::BIGINT AS pages_crawled FROM levels"""))
 def crawl_progress(spark, sf_dir):
     state = bfs(spark, sf_dir)[2]

@@ -20,12 +20,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def pages(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
-    return read_pages(spark, f"{sf_dir}/pages.parquet", spread)
+def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_pages(spark, f"{sf_dir}/pages.parquet")
 
 
 def docs(spark: SparkSession, sf_dir: str, want=("title", "content", "links")) -> DataFrame:
-    return html.parse_pages(pages(spark, sf_dir, True), DOMAINS, want=want)
+    return html.parse_pages(pages(spark, sf_dir), DOMAINS, want=want)
 
 
 def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,13 +39,13 @@ def wiki_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     two = lines.select("l_orderkey", F.col("l_partkey").alias("d"), F.col("l_linenumber").alias("n"))
     edges = one.join(two, ["l_orderkey", "n"]).where(F.col("s") != F.col("d")).select("s", "d").distinct()
     place = F.row_number().over(W.partitionBy("s").orderBy("d"))
-    return edges.withColumn("pos", place).where(F.col("pos") <= 50).select(
+    return edges.withColumn("pos", place).select(
         "s", F.concat(F.lit(WIKI_ROOT), "s").alias("url"), F.concat(F.lit(WIKI_ROOT), "d").alias("link"), "pos")
 
 
 def wiki_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = wiki_links(spark, sf_dir).groupBy("s", "url").agg(
-        F.array_sort(F.collect_list(F.struct("pos", "link"))).alias("_l"))  # 50 at most
+        F.array_sort(F.collect_list(F.struct("pos", "link"))).alias("_l"))  # links of one page
     return packed.select("s", "url", F.transform("_l", lambda x: x["link"]).alias("links"))
 
 

@@ -64,7 +64,7 @@ def statuses(spark, sf_dir):
     rows = candidates(spark, sf_dir)
     return frontier.admission(
         rows, short(rows, 2), short(rows, 3), page_domains(spark, sf_dir), queue_size=100, max_queue=400,
-        default_budget=5, width=1000)
+        default_budget=5)
 
 
 @query("seed_scan", f"""SELECT page_id AS seq, {S.clean('url')} AS url, 0 AS depth, CAST(NULL AS DOUBLE) AS score
@@ -126,6 +126,16 @@ def admission(spark, sf_dir):
     return statuses(spark, sf_dir).select("seq", "url", "depth", "status")
 
 
+@query("admission_bare", f"""WITH {_STATUS_SQL} SELECT url, 0 AS depth, 1 AS tier, CAST(NULL AS DOUBLE) AS score, seq
+FROM status WHERE status = 'added'""")
+def admission_bare(spark, sf_dir):
+    """Candidates that are URLs alone: queued at depth 0, behind all that have a score."""
+    rows = candidates(spark, sf_dir).select("seq", "url")
+    return frontier.decide(
+        rows, short(rows, 2), short(rows, 3), page_domains(spark, sf_dir), queue_size=100, max_queue=400,
+        default_budget=5).queue().drop("round")
+
+
 @query("enqueue_summary", f"""WITH {_STATUS_SQL} SELECT count(*) FILTER (WHERE status = 'added') AS added,
 count(*) FILTER (WHERE status <> 'added') AS dropped FROM status""")
 def enqueue_summary(spark, sf_dir):
@@ -188,7 +198,8 @@ seen AS (SELECT DISTINCT url FROM log WHERE action = 'acknowledge')"""
 
 
 def held(spark, sf_dir):
-    """Latest lease per URL. One user's payloads are broken, another user's lease data are."""
+    """Latest lease per URL. One user's payloads are broken, another's have a depth that is no number,
+    a third's have it as text; one user's lease data are broken."""
     log = D.lease_events(spark, sf_dir, per_user=True)
     last = log.where(F.col("action") == "reserve").groupBy("url").agg(
         F.max("ts").alias("ts"), F.first("k").alias("k"), F.first("user_id").alias("user_id"))
@@ -196,7 +207,10 @@ def held(spark, sf_dir):
     at = F.unix_micros(F.col("ts").cast("timestamp")) / 1e6
     meta = frontier.lease_meta(F.col("user_id"), at, F.lit(300))
     return log, last.select(
-        "url", F.when(F.col("user_id") == 7, F.concat(F.lit("{"), payload)).otherwise(payload).alias("payload"),
+        "url", F.when(F.col("user_id") == 7, F.concat(F.lit("{"), payload))
+        .when(F.col("user_id") == 11, F.regexp_replace(payload, '"depth":.*', '"depth":"deep"}'))
+        .when(F.col("user_id") == 13, F.regexp_replace(payload, '"depth":([0-9]+)', '"depth":"$1"'))
+        .otherwise(payload).alias("payload"),
         F.when(F.col("user_id") == 9, F.lit("??")).otherwise(meta).alias("meta"))
 
 
@@ -205,8 +219,8 @@ def seen_urls(log):
 
 
 @query("requeue_stale", f"""WITH {_LEASE_SQL} SELECT 'queued' AS outcome, url, (k % 4)::INTEGER AS depth, 0 AS tier, (k % 4)::DOUBLE AS score
-FROM held WHERE user_id NOT IN (7, 9) AND {_NOW} - epoch_us(ts) / 1000000.0::DOUBLE >= {_AGE} AND url NOT IN (SELECT url FROM seen) UNION ALL
-SELECT 'kept', CASE WHEN user_id = 7 THEN '' ELSE url END, CASE WHEN user_id = 7 THEN 0 ELSE k % 4 END::INTEGER, 0, 0.0::DOUBLE
+FROM held WHERE user_id NOT IN (7, 9, 11) AND {_NOW} - epoch_us(ts) / 1000000.0::DOUBLE >= {_AGE} AND url NOT IN (SELECT url FROM seen) UNION ALL
+SELECT 'kept', CASE WHEN user_id IN (7, 11) THEN '' ELSE url END, CASE WHEN user_id IN (7, 11) THEN 0 ELSE k % 4 END::INTEGER, 0, 0.0::DOUBLE
 FROM held WHERE user_id = 9 OR {_NOW} - epoch_us(ts) / 1000000.0::DOUBLE < {_AGE}""")
 def requeue_stale(spark, sf_dir):
     log, leases = held(spark, sf_dir)

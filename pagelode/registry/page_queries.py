@@ -62,7 +62,7 @@ def page_sizes(spark, sf_dir):
 @query("sublinks_raw", f"""WITH {S.HREFS} SELECT page_id, hpos AS pos,
   CASE WHEN starts_with(href, 'http') THEN href ELSE url || href END AS sublink FROM hrefs""")
 def sublinks_raw(spark, sf_dir):
-    return L.sublinks(html.read_pages(D.pages(spark, sf_dir, True), ("hrefs",))).withColumn("pos", F.col("pos").cast("long"))
+    return L.sublinks(html.read_pages(D.pages(spark, sf_dir), ("hrefs",))).withColumn("pos", F.col("pos").cast("long"))
 
 
 @query("url_split", f"""WITH {S.LINKS}, v AS (SELECT page_id, pos, link, {S.verdict('link')} AS reason FROM links)
@@ -97,7 +97,7 @@ def reject_totals(spark, sf_dir):
 @query("link_dedupe_order", f"""WITH {S.HREFS}, t AS (SELECT page_id, hpos, {S.clean(S.RESOLVED)} AS link FROM hrefs)
 SELECT page_id, link, min(hpos) AS pos FROM t GROUP BY page_id, link""")
 def link_dedupe_order(spark, sf_dir):
-    raw = html.read_pages(D.pages(spark, sf_dir, True), ("targets",)).withColumnRenamed("targets", "links")
+    raw = html.read_pages(D.pages(spark, sf_dir), ("targets",)).withColumnRenamed("targets", "links")
     rows = L.link_rows(raw).withColumn("link", urls.clean_url(F.col("link")))
     return L.dedupe_links(rows).select("page_id", "link", F.col("pos").cast("long").alias("pos"))
 
@@ -135,7 +135,7 @@ def published(spark, sf_dir):
 
 @query("batch_number", f"WITH {_ACCEPTED_SQL} SELECT page_id, pos, url, seq, (seq - 1) // 25 AS batch FROM pub")
 def batch_number(spark, sf_dir):
-    rows = batches.batch_number(published(spark, sf_dir), ["page_id", "pos"], 25, width=1000)
+    rows = batches.batch_number(published(spark, sf_dir), ["page_id", "pos"], 25)
     return rows.select("page_id", F.col("pos").cast("long").alias("pos"), "url", "seq", "batch")
 
 
@@ -143,7 +143,7 @@ def batch_number(spark, sf_dir):
   to_json({{'items': list({{'url': url, 'depth': 1}} ORDER BY seq), 'batch_size': count(*), 'published_at': '{_PUBLISHED}'}})::VARCHAR AS value
   FROM pub GROUP BY 1""")
 def url_batches(spark, sf_dir):
-    return batches.url_batches(published(spark, sf_dir), F.lit(_PUBLISHED), ["page_id", "pos"], width=1000)
+    return batches.url_batches(published(spark, sf_dir), F.lit(_PUBLISHED), ["page_id", "pos"])
 
 
 @query("url_batches_read", f"""WITH {_ACCEPTED_SQL} SELECT (seq - 1) // 25 AS batch, '{_PUBLISHED}' AS published_at,
@@ -186,7 +186,7 @@ SELECT chunk, count(*) AS bulk_size, count(*) FILTER (WHERE NOT bad) AS indexed_
 def index_bulk_summary(spark, sf_dir):
     """Rows of one kind of URL lose it, so that every chunk has rows that cannot be keyed."""
     docs = D.pages(spark, sf_dir).select("page_id", F.when(~F.contains("url", F.lit("utm_source")), F.col("url")).alias("url"))
-    return index.bulk_summary(docs, ["page_id"], 100, width=1000)
+    return index.bulk_summary(docs, ["page_id"], 100)
 
 
 @query("crawl_log", """SELECT '{"ts":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S') || '","level":"' ||

@@ -127,7 +127,7 @@ WIKI = """edges AS (
     ON a.l_orderkey = b.l_orderkey AND a.l_linenumber + 1 = b.l_linenumber WHERE a.l_partkey <> b.l_partkey),
 wiki_links AS (
   SELECT s, 'https://en.wikipedia.org/wiki/Part_' || s AS url, 'https://en.wikipedia.org/wiki/Part_' || d AS link, pos
-  FROM (SELECT s, d, row_number() OVER (PARTITION BY s ORDER BY d) AS pos FROM edges) WHERE pos <= 50),
+  FROM (SELECT s, d, row_number() OVER (PARTITION BY s ORDER BY d) AS pos FROM edges)),
 wiki_seeds AS (
   SELECT DISTINCT url, s FROM wiki_links ORDER BY s LIMIT 7)"""
 

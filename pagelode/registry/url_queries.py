@@ -114,7 +114,9 @@ def url_priority(spark, sf_dir):
 
 
 @query("payload_codec", f"""WITH {S.LINKS} SELECT page_id, pos, '{{"url":"' || link || '","depth":' || (pos % 3) || '}}' AS payload,
-  link AS url, (pos % 3)::INTEGER AS depth, '' AS bad_url, 0 AS bad_depth FROM links""")
+  link AS url, (pos % 3)::INTEGER AS depth, '' AS bad_url, 0 AS bad_depth,
+  CASE WHEN pos % 5 IN (2, 3) THEN '' ELSE link END AS odd_url,
+  CASE pos % 5 WHEN 0 THEN 7 WHEN 1 THEN 2 ELSE 0 END AS odd_depth FROM links""")
 def payload_codec(spark, sf_dir):
     from pagelode.operators import frontier
 
@@ -123,8 +125,13 @@ def payload_codec(spark, sf_dir):
         frontier.encode_payload(F.col("link"), F.col("pos") % 3).alias("payload"))
     back = frontier.decode_payload(F.col("payload"))
     bad = frontier.decode_payload(F.substr("payload", F.lit(3)))
+    # Depth as text, as a fraction, as text that is no number, as null, and missing.
+    given = F.element_at(F.array(*[F.lit(x) for x in (',"depth":"7"', ',"depth":2.7', ',"depth":"x"', ',"depth":null', "")]),
+                         (F.col("pos") % 5 + 1).cast("int"))
+    odd = frontier.decode_payload(F.concat(F.regexp_replace("payload", ',"depth":[0-9]+}$', ""), given, F.lit("}")))
     return rows.select("page_id", "pos", "payload", back["url"].alias("url"), back["depth"].alias("depth"),
-                       bad["url"].alias("bad_url"), bad["depth"].alias("bad_depth"))
+                       bad["url"].alias("bad_url"), bad["depth"].alias("bad_depth"),
+                       odd["url"].alias("odd_url"), odd["depth"].alias("odd_depth"))
 
 
 @query("resolve_url", f"""WITH {S.HREFS}, forms AS (
@@ -138,7 +145,7 @@ SELECT page_id, hpos, form, CASE form WHEN 1 THEN root || href WHEN 2 THEN href
 def resolve_url(spark, sf_dir):
     from pagelode.functions import html
 
-    hrefs = html.read_pages(D.pages(spark, sf_dir, True), ("hrefs",)).select(
+    hrefs = html.read_pages(D.pages(spark, sf_dir), ("hrefs",)).select(
         "page_id", "url", F.posexplode("hrefs").alias("i", "href"))
     h = F.col("href")
     forms = [h, F.concat(F.lit("https://o.example.org"), h), F.concat(F.lit("//o.example.org"), h), F.lit(""),

@@ -66,9 +66,9 @@ def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
     return _stored(spark, path, True)
 
 
-def bulk_summary(docs: DataFrame, order: list[str], chunk: int = 500, width: int | None = None) -> DataFrame:
+def bulk_summary(docs: DataFrame, order: list[str], chunk: int = 500, target: int = spread.BUCKET_ROWS) -> DataFrame:
     """Size, indexed and failed rows of every chunk of writes, in arrival order."""
-    rows = spread.numbered(docs.withColumn("_bad", is_bad()).select(*order, "_bad"), order, "_seq", width)
+    rows = spread.numbered(docs.withColumn("_bad", is_bad()).select(*order, "_bad"), order, "_seq", target)
     number = F.floor((F.col("_seq") - 1) / chunk).cast("long")
     return rows.groupBy(number.alias("chunk")).agg(
         F.count(F.lit(1)).alias("bulk_size"),

@@ -9,14 +9,10 @@ from pagelode import schemas
 from pagelode.functions import urls
 
 
-def read_pages(spark: SparkSession, path: str, spread: bool = False) -> DataFrame:
-    """Stored pages. With `spread`, a store of fewer splits than cores is dealt out by
-    `page_id` so that parsing uses all cores; a large store is read as it lies."""
-    pages = spark.read.schema(schemas.PAGES).parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    if spread and pages.rdd.getNumPartitions() < cores:
-        return pages.repartition(cores, "page_id")
-    return pages
+def read_pages(spark: SparkSession, path: str) -> DataFrame:
+    """Stored pages, as they lie. Splits follow `spark.sql.files.maxPartitionBytes` and the store's
+    row groups; HTML is never dealt out anew."""
+    return spark.read.schema(schemas.PAGES).parquet(path)
 
 
 def latest_page_ids(pages: DataFrame) -> DataFrame:

@@ -11,19 +11,19 @@ from pagelode.operators import spread
 
 
 def batch_number(rows: DataFrame, order: list[str], size: int = O.CrawlOptions.url_batch_size,
-                 width: int | None = None) -> DataFrame:
+                 target: int = spread.BUCKET_ROWS) -> DataFrame:
     """Dense `seq` and the `batch` it falls in, in publishing order."""
-    return spread.numbered(rows, order, "seq", width).withColumn(
+    return spread.numbered(rows, order, "seq", target).withColumn(
         "batch", F.floor((F.col("seq") - 1) / size).cast("long"))
 
 
 def url_batches(rows: DataFrame, published_at: Column, order: list[str],
-                size: int = O.CrawlOptions.url_batch_size, width: int | None = None) -> DataFrame:
+                size: int = O.CrawlOptions.url_batch_size, target: int = spread.BUCKET_ROWS) -> DataFrame:
     """JSON messages of `size` URLs each; only the last may be short. Expects `url`, `depth`
     (a missing depth is 0)."""
     item = F.struct(F.col("seq"), F.struct(
         F.col("url"), F.coalesce(F.col("depth"), F.lit(0)).cast("int").alias("depth")).alias("item"))
-    packed = batch_number(rows, order, size, width).groupBy("batch").agg(
+    packed = batch_number(rows, order, size, target).groupBy("batch").agg(
         F.array_sort(F.collect_list(item)).alias("_items"))
     message = F.struct(
         F.transform("_items", lambda x: x["item"]).alias("items"),

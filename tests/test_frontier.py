@@ -75,7 +75,7 @@ def test_admission_equals_one_by_one(spark, monkeypatch):
         monkeypatch.setattr(spread, "is_small", lambda rows: bool(round_no % 2))
         want = one_by_one(items, set(visited), discovered, counts, budgets, queue, limit, default)
         cand, vis, dis, acks, lim = frames(spark, items, visited, sorted(discovered), counts, budgets)
-        got = statuses(frontier.admission(cand, vis, dis, acks, lim, queue, limit, default, width=500, hot_rows=4))
+        got = statuses(frontier.admission(cand, vis, dis, acks, lim, queue, limit, default, target=10, hot_rows=4))
         assert got == want
 
 
@@ -137,3 +137,19 @@ def test_politeness(spark):
     now = F.timestamp_seconds(F.lit(100))
     got = {r.domain: r.wait_seconds for r in frontier.politeness_wait(rows, stats, now, 2).collect()}
     assert got == {"a.edu": 1.5, "b.edu": 0.0, "c.edu": 0.0}
+
+
+def test_decode_payload_depths(spark):
+    u = url("a")
+    cases = [('"3"', u, 3), ("2.7", u, 2), ('"x"', "", 0), ('"2.7"', "", 0), ("null", "", 0), ("true", u, 1), ('" 4 "', u, 4), ("-1", u, -1), ("[1]", "", 0)]
+    rows = [(json.dumps({"url": u})[:-1] + f', "depth": {d}}}', want_url, want) for d, want_url, want in cases]
+    rows += [(json.dumps({"url": u}), u, 0), ("{broken", "", 0), ("[]", "", 0), (None, "", 0), (json.dumps({"depth": 2}), "", 2)]
+    got = spark.createDataFrame(rows, "p string, want_url string, want int").withColumn("i", frontier.decode_payload(F.col("p")))
+    for r in got.collect():
+        assert (r.i.url, r.i.depth) == (r.want_url, r.want), r.p
+
+
+def test_bare_urls_are_queued_at_depth_0(spark):
+    rows = spark.createDataFrame([(1, url("a")), (2, url("b")), (3, url("a"))], "seq long, url string")
+    decided = frontier.decide(rows, None, no_rows(spark, "url string"), no_rows(spark, "domain string, n long"))
+    assert {(r.url, r.depth, r.tier, r.score) for r in decided.queue().collect()} == {(url("a"), 0, 1, None), (url("b"), 0, 1, None)}

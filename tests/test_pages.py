@@ -61,7 +61,7 @@ def test_both_fanout_caps_agree(spark, sf_dir):
 def test_batches_come_back(spark):
     rows = spark.range(60).select((F.col("id") * 7).alias("n"), F.concat(F.lit("u"), "id").alias("url"),
                                   F.when(F.col("id") % 2 == 0, 3).alias("depth"))
-    messages = url_batches.url_batches(rows.repartition(5), F.lit("t"), ["n"], width=50)
+    messages = url_batches.url_batches(rows.repartition(5), F.lit("t"), ["n"], target=20)
     assert messages.count() == 3
     back = url_batches.read_url_batches(messages).orderBy("batch", "pos").collect()
     assert [(r.url, r.depth) for r in back] == [(f"u{i}", 3 if i % 2 == 0 else 0) for i in range(60)]
@@ -73,7 +73,7 @@ def test_upsert_keeps_last_and_sets_bad_rows_aside(spark):
                                  "url string, title string, at int")
     assert sorted((r.url, r.title) for r in index.upsert(docs, ["at"]).collect()) == [("a", "2"), ("b", "3")]
     assert index.quarantined(docs).count() == 2
-    chunks = index.bulk_summary(docs, ["at", "title"], 2, width=1).orderBy("chunk").collect()
+    chunks = index.bulk_summary(docs, ["at", "title"], 2, target=1).orderBy("chunk").collect()
     assert [(c.bulk_size, c.indexed_count, c.failed_count) for c in chunks] == [(2, 2, 0), (2, 0, 2), (1, 1, 0)]
 
 

@@ -124,7 +124,7 @@ def test_gauges_and_ticks_by_hand(spark):
         if action != "tick":
             state[url] = metrics.STATE_AFTER[action]
             sizes[s // 5 * 5] = tuple(sum(v == k for v in state.values()) for k in metrics.STATES)
-    ticks = metrics.monitor_ticks(df, 5, 10, width_micros=60_000_000).select(F.unix_seconds("tick_start").alias("t"), "*").collect()
+    ticks = metrics.monitor_ticks(df, 5, 10, target=3).select(F.unix_seconds("tick_start").alias("t"), "*").collect()
     assert {r.t: (r.queue_size, r.inflight_size, r.visited_count) for r in ticks} == sizes
     assert all(r.pressure == (r.queue_size > 8) for r in ticks)
     gauges = metrics.frontier_gauges(metrics.url_states(df)).first()
