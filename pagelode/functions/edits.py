@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # Below this length candidates share a text with up to two letters deleted; above it they
 # share one of five pieces, so the number of keys does not grow with the square of the length.
@@ -13,34 +11,49 @@ SHORT = 24
 PIECES = 5
 
 
-def edit_distance(a: str, b: str) -> int:
-    """Insert, delete, replace or swap two neighbours, each one edit; no text edited twice."""
-    before, last = [], list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        row = [i]
-        for j, y in enumerate(b, 1):
-            best = min(last[j] + 1, row[j - 1] + 1, last[j - 1] + (x != y))
-            if i > 1 and j > 1 and x == b[j - 2] and a[i - 2] == y:
-                best = min(best, before[j - 2] + 1)
-            row.append(best)
-        before, last = last, row
-    return last[-1]
+def _let(value: Column, body) -> Column:
+    """body(value), with value worked out once."""
+    return F.transform(F.array(value), body)[0]
 
 
-@F.pandas_udf(T.IntegerType())
-def _edits(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([None if x is None else edit_distance(x, y) for x, y in zip(a, b)], dtype="Int32")
+def _core(a: Column, b: Column, body) -> Column:
+    """body of both texts without their longest common beginning: what a pattern finds once more
+    after the mark."""
+    start = F.length(F.regexp_extract(F.concat(a, F.lit("\u0000"), b), "^([^\\x00]*)[^\\x00]*\\x00\\1", 1)) + 1
+    return _let(start, lambda at: _let(F.struct(F.substr(a, at).alias("a"), F.substr(b, at).alias("b")), body))
 
 
 def edits(a: Column, b: Column) -> Column:
-    """Distance of two words at most two edits apart.
+    """Distance of two words if it is at most two, else 3 or more.
 
-    A swap counts two in the built-in distance, so 0 and 1 need no second look, more than 4
-    cannot qualify, and only 2 to 4 is worked out in Python.
+    A swap counts two in the built-in distance, so 0 and 1 need no second look. Otherwise common
+    beginnings and ends are cut off. What is left differs at both ends, so one edit is at its start
+    and one at its end: a swap there must be the first or the last two letters, and the rest is
+    compared by the built-in distance. No text is edited twice, since each part is seen once.
     """
-    plain = F.levenshtein(a, b, 4)
-    open_ = plain.between(2, 4)
-    return F.when(plain.between(0, 1), plain).otherwise(_edits(F.when(open_, a), F.when(open_, b)))
+    def swap(x: Column, y: Column) -> Column:
+        one, two = F.lit(1), F.lit(2)
+        return (F.length(x) >= 2) & (F.length(y) >= 2) & (F.substr(x, one, one) == F.substr(y, two, one)) & (
+            F.substr(x, two, one) == F.substr(y, one, one))
+
+    def rest(x: Column, cut: int = 0) -> Column:
+        return F.substr(x, F.lit(3), F.greatest(F.length(x) - 2 - cut, F.lit(0)))
+
+    def judged(front: Column, back: Column, plain: Column) -> Column:
+        fa, fb, ba, bb = front["a"], front["b"], back["a"], back["b"]
+        two = (
+            (swap(fa, fb) & (F.levenshtein(rest(fa), rest(fb)) <= 1)) | (swap(ba, bb) & (F.levenshtein(rest(ba), rest(bb)) <= 1))
+            | (swap(fa, fb) & swap(ba, bb) & (F.length(fa) >= 4) & (rest(fa, 2) == rest(fb, 2))))
+        one = swap(fa, fb) & (F.length(fa) == 2) & (F.length(fb) == 2)
+        return F.when(one, 1).when((plain == 2) | two, 2).otherwise(F.greatest(plain, F.lit(3)))
+
+    def cores(plain: Column) -> Column:
+        turned = lambda c: F.struct(F.reverse(c["a"]).alias("a"), F.reverse(c["b"]).alias("b"))
+        return _core(a, b, lambda c: _core(F.reverse(c["a"]), F.reverse(c["b"]), lambda back: _let(
+            turned(back), lambda front: judged(front, back, plain))))
+
+    return _let(F.levenshtein(a, b, 4), lambda plain: F.when(plain.between(0, 1), plain).when(
+        plain.between(2, 4), cores(plain)).otherwise(5))
 
 
 def allowed_edits(term: Column) -> Column:

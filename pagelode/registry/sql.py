@@ -171,12 +171,37 @@ def one_byte(s: str) -> str:
     return f"translate({s}, 'ñêçíäèéßöüóáúàâîôûïëìòùãõåæøœ', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ[]^')"
 
 
-EXPANDED = f"""{QUERIES}, cand AS (
-  SELECT field, qterm, term, df, CASE WHEN term = qterm THEN 0
-    ELSE damerau_levenshtein({one_byte('term')}, {one_byte('qterm')}) END AS edits
-  FROM (SELECT DISTINCT qterm FROM qt) JOIN vocab ON abs(length(term) - length(qterm)) <= 2),
-fuzzy AS (
-  SELECT * FROM cand WHERE edits <= CASE WHEN length(qterm) <= 2 THEN 0 WHEN length(qterm) <= 5 THEN 1 ELSE 2 END),
+def letters(s: str) -> str:
+    """A bit per letter that occurs. An edit takes one letter away and brings one in at most."""
+    return f"list_aggregate(list_transform(string_split({s}, ''), lambda c: 1::BIGINT << (unicode(c) % 60)), 'bit_or')"
+
+
+def swapped_apart(s: str, l: str) -> str:
+    """Whether `l` is `s` with two neighbours swapped and a new letter between them. The distance used
+    for checking calls that two edits, but it edits a text twice; without that it is three."""
+    def at(text, k):
+        return f"substr({text}, p + {k}, 1)"
+    return (f"list_bool_or(list_transform(range(0, length({s}) - 1), lambda p: substr({s}, 1, p) = substr({l}, 1, p) "
+            f"AND {at(s, 1)} = {at(l, 3)} AND {at(s, 2)} = {at(l, 1)} AND {at(s, 1)} <> {at(s, 2)} "
+            f"AND {at(l, 2)} <> {at(s, 1)} AND {at(l, 2)} <> {at(s, 2)} AND substr({s}, p + 3) = substr({l}, p + 4)))")
+
+
+EXPANDED = f"""{QUERIES}, words AS (
+  SELECT term, length(term) AS n, {one_byte('term')} AS t, {letters('term')} AS m FROM (SELECT DISTINCT term FROM vocab)),
+asked AS (
+  SELECT qterm, length(qterm) AS qn, CASE WHEN length(qterm) <= 2 THEN 0 WHEN length(qterm) <= 5 THEN 1 ELSE 2 END AS most,
+    {one_byte('qterm')} AS q, {letters('qterm')} AS qm FROM (SELECT DISTINCT qterm FROM qt)),
+near AS (
+  SELECT qterm, term, n, qn, most, t, q, damerau_levenshtein(t, q) AS plain
+  FROM asked JOIN words ON abs(n - qn) <= most AND bit_count(xor(m, qm)) <= 2 * most WHERE term <> qterm),
+measured AS (
+  SELECT qterm, term, most, CASE WHEN plain <> 2 OR n = qn THEN plain
+    WHEN n > qn AND {swapped_apart('q', 't')} THEN 3 WHEN n < qn AND {swapped_apart('t', 'q')} THEN 3 ELSE plain END AS edits
+  FROM near WHERE plain <= most),
+cand AS (
+  SELECT field, qterm, v.term, df, edits FROM measured JOIN vocab v USING (term) WHERE edits <= most UNION ALL
+  SELECT field, qterm, term, df, 0 FROM asked JOIN vocab ON term = qterm),
+fuzzy AS (SELECT * FROM cand),
 expanded AS (
   SELECT field, qterm, term, df, edits, weight, max(df) OVER (PARTITION BY field, qterm) AS shared_df FROM (
     SELECT *, row_number() OVER (PARTITION BY field, qterm ORDER BY edits, weight DESC, term) AS place FROM (

@@ -1,16 +1,32 @@
+import itertools
 import math
 import random
 import re
 from collections import Counter
 
+from pyspark.sql import functions as F
 
-from pagelode.functions.edits import edit_distance
+from pagelode.functions import edits
 from pagelode.operators import ranking
 from pagelode.options import SearchOptions
 from pagelode.plans import index_build, search
 from pagelode.session import workdir
 
 
+def edit_distance(a, b):
+    """Insert, delete, replace or swap two neighbours, each one edit; no text edited twice."""
+    before, last = [], list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        row = [i]
+        for j, y in enumerate(b, 1):
+            best = min(last[j] + 1, row[j - 1] + 1, last[j - 1] + (x != y))
+            if i > 1 and j > 1 and x == b[j - 2] and a[i - 2] == y:
+                best = min(best, before[j - 2] + 1)
+            row.append(best)
+        before, last = last, row
+    return last[-1]
+
+
 def limit(term):
     return 0 if len(term) <= 2 else 1 if len(term) <= 5 else 2
 
@@ -35,6 +51,15 @@ def test_edit_distance():
     assert [edit_distance(a, b) for a, b in (("ab", "ba"), ("abcd", "acbd"), ("ca", "abc"), ("", "ab"), ("kitten", "sitting"))] == [1, 1, 3, 2, 3]
 
 
+def test_edits_equal_the_plain_distance_up_to_two(spark):
+    words = ["".join(t) for n in range(6) for t in itertools.product("abc", repeat=n)]
+    rng = random.Random(2)
+    pairs = [(a, b) for a in rng.sample(words, 120) for b in words]
+    pairs += [(w, changed(rng, changed(rng, w))) for w in ("".join(rng.choices("abcdü", k=rng.randint(6, 14))) for _ in range(4000))]
+    got = spark.createDataFrame(pairs, "a string, b string").withColumn("e", edits.edits(F.col("a"), F.col("b"))).collect()
+    assert [(r.a, r.b, min(r.e, 3)) for r in got] == [(a, b, min(edit_distance(a, b), 3)) for a, b in pairs]
+
+
 def test_fuzzy_terms_equal_all_pairs(spark):
     rng = random.Random(13)
     asked = ["".join(rng.choices("abü", k=n)) for n in (1, 2, 3, 4, 5, 5, 6, 6, 7, 9, 12, 23, 24, 25, 26, 30, 41)]
