@@ -1,19 +1,22 @@
-"""Building the text index: documents, postings by term bucket, vocabulary and field statistics."""
+"""Building the text index: documents, postings and vocabulary by term bucket, keys of terms, field statistics."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from pagelode.operators import ranking
 
-TERM_BUCKETS = 16
+# Text per bucket of terms; postings have about the size of their text.
+BUCKET_BYTES = 32 * 2**20
+LEAST_BUCKETS = 16
 
 _DOCS = "doc long, url string, title string, content string, shard int"
 _POSTINGS = "doc long, field string, dl int, term string, tf long, opens boolean, term_bucket int"
-_VOCAB = "field string, term string, df long, total_tf long"
+_VOCAB = "field string, term string, df long, total_tf long, term_bucket int"
+_KEYS = "key long, term string, key_bucket int"
 _STATS = "field string, n_docs long, n_tokens long, avgdl double"
 
 
@@ -24,50 +27,57 @@ class TextIndex:
     docs: DataFrame
     postings: DataFrame
     vocab: DataFrame
+    keys: DataFrame
     stats: DataFrame
     buckets: int
 
 
-def term_bucket(term: Column, buckets: int) -> Column:
-    return F.pmod(F.hash(term), F.lit(buckets)).cast("int")
-
-
 def doc_shard(doc: Column) -> Column:
     """The folder of a document: numbers given out by one task share their upper bits."""
     return F.shiftright(doc, 33).cast("int")
 
 
-def build_index(docs: DataFrame, path: str, buckets: int = TERM_BUCKETS) -> TextIndex:
+def build_index(docs: DataFrame, path: str, buckets: int | None = None) -> TextIndex:
     """Write the index of `docs` (one row per URL; see `sources.index.upsert`).
 
     Documents are stored in URL order and numbered on the way: postings carry a number instead
     of a URL, equal scores are told apart by it as they would be by the URL, and a search reads
-    the text of its results from the shards that hold them. Postings are
-    partitioned by a hash of the term, so a search reads only the buckets of its terms, and
-    sorted by term inside, so it skips row groups too. The rebalance splits a bucket that a
-    frequent term has made large. Vocabulary and statistics come from the stored postings, so
-    documents are cut into tokens once.
+    the text of its results from the shards that hold them. Postings and vocabulary are
+    partitioned by a hash of the term and sorted by term inside, and the keys by which typos find
+    their terms by a hash of the key, so a search reads the buckets of its terms and keys alone.
+    The number of buckets follows the size of the text, unless it is given. The rebalance
+    splits a bucket that a frequent term has made large. Vocabulary, keys and statistics come from
+    the stored postings, so documents are cut into tokens once.
     """
     spark = docs.sparkSession
+    seen = Observation()
     ordered = docs.select("url", "title", "content").repartitionByRange("url").sortWithinPartitions("url")
-    ordered.withColumn("doc", F.monotonically_increasing_id()).withColumn("shard", doc_shard(F.col("doc"))) \
+    size = F.coalesce(F.octet_length("title"), F.lit(0)) + F.coalesce(F.octet_length("content"), F.lit(0))
+    ordered.observe(seen, F.sum(size.cast("long")).alias("bytes")) \
+        .withColumn("doc", F.monotonically_increasing_id()).withColumn("shard", doc_shard(F.col("doc"))) \
         .write.mode("overwrite").partitionBy("shard").parquet(f"{path}/docs")
+    buckets = buckets or max(LEAST_BUCKETS, -(-(seen.get["bytes"] or 0) // BUCKET_BYTES))
+
+    def by_bucket(rows: DataFrame, name: str, bucket: str, value: str, *order: str) -> None:
+        rows.withColumn(bucket, ranking.bucket_of(F.col(value), buckets)).hint("rebalance", bucket) \
+            .sortWithinPartitions(bucket, *order).write.mode("overwrite").partitionBy(bucket).parquet(f"{path}/{name}")
+
     rows = ranking.postings(spark.read.schema(_DOCS).parquet(f"{path}/docs"), "doc")
-    (
-        rows.withColumn("term_bucket", term_bucket(F.col("term"), buckets))
-        .hint("rebalance", "term_bucket")
-        .sortWithinPartitions("term_bucket", "term", "field")
-        .write.mode("overwrite").partitionBy("term_bucket").parquet(f"{path}/postings")
-    )
+    by_bucket(rows, "postings", "term_bucket", "term", "term", "field")
     posted = spark.read.schema(_POSTINGS).parquet(f"{path}/postings")
-    ranking.vocabulary(posted).write.mode("overwrite").parquet(f"{path}/vocab")
-    ranking.field_stats(posted).write.mode("overwrite").parquet(f"{path}/stats")
+    by_bucket(ranking.vocabulary(posted), "vocab", "term_bucket", "term", "term", "field")
+    by_bucket(ranking.term_keys(spark.read.schema(_VOCAB).parquet(f"{path}/vocab")), "keys", "key_bucket", "key", "key")
+    ranking.field_stats(posted).withColumn("buckets", F.lit(buckets)).write.mode("overwrite").parquet(f"{path}/stats")
     return open_index(spark, path, buckets)
 
 
-def open_index(spark: SparkSession, path: str, buckets: int = TERM_BUCKETS) -> TextIndex:
+def open_index(spark: SparkSession, path: str, buckets: int | None = None) -> TextIndex:
+    """A stored index. Its number of buckets is read from it, unless it is given."""
     def stored(name: str, schema: str) -> DataFrame:
         return spark.read.schema(schema).parquet(f"{path}/{name}")
 
+    if buckets is None:
+        kept = stored("stats", f"{_STATS}, buckets int").agg(F.max("buckets").alias("n")).first()
+        buckets = kept.n or LEAST_BUCKETS
     return TextIndex(stored("docs", _DOCS), stored("postings", _POSTINGS), stored("vocab", _VOCAB),
-                     stored("stats", _STATS), buckets)
+                     stored("keys", _KEYS), stored("stats", _STATS), buckets)

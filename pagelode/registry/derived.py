@@ -84,13 +84,15 @@ def search_queries(vocab: DataFrame, picks: int = 10) -> DataFrame:
     return made.unionByName(fixed)
 
 
-def lease_events(spark: SparkSession, sf_dir: str, per_user: bool = False) -> DataFrame:
-    """Events as frontier actions on URLs; with `per_user` each user has URLs of their own."""
+def lease_events(spark: SparkSession, sf_dir: str, per_user: bool = False, rows: DataFrame | None = None) -> DataFrame:
+    """Events (or `rows` of them, as a stream) as frontier actions on URLs; with `per_user` each user
+    has URLs of their own."""
     actions = {"signup": "enqueue", "view": "reserve", "purchase": "acknowledge", "error": "crash", "click": "tick"}
     pairs = F.create_map(*[F.lit(x) for p in actions.items() for x in p])
     k = F.get_json_object("props", "$.k")
     name = F.concat_ws("_", k, F.col("user_id").cast("string")) if per_user else k
-    return table(spark, sf_dir, "events").select(
+    events = table(spark, sf_dir, "events") if rows is None else rows
+    return events.select(
         "event_id", "ts", F.element_at(pairs, F.col("event_type")).alias("action"),
         F.concat(F.lit("https://en.wikipedia.org/wiki/K"), name).alias("url"),
         F.concat(F.lit("worker-"), F.col("user_id").cast("string")).alias("worker_id"), "user_id",

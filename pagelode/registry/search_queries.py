@@ -49,7 +49,7 @@ def build_index(spark, sf_dir):
 def fuzzy_term_join(spark, sf_dir):
     index = D.search_index(spark, sf_dir)
     terms = ranking.query_terms(D.search_queries(index.vocab)).select("qterm").distinct()
-    return ranking.fuzzy_terms(terms, index.vocab, ranking.is_small(terms))
+    return search_plan.found_terms(index, terms)[0]
 
 
 @query("term_expansions", f"""WITH {S.EXPANDED} SELECT field, qterm, term, edits::INTEGER AS edits, round(weight, 9) AS weight, shared_df FROM expanded""")
@@ -61,8 +61,8 @@ def term_expansions(spark, sf_dir):
 @query("postings_join", f"""WITH {S.HITS} SELECT query_id, qterm, field, term, url, tf, dl::INTEGER AS dl, shared_df FROM hits""")
 def postings_join(spark, sf_dir):
     index = D.search_index(spark, sf_dir)
-    asked, small = search_plan.asked_terms(index, D.search_queries(index.vocab))
-    hits = ranking.postings_join(index.postings, asked, small)
+    asked, words = search_plan.asked_terms(index, D.search_queries(index.vocab))
+    hits = search_plan.term_hits(index, asked, words)
     return search_plan.with_docs(hits, index, ("url",), False).select(
         "query_id", "qterm", "field", "term", "url", "tf", "dl", "shared_df")
 

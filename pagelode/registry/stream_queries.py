@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pagelode import schemas
 from pagelode.functions import html, urls
 from pagelode.operators import links
+from pagelode.registry import derived as D
 from pagelode.registry import query
 from pagelode.registry import sql as S
 from pagelode.registry.frontier_queries import LOG_SQL
@@ -31,7 +32,8 @@ def _drain(stream, spark, label, schema=None, mode="append", fmt="parquet"):
 
 @query("stream_discovered", f"SELECT DISTINCT {S.norm('url')} AS url FROM pages")
 def stream_discovered(spark, sf_dir):
-    return _drain(streams.stream_discovered(_pages(spark, sf_dir).select("url")), spark, "discovered")
+    with streams.disk_state(spark):
+        return _drain(streams.stream_discovered(_pages(spark, sf_dir).select("url")), spark, "discovered")
 
 
 def _accesses(spark, sf_dir):
@@ -102,8 +104,8 @@ _TAKES = f"e.action = 'reserve' AND (acc.status = 'queued' OR ({_RAN_OUT}))"
 # The state machine as a fold over the ordered events of each URL; a lease still running at the
 # end is given back if it ran out before the end of the log, less the delay.
 _LEASES_SQL = f"""WITH ev AS (
-  SELECT 'https://en.wikipedia.org/wiki/K' || regexp_extract(props, '[0-9]+') AS url, epoch_us(ts) // 1000 AS at_ms, event_id,
-    CASE event_type WHEN 'signup' THEN 'enqueue' WHEN 'view' THEN 'reserve' ELSE 'acknowledge' END AS action, user_id::VARCHAR AS worker
+  SELECT 'https://en.wikipedia.org/wiki/K' || regexp_extract(props, '[0-9]+') || '_' || user_id AS url, epoch_us(ts) // 1000 AS at_ms, event_id,
+    CASE event_type WHEN 'signup' THEN 'enqueue' WHEN 'view' THEN 'reserve' ELSE 'acknowledge' END AS action, 'worker-' || user_id AS worker
   FROM events WHERE event_type IN ('signup', 'view', 'purchase')),
 ended AS (SELECT max(at_ms) - 60000 AS until FROM ev),
 seqs AS (SELECT url, list({{'at': at_ms, 'action': action, 'worker': worker}} ORDER BY at_ms, event_id) AS es FROM ev GROUP BY url),
@@ -129,15 +131,6 @@ SELECT url, o.at_ms AS at_ms, o.status AS status, o.worker_id AS worker_id FROM
 @query("stream_leases", _LEASES_SQL)
 def stream_leases(spark, sf_dir):
     """State changes of every URL's lease; leases last a day here."""
-    provider = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(provider)
-    spark.conf.set(provider, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    try:
-        kind = F.create_map(*[F.lit(x) for p in {
-            "signup": "enqueue", "view": "reserve", "purchase": "acknowledge"}.items() for x in p])
-        events = _events(spark, sf_dir).select(
-            "ts", "event_id", kind[F.col("event_type")].alias("action"), F.col("user_id").alias("worker_id"),
-            F.concat(F.lit("https://en.wikipedia.org/wiki/K"), F.get_json_object("props", "$.k")).alias("url"))
+    with streams.disk_state(spark):
+        events = D.lease_events(spark, sf_dir, per_user=True, rows=_events(spark, sf_dir))
         return _drain(leases.stream_leases(events, 86400), spark, "leases", leases.OUTPUT)
-    finally:
-        spark.conf.set(provider, before)

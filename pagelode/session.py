@@ -19,6 +19,7 @@ def local_session(cores: int | str = 8, **conf: str) -> SparkSession:
         "spark.sql.adaptive.enabled": "true",
         # Small tables on one machine: keep its cores busy rather than its partitions large.
         "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128KB",
+        "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         "spark.driver.memory": "8g",
         "spark.driver.bindAddress": "127.0.0.1",
         "spark.driver.host": "127.0.0.1",
@@ -39,6 +40,9 @@ def workdir(spark: SparkSession, label: str) -> str:
     it after another is lost. Only a local master may go without the setting.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        set_later = spark.sparkContext._jsc.sc().getCheckpointDir()  # by SparkContext.setCheckpointDir
+        root = set_later.get() if set_later.isDefined() else None
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")

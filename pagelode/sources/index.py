@@ -34,21 +34,26 @@ def upsert(docs: DataFrame, order: list[str]) -> DataFrame:
     return latest(docs.where(~is_bad()), order)
 
 
+def marked_latest(docs: DataFrame, order: list[str]) -> DataFrame:
+    """The newest row per URL and every row that cannot be keyed, told apart by `bad`, in one pass:
+    a row of the second kind goes through the same aggregate as a group of its own."""
+    marked = docs.withColumn("bad", is_bad()).withColumn(
+        "_apart", F.when(F.col("bad"), F.monotonically_increasing_id()))
+    rest = [c for c in marked.columns if c not in ("url", "_apart")]
+    best = marked.groupBy("url", "_apart").agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_d"))
+    return best.select("url", "_d.*")
+
+
 def write_index(docs: DataFrame, path: str, order: list[str], observation: Observation | None = None) -> DataFrame:
     """Write the index and its quarantine in one pass; returns the stored documents.
 
-    Rows that cannot be keyed go through the same aggregate, each as a group of its own. An
-    observation gets `bulk_size`, `indexed_count` and `failed_count` of the write.
+    An observation gets `bulk_size`, `indexed_count` and `failed_count` of the write.
     """
-    marked = docs.withColumn("bad", is_bad()).withColumn(
-        "_apart", F.when(F.col("bad"), F.monotonically_increasing_id()))
     if observation is not None:
-        marked = marked.observe(
-            observation, F.count(F.lit(1)).alias("bulk_size"), F.count_if(~F.col("bad")).alias("indexed_count"),
-            F.count_if(F.col("bad")).alias("failed_count"))
-    rest = [c for c in marked.columns if c not in ("url", "_apart")]
-    best = marked.groupBy("url", "_apart").agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_d"))
-    best.select("url", "_d.*").select(*[f.name for f in schemas.DOCS], "bad") \
+        docs = docs.observe(
+            observation, F.count(F.lit(1)).alias("bulk_size"), F.count_if(~is_bad()).alias("indexed_count"),
+            F.count_if(is_bad()).alias("failed_count"))
+    marked_latest(docs, order).select(*[f.name for f in schemas.DOCS], "bad") \
         .write.mode("overwrite").partitionBy("bad").parquet(path)
     return read_index(docs.sparkSession, path)
 

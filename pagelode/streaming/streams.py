@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -12,12 +17,28 @@ from pagelode.operators import frontier, metrics
 from pagelode.sources import index, url_batches
 
 
-def file_stream(spark: SparkSession, directory: str, name: str, schema, max_files: int | None = None) -> DataFrame:
-    """Files of one table in a directory as a stream."""
+# Files of one micro-batch: a backlog is taken in steps, so that its state and its shuffles are.
+MAX_FILES = 1000
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+@contextmanager
+def disk_state(spark: SparkSession) -> Iterator[None]:
+    """Queries started inside keep their state on disk (RocksDB) and not in the heap. A session that
+    has the setting from the start, as `local_session` does, needs no such block."""
+    before = spark.conf.get(_PROVIDER)
+    spark.conf.set(_PROVIDER, _ROCKS)
+    try:
+        yield
+    finally:
+        spark.conf.set(_PROVIDER, before)
+
+
+def file_stream(spark: SparkSession, directory: str, name: str, schema, max_files: int = MAX_FILES) -> DataFrame:
+    """Files of one table in a directory as a stream, at most `max_files` in a micro-batch."""
     reader = spark.readStream.schema(schema).option("pathGlobFilter", name)
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(directory)
+    return reader.option("maxFilesPerTrigger", max_files).parquet(directory)
 
 
 def to_table(stream: DataFrame, path: str, checkpoint: str, mode: str = "append", fmt: str = "parquet",
@@ -67,13 +88,44 @@ def stream_top_domains(counts: DataFrame, path: str, checkpoint: str, size: int
     )
 
 
-def read_updates(spark: SparkSession, path: str, key: str, schema: str) -> DataFrame:
-    """Newest generation of each key."""
+def _generations(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, int]:
+    """Rows since the last compaction and those it left, and the generation it reached (-1: none).
+    Older generations are not read: `generation` is their folder."""
     rows = spark.read.schema(f"{schema}, generation long").parquet(path)
+    try:
+        bases = spark.read.schema(f"{schema}, generation long").parquet(f"{path}-base")
+        upto = bases.agg(F.max("generation")).first()[0]
+    except AnalysisException:
+        upto = None
+    if upto is None:
+        return rows, -1
+    return rows.where(F.col("generation") > upto).unionByName(bases.where(F.col("generation") == upto)), upto
+
+
+def compact(spark: SparkSession, path: str, schema: str, merge) -> int:
+    """Merge all generations so far into one; readers then begin there. `merge` takes rows with their
+    `generation` and keeps what counts. Run now and then; returns the generation reached. A run that
+    breaks off leaves the last base as it was."""
+    rows, upto = _generations(spark, path, schema)
+    last = rows.agg(F.max("generation")).first()[0]
+    if last is None or last == upto:
+        return upto
+    merge(rows.where(F.col("generation") <= last)).drop("generation") \
+        .write.mode("overwrite").parquet(f"{path}-base/generation={last}")
+    return last
+
+
+def newest(rows: DataFrame, key: str) -> DataFrame:
+    """Newest generation of each key."""
     rest = [c for c in rows.columns if c not in (key, "generation")]
     return rows.groupBy(key).agg(F.max_by(F.struct(*rest), "generation").alias("_r")).select(key, "_r.*")
 
 
+def read_updates(spark: SparkSession, path: str, key: str, schema: str) -> DataFrame:
+    """Newest generation of each key, from the last compaction on."""
+    return newest(_generations(spark, path, schema)[0], key)
+
+
 def read_latest(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """The newest generation as a whole."""
     rows = spark.read.schema(f"{schema}, generation long").parquet(path)
@@ -81,11 +133,10 @@ def read_latest(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def stream_index_upsert(docs: DataFrame, path: str, checkpoint: str, order: list[str]) -> StreamingQuery:
-    """Index writes per micro-batch: the newest copy per URL within the batch, then a
-    generation of its own. `read_index_stream` merges generations."""
+    """Index writes per micro-batch: the newest copy per URL within the batch and rows without a URL,
+    written as a generation in one pass. `read_index_stream` merges generations."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        index.quarantined(batch).write.mode("overwrite").parquet(f"{path}/quarantine/generation={batch_id}")
-        index.upsert(batch, order).write.mode("overwrite").parquet(f"{path}/docs/generation={batch_id}")
+        index.marked_latest(batch, order).write.mode("overwrite").partitionBy("bad").parquet(f"{path}/docs/generation={batch_id}")
 
     return (
         docs.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
@@ -94,16 +145,31 @@ def stream_index_upsert(docs: DataFrame, path: str, checkpoint: str, order: list
 
 
 def read_index_stream(spark: SparkSession, path: str, schema: str, order: list[str]) -> DataFrame:
-    rows = spark.read.schema(schema).parquet(f"{path}/docs").drop("generation")
-    return index.latest(rows, order)
+    rows = _generations(spark, f"{path}/docs", f"{schema}, bad boolean")[0]
+    return index.latest(rows.where(~F.col("bad")).drop("bad", "generation"), order)
+
+
+def read_index_quarantine(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    rows = _generations(spark, f"{path}/docs", f"{schema}, bad boolean")[0]
+    return rows.where("bad").drop("bad", "generation")
+
+
+def compact_index_stream(spark: SparkSession, path: str, schema: str, order: list[str]) -> int:
+    return compact(spark, f"{path}/docs", f"{schema}, bad boolean",
+                   lambda rows: index.marked_latest(rows.drop("bad", "generation"), order))
 
 
 def stream_url_batches(items: DataFrame, path: str, checkpoint: str, published_at: Column, order: list[str],
                        size: int = O.CrawlOptions.url_batch_size) -> StreamingQuery:
-    """Publish each micro-batch of `url, depth` rows as JSON messages, one per line."""
+    """Publish each micro-batch of `url, depth` rows as JSON messages, one per line. Numbering looks at
+    the rows more than once, so the micro-batch is kept on the executors' disks meanwhile."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        messages = url_batches.url_batches(batch, published_at, order, size)
-        messages.select("value").write.mode("overwrite").text(f"{path}/generation={batch_id}")
+        kept = batch.persist(StorageLevel.DISK_ONLY)
+        try:
+            messages = url_batches.url_batches(kept, published_at, order, size)
+            messages.select("value").write.mode("overwrite").text(f"{path}/generation={batch_id}")
+        finally:
+            kept.unpersist()
 
     return (
         items.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)

@@ -68,7 +68,8 @@ def test_fuzzy_terms_equal_all_pairs(spark):
     terms = spark.createDataFrame([(t,) for t in sorted(set(asked))], "qterm string")
     want = {(t, w, edit_distance(t, w)) for t in asked for w in words if edit_distance(t, w) <= limit(t)}
     for small in (True, False):
-        got = ranking.fuzzy_terms(terms, vocab, small).collect()
+        pairs = ranking.term_pairs(terms, ranking.term_keys(vocab), small=small)
+        got = ranking.fuzzy_terms(pairs, vocab, small).collect()
         assert {(r.qterm, r.term, r.edits) for r in got} == want
         assert len(got) == len(want)
 
@@ -76,8 +77,8 @@ def test_fuzzy_terms_equal_all_pairs(spark):
 def test_no_query_terms(spark):
     vocab = spark.createDataFrame([("content", "abc", 1, 1)], "field string, term string, df long, total_tf long")
     terms = ranking.query_terms(spark.createDataFrame([(1, "  ")], "query_id int, q string"))
-    assert ranking.is_small(terms)
-    assert ranking.fuzzy_terms(terms.select("qterm"), vocab, True).count() == 0
+    pairs = ranking.term_pairs(terms.select("qterm"), ranking.term_keys(vocab), small=True)
+    assert pairs.count() == 0 == ranking.fuzzy_terms(pairs, vocab, True).count()
 
 
 def test_at_most_fifty_expansions_nearest_first(spark):
@@ -138,7 +139,7 @@ def test_search_equals_brute_force(spark):
     docs = spark.createDataFrame(DOCS, "url string, title string, content string").repartition(3)
     path = workdir(spark, "index")
     index_build.build_index(docs, path, buckets=3)
-    index = index_build.open_index(spark, path, 3)
+    index = index_build.open_index(spark, path)
     asked = ["graph", "grapf theory", "pasta edge", "vertex vertex", "", " ", "no", "zzzzzz", "Graph!"]
     queries = spark.createDataFrame(list(enumerate(asked)), "query_id long, q string")
     got = search.search(index, queries).orderBy("query_id", "position").collect()

@@ -65,7 +65,35 @@ def test_index_stream_last_write_wins(spark):
         streams.stream_index_upsert(stream, out, f"{out}/checkpoint", ["at"]).awaitTermination()
     got = streams.read_index_stream(spark, out, "url string, at long", ["at"])
     assert sorted((r.url, r.at) for r in got.collect()) == [("u0", 8), ("u1", 9), ("u2", 10), ("u3", 11)]
-    assert spark.read.parquet(f"{out}/quarantine").count() == 1
+    read = lambda: sorted((r.url, r.at) for r in streams.read_index_stream(spark, out, "url string, at long", ["at"]).collect())
+    assert streams.read_index_quarantine(spark, out, "url string, at long").count() == 1
+    assert streams.compact_index_stream(spark, out, "url string, at long", ["at"]) == 2
+    spark.createDataFrame([("u0", 50)], "url string, at long").write.mode("append").parquet(path)
+    streams.stream_index_upsert(stream, out, f"{out}/checkpoint", ["at"]).awaitTermination()
+    assert read() == [("u0", 50), ("u1", 9), ("u2", 10), ("u3", 11)]
+    # Compacted generations are not looked at again.
+    spark.createDataFrame([("u9", 1, False)], "url string, at long, bad boolean").write.mode("overwrite").partitionBy("bad").parquet(f"{out}/docs/generation=0")
+    assert read() == [("u0", 50), ("u1", 9), ("u2", 10), ("u3", 11)]
+    assert streams.read_index_quarantine(spark, out, "url string, at long").count() == 1
+
+
+def test_a_micro_batch_is_made_once(spark):
+    rows = [(f"http://a.edu/{i % 30}", i) for i in range(90)]
+    path = files(spark, rows, "url string, at long", 3)
+    made = spark.sparkContext.accumulator(0)
+
+    def parse(batches):
+        for batch in batches:
+            made.add(len(batch))
+            yield batch.assign(depth=1)
+
+    stream = streams.file_stream(spark, path, "*.parquet", "url string, at long", 1).mapInPandas(parse, "url string, at long, depth int")
+    out = workdir(spark, "once")
+    streams.stream_index_upsert(stream, out, f"{out}/c1", ["at"]).awaitTermination()
+    assert made.value == 90
+    streams.stream_url_batches(stream, f"{out}/m", f"{out}/c2", F.lit("t"), ["at"], 25).awaitTermination()
+    assert made.value == 180
+    assert spark.read.text(f"{out}/m").count() == 6
 
 
 def machine(rows, lease_ms):
