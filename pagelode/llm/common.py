@@ -14,8 +14,12 @@ from pagelode.session import workdir
 ORACLES: dict[str, str] = {}
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
+# Rows of an Arrow batch. A batch is held several times, off the heap of the JVM and in the worker, and
+# its rows are whole texts; the default of 10,000 of them is a GB where texts are long.
+BATCH_ROWS = 1000
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 # Texts of one call into vectorised code: about so many characters, however the batches came.
-SLICE_CHARS = 4_000_000
+SLICE_CHARS = 2_000_000
 
 
 def query(name: str, sql: str | None = None):
@@ -43,6 +47,28 @@ def fold(doc_id: str = "doc_id", folds: int = 5):
     return F.coalesce(F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(folds)), F.lit(0)).cast("int")
 
 
+def in_arrow(df: DataFrame, fn, schema) -> DataFrame:
+    """df.mapInArrow for rows with texts. Lowers the session's rows per Arrow batch to `BATCH_ROWS`
+    (a lower setting stays as it is), since the plan takes it from there when it runs."""
+    conf = df.sparkSession.conf
+    if int(conf.get(_BATCH_SETTING, "10000")) not in range(1, BATCH_ROWS + 1):
+        conf.set(_BATCH_SETTING, BATCH_ROWS)
+    return df.mapInArrow(fn, schema)
+
+
+def gathered(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """Small batches of narrow rows put together to `rows` or a little more."""
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.num_rows
+        if n >= rows:
+            yield pa.concat_batches(held)
+            held, n = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text", chars: int = SLICE_CHARS) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches into row ranges whose texts have about `chars` bytes; one text is never cut."""
     for batch in batches:
@@ -57,6 +83,14 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", chars: int =
             yield batch.slice(start)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that df does not have, the given one if it is free."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def with_fields(df: DataFrame, **kinds: str) -> T.StructType:
     """The schema of df and more columns behind it."""
     return T.StructType([*df.schema.fields, *(T.StructField(n, T.DataType.fromDDL(k)) for n, k in kinds.items())])

@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagelode.llm.common import fold, query, slices, table, with_fields
+from pagelode.llm.common import fold, in_arrow, query, slices, table, with_fields
 
 ROWS = 16_384
 DIMENSIONS = 64
@@ -41,8 +41,8 @@ THRESHOLD = 0.3
 SEED = 11
 # Inputs farther from the mean count as this many standard deviations.
 FARTHEST = 6.0
-# Texts of so many bytes are pooled at once: their words' vectors are some 50 MB.
-POOL_CHARS = 1_000_000
+# Words of a text whose vectors are looked up at once: some 10 MB.
+PIECE_WORDS = 50_000
 _PARTS = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+|_+")
 CAPITALS = "\x01capitals"
 
@@ -56,6 +56,8 @@ def index_vectors(rows: int = ROWS, dimensions: int = DIMENSIONS, nonzero: int =
 
 def parts(token: str) -> list[str]:
     """Words of a run without white space."""
+    if token.isalpha() and (len(token) == 1 or not token.isupper()):
+        return [token.lower()]
     out = []
     for part in _PARTS.findall(token):
         if len(part) > 1 and part.isupper():
@@ -116,7 +118,7 @@ def word_vectors(docs: DataFrame, rows: int = ROWS, dimensions: int = DIMENSIONS
                 [pa.array(used), pa.array(counts[used]), *(pa.array(sums[used, k]) for k in range(dimensions))], names=["row", "n", *names])
 
     schema = "row long, n long, " + ", ".join(f"{c} long" for c in names)
-    summed = docs.select(F.col("text").cast("string")).mapInArrow(run, schema).groupBy("row").agg(*[F.sum(c).alias(c) for c in ["n", *names]])
+    summed = in_arrow(docs.select(F.col("text").cast("string")), run, schema).groupBy("row").agg(*[F.sum(c).alias(c) for c in ["n", *names]])
     got = summed.toArrow()  # `rows` rows at most
     places, signs = index_vectors(rows, dimensions)
     own = np.zeros((rows, dimensions))
@@ -145,24 +147,20 @@ def pooled(texts: pa.Array, vectors: np.ndarray) -> np.ndarray:
     words, bounds = word_rows(texts, len(vectors))
     n = np.diff(bounds)
     out = np.zeros((len(n), pooled_width(vectors)), np.float32)
-    full = np.flatnonzero(n)
-    if len(full):
-        dimensions = vectors.shape[1]
-        # Few hundred thousand words at a time; a longer text is added up in pieces.
-        sums, squares = np.zeros((len(n), dimensions)), np.zeros((len(n), dimensions))
-        text = np.repeat(np.arange(len(n)), n)
-        for start in range(0, len(words), 200_000):
-            part, owner = vectors[words[start:start + 200_000]], text[start:start + 200_000]
-            first = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
-            sums[owner[first]] += np.add.reduceat(part, first, axis=0)
-            squares[owner[first]] += np.add.reduceat(part * part, first, axis=0)
-        mean = sums[full] / n[full, None]
-        spread = np.sqrt(np.maximum(squares[full] / n[full, None] - mean * mean, 0))
-        again = np.zeros(len(words), bool)
-        for d in range(1, WINDOW + 1):
-            again[d:] |= (words[d:] == words[:-d]) & (text[d:] == text[:-d])
-        more = [np.linalg.norm(mean, axis=1), np.bincount(text[again], minlength=len(n))[full] / n[full], np.log1p(n[full])]
-        out[full] = np.concatenate([mean, spread, np.stack(more, axis=1)], axis=1)
+    again = np.zeros(len(words), bool)
+    text = np.repeat(np.arange(len(n)), n)
+    for d in range(1, WINDOW + 1):
+        again[d:] |= (words[d:] == words[:-d]) & (text[d:] == text[:-d])
+    repeated = np.bincount(text[again], minlength=len(n))
+    for i in np.flatnonzero(n).tolist():
+        total, squares = np.zeros(vectors.shape[1]), np.zeros(vectors.shape[1])
+        for start in range(bounds[i], bounds[i + 1], PIECE_WORDS):
+            part = vectors[words[start:min(start + PIECE_WORDS, bounds[i + 1])]]
+            total += part.sum(axis=0)
+            squares += np.einsum("ij,ij->j", part, part)
+        mean = total / n[i]
+        spread = np.sqrt(np.maximum(squares / n[i] - mean * mean, 0))
+        out[i] = np.concatenate([mean, spread, [np.sqrt(mean @ mean), repeated[i] / n[i], np.log1p(n[i])]])
     return out
 
 
@@ -253,29 +251,29 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) ->
     shared = spark.sparkContext.broadcast(vectors)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, chars=POOL_CHARS):
+        for batch in slices(batches):
             x = pooled(batch.column("text"), shared.value)
             flat = pa.ListArray.from_arrays(pa.array(np.arange(0, x.size + 1, x.shape[1]), pa.int32()), pa.array(x.ravel()))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), flat], names=["doc_id", "label", "x"])
 
     # The labelled rows are bounded, and so is what is broadcast and what comes back.
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(F.broadcast(known), "doc_id")
-    got = rows.mapInArrow(run, "doc_id long, label int, x array<float>").toArrow().sort_by([("doc_id", "ascending"), ("label", "ascending")])
+    got = in_arrow(rows, run, "doc_id long, label int, x array<float>").toArrow().sort_by([("doc_id", "ascending"), ("label", "ascending")])
     width = pooled_width(vectors)
     x = got.column("x").combine_chunks().flatten().to_numpy().reshape(-1, width) if got.num_rows else np.zeros((0, width), np.float32)
     return Classifier(vectors, train(x, got.column("label").to_numpy().astype(np.float64)))
 
 
-def scored(docs: DataFrame, model: Classifier) -> DataFrame:
-    """All columns of docs and a last one, `_score`."""
+def scored(docs: DataFrame, model: Classifier, column: str = "_score") -> DataFrame:
+    """All columns of docs and the score as a last one."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, chars=POOL_CHARS):
+        for batch in slices(batches):
             score = pa.array(shared.value.scores(batch.column("text")).astype(np.float64))
-            yield pa.RecordBatch.from_arrays([*batch.columns, score], names=[*batch.schema.names, "_score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, score], names=[*batch.schema.names, column])
 
-    return docs.mapInArrow(run, with_fields(docs, _score="double"))
+    return in_arrow(docs, run, with_fields(docs, **{column: "double"}))
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:

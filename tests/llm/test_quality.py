@@ -28,8 +28,8 @@ def test_hard_texts(spark, hard_docs, no_docs):
     assert len(out) == hard_docs.count() and all(0 <= r.score <= 1 for r in out)
     empty = {round(r.score, 9) for r in out if r.doc_id in (0, 1, 2)}
     assert len(empty) == 1  # null, empty and blank texts are alike
-    kept = quality.scored(hard_docs, quality.fit(hard_docs, labels))
-    assert kept.columns == [*hard_docs.columns, "_score"]
+    kept = quality.scored(hard_docs, quality.fit(hard_docs, labels), "found")
+    assert kept.columns == [*hard_docs.columns, "found"]
     assert quality.quality_scores(no_docs, labels).count() == 0
 
 
