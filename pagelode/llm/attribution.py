@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagelode.llm.common import query, slices, table
+from pagelode.llm.common import in_arrow, query, slices, table
 from pagelode.llm.tokens import Encoder
 
 OUTPUT = "doc_id long, section int, start long, end long, n_tokens long, token_share double, n_crossing long"
@@ -107,7 +107,7 @@ def token_counts(docs: DataFrame, sections: str | None = None) -> DataFrame:
             names = [c.split()[0] for c in OUTPUT.split(", ")]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(kept, kinds)], names=names)
 
-    return narrow.mapInArrow(run, OUTPUT)
+    return in_arrow(narrow, run, OUTPUT)
 
 
 def fields(rows: DataFrame, columns: list[str], between: str = "\n") -> DataFrame:

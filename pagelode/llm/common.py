@@ -39,7 +39,17 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """Write once below the shared folder and read back: lineage is cut, lost executors lose nothing."""
     path = workdir(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete the tables of `stored` frames that nothing reads any more."""
+    for df in frames:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def fold(doc_id: str = "doc_id", folds: int = 5):

@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagelode.llm.common import query, slices, table
+from pagelode.llm.common import in_arrow, query, slices, table
 
 SHINGLE_WORDS = 5
 THRESHOLD = 0.8
@@ -179,7 +179,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, n: int = SHINGLE_WORDS, thresho
     schema = "doc_id long, item_id long, n_shingles long, n_shared long"
     out = None
     for rows in item_blocks(benchmark, block_chars):
-        found = narrow.mapInArrow(_search(rows, n, threshold, False), schema)
+        found = in_arrow(narrow, _search(rows, n, threshold, False), schema)
         out = found if out is None else out.unionByName(found)
     if out is None:
         out = narrow.limit(0).mapInArrow(_search([], n, threshold, False), schema)
@@ -190,7 +190,7 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, n: int = SHINGLE_WORDS,
                   block_chars: int = BLOCK_CHARS) -> DataFrame:
     """The documents into which no item leaks, all their columns kept."""
     for rows in item_blocks(benchmark, block_chars):
-        docs = docs.mapInArrow(_search(rows, n, threshold, True), docs.schema)
+        docs = in_arrow(docs, _search(rows, n, threshold, True), docs.schema)
     return docs
 
 

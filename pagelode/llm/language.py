@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagelode.llm.common import fold, query, slices, table, with_fields
+from pagelode.llm.common import fold, in_arrow, query, slices, table, with_fields
 
 FEATURES = 1 << 17
 MAX_NGRAM = 4
@@ -234,7 +234,7 @@ def fit(docs: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE, sentences:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["doc_id", "lang", "words"])
 
     # Bounded by documents per language times sentences of at most 32 words.
-    got = chosen.mapInArrow(run, "doc_id long, lang string, words array<string>").toArrow().to_pylist()
+    got = in_arrow(chosen, run, "doc_id long, lang string, words array<string>").toArrow().to_pylist()
     labels = sorted(counts)
     rows = sorted(((labels.index(r["lang"]), r["words"]) for r in got), key=lambda r: (r[0], r[1]))
     rng = np.random.default_rng(SEED)
@@ -247,8 +247,8 @@ def fit(docs: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE, sentences:
     return train(chains, tags, labels) if chains else Field(labels, np.zeros((len(labels), FEATURES), np.float32), np.zeros(len(labels)), np.zeros((len(labels),) * 2))
 
 
-def identified(docs: DataFrame, model: Field) -> DataFrame:
-    """All columns of docs and two last ones, `_lang` and `_share`."""
+def identified(docs: DataFrame, model: Field, columns: tuple[str, str] = ("_lang", "_share")) -> DataFrame:
+    """All columns of docs and two last ones: the language and its share of the letters."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -259,9 +259,9 @@ def identified(docs: DataFrame, model: Field) -> DataFrame:
             best = np.where(most > 0, share.argmax(axis=1) if share.shape[1] else 0, len(labels) - 1)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(labels[best], pa.string()), pa.array(np.clip(most, 0, 1))],
-                names=[*batch.schema.names, "_lang", "_share"])
+                names=[*batch.schema.names, *columns])
 
-    return docs.mapInArrow(run, with_fields(docs, _lang="string", _share="double"))
+    return in_arrow(docs, run, with_fields(docs, **dict(zip(columns, ("string", "double")))))
 
 
 def languages(docs: DataFrame) -> DataFrame:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagelode.llm.common import query, slices, stored, table
+from pagelode.llm.common import in_arrow, query, slices, stored, table
 from pagelode.llm.tokens import Encoder
 
 CAPACITY = 2048
@@ -68,7 +68,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, with_ids: bool = False) ->
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
     narrow = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return narrow.mapInArrow(run, PIECE + (", ids array<int>" if with_ids else ""))
+    return in_arrow(narrow, run, PIECE + (", ids array<int>" if with_ids else ""))
 
 
 def best_fit(lengths: np.ndarray, capacity: int) -> list[list[int]]:

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagelode.llm.common import query, stored, table, with_fields
+from pagelode.llm.common import discard, gathered, in_arrow, query, stored, table, unused, with_fields
 from pagelode.operators.spread import lookup_join
 
 SHINGLE_WORDS = 3
@@ -41,6 +41,7 @@ HOT_MEMBERS = 20_000
 # Buckets up to this many fingerprints are compared by shifting whole batches against themselves.
 SMALL_BUCKET = 8
 HASHES_AT_ONCE = 65_536
+ROWS_AT_ONCE = 100_000
 
 
 def shingle_hashes(text: str | None, n: int = SHINGLE_WORDS) -> np.ndarray:
@@ -82,7 +83,7 @@ def fingerprints(docs: DataFrame, n: int = SHINGLE_WORDS) -> DataFrame:
             marks = [fingerprint(shingle_hashes(text.as_py(), n)) for text in batch.column("text")]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(marks, pa.int64())], names=[*kept, "mark"])
 
-    return docs.mapInArrow(run, with_fields(docs.select(*kept), mark="long"))
+    return in_arrow(docs, run, with_fields(docs.select(*kept), mark="long"))
 
 
 def anchors_of(half: np.ndarray) -> np.ndarray:
@@ -117,7 +118,7 @@ def replicas(marks: DataFrame) -> DataFrame:
     """A row per distinct fingerprint and anchor: anchor (with the number of its half) and mark."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in gathered(batches, ROWS_AT_ONCE // 32):
             mark = batch.column("mark").to_numpy()
             bits = mark.view(np.uint64)
             for part in (0, 1):
@@ -128,7 +129,7 @@ def replicas(marks: DataFrame) -> DataFrame:
                     pa.array((words[first] | np.uint64(part << HALF_BITS)).astype(np.int64)),
                     pa.array(np.broadcast_to(mark[:, None], words.shape)[first])], names=["anchor", "mark"])
 
-    return marks.select("mark").mapInArrow(run, "anchor long, mark long")
+    return in_arrow(marks.select("mark"), run, "anchor long, mark long")
 
 
 def differing(a: np.ndarray, b: np.ndarray | np.int64) -> np.ndarray:
@@ -180,7 +181,7 @@ def links_at_anchors(members: DataFrame, keys: list[str], max_bits: int) -> Data
             b = np.concatenate([*right, np.empty(0, np.int64)])
             return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
-        for batch in batches:
+        for batch in gathered(batches, ROWS_AT_ONCE):
             if not batch.num_rows:
                 continue
             held_key = np.concatenate([held_key, np.stack([batch.column(k).to_numpy() for k in keys], axis=1)])
@@ -213,7 +214,9 @@ def fingerprint_links(marks: DataFrame, max_bits: int = MAX_BITS, hot_members: i
             .select("anchor", "mark", F.explode(F.array(*[F.lit(256 * k) + byte(k) for k in range(4)])).alias("part")))
         links = links_at_anchors(members.join(hot.select("anchor"), "anchor", "left_anti"), ["anchor"], max_bits).unionByName(
             links_at_anchors(divided, ["anchor", "part"], max_bits))
-    return links.distinct()
+    found = stored(links.distinct(), "near")
+    discard(members, hot)
+    return found
 
 
 def components(links: DataFrame, rounds: int = 60) -> DataFrame:
@@ -234,11 +237,13 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
         # Large star: each larger neighbour of n is tied to the least of n and its neighbours.
         large = both.where("m > n").join(least, "n").select(F.col("m").alias("u"), F.col("low").alias("v")).distinct()
         large = stored(large, "large-star")
+        last = edges
         # Small star: the smaller neighbours of n and n itself are tied to the least of them.
         low = large.groupBy("u").agg(F.min("v").alias("low"))
         edges = stored(
             large.join(low, "u").where("v <> low").select(F.col("v").alias("u"), F.col("low").alias("v"))
             .union(low).distinct(), "small-star")
+        discard(large, last)
         now = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
         if now == before:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
@@ -279,15 +284,17 @@ def one_of_each(docs: DataFrame, n: int = SHINGLE_WORDS, max_bits: int = MAX_BIT
         .select(F.col("first.doc_id").alias("_id"), F.col("first.key").alias("_key"), F.col("first.copies").alias("_copies")), "kept")
 
     def held(wanted: DataFrame) -> DataFrame:
-        same = F.col("doc_id").cast("long").eqNullSafe(wanted["_id"]) & (key == wanted["_key"])
-        return docs.join(wanted, same, "left_semi")
+        # Built as a hash table of the narrow side, so that texts are dealt out but not sorted.
+        same = docs["doc_id"].cast("long").eqNullSafe(wanted["_id"]) & (F.xxhash64(docs["text"].cast("string")) == wanted["_key"])
+        return docs.join(wanted.hint("shuffle_hash"), same, "left_semi")
 
     single = held(kept.where("_copies = 1"))
     repeated = kept.where("_copies > 1")
     if repeated.isEmpty():
         return single
-    again = held(repeated).withColumn("_key", key)
-    return single.unionByName(again.dropDuplicates(["doc_id", "_key"]).drop("_key"))
+    name = unused(docs, "_key")
+    again = held(repeated).withColumn(name, key)
+    return single.unionByName(again.dropDuplicates(["doc_id", name]).drop(name))
 
 
 @query("op6_simhash")

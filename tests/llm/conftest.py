@@ -14,9 +14,10 @@ HARD_TEXTS = [None, "", " \n\t ", "one", "one two", "a b c " * 40, "Ünïcode 
 @pytest.fixture(scope="module")
 def hard_docs(spark):
     """Nulls in every column, empty and long texts, repeated rows and ids, columns with clashing names."""
-    rows = [(i, t, "en", "s", 1, "x", 7, 1.0) for i, t in enumerate(HARD_TEXTS)]
-    rows += [rows[5], (5, "another text under a used id", None, None, None, None, None, None), (None, "a text without an id", "fr", "t", 3, "y", 8, 2.0)]
-    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, mark string, shard int, score double")
+    rows = [(i, t, "en", "s", 1, "x", 7, 1.0, "k", 5) for i, t in enumerate(HARD_TEXTS)]
+    rows += [rows[5], (5, "another text under a used id", *[None] * 8), (None, "a text without an id", "fr", "t", 3, "y", 8, 2.0, "l", 6)]
+    return spark.createDataFrame(
+        rows, "doc_id long, text string, lang string, source string, n_chars long, mark string, shard int, _score double, _key string, _share int")
 
 
 @pytest.fixture(scope="module")

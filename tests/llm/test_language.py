@@ -40,8 +40,8 @@ def test_hard_texts(spark, hard_docs, no_docs):
     assert len(out) == docs.count()
     blank = [r for r in out if r.doc_id in (0, 1, 2) and r.lang_pred == "und"]
     assert len(blank) == 3 and {r.score for r in blank} == {0.0}
-    kept = language.identified(hard_docs, language.fit(docs))
-    assert kept.columns == [*hard_docs.columns, "_lang", "_share"]
+    kept = language.identified(hard_docs, language.fit(docs), ("found", "part"))
+    assert kept.columns == [*hard_docs.columns, "found", "part"]
     assert language.languages(no_docs).count() == 0
 
 
