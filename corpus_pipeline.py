@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagelode.llm import decontamination, language, packing, quality, simhash
-from pagelode.llm.common import stored, table
+from pagelode.llm.common import stored, table, unused
 
 # Below this share of its letters in one language a text is in none.
 MIN_LANGUAGE_SHARE = 1 / 3
@@ -23,14 +23,15 @@ MIN_LANGUAGE_SHARE = 1 / 3
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are of label 1 with the classifier's threshold or more."""
-    model = quality.fit(docs, table(spark, sf_dir, "labels"))
-    return quality.scored(docs, model).where(F.col("_score") >= quality.THRESHOLD).select(*docs.columns)
+    model, score = quality.fit(docs, table(spark, sf_dir, "labels")), unused(docs, "_score")
+    return quality.scored(docs, model, score).where(F.col(score) >= quality.THRESHOLD).select(*docs.columns)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a language: some letter, and enough of them in one language."""
-    found = language.identified(docs, language.fit(docs))
-    return found.where((F.col("_lang") != language.UNKNOWN) & (F.col("_share") >= MIN_LANGUAGE_SHARE)).select(*docs.columns)
+    lang, share = unused(docs, "_lang"), unused(docs, "_share")
+    found = language.identified(docs, language.fit(docs), (lang, share))
+    return found.where((F.col(lang) != language.UNKNOWN) & (F.col(share) >= MIN_LANGUAGE_SHARE)).select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
