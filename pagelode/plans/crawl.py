@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import time
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -12,7 +14,7 @@ from pagelode.functions import html, urls
 from pagelode.operators import frontier, links, robots
 from pagelode.options import CrawlOptions
 from pagelode.session import no_rows, through_table, workdir
-from pagelode.sources import index, url_batches
+from pagelode.sources import crawl_log, index, url_batches
 
 
 @dataclass(frozen=True)
@@ -65,22 +67,22 @@ def crawl_step(batch: DataFrame, store: DataFrame, visited: DataFrame | None, di
 
     A page is indexed before its links are judged. A page that is missing or denied is
     acknowledged like any other and leaves no document. The batch is joined to the store once;
-    what came of it is written with the links that passed, and the rest works on that.
+    what came of it is written as the round's documents, and the rest works on that.
     """
     path = path or workdir(batch.sparkSession, "step")
     due, _ = depth_gate(batch, options.max_depth)
     if rules is not None:
         due = robots.robots_filter(due, rules, options.robots_agent).where("allowed").select(*batch.columns)
-    found = due.join(store, "url")
+    found = through_table(due.join(store, "url"), f"{path}/documents")
     cap = options.max_urls_per_page
-    read = found.select("url", F.lit(True).alias("fetched"), links.accepted_links(F.col("links"), cap).alias("links"))
     acks = through_table(
-        frontier.with_domain(batch.select("url", "depth", "seq")).join(read, "url", "left").select(
-            "url", "depth", "seq", "domain", F.coalesce("fetched", F.lit(False)).alias("fetched"), "links"),
+        frontier.with_domain(batch.select("url", "depth")).join(
+            found.select("url", F.lit(True).alias("fetched")), "url", "left").select(
+            "url", "depth", "domain", F.coalesce("fetched", F.lit(False)).alias("fetched")),
         f"{path}/acks")
-    offered = acks.select(
+    offered = found.select(
         F.col("url").alias("src"), F.col("seq").alias("_page"), F.col("depth").alias("_depth"),
-        F.posexplode("links").alias("_pos", "url"))
+        F.posexplode(links.accepted_links(F.col("links"), cap)).alias("_pos", "url"))
     candidates = offered.select(
         (F.col("_page") * (cap + 1) + F.col("_pos") + 1).alias("seq"), "src", "url",
         (F.col("_depth") + 1).alias("depth"),
@@ -88,7 +90,7 @@ def crawl_step(batch: DataFrame, store: DataFrame, visited: DataFrame | None, di
     decision = frontier.decide(
         candidates, visited, discovered, domain_counts, budgets, queue_size,
         options.max_frontier_queue_size, options.domain_max_requests_default, f"{path}/facts")
-    return CrawlStep(found, decision, acks.drop("seq", "links"))
+    return CrawlStep(found, decision, acks)
 
 
 class CrawlState:
@@ -102,7 +104,7 @@ class CrawlState:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
 
-    _PROGRESS = "round int, batch_size long, added long, left_over long, pages_crawled long"
+    _PROGRESS = "round int, batch_size long, added long, left_over long, pages_crawled long, at double, seconds double"
     _QUEUE = frontier.QUEUE
     _ACKS = "url string, depth int, domain string, fetched boolean"
 
@@ -132,9 +134,35 @@ class CrawlState:
     def acks(self, r: int) -> DataFrame:
         return self.read("acks", self._ACKS, 1, r)
 
-    def documents(self, store: DataFrame) -> DataFrame:
-        """The pages read so far, as stored."""
-        return store.join(self.acks(self.last().round).where("fetched").select("url", "depth"), "url")
+    def _outputs(self, name: str) -> DataFrame | None:
+        """What the finished rounds wrote, with its own columns and the round; None before the first."""
+        last = self.last()
+        if last is None or not last.round:
+            return None
+        rounds = [self.spark.read.parquet(f"{self.folder(r)}/{name}").withColumn("round", F.lit(r)) for r in range(1, last.round + 1)]
+        return functools.reduce(DataFrame.unionByName, rounds)
+
+    def documents(self) -> DataFrame | None:
+        """The pages read so far, to be indexed: all columns of the store, depth and round."""
+        found = self._outputs("documents")
+        return None if found is None else found.drop("seq")
+
+    def messages(self) -> DataFrame | None:
+        """The URL batches published so far: round, batch, value."""
+        return self._outputs("messages")
+
+    def rejects(self) -> DataFrame | None:
+        """Rejected links per reason, for pages that have any."""
+        return self._outputs("rejects")
+
+    def log(self, worker_id: str = "crawl") -> DataFrame:
+        """A log line per finished round."""
+        rows = self.progress().where("round > 0").select(
+            F.timestamp_seconds("at").alias("ts"), F.lit("INFO").alias("level"), F.lit("crawl_batch_complete").alias("message"),
+            F.lit(worker_id).alias("worker_id"), "batch_size", (F.col("added") + F.col("left_over")).alias("queue_size"),
+            F.lit(0).alias("inflight_size"), "pages_crawled",
+            F.round(F.col("batch_size") / F.greatest("seconds", F.lit(1.0)), 2).alias("indexed_rate"))
+        return crawl_log.log_lines(rows)
 
     def domains(self, r: int) -> DataFrame:
         return self.read("domains", "domain string, n long", r, r)
@@ -145,8 +173,10 @@ class CrawlState:
     def write(self, df: DataFrame, name: str, r: int) -> None:
         df.write.mode("overwrite").parquet(f"{self.folder(r)}/{name}")
 
-    def commit(self, r: int, batch_size: int, added: int, left_over: int, pages_crawled: int):
-        done = Row(round=r, batch_size=batch_size, added=added, left_over=left_over, pages_crawled=pages_crawled)
+    def commit(self, r: int, batch_size: int, added: int, left_over: int, pages_crawled: int, began: float | None = None):
+        now = time.time()
+        done = Row(round=r, batch_size=batch_size, added=added, left_over=left_over, pages_crawled=pages_crawled,
+                   at=now, seconds=now - (began or now))
         columns = [F.lit(done[f.split(" ")[0]]).cast(f.split(" ")[1]).alias(f.split(" ")[0])
                    for f in self._PROGRESS.split(", ")]
         self.spark.range(0, 1, 1, 1).select(*columns).write.mode("append").parquet(f"{self.path}/progress")
@@ -161,14 +191,16 @@ def _budget_frame(spark: SparkSession, budgets: dict) -> DataFrame | None:
 
 def crawl_bfs(store: DataFrame, start: DataFrame, path: str, options: CrawlOptions = CrawlOptions(),
               batch_size: int | None = None, max_rounds: int | None = None,
-              rules: DataFrame | None = None, stored: bool = False) -> CrawlState:
+              rules: DataFrame | None = None, stored: bool = False, published_at: Column | None = None) -> CrawlState:
     """Rounds of `crawl_step` until `max_pages` are visited or no work is left.
 
     `batch_size` reserves that many URLs per round; without it a round takes the whole queue,
     which is one level of the search. The page limit is checked between rounds, so the last
     round may go beyond it. Called again on the same path, it goes on where it stopped.
     The URLs and links of the store are written first, because every round reads them, unless
-    `stored` says that the store is a table already.
+    `stored` says that the store is a table already. Every round leaves its documents, URL
+    batches (of the time `published_at`, now if not given), rejected links and a row of
+    progress; see `CrawlState`.
     """
     spark = store.sparkSession
     state = CrawlState(spark, path)
@@ -176,14 +208,14 @@ def crawl_bfs(store: DataFrame, start: DataFrame, path: str, options: CrawlOptio
     last = state.last()
     if not stored:
         if last is None:
-            store.select("url", "links").write.mode("overwrite").parquet(f"{path}/store")
-        store = spark.read.schema("url string, links array<string>").parquet(f"{path}/store")
+            store.write.mode("overwrite").parquet(f"{path}/store")
+        store = spark.read.schema(store.schema).parquet(f"{path}/store")
     last = last or _begin(state, start, options, budgets)
     rounds = 0
     while last.added + last.left_over and last.pages_crawled < options.max_pages:
         if max_rounds is not None and rounds >= max_rounds:
             break
-        last = _round(state, last, store, options, budgets, batch_size, rules)
+        last = _round(state, last, store, options, budgets, batch_size, rules, published_at)
         rounds += 1
     return state
 
@@ -203,8 +235,8 @@ def _begin(state: CrawlState, start: DataFrame, options: CrawlOptions, budgets:
 
 
 def _round(state: CrawlState, last, store: DataFrame, options: CrawlOptions, budgets: DataFrame | None,
-           batch_size: int | None, rules: DataFrame | None):
-    r = last.round + 1
+           batch_size: int | None, rules: DataFrame | None, published_at: Column | None):
+    r, began = last.round + 1, time.time()
     queue, waiting = state.queue(last), last.added + last.left_over
     ordered = queue.orderBy(*frontier.queue_order(("round", "seq")))
     reserved = ordered.limit(batch_size) if batch_size else ordered
@@ -223,4 +255,7 @@ def _round(state: CrawlState, last, store: DataFrame, options: CrawlOptions, bud
     counts = state.domains(last.round).unionByName(
         state.read("acks", state._ACKS, r, r).groupBy("domain").agg(F.count(F.lit(1)).alias("n")))
     state.write(counts.groupBy("domain").agg(F.sum("n").alias("n")), "domains", r)
-    return state.commit(r, taken, step.admission.added, left_over, last.pages_crawled + taken)
+    now = F.date_format(F.timestamp_seconds(F.lit(began)), "yyyy-MM-dd'T'HH:mm:ss")
+    state.write(step.messages(now if published_at is None else published_at, options.url_batch_size), "messages", r)
+    state.write(step.rejects(), "rejects", r)
+    return state.commit(r, taken, step.admission.added, left_over, last.pages_crawled + taken, began)

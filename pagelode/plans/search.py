@@ -40,15 +40,16 @@ def looked_up(rows: DataFrame, words: list[str], buckets: list[int]) -> DataFram
 
 
 def asked_terms(index: TextIndex, queries: DataFrame,
-                options: SearchOptions = SearchOptions()) -> tuple[DataFrame, list[str] | None]:
+                options: SearchOptions = SearchOptions(), path: str | None = None) -> tuple[DataFrame, list[str] | None]:
     """What the queries look up, stored, and the terms of it if that is small enough to be
-    broadcast: terms, and with them queries and results, are counted against a bound."""
+    broadcast: terms, and with them queries and results, are counted against a bound. The table is
+    written to `path` (a new folder if none is given); it is of no use once the results are read."""
     terms = ranking.query_terms(queries)
     found, words = found_terms(index, terms.select("qterm").distinct())
     asked = ranking.asked_terms(ranking.expansions(found, options), terms).withColumn(
         "term_bucket", ranking.bucket_of(F.col("term"), index.buckets))
     # All weights are above 0; the filter lets the planner prune term buckets by this table.
-    return through_table(asked, workdir(queries.sparkSession, "asked")).where(F.col("weight") > 0), words
+    return through_table(asked, path or workdir(queries.sparkSession, "asked")).where(F.col("weight") > 0), words
 
 
 def term_hits(index: TextIndex, asked: DataFrame, words: list[str] | None) -> DataFrame:
@@ -60,9 +61,9 @@ def term_hits(index: TextIndex, asked: DataFrame, words: list[str] | None) -> Da
 
 
 def search_pool(index: TextIndex, queries: DataFrame,
-                options: SearchOptions = SearchOptions()) -> tuple[DataFrame, bool]:
+                options: SearchOptions = SearchOptions(), path: str | None = None) -> tuple[DataFrame, bool]:
     """The 50 best documents per query, `query_id, doc, score, rank`, and whether they are few."""
-    asked, words = asked_terms(index, queries, options)
+    asked, words = asked_terms(index, queries, options, path)
     scores = ranking.document_scores(term_hits(index, asked, words), index.stats, options, "doc")
     return ranking.search_rank(scores, options.pool_size, "doc"), words is not None
 
@@ -75,12 +76,13 @@ def with_docs(rows: DataFrame, index: TextIndex, columns: tuple[str, ...], small
     return docs.join(F.broadcast(keyed) if small else keyed, ["shard", "doc"]).drop("shard")
 
 
-def search(index: TextIndex, queries: DataFrame, options: SearchOptions = SearchOptions()) -> DataFrame:
+def search(index: TextIndex, queries: DataFrame, options: SearchOptions = SearchOptions(),
+           path: str | None = None) -> DataFrame:
     """Results as shown: `query_id, position, url, title, preview, score`.
 
     URLs are fetched for the pool, titles and contents for the final rows only.
     """
-    pool, small = search_pool(index, queries, options)
+    pool, small = search_pool(index, queries, options, path)
     top = ranking.search_top(with_docs(pool, index, ("url",), small), options)
     title, shown = ranking.result_projection(F.col("title"), F.col("content"), options.preview_chars)
     return with_docs(top, index, ("title", "content"), small).select(

@@ -12,6 +12,7 @@ from pagelode.registry import derived as D
 from pagelode.registry import query
 from pagelode.registry import sql as S
 from pagelode.session import through_table, workdir
+from pagelode.sources import url_batches as batches
 
 _HERE = CrawlOptions(valid_domains=S.DOMAINS)
 
@@ -115,6 +116,46 @@ def crawl_bfs_limits(spark, sf_dir):
     return visited(bfs(spark, sf_dir, _NARROW)[2])
 
 
+# What a crawl leaves behind, over a store whose pages have links that are turned down as well.
+_LEFT = CrawlOptions(max_depth=2)
+
+
+def _left(spark, sf_dir):
+    store = D.wiki_store(spark, sf_dir)
+    extra = F.array_compact(F.array(
+        F.when(F.col("s") % 3 == 0, F.concat("url", F.lit(".png"))), F.when(F.col("s") % 5 == 0, F.concat("url", F.lit("?action=edit"))),
+        F.when(F.col("s") % 5 == 0, F.concat("url", F.lit("_timeline")))))
+    full = store.withColumn("links", F.concat("links", extra)).withColumn("title", F.concat(F.lit("Part "), F.col("s").cast("string")))
+    stored = through_table(full, workdir(spark, "store"))
+    return crawl.crawl_bfs(stored.drop("s"), D.wiki_seeds(stored), workdir(spark, "crawl"), _LEFT, stored=True, published_at=F.lit("now"))
+
+
+_READ = f"{_levels_sql(_LEFT)}, read AS (SELECT DISTINCT url, depth, s FROM found JOIN wiki_links USING (url) WHERE depth <= {_LEFT.max_depth})"
+
+
+@query("crawl_documents", f"""{_READ} SELECT url, 'Part ' || s AS title, depth::INTEGER AS depth, (depth + 1)::INTEGER AS round,
+  (SELECT count(*) FROM wiki_links w WHERE w.url = read.url) + (s % 3 = 0)::INTEGER + 2 * (s % 5 = 0)::INTEGER AS n_links FROM read""")
+def crawl_documents(spark, sf_dir):
+    """Pages to index, with title and all links."""
+    return _left(spark, sf_dir).documents().select("url", "title", "depth", "round", F.size("links").cast("long").alias("n_links"))
+
+
+@query("crawl_rejects", f"""{_READ} SELECT url, (s % 3 = 0)::BIGINT AS extension, (s % 5 = 0)::BIGINT AS query_params, (s % 5 = 0)::BIGINT AS timeline_pages,
+  (s % 3 = 0)::BIGINT + 2 * (s % 5 = 0)::BIGINT AS total FROM read WHERE s % 3 = 0 OR s % 5 = 0""")
+def crawl_rejects(spark, sf_dir):
+    return _left(spark, sf_dir).rejects().select("url", "extension", "query_params", "timeline_pages", "total")
+
+
+@query("crawl_messages", _levels_sql(_LEFT) + ", sent AS (" + " UNION ALL ".join(f"""
+  SELECT {d + 1} AS round, link AS url, {d + 1} AS depth, row_number() OVER (ORDER BY place, pos) - 1 AS n FROM level_{d} JOIN offers USING (url)"""
+    for d in range(_LEFT.max_depth + 1)) + f""")
+SELECT round, n // {_LEFT.url_batch_size} AS batch, (n % {_LEFT.url_batch_size} + 1)::INTEGER AS pos, url, depth, 'now' AS published_at FROM sent""")
+def crawl_messages(spark, sf_dir):
+    """URL batches of every round, as published and read back."""
+    back = batches.read_url_batches(_left(spark, sf_dir).messages())
+    return back.select("round", "batch", "pos", "url", "depth", "published_at")
+
+
 @query("resume_state", _bfs_sql())
 def resume_state(spark, sf_dir):
     """The same crawl, stopped after one round and taken up again from its tables."""

@@ -24,11 +24,11 @@ def latest_page_ids(pages: DataFrame) -> DataFrame:
 def fetched(frontier: DataFrame, pages: DataFrame) -> DataFrame:
     """Frontier rows with the HTML of their page; null HTML is a failed fetch.
 
-    Ids are matched first, on narrow columns. The HTML is joined to the matched rows only, as
-    an inner join, so that a small frontier is broadcast and the store is not shuffled.
+    Ids are matched first, on narrow columns and once: both parts below read the same exchanges. The
+    HTML is joined to the matched rows only, as an inner join, so that a small frontier is
+    broadcast and the store is not shuffled.
     """
-    ids = latest_page_ids(pages)
-    hits = pages.select("page_id", "html").join(frontier.join(ids, "url"), "page_id")
-    misses = frontier.join(ids, "url", "left_anti").select(
-        "*", F.lit(None).cast("long").alias("page_id"), F.lit(None).cast("string").alias("html"))
+    matched = frontier.join(latest_page_ids(pages), "url", "left")
+    hits = pages.select("page_id", "html").join(matched.where(F.col("page_id").isNotNull()), "page_id")
+    misses = matched.where(F.col("page_id").isNull()).withColumn("html", F.lit(None).cast("string"))
     return hits.unionByName(misses)

@@ -88,7 +88,25 @@ def test_stop_and_go_on(spark):
     assert a.exceptAll(b).count() == b.exceptAll(a).count() == 0 < b.count()
     counts = {r.domain: r.n for r in resumed.domains(resumed.last().round).collect()}
     assert sum(counts.values()) == b.count()
-    assert resumed.documents(store).count() == b.where("fetched").count()
+    assert resumed.documents().count() == b.where("fetched").count()
+    lines = [json.loads(r.value) for r in resumed.log("w").collect()]
+    assert {x["pages_crawled"] for x in lines} == {r.pages_crawled for r in resumed.progress().where("round > 0").collect()}
+    assert all(x["message"] == "crawl_batch_complete" and x["worker_id"] == "w" for x in lines)
+    assert crawl.CrawlState(spark, workdir(spark, "none")).documents() is None
+
+
+def test_a_crawl_leaves_documents_batches_and_rejects(spark):
+    links, names = graph(6)
+    store, start = frames(spark, links, names[:3])
+    full = store.withColumn("title", F.concat(F.lit("T "), "url"))
+    state = crawl.crawl_bfs(full, start, workdir(spark, "crawl"), published_at=F.lit("t"))
+    read = {r.url for r in state.acks(state.last().round).where("fetched").collect()}
+    assert {(r.url, r.title) for r in state.documents().collect()} == {(u, "T " + u) for u in read}
+    bad = {u: sum(t.endswith(".PNG") for t in links[u]) for u in read}
+    assert {(r.url, r.extension, r.total) for r in state.rejects().collect()} == {(u, n, n) for u, n in bad.items() if n}
+    sent = [(x["url"], x["depth"]) for r in state.messages().collect() for x in json.loads(r.value)["items"]]
+    depth = {r.url: r.depth for r in state.documents().collect()}
+    assert sorted(sent) == sorted((t, depth[u] + 1) for u in read for t in links[u] if not t.endswith(".PNG"))
 
 
 def test_denied_pages_are_acknowledged_without_a_document(spark):
