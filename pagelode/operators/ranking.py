@@ -52,10 +52,11 @@ def query_terms(queries: DataFrame) -> DataFrame:
         "query_id", "qterm").agg(F.count(F.lit(1)).alias("qtf"))
 
 
-# A query term emits at most 325 keys of eight bytes and gets at most 50 expansions per field, so up
-# to this many terms (or pairs of terms) the query side stays within a few ten MB.
+# A query term is a few bytes and gets at most 50 expansions per field, so with up to this many terms
+# the query side stays within a few ten MB and may be broadcast.
 SMALL_QUERY_TERMS = 2000
-SMALL_PAIRS = 10_000
+# Up to this many terms are compared with the vocabulary of their lengths; beyond, keys are cheaper.
+FEW_TERMS = 100
 # Up to this many terms are also written into the plan, so that the scans skip what has none of them.
 LITERAL_TERMS = 500
 
@@ -64,50 +65,44 @@ def bucket_of(value: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(value), F.lit(buckets)).cast("int")
 
 
-def _hashed(rows: DataFrame, term: str) -> DataFrame:
-    """A key and its class as one number. What meets by chance is sorted out when it is measured."""
-    return rows.select(F.xxhash64("cls", "key").alias("key"), term)
+def few_terms(terms: DataFrame, vocab: DataFrame) -> DataFrame:
+    """Vocabulary terms within the allowed edits of a few query terms, per field.
 
-
-def term_keys(vocab: DataFrame) -> DataFrame:
-    """`key, term`: the keys by which any query term within reach finds a vocabulary term."""
-    size = F.length("term")
-    near = F.sequence(F.greatest(size - 2, F.lit(3)), size + 2)
-    words = vocab.select("term").distinct().select("term", F.explode(edits.reachable_classes(F.col("term"), near)).alias("cls"))
-    return _hashed(edits.match_keys(words, "term", False), "term").distinct()
-
-
-def asked_keys(terms: DataFrame) -> DataFrame:
-    """`key, qterm` of query terms that may have edits."""
-    size = F.length("qterm")
-    wide = terms.where(size > 2).select("qterm", edits.key_class(size).alias("cls"))
-    return _hashed(edits.match_keys(wide, "qterm", True), "qterm").distinct()
+    One scan of the vocabulary, in which a term meets the query terms of about its length. `terms`
+    has distinct `qterm`, at most `FEW_TERMS`; `vocab` has the `size` of its terms.
+    """
+    most = edits.allowed_edits(F.col("qterm"))
+    asked = terms.select("qterm", most.alias("_most"), F.explode(F.sequence(F.length("qterm") - most, F.length("qterm") + most)).alias("size"))
+    met = vocab.join(F.broadcast(asked), "size").where(F.levenshtein("term", "qterm", 4).between(0, 2 * F.col("_most")))
+    return met.withColumn("edits", edits.edits(F.col("qterm"), F.col("term"))).where(F.col("edits") <= F.col("_most")) \
+        .select("field", "qterm", "term", "df", "edits")
 
 
-def term_pairs(terms: DataFrame, keys: DataFrame, buckets: int | None = None, small: bool = False) -> DataFrame:
-    """`qterm, term, edits`: vocabulary terms within the allowed edits of each query term, and each
-    query term itself with 0.
+def fuzzy_terms(terms: DataFrame, vocab: DataFrame, small: bool = False) -> DataFrame:
+    """Vocabulary terms within the allowed edits of each query term, per field.
 
-    `terms` has distinct `qterm`, `keys` is what `term_keys` gives, with the `key_bucket` it is stored
-    by if `buckets` is given. Candidates come from an equality join on keys and only they are
-    measured. With `small` the query side is broadcast and prunes the buckets that are read.
+    `terms` has distinct `qterm`. Both sides emit keys that any two terms within reach
+    share, so candidates come from an equality join and only they are measured. With `small`
+    the query side is broadcast and the vocabulary is not shuffled.
     """
-    asked = asked_keys(terms)
-    on = ["key"]
-    if buckets:
-        asked = asked.withColumn("key_bucket", bucket_of(F.col("key"), buckets))
-        on.append("key_bucket")
-    met = keys.join(F.broadcast(asked) if small else asked, on).where(F.col("term") != F.col("qterm")) \
+    give = F.broadcast if small else (lambda df: df)
+    exact = vocab.join(give(terms), vocab.term == terms.qterm).select(
+        "field", "qterm", "term", "df", F.lit(0).alias("edits"))
+    wide = terms.withColumn("qlen", F.length("qterm")).where(F.col("qlen") > 2)
+    asked = edits.match_keys(
+        wide.select("qterm", edits.key_class(F.col("qlen")).alias("cls")), "qterm", True)
+    # Distinct lengths of query terms: one short array.
+    sizes = wide.agg(F.collect_set("qlen")).scalar()
+    # A term of both fields is offered twice; that is cheaper than a shuffle of the vocabulary.
+    words = vocab.select("term").withColumn("sizes", sizes).select(
+        "term", F.explode(edits.reachable_classes(F.col("term"), F.col("sizes"))).alias("cls"))
+    offered = edits.match_keys(words, "term", False)
+    pairs = offered.join(give(asked), ["cls", "key"]).where(F.col("term") != F.col("qterm")) \
         .where(F.levenshtein("term", "qterm", 4) >= 0).select("qterm", "term").distinct()
-    measured = met.withColumn("edits", edits.edits(F.col("qterm"), F.col("term"))) \
+    measured = pairs.withColumn("edits", edits.edits(F.col("qterm"), F.col("term"))) \
         .where(F.col("edits") <= edits.allowed_edits(F.col("qterm")))
-    return measured.unionByName(terms.select("qterm", F.col("qterm").alias("term"), F.lit(0).alias("edits")))
-
-
-def fuzzy_terms(pairs: DataFrame, vocab: DataFrame, small: bool = False) -> DataFrame:
-    """Pairs whose term is in the vocabulary, per field with its document frequency."""
-    on = ["term"] + (["term_bucket"] if {"term_bucket"} <= set(pairs.columns) & set(vocab.columns) else [])
-    return vocab.join(F.broadcast(pairs) if small else pairs, on).select("field", "qterm", "term", "df", "edits")
+    fuzzy_hits = measured.join(vocab, "term").select("field", "qterm", "term", "df", "edits")
+    return exact.unionByName(fuzzy_hits)
 
 
 def expansions(matches: DataFrame, options: SearchOptions = SearchOptions()) -> DataFrame:

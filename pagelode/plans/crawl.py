@@ -40,7 +40,11 @@ class CrawlStep:
 
     def rejects(self) -> DataFrame:
         """Rejected links per reason, for pages that have any."""
-        return links.reject_stats(links.link_rows(self.found, ("url",)), ("url",)).where(F.col("total") > 0)
+        return rejected_links(self.found)
+
+
+def rejected_links(documents: DataFrame) -> DataFrame:
+    return links.reject_stats(links.link_rows(documents, ("url",)), ("url",)).where(F.col("total") > 0)
 
 
 def depth_gate(batch: DataFrame, max_depth: int = CrawlOptions.max_depth) -> tuple[DataFrame, DataFrame]:
@@ -75,11 +79,6 @@ def crawl_step(batch: DataFrame, store: DataFrame, visited: DataFrame | None, di
         due = robots.robots_filter(due, rules, options.robots_agent).where("allowed").select(*batch.columns)
     found = through_table(due.join(store, "url"), f"{path}/documents")
     cap = options.max_urls_per_page
-    acks = through_table(
-        frontier.with_domain(batch.select("url", "depth")).join(
-            found.select("url", F.lit(True).alias("fetched")), "url", "left").select(
-            "url", "depth", "domain", F.coalesce("fetched", F.lit(False)).alias("fetched")),
-        f"{path}/acks")
     offered = found.select(
         F.col("url").alias("src"), F.col("seq").alias("_page"), F.col("depth").alias("_depth"),
         F.posexplode(links.accepted_links(F.col("links"), cap)).alias("_pos", "url"))
@@ -90,7 +89,14 @@ def crawl_step(batch: DataFrame, store: DataFrame, visited: DataFrame | None, di
     decision = frontier.decide(
         candidates, visited, discovered, domain_counts, budgets, queue_size,
         options.max_frontier_queue_size, options.domain_max_requests_default, f"{path}/facts")
-    return CrawlStep(found, decision, acks)
+    return CrawlStep(found, decision, acks(batch, found))
+
+
+def acks(batch: DataFrame, found: DataFrame) -> DataFrame:
+    """All rows of the batch as acknowledged, with their domain and whether their page was read."""
+    read = found.select("url", F.lit(True).alias("fetched"))
+    return frontier.with_domain(batch.select("url", "depth")).join(read, "url", "left").select(
+        "url", "depth", "domain", F.coalesce("fetched", F.lit(False)).alias("fetched"))
 
 
 class CrawlState:
@@ -106,7 +112,7 @@ class CrawlState:
 
     _PROGRESS = "round int, batch_size long, added long, left_over long, pages_crawled long, at double, seconds double"
     _QUEUE = frontier.QUEUE
-    _ACKS = "url string, depth int, domain string, fetched boolean"
+    _BATCH = "url string, depth int, seq long"
 
     def progress(self) -> DataFrame:
         return self.spark.read.schema(self._PROGRESS).parquet(f"{self.path}/progress")
@@ -132,7 +138,9 @@ class CrawlState:
         return self.read("added", self._QUEUE, 0, r).select("url")
 
     def acks(self, r: int) -> DataFrame:
-        return self.read("acks", self._ACKS, 1, r)
+        """All URLs of the rounds up to r: domain, depth and whether their page was read. Worked out from
+        what the rounds took and read; a URL is taken once."""
+        return acks(self.read("batch", self._BATCH, 1, r), self.read("documents", "url string", 1, r))
 
     def _outputs(self, name: str) -> DataFrame | None:
         """What the finished rounds wrote, with its own columns and the round; None before the first."""
@@ -153,7 +161,8 @@ class CrawlState:
 
     def rejects(self) -> DataFrame | None:
         """Rejected links per reason, for pages that have any."""
-        return self._outputs("rejects")
+        found = self.documents()
+        return None if found is None else rejected_links(found)
 
     def log(self, worker_id: str = "crawl") -> DataFrame:
         """A log line per finished round."""
@@ -199,8 +208,8 @@ def crawl_bfs(store: DataFrame, start: DataFrame, path: str, options: CrawlOptio
     round may go beyond it. Called again on the same path, it goes on where it stopped.
     The URLs and links of the store are written first, because every round reads them, unless
     `stored` says that the store is a table already. Every round leaves its documents, URL
-    batches (of the time `published_at`, now if not given), rejected links and a row of
-    progress; see `CrawlState`.
+    batches (of the time `published_at`, now if not given) and a row of progress; see
+    `CrawlState`.
     """
     spark = store.sparkSession
     state = CrawlState(spark, path)
@@ -242,7 +251,7 @@ def _round(state: CrawlState, last, store: DataFrame, options: CrawlOptions, bud
     reserved = ordered.limit(batch_size) if batch_size else ordered
     # After the sort the ids rise with the order; written once, they stay what they are.
     state.write(reserved.select("url", "depth", F.monotonically_increasing_id().alias("seq")), "batch", r)
-    batch = state.read("batch", "url string, depth int, seq long", r, r)
+    batch = state.read("batch", state._BATCH, r, r)
     taken = min(batch_size, waiting) if batch_size else waiting
     left_over = waiting - taken
     if left_over:
@@ -253,9 +262,8 @@ def _round(state: CrawlState, last, store: DataFrame, options: CrawlOptions, bud
                       left_over, options, rules, state.folder(r))
     state.write(step.admission.queue(options.priority_enabled, r), "added", r)
     counts = state.domains(last.round).unionByName(
-        state.read("acks", state._ACKS, r, r).groupBy("domain").agg(F.count(F.lit(1)).alias("n")))
+        frontier.with_domain(batch).groupBy("domain").agg(F.count(F.lit(1)).alias("n")))
     state.write(counts.groupBy("domain").agg(F.sum("n").alias("n")), "domains", r)
     now = F.date_format(F.timestamp_seconds(F.lit(began)), "yyyy-MM-dd'T'HH:mm:ss")
     state.write(step.messages(now if published_at is None else published_at, options.url_batch_size), "messages", r)
-    state.write(step.rejects(), "rejects", r)
     return state.commit(r, taken, step.admission.added, left_over, last.pages_crawled + taken, began)

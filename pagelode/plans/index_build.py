@@ -1,4 +1,4 @@
-"""Building the text index: documents, postings and vocabulary by term bucket, keys of terms, field statistics."""
+"""Building the text index: documents, postings by term bucket, vocabulary by length, field statistics."""
 
 from __future__ import annotations
 
@@ -15,8 +15,7 @@ LEAST_BUCKETS = 16
 
 _DOCS = "doc long, url string, title string, content string, shard int"
 _POSTINGS = "doc long, field string, dl int, term string, tf long, opens boolean, term_bucket int"
-_VOCAB = "field string, term string, df long, total_tf long, term_bucket int"
-_KEYS = "key long, term string, key_bucket int"
+_VOCAB = "field string, term string, df long, total_tf long, size int"
 _STATS = "field string, n_docs long, n_tokens long, avgdl double"
 
 
@@ -27,7 +26,6 @@ class TextIndex:
     docs: DataFrame
     postings: DataFrame
     vocab: DataFrame
-    keys: DataFrame
     stats: DataFrame
     buckets: int
 
@@ -42,12 +40,12 @@ def build_index(docs: DataFrame, path: str, buckets: int | None = None) -> TextI
 
     Documents are stored in URL order and numbered on the way: postings carry a number instead
     of a URL, equal scores are told apart by it as they would be by the URL, and a search reads
-    the text of its results from the shards that hold them. Postings and vocabulary are
-    partitioned by a hash of the term and sorted by term inside, and the keys by which typos find
-    their terms by a hash of the key, so a search reads the buckets of its terms and keys alone.
-    The number of buckets follows the size of the text, unless it is given. The rebalance
-    splits a bucket that a frequent term has made large. Vocabulary, keys and statistics come from
-    the stored postings, so documents are cut into tokens once.
+    the text of its results from the shards that hold them. Postings are partitioned by a hash of
+    the term and sorted by term inside, so a search reads the buckets of its terms alone; the
+    number of buckets follows the size of the text, unless it is given. The rebalance splits a
+    bucket that a frequent term has made large. The vocabulary is partitioned by the length of its
+    terms, since typos change it by two letters at most. Vocabulary and statistics come from the
+    stored postings, so documents are cut into tokens once.
     """
     spark = docs.sparkSession
     seen = Observation()
@@ -58,15 +56,16 @@ def build_index(docs: DataFrame, path: str, buckets: int | None = None) -> TextI
         .write.mode("overwrite").partitionBy("shard").parquet(f"{path}/docs")
     buckets = buckets or max(LEAST_BUCKETS, -(-(seen.get["bytes"] or 0) // BUCKET_BYTES))
 
-    def by_bucket(rows: DataFrame, name: str, bucket: str, value: str, *order: str) -> None:
-        rows.withColumn(bucket, ranking.bucket_of(F.col(value), buckets)).hint("rebalance", bucket) \
-            .sortWithinPartitions(bucket, *order).write.mode("overwrite").partitionBy(bucket).parquet(f"{path}/{name}")
-
     rows = ranking.postings(spark.read.schema(_DOCS).parquet(f"{path}/docs"), "doc")
-    by_bucket(rows, "postings", "term_bucket", "term", "term", "field")
+    (
+        rows.withColumn("term_bucket", ranking.bucket_of(F.col("term"), buckets))
+        .hint("rebalance", "term_bucket")
+        .sortWithinPartitions("term_bucket", "term", "field")
+        .write.mode("overwrite").partitionBy("term_bucket").parquet(f"{path}/postings")
+    )
     posted = spark.read.schema(_POSTINGS).parquet(f"{path}/postings")
-    by_bucket(ranking.vocabulary(posted), "vocab", "term_bucket", "term", "term", "field")
-    by_bucket(ranking.term_keys(spark.read.schema(_VOCAB).parquet(f"{path}/vocab")), "keys", "key_bucket", "key", "key")
+    ranking.vocabulary(posted).withColumn("size", F.length("term")).sortWithinPartitions("size") \
+        .write.mode("overwrite").partitionBy("size").parquet(f"{path}/vocab")
     ranking.field_stats(posted).withColumn("buckets", F.lit(buckets)).write.mode("overwrite").parquet(f"{path}/stats")
     return open_index(spark, path, buckets)
 
@@ -80,4 +79,4 @@ def open_index(spark: SparkSession, path: str, buckets: int | None = None) -> Te
         kept = stored("stats", f"{_STATS}, buckets int").agg(F.max("buckets").alias("n")).first()
         buckets = kept.n or LEAST_BUCKETS
     return TextIndex(stored("docs", _DOCS), stored("postings", _POSTINGS), stored("vocab", _VOCAB),
-                     stored("keys", _KEYS), stored("stats", _STATS), buckets)
+                     stored("stats", _STATS), buckets)

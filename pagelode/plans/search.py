@@ -11,61 +11,58 @@ from pagelode.plans.index_build import TextIndex, doc_shard
 from pagelode.session import through_table, workdir
 
 
-def found_terms(index: TextIndex, terms: DataFrame) -> tuple[DataFrame, list[str] | None]:
-    """Vocabulary terms of the distinct query terms, `field, qterm, term, df, edits`, and, where they
-    are few, the terms that are looked up (else None).
+def found_terms(index: TextIndex, terms: DataFrame) -> tuple[DataFrame, bool]:
+    """Vocabulary terms of the distinct query terms, `field, qterm, term, df, edits`, and whether all
+    that comes of them is small enough to be broadcast.
 
-    Terms and pairs are counted against a bound by reading one row more than it. Within it they
-    are broadcast, and the buckets to read, and a few terms themselves, are written into the plan.
+    Terms are counted against a bound by reading one more than it. A few are compared with the
+    vocabulary of their lengths, the only part that is read; more are found by keys.
     """
     spark = terms.sparkSession
     asked = [r.qterm for r in terms.limit(ranking.SMALL_QUERY_TERMS + 1).collect()]
     if len(asked) > ranking.SMALL_QUERY_TERMS:
-        pairs = ranking.term_pairs(terms, index.keys, index.buckets)
-        return ranking.fuzzy_terms(pairs.withColumn("term_bucket", ranking.bucket_of(F.col("term"), index.buckets)), index.vocab), None
-    pairs = ranking.term_pairs(spark.createDataFrame([(t,) for t in asked], "qterm string"), index.keys, index.buckets, True)
-    pairs = pairs.withColumn("term_bucket", ranking.bucket_of(F.col("term"), index.buckets))
-    met = pairs.limit(ranking.SMALL_PAIRS + 1).collect()
-    if len(met) > ranking.SMALL_PAIRS:
-        return ranking.fuzzy_terms(pairs, index.vocab), None
-    words = sorted({r.term for r in met})
-    vocab = looked_up(index.vocab, words, sorted({r.term_bucket for r in met}))
-    return ranking.fuzzy_terms(spark.createDataFrame(met, pairs.schema), vocab, True), words
+        return ranking.fuzzy_terms(terms, index.vocab), False
+    known = spark.createDataFrame([(t,) for t in asked], "qterm string")
+    if len(asked) > ranking.FEW_TERMS:
+        return ranking.fuzzy_terms(known, index.vocab, True), True
+    sizes = sorted({n for t in asked for n in range(len(t) - 2, len(t) + 3)})
+    return ranking.few_terms(known, index.vocab.where(F.col("size").isin(sizes))), True
 
 
 def looked_up(rows: DataFrame, words: list[str], buckets: list[int]) -> DataFrame:
     """Rows of a table by term bucket that may have the words: buckets are pruned, words pushed."""
-    kept = rows.where(F.col("term_bucket").isin(buckets))
-    return kept.where(F.col("term").isin(words)) if len(words) <= ranking.LITERAL_TERMS else kept
+    return rows.where(F.col("term_bucket").isin(buckets) & F.col("term").isin(words))
 
 
 def asked_terms(index: TextIndex, queries: DataFrame,
-                options: SearchOptions = SearchOptions(), path: str | None = None) -> tuple[DataFrame, list[str] | None]:
-    """What the queries look up, stored, and the terms of it if that is small enough to be
-    broadcast: terms, and with them queries and results, are counted against a bound. The table is
-    written to `path` (a new folder if none is given); it is of no use once the results are read."""
+                options: SearchOptions = SearchOptions(), path: str | None = None) -> tuple[DataFrame, bool]:
+    """What the queries look up, stored, and whether it is small enough to be broadcast: terms, and
+    with them queries and results, are counted against a bound. The table is written to `path`
+    (a new folder if none is given); it is of no use once the results are read."""
     terms = ranking.query_terms(queries)
-    found, words = found_terms(index, terms.select("qterm").distinct())
+    found, small = found_terms(index, terms.select("qterm").distinct())
     asked = ranking.asked_terms(ranking.expansions(found, options), terms).withColumn(
         "term_bucket", ranking.bucket_of(F.col("term"), index.buckets))
     # All weights are above 0; the filter lets the planner prune term buckets by this table.
-    return through_table(asked, path or workdir(queries.sparkSession, "asked")).where(F.col("weight") > 0), words
+    return through_table(asked, path or workdir(queries.sparkSession, "asked")).where(F.col("weight") > 0), small
 
 
-def term_hits(index: TextIndex, asked: DataFrame, words: list[str] | None) -> DataFrame:
-    """Postings of the asked terms."""
-    if words is None or len(words) > ranking.LITERAL_TERMS:
-        return ranking.postings_join(index.postings, asked, words is not None)
-    buckets = [r[0] for r in asked.select("term_bucket").distinct().collect()]  # at most one per word
-    return ranking.postings_join(looked_up(index.postings, words, buckets), asked, True)
+def term_hits(index: TextIndex, asked: DataFrame, small: bool) -> DataFrame:
+    """Postings of the asked terms. A few are looked up by value."""
+    if small:
+        words = asked.select("term", "term_bucket").distinct().limit(ranking.LITERAL_TERMS + 1).collect()
+        if len(words) <= ranking.LITERAL_TERMS:
+            kept = looked_up(index.postings, sorted(r.term for r in words), sorted({r.term_bucket for r in words}))
+            return ranking.postings_join(kept, asked, True)
+    return ranking.postings_join(index.postings, asked, small)
 
 
 def search_pool(index: TextIndex, queries: DataFrame,
                 options: SearchOptions = SearchOptions(), path: str | None = None) -> tuple[DataFrame, bool]:
     """The 50 best documents per query, `query_id, doc, score, rank`, and whether they are few."""
-    asked, words = asked_terms(index, queries, options, path)
-    scores = ranking.document_scores(term_hits(index, asked, words), index.stats, options, "doc")
-    return ranking.search_rank(scores, options.pool_size, "doc"), words is not None
+    asked, small = asked_terms(index, queries, options, path)
+    scores = ranking.document_scores(term_hits(index, asked, small), index.stats, options, "doc")
+    return ranking.search_rank(scores, options.pool_size, "doc"), small
 
 
 def with_docs(rows: DataFrame, index: TextIndex, columns: tuple[str, ...], small: bool) -> DataFrame:

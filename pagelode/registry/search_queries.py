@@ -61,8 +61,8 @@ def term_expansions(spark, sf_dir):
 @query("postings_join", f"""WITH {S.HITS} SELECT query_id, qterm, field, term, url, tf, dl::INTEGER AS dl, shared_df FROM hits""")
 def postings_join(spark, sf_dir):
     index = D.search_index(spark, sf_dir)
-    asked, words = search_plan.asked_terms(index, D.search_queries(index.vocab))
-    hits = search_plan.term_hits(index, asked, words)
+    asked, small = search_plan.asked_terms(index, D.search_queries(index.vocab))
+    hits = search_plan.term_hits(index, asked, small)
     return search_plan.with_docs(hits, index, ("url",), False).select(
         "query_id", "qterm", "field", "term", "url", "tf", "dl", "shared_df")
 

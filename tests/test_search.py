@@ -68,17 +68,18 @@ def test_fuzzy_terms_equal_all_pairs(spark):
     terms = spark.createDataFrame([(t,) for t in sorted(set(asked))], "qterm string")
     want = {(t, w, edit_distance(t, w)) for t in asked for w in words if edit_distance(t, w) <= limit(t)}
     for small in (True, False):
-        pairs = ranking.term_pairs(terms, ranking.term_keys(vocab), small=small)
-        got = ranking.fuzzy_terms(pairs, vocab, small).collect()
+        got = ranking.fuzzy_terms(terms, vocab, small).collect()
         assert {(r.qterm, r.term, r.edits) for r in got} == want
         assert len(got) == len(want)
+    few = ranking.few_terms(terms, vocab.withColumn("size", F.length("term"))).collect()
+    assert {(r.qterm, r.term, r.edits) for r in few} == want and len(few) == len(want)
 
 
 def test_no_query_terms(spark):
     vocab = spark.createDataFrame([("content", "abc", 1, 1)], "field string, term string, df long, total_tf long")
     terms = ranking.query_terms(spark.createDataFrame([(1, "  ")], "query_id int, q string"))
-    pairs = ranking.term_pairs(terms.select("qterm"), ranking.term_keys(vocab), small=True)
-    assert pairs.count() == 0 == ranking.fuzzy_terms(pairs, vocab, True).count()
+    assert ranking.fuzzy_terms(terms.select("qterm"), vocab, True).count() == 0
+    assert ranking.few_terms(terms.select("qterm"), vocab.withColumn("size", F.length("term"))).count() == 0
 
 
 def test_at_most_fifty_expansions_nearest_first(spark):
