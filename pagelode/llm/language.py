@@ -249,12 +249,14 @@ def fit(docs: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE, sentences:
 
 def identified(docs: DataFrame, model: Field, columns: tuple[str, str] = ("_lang", "_share")) -> DataFrame:
     """All columns of docs and two last ones: the language and its share of the letters."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    # Plain arrays: a broadcast of a class of this package would need the package on the executors.
+    shared = docs.sparkSession.sparkContext.broadcast((model.labels, model.weights, model.first, model.then))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        labels = np.array([*shared.value.labels, UNKNOWN], object)
+        here = Field(*shared.value)
+        labels = np.array([*here.labels, UNKNOWN], object)
         for batch in slices(batches, chars=SLICE):
-            share = label_shares(batch.column("text"), shared.value)
+            share = label_shares(batch.column("text"), here)
             most = share.max(axis=1, initial=0.0)
             best = np.where(most > 0, share.argmax(axis=1) if share.shape[1] else 0, len(labels) - 1)
             yield pa.RecordBatch.from_arrays(

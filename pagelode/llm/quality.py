@@ -266,11 +266,14 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) ->
 
 def scored(docs: DataFrame, model: Classifier, column: str = "_score") -> DataFrame:
     """All columns of docs and the score as a last one."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    # Plain arrays: a broadcast of a class of this package would need the package on the executors.
+    shared = docs.sparkSession.sparkContext.broadcast((model.vectors, *vars(model.network).values()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vectors, *parts = shared.value
+        here = Classifier(vectors, Network(*parts))
         for batch in slices(batches):
-            score = pa.array(shared.value.scores(batch.column("text")).astype(np.float64))
+            score = pa.array(here.scores(batch.column("text")).astype(np.float64))
             yield pa.RecordBatch.from_arrays([*batch.columns, score], names=[*batch.schema.names, column])
 
     return in_arrow(docs, run, with_fields(docs, **{column: "double"}))
