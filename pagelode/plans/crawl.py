@@ -71,7 +71,8 @@ def crawl_step(batch: DataFrame, store: DataFrame, visited: DataFrame | None, di
 
     A page is indexed before its links are judged. A page that is missing or denied is
     acknowledged like any other and leaves no document. The batch is joined to the store once;
-    what came of it is written as the round's documents, and the rest works on that.
+    what came of it is written as the round's documents, its links are judged once and written
+    as narrow rows, and the rest works on those.
     """
     path = path or workdir(batch.sparkSession, "step")
     due, _ = depth_gate(batch, options.max_depth)
@@ -82,10 +83,10 @@ def crawl_step(batch: DataFrame, store: DataFrame, visited: DataFrame | None, di
     offered = found.select(
         F.col("url").alias("src"), F.col("seq").alias("_page"), F.col("depth").alias("_depth"),
         F.posexplode(links.accepted_links(F.col("links"), cap)).alias("_pos", "url"))
-    candidates = offered.select(
+    candidates = through_table(offered.select(
         (F.col("_page") * (cap + 1) + F.col("_pos") + 1).alias("seq"), "src", "url",
         (F.col("_depth") + 1).alias("depth"),
-        urls.url_priority(F.col("url"), F.col("_depth"), options.article_bonus).alias("score"))
+        urls.url_priority(F.col("url"), F.col("_depth"), options.article_bonus).alias("score")), f"{path}/offered")
     decision = frontier.decide(
         candidates, visited, discovered, domain_counts, budgets, queue_size,
         options.max_frontier_queue_size, options.domain_max_requests_default, f"{path}/facts")
