@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, fields, replace
 
 # These lists decide results, so they are stated as they are.
 VALID_DOMAINS = ("wikipedia.org", "arxiv.org", ".edu")
@@ -32,6 +32,16 @@ MAX_URLS_PER_PAGE = 50
 ROBOTS_AGENT = "MiniSearchBot"
 
 
+# Section and name, in a settings file, of what the options call otherwise.
+SETTING_NAMES = {
+    "url_batch_size": ("kafka", "batch_size"),
+    "bulk_size": ("elasticsearch", "bulk_size"),
+    "lease_seconds": ("redis", "lease_seconds"),
+    "domain_budgets": ("domains", "budgets"),
+}
+
+
+# The defaults decide results.
 @dataclass(frozen=True)
 class CrawlOptions:
     start_urls: tuple[str, ...] = START_URLS
@@ -65,3 +75,19 @@ class SearchOptions:
     result_size: int = 10
     preview_chars: int = 200
     trusted_domains: tuple[str, ...] = TRUSTED_DOMAINS
+
+
+def options_from(settings: dict | None, base: CrawlOptions = CrawlOptions()) -> CrawlOptions:
+    """Options from the parsed contents of a settings file, over `base`.
+
+    The crawl's own names stand in a section `crawler`, or all at the top, where that section is
+    then not looked at. Missing and unknown names change nothing.
+    """
+    settings = settings or {}
+    names = {f.name for f in fields(CrawlOptions)} - set(SETTING_NAMES)
+    own = settings if names & set(settings) else settings.get("crawler") or {}
+    found = {name: own[name] for name in names & set(own)}
+    for name, (section, key) in SETTING_NAMES.items():
+        if key in (settings.get(section) or {}):
+            found[name] = settings[section][key]
+    return replace(base, **{k: tuple(v) if isinstance(v, list) else v for k, v in found.items()})
