@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 import functools
+import json
 import time
+import uuid
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pagelode.functions import html, urls
 from pagelode.operators import frontier, links, robots
 from pagelode.options import CrawlOptions
-from pagelode.session import no_rows, through_table, workdir
+from pagelode.session import no_rows, path_exists, through_table, workdir
 from pagelode.sources import crawl_log, index, url_batches
 
 
@@ -119,10 +121,9 @@ class CrawlState:
         return self.spark.read.schema(self._PROGRESS).parquet(f"{self.path}/progress")
 
     def last(self):
-        try:
-            return self.progress().orderBy(F.desc("round")).first()
-        except AnalysisException:
+        if not path_exists(self.spark, f"{self.path}/progress"):
             return None
+        return self.progress().orderBy(F.desc("round")).first()
 
     def read(self, name: str, schema: str, first: int, last: int) -> DataFrame:
         paths = [f"{self.path}/round-{r}/{name}" for r in range(first, last + 1)]
@@ -193,6 +194,28 @@ class CrawlState:
         return done
 
 
+def write_store(store: DataFrame, path: str) -> DataFrame:
+    """Write a parsed store in buckets by URL, as many as the session has shuffle partitions, so that
+    a round deals out its batch alone and the store stays where it lies."""
+    spark = store.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    store.repartition(buckets, "url").write.mode("overwrite").option("path", f"{path}/rows") \
+        .bucketBy(buckets, "url").sortBy("url").saveAsTable(f"store_{uuid.uuid4().hex}")
+    spark.range(0, 1, 1, 1).select(F.lit(buckets).alias("buckets"), F.lit(store.schema.json()).alias("schema")) \
+        .write.mode("overwrite").parquet(f"{path}/layout")
+    return open_store(spark, path)
+
+
+def open_store(spark: SparkSession, path: str) -> DataFrame:
+    """A written store, in this session or a later one."""
+    layout = spark.read.schema("buckets int, schema string").parquet(f"{path}/layout").first()
+    columns = T.StructType.fromJson(json.loads(layout.schema)).toDDL()
+    name = f"store_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY (url) SORTED BY (url) "
+              f"INTO {layout.buckets} BUCKETS LOCATION '{path}/rows'")
+    return spark.table(name)
+
+
 def _budget_frame(spark: SparkSession, budgets: dict) -> DataFrame | None:
     # An option of the caller, not data.
     return spark.createDataFrame([(d, str(b)) for d, b in budgets.items()], "domain string, budget string") \
@@ -218,8 +241,8 @@ def crawl_bfs(store: DataFrame, start: DataFrame, path: str, options: CrawlOptio
     last = state.last()
     if not stored:
         if last is None:
-            store.write.mode("overwrite").parquet(f"{path}/store")
-        store = spark.read.schema(store.schema).parquet(f"{path}/store")
+            write_store(store, f"{path}/store")
+        store = open_store(spark, f"{path}/store")
     last = last or _begin(state, start, options, budgets)
     rounds = 0
     while last.added + last.left_over and last.pages_crawled < options.max_pages:

@@ -11,7 +11,7 @@ from pagelode.plans import crawl
 from pagelode.registry import derived as D
 from pagelode.registry import query
 from pagelode.registry import sql as S
-from pagelode.session import through_table, workdir
+from pagelode.session import workdir
 from pagelode.sources import url_batches as batches
 
 _HERE = CrawlOptions(valid_domains=S.DOMAINS)
@@ -44,7 +44,7 @@ SELECT url, depth::INTEGER AS depth, 'en.wikipedia.org' AS domain,
 
 
 def stored_wiki(spark, sf_dir):
-    return through_table(D.wiki_store(spark, sf_dir), workdir(spark, "store"))
+    return crawl.write_store(D.wiki_store(spark, sf_dir), workdir(spark, "store"))
 
 
 def bfs(spark, sf_dir, options=CrawlOptions(), **more):
@@ -126,7 +126,7 @@ def _left(spark, sf_dir):
         F.when(F.col("s") % 3 == 0, F.concat("url", F.lit(".png"))), F.when(F.col("s") % 5 == 0, F.concat("url", F.lit("?action=edit"))),
         F.when(F.col("s") % 5 == 0, F.concat("url", F.lit("_timeline")))))
     full = store.withColumn("links", F.concat("links", extra)).withColumn("title", F.concat(F.lit("Part "), F.col("s").cast("string")))
-    stored = through_table(full, workdir(spark, "store"))
+    stored = crawl.write_store(full, workdir(spark, "store"))
     return crawl.crawl_bfs(stored.drop("s"), D.wiki_seeds(stored), workdir(spark, "crawl"), _LEFT, stored=True, published_at=F.lit("now"))
 
 

@@ -61,6 +61,12 @@ def through_table(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a table was ever written there, in whatever store the path is in."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def no_rows(spark: SparkSession, schema: str) -> DataFrame:
     """An empty frame of the given columns."""
     columns = [c.strip().split(" ", 1) for c in schema.split(",")]

@@ -6,7 +6,6 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -14,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pagelode import options as O
 from pagelode.functions import urls
 from pagelode.operators import frontier, metrics
+from pagelode.session import path_exists
 from pagelode.sources import index, url_batches
 
 
@@ -92,11 +92,10 @@ def _generations(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame
     """Rows since the last compaction and those it left, and the generation it reached (-1: none).
     Older generations are not read: `generation` is their folder."""
     rows = spark.read.schema(f"{schema}, generation long").parquet(path)
-    try:
-        bases = spark.read.schema(f"{schema}, generation long").parquet(f"{path}-base")
-        upto = bases.agg(F.max("generation")).first()[0]
-    except AnalysisException:
-        upto = None
+    if not path_exists(spark, f"{path}-base"):
+        return rows, -1
+    bases = spark.read.schema(f"{schema}, generation long").parquet(f"{path}-base")
+    upto = bases.agg(F.max("generation")).first()[0]
     if upto is None:
         return rows, -1
     return rows.where(F.col("generation") > upto).unionByName(bases.where(F.col("generation") == upto)), upto

@@ -137,3 +137,15 @@ def test_store_keeps_the_newest_copy(spark):
     rows = spark.createDataFrame([(1, "https://a.edu/x#1", '<a href="/old1">'), (2, "https://a.edu/x", '<a href="/new1">')],
                                  "page_id long, url string, html string")
     assert [(r.url, r.links) for r in crawl.parsed_store(rows).collect()] == [("https://a.edu/x", ["https://a.edu/new1"])]
+
+
+def test_the_store_is_not_dealt_out_again(spark):
+    rows = [(ROOT.format("a", i), [ROOT.format("b", i)], f"T {i}") for i in range(50)]
+    store = spark.createDataFrame(rows, "url string, links array<string>, title string")
+    path = workdir(spark, "store")
+    crawl.write_store(store, path)
+    kept = crawl.open_store(spark, path)  # as a later session would
+    assert sorted((r.url, r.links, r.title) for r in kept.collect()) == sorted(rows)
+    batch = kept.select("url").limit(20).selectExpr("url", "0 AS depth", "1L AS seq")
+    plan = batch.hint("merge").join(kept, "url")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan
