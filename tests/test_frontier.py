@@ -140,7 +140,7 @@ def test_politeness(spark):
 
 
 def test_decode_payload_depths(spark):
-    u = url("a")
+    u = "https://a.edu/page"
     cases = [('"3"', u, 3), ("2.7", u, 2), ('"x"', "", 0), ('"2.7"', "", 0), ("null", "", 0), ("true", u, 1), ('" 4 "', u, 4), ("-1", u, -1), ("[1]", "", 0)]
     rows = [(json.dumps({"url": u})[:-1] + f', "depth": {d}}}', want_url, want) for d, want_url, want in cases]
     rows += [(json.dumps({"url": u}), u, 0), ("{broken", "", 0), ("[]", "", 0), (None, "", 0), (json.dumps({"depth": 2}), "", 2)]
@@ -150,6 +150,6 @@ def test_decode_payload_depths(spark):
 
 
 def test_bare_urls_are_queued_at_depth_0(spark):
-    rows = spark.createDataFrame([(1, url("a")), (2, url("b")), (3, url("a"))], "seq long, url string")
+    rows = spark.createDataFrame([(1, "https://a.edu/a"), (2, "https://a.edu/b"), (3, "https://a.edu/a")], "seq long, url string")
     decided = frontier.decide(rows, None, no_rows(spark, "url string"), no_rows(spark, "domain string, n long"))
-    assert {(r.url, r.depth, r.tier, r.score) for r in decided.queue().collect()} == {(url("a"), 0, 1, None), (url("b"), 0, 1, None)}
+    assert {(r.url, r.depth, r.tier, r.score) for r in decided.queue().collect()} == {("https://a.edu/a", 0, 1, None), ("https://a.edu/b", 0, 1, None)}
