@@ -5,11 +5,11 @@ fixed number of tokens, `sequences` writes the ids of each sequence.
 
 A piece that fills a sequence alone is placed at once. The rest is dealt at random into groups
 of a few thousand pieces, one task each. A group starts from a best fit and then tries to empty
-its least filled sequences: it moves a piece, exchanges one for one or two for one, with a fuller
-sequence. A step is taken only if it raises the sum of squared fills, so the search ends, and a
-sequence goes when its last piece leaves. What a group leaves underfull is dealt anew with the
-leftovers of other groups, until one group is left. Rows are a few numbers per piece; token ids
-never move.
+its sequences, least filled first: it moves a piece, exchanges one for one or two for one, with any
+other sequence. A step is taken only if it raises the sum of squared fills, so the search ends, and
+it ends when no two sequences have such a step or their number is at its lower bound. What a group
+leaves underfull is dealt anew with the leftovers of other groups, as long as that removes a
+sequence or until one group is left. Rows are a few numbers per piece; token ids never move.
 
 Null text: an empty text, one end token. Null or repeated doc_ids: pieces are rows, not keys; each
 is placed once. Empty table: no rows. Other columns are ignored.
@@ -32,8 +32,6 @@ from pagelode.llm.tokens import Encoder
 CAPACITY = 2048
 END_ID = 0
 GROUP_PIECES = 8192
-# Least filled sequences that one search tries to empty.
-DONORS = 32
 
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 COLUMNS = ["doc_id", "piece", "start", "length", "ids_crc32"]
@@ -103,12 +101,13 @@ def _by_length(bin_: list[int], lengths: list[int]) -> dict[int, int]:
     return {lengths[i]: i for i in bin_}
 
 
-def improving_step(donor: list[int], other: list[int], slack: int, lengths: list[int]) -> tuple[list[int], list[int]] | None:
+def improving_step(donor: list[int], other: list[int], slack: int, lengths: list[int],
+                   least: int = 0) -> tuple[list[int], list[int]] | None:
     """The pieces to give from donor to other and to take back that fill most of other's room
-    (at most all of it, at least one token more), or None. other is at least as full as donor, so any
-    such step raises the sum of squared fills."""
+    (at most all of it, more than `least` tokens), or None. A step of more tokens than donor holds
+    above other raises the sum of squared fills; so does any step if other is as full as donor."""
     give, take = _by_length(donor, lengths), _by_length(other, lengths)
-    best, gain = None, 0
+    best, gain = None, least
     for x, i in give.items():  # move
         if gain < x <= slack:
             best, gain = ([i], []), x
@@ -138,44 +137,88 @@ def improving_step(donor: list[int], other: list[int], slack: int, lengths: list
     return best
 
 
-def local_search(bins: list[list[int]], lengths: np.ndarray, capacity: int, donors: int = DONORS) -> list[list[int]]:
-    """Empty underfull bins into fuller ones, least filled first."""
+class _Partners:
+    """Finds the bins with which a donor has an improving step, all bins at once.
+
+    A row per bin: how many of its piece lengths, and of the sums of two, are below each number."""
+
+    def __init__(self, bins: list[list[int]], fill: np.ndarray, lengths: np.ndarray, capacity: int):
+        self.bins, self.fill, self.lengths, self.capacity = bins, fill, lengths, capacity
+        kind = np.int16 if capacity < 2**15 else np.int32
+        self.ones, self.twos = (np.zeros((len(bins), capacity + 2), kind) for _ in range(2))
+        self.stale = set(range(len(bins)))
+
+    def refresh(self) -> None:
+        for b in self.stale:
+            sizes = self.lengths[self.bins[b]]
+            sums = np.add.outer(sizes, sizes)[np.triu_indices(len(sizes), 1)]
+            for rows, values in ((self.ones, sizes), (self.twos, sums)):
+                row = np.zeros(self.capacity + 2, rows.dtype)
+                row[values + 1] = 1
+                np.cumsum(row, out=rows[b])
+        self.stale.clear()
+
+    def values(self, rows: np.ndarray, b: int) -> np.ndarray:
+        return np.flatnonzero(np.diff(rows[b]))
+
+    def of(self, donor: int) -> list[int]:
+        """Fullest first."""
+        self.refresh()
+        room, least = self.capacity - self.fill, np.maximum(self.fill[donor] - self.fill, 0)
+        others = np.flatnonzero((room > least) & (self.fill > 0))
+        others = others[others != donor]
+        room, least = room[others], least[others]
+        found = self.ones[donor, room + 1] > self.ones[donor, least + 1]  # a move
+        single, double = self.values(self.ones, donor), self.values(self.twos, donor)
+        for rows, given in ((self.ones, single), (self.ones, double), (self.twos, single)):
+            for x in given.tolist():  # x leaves, something from x - room to x - least - 1 comes back
+                found |= rows[others, np.maximum(x - least, 0)] > rows[others, np.maximum(x - room, 0)]
+        others = others[found]
+        return others[np.argsort(-self.fill[others], kind="stable")].tolist()
+
+
+def local_search(bins: list[list[int]], lengths: np.ndarray, capacity: int) -> list[list[int]]:
+    """Empty underfull bins into others, least filled first, until no bin has an improving step."""
     sizes = lengths.tolist()
-    bound = lower_bound(lengths, capacity)
-    fill = [sum(sizes[i] for i in b) for b in bins]
-    alive = [b for b in range(len(bins)) if bins[b]]
-    tried: set[int] = set()
-    while len(alive) > bound and len(tried) < donors:
-        donor = min((b for b in alive if b not in tried), key=lambda b: fill[b], default=None)
-        if donor is None:
-            break
-        tried.add(donor)
-        moved = True
-        while moved and bins[donor]:
-            moved = False
-            for b in sorted((b for b in alive if b != donor and fill[b] < capacity), key=lambda b: -fill[b]):
-                while bins[donor] and fill[b] >= fill[donor] and fill[b] < capacity:
-                    step = improving_step(bins[donor], bins[b], capacity - fill[b], sizes)
-                    if step is None:
+    fills = [sum(sizes[i] for i in b) for b in bins]
+    full = [b for b, f in zip(bins, fills) if f == capacity]  # no step takes part of a full bin
+    bins = [b for b, f in zip(bins, fills) if 0 < f < capacity]
+    fill = np.array([f for f in fills if 0 < f < capacity], np.int64)
+    spare = len(full) + len(bins) - lower_bound(lengths, capacity)
+    if spare <= 0 or not bins:
+        return full + bins
+    partners = _Partners(bins, fill, lengths, capacity)
+    improved = True
+    while improved and spare > 0:
+        improved = False
+        for donor in np.argsort(fill, kind="stable").tolist():
+            moved = spare > 0
+            while moved and bins[donor] and fill[donor] < capacity:
+                moved = False
+                for b in partners.of(donor):
+                    while bins[donor] and bins[b] and fill[b] < capacity:
+                        least = max(int(fill[donor] - fill[b]), 0)
+                        step = improving_step(bins[donor], bins[b], int(capacity - fill[b]), sizes, least)
+                        if step is None:
+                            break
+                        given, taken = step
+                        bins[donor] = [i for i in bins[donor] if i not in given] + taken
+                        bins[b] = [i for i in bins[b] if i not in taken] + given
+                        change = sum(sizes[i] for i in given) - sum(sizes[i] for i in taken)
+                        fill[donor] -= change
+                        fill[b] += change
+                        partners.stale.update((donor, b))
+                        moved = improved = True
+                    if not bins[donor]:
+                        spare -= 1
                         break
-                    given, taken = step
-                    bins[donor] = [i for i in bins[donor] if i not in given] + taken
-                    bins[b] = [i for i in bins[b] if i not in taken] + given
-                    change = sum(sizes[i] for i in given) - sum(sizes[i] for i in taken)
-                    fill[donor] -= change
-                    fill[b] += change
-                    moved = True
-                if not bins[donor]:
-                    break
-        if not bins[donor]:
-            alive.remove(donor)
-    return [bins[b] for b in alive]
-
-
-def pack_group(group: pd.DataFrame, capacity: int, donors: int = DONORS) -> pd.DataFrame:
+    return full + [b for b in bins if b]
+
+
+def pack_group(group: pd.DataFrame, capacity: int) -> pd.DataFrame:
     """Sequence number inside the group, offset and fill for each row of a group."""
     lengths = group["length"].to_numpy(np.int64)
-    bins = local_search(best_fit(lengths, capacity), lengths, capacity, donors)
+    bins = local_search(best_fit(lengths, capacity), lengths, capacity)
     at, offset, fill = (np.zeros(len(group), np.int64) for _ in range(3))
     for b, members in enumerate(bins):
         place = 0
@@ -186,11 +229,11 @@ def pack_group(group: pd.DataFrame, capacity: int, donors: int = DONORS) -> pd.D
     return group.assign(bin=at, offset=offset, fill=fill)
 
 
-def _packer(turn: int, capacity: int):
+def _packer(first: int, capacity: int):
     def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         out = pack_group(group, capacity)
-        # The bits of a sequence number: round, group, place in the group.
-        out["sequence_id"] = (turn << 56) + (int(key[0]) << 20) + out["bin"]
+        # Sequence numbers: those of a round, of a group, then the place in the group.
+        out["sequence_id"] = ((first + int(key[0])) << 20) + out["bin"]
         return out[[*COLUMNS, "sequence_id", "offset", "fill"]]
     return run
 
@@ -198,33 +241,34 @@ def _packer(turn: int, capacity: int):
 def pack(parts: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROUP_PIECES, full_enough: float = 0.98) -> DataFrame:
     """Place pieces: adds sequence_id and offset to the piece columns.
 
-    Rounds go on while leftovers of several groups can meet: a sequence filled to `full_enough` stays,
-    the others' pieces are dealt anew. Each round has a fraction of the rows of the one before.
+    Rounds go on as long as dealing the leftovers anew removes a sequence, or until one group has them
+    all: a sequence filled to `full_enough` stays, the others' pieces are dealt anew. A round that
+    removes none is dropped, and its pieces stay where the round before placed them.
     """
     parts = stored(parts, "pieces")
     ids = F.monotonically_increasing_id()
     done = [parts.where(F.col("length") >= capacity).withColumn("sequence_id", ids).withColumn("offset", F.lit(0).cast("long"))]
     rest = parts.where(F.col("length") < capacity)
-    n = rest.count()
-    for turn in range(1, 64):
-        if not n:
-            break
+    n, before, turn = rest.count(), None, 1
+    first = 1 << 36  # the first group's number of a round, above the ids of `done`
+    is_sequence = F.count_if(F.col("offset") == 0)
+    while n:
         groups = -(-n // group_pieces)
 
         # Row numbers of a stored table: even groups whatever the keys are, the same in every attempt.
-        dealt = rest.withColumn("group", F.pmod(F.xxhash64(ids, F.lit(turn)), F.lit(groups)))
-        placed = stored(dealt.groupBy("group").applyInPandas(_packer(turn, capacity), PLACED + ", fill long"), "packed")
-        if groups == 1:
-            done.append(placed.drop("fill"))
-            break
+        dealt = rest.select(*COLUMNS).withColumn("group", F.pmod(F.xxhash64(ids, F.lit(turn)), F.lit(groups)))
+        placed = stored(dealt.groupBy("group").applyInPandas(_packer(first, capacity), PLACED + ", fill long"), "packed")
         enough = F.col("fill") >= int(full_enough * capacity)
-        left = placed.where(~enough).select(*COLUMNS)
-        n_left = left.count()
-        if n_left > 0.9 * n:  # nothing fills up by dealing again
+        left = placed.where(~enough)
+        now, n_left, n_before = placed.agg(is_sequence, F.count_if(~enough), F.count_if(~enough & (F.col("offset") == 0))).first()
+        if before is not None and now >= before:  # nothing is gained by dealing again
+            done.append(rest.drop("fill"))
+            break
+        if groups == 1:
             done.append(placed.drop("fill"))
             break
         done.append(placed.where(enough).drop("fill"))
-        rest, n = left, n_left
+        rest, n, before, turn, first = left, n_left, n_before, turn + 1, first + groups
     out = done[0]
     for more in done[1:]:
         out = out.unionByName(more)

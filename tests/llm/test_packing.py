@@ -91,3 +91,36 @@ def test_fast_ids_are_the_ids():
     encoder = Encoder()
     texts = ["it's  we'll\n\n x\t y 12a", "naïve café — 日本", " \xa0\x85 ", "a" * 9000, "<|endoftext|>", "''s 's'd I'M"]
     assert [encoder.encode(t).tolist() + [0] for t in texts] == plain_ids(texts)
+
+
+def test_search_goes_on_until_nothing_improves():
+    # Best fit makes 990 sequences of these, none full; 1034+522+492 and 2*532+2*492 make 810 full ones.
+    lengths = np.array(([1034] * 6 + [532] * 6 + [522] * 6 + [492] * 12) * 90)
+    start = packing.best_fit(lengths, 2048)
+    assert len(start) == 990
+    bins = packing.local_search(start, lengths, 2048)
+    assert sorted(i for b in bins for i in b) == list(range(len(lengths)))
+    assert max(lengths[b].sum() for b in bins) <= 2048 and len(bins) <= 812
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(1, 20), min_size=1, max_size=40))
+def test_no_improving_step_is_left(lengths):
+    sizes = np.array(lengths)
+    bins = packing.local_search(packing.best_fit(sizes, 20), sizes, 20)
+    fill = [sum(lengths[i] for i in b) for b in bins]
+    if len(bins) > packing.lower_bound(sizes, 20):
+        for a, donor in enumerate(bins):
+            for b, other in enumerate(bins):
+                if a != b and fill[a] < 20 and fill[b] < 20:
+                    assert packing.improving_step(donor, other, 20 - fill[b], lengths, max(fill[a] - fill[b], 0)) is None
+
+
+def test_rounds_go_on_while_sequences_go(spark):
+    """No sequence of 60s and 32s reaches 98 of 100, so every piece is left over in every round."""
+    parts = spark.createDataFrame([(i, 0, 0, 60 if i % 2 else 32, 0) for i in range(480)], packing.PIECE).coalesce(1)
+    one = packing.pack(parts, capacity=100, group_pieces=40, full_enough=0.0).select("sequence_id").distinct().count()
+    rows = packing.pack(parts, capacity=100, group_pieces=40).collect()
+    assert sorted(r.doc_id for r in rows) == list(range(480))
+    assert len({(r.sequence_id, r.offset) for r in rows}) == 480
+    assert len({r.sequence_id for r in rows}) < one
