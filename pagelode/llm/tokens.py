@@ -4,11 +4,13 @@ The ids are those of the `tokenizers` library for the vocabulary file. That libr
 2.5 MB a second and core; the same vocabulary as ranks in `tiktoken` makes 12 MB and gives the
 same ids. So texts of Latin-1 characters without huge runs, for which both libraries' character
 classes are the same by definition, go to the fast one, and all others to `tokenizers` itself.
+So do texts that hold the string of an added token, as it has an id of its own there.
 """
 
 from __future__ import annotations
 
 import base64
+import json
 import re
 
 import numpy as np
@@ -29,6 +31,12 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
+def read_added(path: str) -> dict[str, int]:
+    """Content and id of the tokens that the vocabulary file adds to its merges."""
+    with open(path, encoding="utf-8") as file:
+        return {token["content"]: token["id"] for token in json.load(file).get("added_tokens") or []}
+
+
 class Encoder:
     """Encodes texts; made once per task."""
 
@@ -41,17 +49,22 @@ class Encoder:
         self.fast = tiktoken.Encoding(
             "ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.full = None
-        # Bytes of each id; an id without a rank (a special string) takes no bytes of ordinary text.
-        self.id_bytes = np.zeros(max(ranks.values()) + 2, np.int64)
-        self.id_bytes[list(ranks.values())] = [len(token) for token in ranks]
+        added = read_added(self.json_path)
+        self.added = re.compile("|".join(map(re.escape, added))) if added else None
+        # Bytes of each id.
+        sizes = {rank: len(token) for token, rank in ranks.items()}
+        sizes |= {i: len(content.encode("utf-8")) for content, i in added.items()}
+        self.id_bytes = np.zeros(max(sizes) + 1, np.int64)
+        self.id_bytes[list(sizes)] = list(sizes.values())
 
     def encode(self, text: str) -> np.ndarray:
-        """Ids of a text as unsigned 32-bit numbers. Strings of special tokens are ordinary text."""
+        """Ids of a text as unsigned 32-bit numbers, added tokens (`<|endoftext|>`) included."""
         if not text:
             return np.empty(0, np.uint32)
         try:
             text.encode("latin-1")
-            plain = len(text) < 4000 or not _LONG_RUN.search(text)
+            plain = ((len(text) < 4000 or not _LONG_RUN.search(text))
+                     and not (self.added and self.added.search(text)))
         except UnicodeEncodeError:
             plain = False
         if plain:
@@ -62,5 +75,4 @@ class Encoder:
         if self.full is None:
             from tokenizers import Tokenizer
             self.full = Tokenizer.from_file(self.json_path)
-            self.full.encode_special_tokens = True
         return self.full.encode(text, add_special_tokens=False).ids

@@ -89,3 +89,10 @@ def test_fields(spark):
         assert [r.text[s.start:s.end] for s in r.sections] == [kept.title or "", kept.body or "", kept.note or ""]
     counts = attribution.token_counts(made, "sections").groupBy("doc_id").agg({"n_tokens": "sum"}).collect()
     assert {d: n for d, n in counts} == {r.doc_id: len(plain_offsets(r.text)) for r in made.collect()}
+
+
+def test_added_token_is_one_token_of_its_characters(spark):
+    cuts = [(0, 2), (2, 15), (15, 17)]
+    frame = spark.createDataFrame([(1, "é <|endoftext|> b", cuts)], f"doc_id long, text string, sections {attribution.SECTIONS}")
+    rows = attribution.token_counts(frame, "sections").orderBy("section").collect()
+    assert [(r.section, r.n_tokens, r.token_share, r.n_crossing) for r in rows] == [(0, 2, 2.0, 0), (1, 1, 1.0, 0), (2, 1, 1.0, 0)]

@@ -124,3 +124,12 @@ def test_rounds_go_on_while_sequences_go(spark):
     assert sorted(r.doc_id for r in rows) == list(range(480))
     assert len({(r.sequence_id, r.offset) for r in rows}) == 480
     assert len({r.sequence_id for r in rows}) < one
+
+
+def test_added_tokens_have_their_ids():
+    from tokenizers import Tokenizer
+    tokenizer = Tokenizer.from_file(vocabulary_path("json"))
+    encoder = Encoder()
+    assert encoder.encode("a <|endoftext|> b").tolist() == [64, 220, 50256, 275]
+    for text in ("<|endoftext|>", "x<|endoftext|><|endoftext|> é", "日本 <|endoftext|>\n\n y", "<|endoftext|" + "a" * 5000, "<|endoftext|>" + "a" * 5000):
+        assert encoder.encode(text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
