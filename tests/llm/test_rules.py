@@ -91,3 +91,27 @@ def test_labels_are_met(spark):
     held = out.join(labels.where("doc_id % 5 = 0"), "doc_id")
     n = held.count()
     assert held.where("(rule = 0) = (quality = 1)").count() >= 0.93 * n
+
+
+def test_rare_junk_in_a_tail_is_found(spark):
+    """Two kinds of one in a thousand, each beyond an exact threshold, besides labels without a pattern."""
+    rows = []
+    for i in range(12_000):
+        symbol, length, upper = (i * 7919 % 10_007) / 100_070, 4 + (i * 104_729 % 9973) / 9973, (i * 31 % 997) / 997
+        label = 0 if i * 2_654_435_761 % 2**32 < 0.03 * 2**32 else 1
+        if i % 1000 in (7, 507):
+            symbol, length, label = (0.5, length, 0) if i % 1000 == 7 else (symbol, 19.0 + i / 1e5, 0)
+        rows.append((label, {"symbol_share": symbol, "word_length": length, "upper_share": upper, "words": 100 + i % 700}))
+    frame = labelled(spark, rows)
+    found = rules.learn(frame)
+    judged = frame.withColumn("rule", rules.decision(found, {f: rules.F.col(f) for f in FEATURES}))
+    rare = (rules.F.col("symbol_share") >= 0.5) | (rules.F.col("word_length") >= 19)
+    assert judged.where(rare & (rules.F.col("rule") > 0)).count() == 24
+    assert judged.where(~rare & (rules.F.col("rule") > 0)).count() <= 12
+
+
+def test_more_than_twelve_kinds(spark):
+    rows = [(0 if w % 2 else 1, {"words": w}) for w in range(30) for _ in range(60)]
+    found = rules.learn(labelled(spark, rows))
+    judged = labelled(spark, rows).withColumn("rule", rules.decision(found, {f: rules.F.col(f) for f in FEATURES}))
+    assert judged.where("(rule > 0) = (label = 0)").count() == len(rows)
