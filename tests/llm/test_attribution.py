@@ -12,7 +12,6 @@ def plain_offsets(text):
     from tokenizers.processors import ByteLevel
     if OFFSETS[0] is None:
         OFFSETS[0] = Tokenizer.from_file(vocabulary_path("json"))
-        OFFSETS[0].encode_special_tokens = True
         OFFSETS[0].post_processor = ByteLevel(trim_offsets=False)
     return OFFSETS[0].encode(text, add_special_tokens=False).offsets
 

@@ -11,7 +11,6 @@ from pagelode.llm.tokens import Encoder, vocabulary_path
 def plain_ids(texts):
     from tokenizers import Tokenizer
     tokenizer = Tokenizer.from_file(vocabulary_path("json"))
-    tokenizer.encode_special_tokens = True
     return [tokenizer.encode(t or "", add_special_tokens=False).ids + [0] for t in texts]
 
 
