@@ -7,7 +7,7 @@ import importlib
 from pagelode.llm.common import ORACLES, QUERIES
 
 MODULES = ("chat", "quality", "decontamination", "packing", "rules", "simhash", "attribution", "fixity", "language", "slots",
-           "histogram_packing", "whitening")
+           "histogram_packing", "whitening", "prefix_tree")
 
 for _module in MODULES:
     importlib.import_module(f"pagelode.llm.{_module}")
