@@ -193,7 +193,7 @@ def slots(histogram: dict[int, int], capacity: int = CAPACITY, grain: int = GRAI
             used[i] += n * copies
             offset += copies * (share.stop - share.start)
         sequence += n
-    rows.sort()
+    rows.sort(key=lambda row: (row[0], row[1], row[3]))
     return dict(zip(SLOT, np.array(rows, np.int64).reshape(-1, len(SLOT)).T.copy()))
 
 
@@ -220,6 +220,8 @@ def _placer(plan, capacity: int, grain: int):
             while len(rows):
                 at = np.searchsorted(known, keys(length[rows], start, rank[rows]), "right") - 1
                 place, stop = rank[rows] - slot["rank"][at], slot["stop"][at]
+                if (stop <= start).any() or (place >= slot["packs"][at] * slot["copies"][at]).any():
+                    raise ValueError("a piece's rank is not in the plan")
                 found.append((rows, start, stop, slot["sequence"][at] + place // slot["copies"][at],
                               slot["offset"][at] + place % slot["copies"][at] * (stop - start)))
                 more = stop < length[rows]

@@ -2,6 +2,7 @@ import binascii
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 from hypothesis import given, settings, strategies as st
 
 from pagelode.llm import histogram_packing as packing
@@ -112,3 +113,25 @@ def test_ranks_are_dense(spark):
         by_length[r.length].append(r.rank)
     assert len(rows) == 300
     assert all(sorted(ranks) == list(range(len(ranks))) for ranks in by_length.values())
+
+
+def test_every_rank_is_found_in_the_plan():
+    rng = np.random.default_rng(1)
+    lengths = np.clip(rng.lognormal(5.0, 1.3, 40_000).astype(int), 1, 2048)
+    histogram = {n: int(m) for n, m in enumerate(np.bincount(lengths)) if m}
+    slot = packing.slots(histogram)
+    length = np.repeat(list(histogram), list(histogram.values()))
+    rank = np.concatenate([np.arange(m) for m in histogram.values()])
+
+    class Plan:
+        value = slot
+
+    batch = pa.RecordBatch.from_pydict({
+        "doc_id": rank, "start": rank * 0, "length": length, "ids_crc32": rank, "doc_tokens": length, "rank": rank,
+        "block_crcs": [b"\0" * 2048] * len(rank)})
+    out = next(packing._placer(Plan, 2048, packing.GRAIN)(iter([batch]))).to_pandas()
+    assert out["length"].sum() == lengths.sum()
+    ends = out.sort_values(["sequence_id", "offset"])
+    ends["after"] = ends["offset"] + ends["length"]
+    first = ends["sequence_id"].ne(ends["sequence_id"].shift())
+    assert (ends["offset"] == ends["after"].shift().where(~first, 0)).all() and ends["after"].max() <= 2048
