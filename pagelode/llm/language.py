@@ -8,19 +8,23 @@ sentence and is not torn by a single odd word. A document's language is the one
 expected number of letters over all its words, and its score that share.
 
 A sentence ends at a word with `.`, `!` or `?` behind it; a longer one goes on as a new chain after
-`CHAIN_WORDS` words. Weights are learned from a bounded sample of sentences of whole documents: up
+`CHAIN_WORDS` words. A word of more than `LONG_WORD` characters, as in languages written without spaces, is
+a row of words of `LONG_WORD` characters. Weights are learned from a bounded sample of sentences of whole documents: up
 to about `DOCS_PER_LANGUAGE` documents per language, by a hash of the id, `SENTENCES_PER_DOC` sentences
-each, by a hash as well. Some sentences are joined across languages, so that switches are seen.
+each, by a hash as well, sentences of one word only where a document has too few others; and of the
+`MAX_LABELS` commonest values of lang. Some sentences are joined across languages, so that switches are seen.
 Only text and lang are used, lang never for a prediction.
 
-Null text or no letter: `und`, score 0. Null lang: predicted, never learned from. Nothing to learn
-from: `und` for all. Null doc_id, repeated rows: rows like any other. Empty table: no rows.
+Null text or no letter (category L, as number signs are none): `und`, score 0. Null lang: predicted, never learned from. Nothing to learn
+from: `und` for all. Texts of any length are labelled whole. Null doc_id: a row like any other. Repeated
+rows: each is predicted, and learned from once. Equal shares (ties): the first label in order. Empty table: no rows.
 Other columns are kept by `identified`.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,13 +33,17 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from pagelode.llm.common import fold, in_arrow, query, slices, table, with_fields
 
 FEATURES = 1 << 17
 MAX_NGRAM = 4
 CHAIN_WORDS = 64
+LONG_WORD = 24
 DOCS_PER_LANGUAGE = 1000
+# Labels that are learned; training holds some 5 MB for each.
+MAX_LABELS = 100
 SENTENCES_PER_DOC = 6
 FOLDS = 4
 HELD_OUT = 2
@@ -50,9 +58,18 @@ def word_and_end(token: str) -> tuple[str, bool]:
     end = token[-1] in ".!?" or token[-2:-1] in (".", "!", "?")
     if token.isalpha():
         return token.lower(), False
+    if not any(map(str.isalpha, token)):
+        return "", end
     return _EDGES.sub("", token).lower(), end
 
 
+def words_of(word: str) -> list[str]:
+    """The word itself, or its pieces if it is long; none if it is empty."""
+    if len(word) <= LONG_WORD:
+        return [word] if word else []
+    return [word[i:i + LONG_WORD] for i in range(0, len(word), LONG_WORD)]
+
+
 def feature_table(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Features of each word: flat feature numbers, and the number of the word that has each."""
     import xxhash
@@ -168,17 +185,19 @@ def chains_of(texts: pa.Array, chain_words: int = CHAIN_WORDS) -> tuple[list[str
     lists = pc.utf8_split_whitespace(pc.fill_null(texts, ""))
     coded = lists.flatten().dictionary_encode()
     token = coded.indices.to_numpy().astype(np.int64)
-    made = [word_and_end(t) if t else ("", False) for t in coded.dictionary.to_pylist()]
+    made = [word_and_end(t) if t else ("", False) for t in coded.dictionary.to_pylist()] or [("", False)]
     vocabulary: dict[str, int] = {}
-    number = np.array([vocabulary.setdefault(w, len(vocabulary)) if w else -1 for w, _ in made] or [-1], np.int64)
-    ends = np.array([e for _, e in made] or [False], bool)
-    text = np.repeat(np.arange(len(texts)), np.diff(lists.offsets.to_numpy()))
-    word = number[token] if len(token) else np.empty(0, np.int64)
-    end = ends[token] if len(token) else np.empty(0, bool)
-    kept = word >= 0
+    pieces = [[vocabulary.setdefault(w, len(vocabulary)) for w in words_of(word)] for word, _ in made]
+    sizes = np.array([len(p) for p in pieces], np.int64)
+    flat = np.array([w for p in pieces for w in p], np.int64)
+    ends = np.array([e for _, e in made], bool)
+    n = sizes[token]
+    text = np.repeat(np.repeat(np.arange(len(texts)), np.diff(lists.offsets.to_numpy())), n)
+    inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    word = flat[np.repeat((np.cumsum(sizes) - sizes)[token], n) + inside]
+    end = ends[token]
     # A token without a letter is no word, but may end a sentence.
-    sentence = (np.cumsum(end) - end)[kept]
-    word, text = word[kept], text[kept]
+    sentence = np.repeat(np.cumsum(end) - end, n)
     if not len(word):
         return [], word, text, np.empty(0, np.int64), np.empty(0, np.int64)
     starts = np.flatnonzero(np.r_[True, (sentence[1:] != sentence[:-1]) | (text[1:] != text[:-1])])
@@ -209,8 +228,9 @@ def fit(docs: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE, sentences:
     """Learns from text and lang of documents outside the held-out fold."""
     known = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col("lang").cast("string")).where(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold(folds=FOLDS) != HELD_OUT))
-    # A row per language: there are few.
-    counts = {r.lang: r.n for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    # The commonest labels: a bounded number of rows.
+    common = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LABELS)
+    counts = {r.lang: r.n for r in common.collect()}
     if not counts:
         return Field([], np.zeros((0, FEATURES), np.float32), np.zeros(0), np.zeros((0, 0)))
     part = F.lit(0.0)
@@ -221,27 +241,29 @@ def fit(docs: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE, sentences:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, chars=SLICE):
             words, word, text, starts, lengths = chains_of(batch.column("text"), 32)
-            order = np.random.default_rng(SEED).permutation(len(starts))
-            taken = np.zeros(batch.num_rows, int)
             ids, langs, out = batch.column("doc_id").to_pylist(), batch.column("lang").to_pylist(), []
-            for c in order.tolist():
-                owner = text[starts[c]]
-                if taken[owner] < sentences and lengths[c] > 1:
-                    taken[owner] += 1
-                    out.append((ids[owner], langs[owner], [words[w] for w in word[starts[c]:starts[c] + lengths[c]]]))
+            bounds = np.searchsorted(text[starts], np.arange(batch.num_rows + 1)) if len(starts) else np.zeros(batch.num_rows + 1, int)
+            for row, body in enumerate(batch.column("text").to_pylist()):
+                # The same choice for the same text, wherever it lies; one-word chains last.
+                order = bounds[row] + np.random.default_rng([SEED, zlib.crc32(body.encode())]).permutation(bounds[row + 1] - bounds[row])
+                for c in order[np.argsort(lengths[order] == 1, kind="stable")][:sentences].tolist():
+                    out.append((ids[row], langs[row], [words[w] for w in word[starts[c]:starts[c] + lengths[c]]]))
             columns = list(zip(*out)) or [[], [], []]
             kinds = [pa.int64(), pa.string(), pa.list_(pa.string())]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["doc_id", "lang", "words"])
 
-    # Bounded by documents per language times sentences of at most 32 words.
-    got = in_arrow(chosen, run, "doc_id long, lang string, words array<string>").toArrow().to_pylist()
+    found = in_arrow(chosen, run, "doc_id long, lang string, words array<string>").distinct()
+    by_lot = W.partitionBy("lang").orderBy(F.xxhash64("doc_id", "words"), "doc_id", "words")
+    # Bounded by labels, documents per language and sentences of at most 32 words.
+    kept = found.withColumn("_place", F.row_number().over(by_lot)).where(F.col("_place") <= docs_per_language * sentences)
+    got = kept.select("lang", "words").toArrow().to_pylist()
     labels = sorted(counts)
     rows = sorted(((labels.index(r["lang"]), r["words"]) for r in got), key=lambda r: (r[0], r[1]))
     rng = np.random.default_rng(SEED)
     chains = [words for _, words in rows]
     tags = [[label] * len(words) for label, words in rows]
     for a, b in rng.integers(0, max(len(rows), 1), (len(rows) // 3, 2)).tolist():  # switches
-        i, j = int(rng.integers(1, len(chains[a]))), int(rng.integers(1, len(chains[b])))
+        i, j = (int(rng.integers(1, n)) if n > 1 else n * (not k) for k, n in enumerate((len(chains[a]), len(chains[b]))))
         chains.append(rows[a][1][:i] + rows[b][1][j:])
         tags.append([rows[a][0]] * i + [rows[b][0]] * (len(rows[b][1]) - j))
     return train(chains, tags, labels) if chains else Field(labels, np.zeros((len(labels), FEATURES), np.float32), np.zeros(len(labels)), np.zeros((len(labels),) * 2))

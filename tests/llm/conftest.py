@@ -8,7 +8,8 @@ def documents(spark, sf_dir):
 
 
 HARD_TEXTS = [None, "", " \n\t ", "one", "one two", "a b c " * 40, "Ünïcode … 日本語 テキスト 🙂 test " * 5, "same text here again",
-              "same text here again", "x" * 30_000, "word " * 6000, "line one two three\n" * 30, "<|endoftext|> [INST] </s>\r\n\x0b\x0c end"]
+              "same text here again", "x" * 30_000, "word " * 6000, "line one two three\n" * 30, "<|endoftext|> [INST] </s>\r\n\x0b\x0c end",
+              "½ Ⅷ ② 12", "漢字" * 400]
 
 
 @pytest.fixture(scope="module")

@@ -5,6 +5,7 @@ import numpy as np
 import pyarrow as pa
 
 from pagelode.llm import language
+from tests.llm.conftest import HARD_TEXTS
 
 TEXTS = {"aa": "kata mako tola pira. Sona lamo tika!", "bb": "zchrst vltk brzg hmst. Krsk ptrl?"}
 
@@ -38,8 +39,10 @@ def test_hard_texts(spark, hard_docs, no_docs):
     docs = table(spark).select("doc_id", "text", "lang").unionByName(hard_docs.select("doc_id", "text", "lang"))
     out = language.languages(docs).collect()
     assert len(out) == docs.count()
-    blank = [r for r in out if r.doc_id in (0, 1, 2) and r.lang_pred == "und"]
-    assert len(blank) == 3 and {r.score for r in blank} == {0.0}
+    letters = {i: any(map(str.isalpha, t or "")) for i, t in enumerate(HARD_TEXTS)}
+    blank = [r for r in out if r.lang_pred == "und"]
+    assert sorted(r.doc_id for r in blank) == [i for i, some in letters.items() if not some] == [0, 1, 2, 13]
+    assert {r.score for r in blank} == {0.0}
     kept = language.identified(hard_docs, language.fit(docs), ("found", "part"))
     assert kept.columns == [*hard_docs.columns, "found", "part"]
     assert language.languages(no_docs).count() == 0
@@ -94,3 +97,32 @@ def test_features_of_a_word_do_not_depend_on_its_neighbours():
     alone = [sorted(language.feature_table([w])[0].tolist()) for w in (b"ab", b"abc")]
     both, owners = language.feature_table([b"ab", b"abc"])
     assert [sorted(both[owners == k].tolist()) for k in (0, 1)] == alone
+
+
+def test_a_language_without_spaces_is_learned(spark):
+    rng = np.random.default_rng(7)
+    spaceless = ["".join(rng.choice(list("的一是不了人我在有他这中大来上国"), int(rng.integers(5, 90)))) for _ in range(60)]
+    english = [" ".join(rng.choice("the of and to in is that for it was".split(), 20)) for _ in range(60)]
+    rows = [(i, t, lang) for i, (t, lang) in enumerate([(t, "zh") for t in spaceless] + [(t, "en") for t in english])]
+    out = language.languages(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    assert len(out) == 120 and all(r.lang_pred == rows[r.doc_id][2] for r in out)
+
+
+def test_the_sample_is_bounded(spark, monkeypatch):
+    """Repeated rows are learned from once, and of many labels the commonest."""
+    learned = next(i for i in range(100, 200) if zlib.crc32(str(i).encode()) % 4 != 2)
+    rows = [(i, f"{TEXTS['aa']} {i}", "aa") for i in range(40)] + [(learned, TEXTS["bb"], "bb")] * 60 + [(500 + i, "odd words", f"x{i}") for i in range(30)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    seen = {}
+    monkeypatch.setattr(language, "train", lambda chains, tags, labels: seen.update(chains=chains, labels=labels))
+    monkeypatch.setattr(language, "MAX_LABELS", 5)
+    language.fit(frame, docs_per_language=1000, sentences=3)
+    assert len(seen["labels"]) == 5 and {"aa", "bb"} <= set(seen["labels"])
+    by_hand = sum(c == ["zchrst", "vltk", "brzg", "hmst"] for c in seen["chains"])
+    assert by_hand <= 2  # one row of the sample, or joined to another once
+
+
+def test_long_words_are_cut():
+    words, word, text, starts, lengths = language.chains_of(pa.array(["ab " + "x" * 50, "½Ⅷ 3"]))
+    assert [words[w] for w in word] == ["ab", "x" * 24, "x" * 24, "xx"] and text.tolist() == [0] * 4
+    assert lengths.tolist() == [4]
