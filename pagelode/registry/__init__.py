@@ -10,7 +10,7 @@ import importlib
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 
-_MODULES = ("url_queries", "page_queries", "frontier_queries", "search_queries", "robots_queries",
+_MODULES = ("url_queries", "page_queries", "frontier_queries", "search_queries", "segment_queries", "robots_queries",
             "metric_queries", "crawl_queries", "stream_queries")
 
 

@@ -54,8 +54,12 @@ def wiki_seeds(store: DataFrame) -> DataFrame:
 
 
 def search_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return as_search_docs(table(spark, sf_dir, "documents"))
+
+
+def as_search_docs(documents: DataFrame) -> DataFrame:
     host = F.when(F.col("lang").isin("en", "fr"), F.concat("lang", F.lit(".wikipedia.org"))).otherwise("example.org")
-    return table(spark, sf_dir, "documents").select(
+    return documents.select(
         F.concat(F.lit("https://"), host, F.lit("/wiki/Doc_"), F.floor(F.col("doc_id") / 2).cast("string"),
                  F.lit("#"), (F.col("doc_id") % 2).cast("string")).alias("url"),
         F.split_part("text", F.lit("\n"), F.lit(1)).alias("title"), F.col("text").alias("content"))

@@ -133,9 +133,10 @@ wiki_seeds AS (
 
 # Documents as an index: pairs of documents share a URL up to the fragment, some hosts are not
 # trusted.
-SEARCH_DOCS = """sdocs AS (
-  SELECT doc_id, 'https://' || CASE WHEN lang IN ('en', 'fr') THEN lang || '.wikipedia.org' ELSE 'example.org' END
-    || '/wiki/Doc_' || (doc_id // 2) || '#' || (doc_id % 2) AS url,
+DOC_URL = """'https://' || CASE WHEN lang IN ('en', 'fr') THEN lang || '.wikipedia.org' ELSE 'example.org' END
+    || '/wiki/Doc_' || (doc_id // 2) || '#' || (doc_id % 2)"""
+SEARCH_DOCS = f"""sdocs AS (
+  SELECT doc_id, {DOC_URL} AS url,
     split_part(text, chr(10), 1) AS title, text AS content FROM documents)"""
 
 POSTINGS = f"""{SEARCH_DOCS}, toks AS (
