@@ -1,27 +1,33 @@
 """Operator 10: sharding by fixed virtual slots.
 
-A record's slot never changes: a hash of its doc_id modulo thousands of slots. Bytes and rows are
+A record's slot never changes: a hash of its doc_id and text modulo thousands of slots. Bytes and rows are
 aggregated per slot, and a versioned slot-to-shard map says where each slot lies. The first version
-deals slots to shards by bytes, heaviest slot to the lightest shard. Later versions are edits:
-`grow` moves slots from the fullest shards into a new one and nowhere else, `rebalance` moves slots
-off shards that outgrew the others. The map has a row per slot and version, so it is small whatever
-the data, and the law that holds is `bytes`: shard sizes near equal.
+deals the slots out by number, before any sizes are known. Later versions are edits of the one before:
+`rebalanced` moves slots off the fullest shards, and exchanges them where no move helps, `grown` moves slots from
+the fullest shards into a new one and nowhere else. The map has a row per slot and version, so it is
+small whatever the data, and the law that holds is `bytes`: shard sizes near equal. `shard` writes version
+1, the rebalanced version 2, which places the records, and version 3 with one more shard.
+
+Equal rows are interchangeable, so those that would make one slot heavy are spread: where the copies of one
+row have more than a `1 / HEAVY` part of a mean slot's bytes or rows, each copy takes one of as many
+slots as that makes parts, by its place in the stored records. There are at most 2 `HEAVY` such rows per slot, a proven bound.
 
 The place of a record inside its shard (`slot` of the digest) is its place inside the virtual slot
 plus the rows of the shard's earlier virtual slots, so no shard is ever sorted as a whole: the
 window works on one virtual slot of thousands.
 
-Null text: one byte, checksum of nothing. Null doc_id: the slot of its text. Repeated rows: each has
-its own place, in one virtual slot. Equal texts have different ids, so a group of copies spreads
-over all slots. Empty table: no rows. Other columns are ignored.
+Null text: one byte, checksum of nothing. Null or repeated doc_ids: a hash of the text tells rows apart. Repeated
+rows (ties of all that orders records): each has its own place, whichever of them it is. Texts of any length are one record,
+measured where they are read; one text is in one shard, so a shard is no smaller than its largest. Empty table:
+no rows. Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
-import heapq
+from bisect import bisect_left
 from collections import defaultdict
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -30,21 +36,29 @@ from pagelode.session import workdir
 
 SLOTS = 8192
 SHARDS = 16
+HEAVY = 4
 
 
-def virtual_slot(slots: int = SLOTS) -> Column:
-    """By doc_id; rows without one by their text."""
-    key = F.coalesce(F.xxhash64(F.lit("id"), F.col("doc_id")), F.lit(0))
-    return F.pmod(F.when(F.col("doc_id").isNull(), F.xxhash64(F.lit("text"), F.col("text"))).otherwise(key), F.lit(slots)).cast("int")
-
-
-def records(docs: DataFrame, slots: int = SLOTS) -> DataFrame:
-    """doc_id, size, text_crc32 and virtual_slot of each row; texts are read, not kept."""
+def records(docs: DataFrame) -> DataFrame:
+    """doc_id, size, text_crc32, `_key` (equal for equal rows) and `_row` of each row; texts are read, not kept."""
     narrow = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     raw = F.coalesce(F.col("text").cast("binary"), F.lit(b""))
     return narrow.select(
         "doc_id", (F.octet_length(raw) + 1).cast("long").alias("size"), F.crc32(raw).alias("text_crc32"),
-        virtual_slot(slots).alias("virtual_slot"))
+        F.xxhash64(F.lit("id"), "doc_id", F.lit("text"), "text").alias("_key"), F.monotonically_increasing_id().alias("_row"))
+
+
+def in_slots(rows: DataFrame, slots: int = SLOTS) -> DataFrame:
+    """Adds virtual_slot to stored records."""
+    total = rows.agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("rows")).first()
+    parts = slots * HEAVY
+    copies = rows.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"), F.sum("size").alias("_bytes")).where("_n > 1")
+    share = F.greatest(F.col("_n") * parts / max(total.rows, 1), F.col("_bytes") * parts / max(total.bytes or 0, 1))
+    # A key here has over 1 / parts of all rows or bytes, so there are fewer than 2 * parts of them.
+    heavy = copies.where(share > 1).select("_key", F.least("_n", F.ceil(share)).alias("_parts"))
+    part = F.coalesce(F.pmod(F.xxhash64("_row"), F.col("_parts")), F.lit(0).cast("long"))
+    slot = F.pmod(F.xxhash64("_key", part), F.lit(slots)).cast("int")
+    return rows.join(F.broadcast(heavy), "_key", "left").withColumn("virtual_slot", slot).drop("_parts", "_key", "_row")
 
 
 def slot_sizes(rows: DataFrame) -> DataFrame:
@@ -53,16 +67,9 @@ def slot_sizes(rows: DataFrame) -> DataFrame:
 
 # Edits of the map work on one number pair per slot, on the driver: a fixed number of slots.
 
-def dealt(sizes: dict[int, int], slots: int, shards: int) -> list[int]:
-    """First map: heaviest slots first, each to the lightest shard."""
-    heap = [(0, s) for s in range(shards)]
-    shard_of = [0] * slots
-    for slot in sorted(range(slots), key=lambda s: (-sizes.get(s, 0), s)):
-        held, shard = heapq.heappop(heap)
-        shard_of[slot] = shard
-        # Empty slots count a little, so that they spread as well.
-        heapq.heappush(heap, (held + max(sizes.get(slot, 0), 1), shard))
-    return shard_of
+def numbered(slots: int, shards: int) -> list[int]:
+    """First map: slots to shards by number, whatever they will hold."""
+    return [slot % shards for slot in range(slots)]
 
 
 def grown(shard_of: list[int], sizes: dict[int, int], shards: int) -> list[int]:
@@ -86,23 +93,37 @@ def grown(shard_of: list[int], sizes: dict[int, int], shards: int) -> list[int]:
     return out
 
 
-def rebalanced(shard_of: list[int], sizes: dict[int, int], shards: int, tolerance: float = 0.01) -> list[int]:
-    """Moves slots from the fullest to the emptiest shard while they differ by more than the tolerance."""
+def rebalanced(shard_of: list[int], sizes: dict[int, int], shards: int, tolerance: float = 0.0) -> list[int]:
+    """Moves slots from the fullest to the emptiest shard, or exchanges two, as long as that brings them nearer
+    to each other and they differ by more than the tolerance (a share of the mean)."""
     out = list(shard_of)
     held, own = _held(out, sizes, shards)
     mean = max(1, sum(sizes.values()) // shards)
+    by_size = {s: sorted((sizes.get(slot, 0), slot) for slot in slots) for s, slots in own.items()}
     while True:
         full, empty = max(range(shards), key=lambda s: held[s]), min(range(shards), key=lambda s: held[s])
         gap = held[full] - held[empty]
-        fits = [s for s in own[full] if 0 < sizes.get(s, 0) < gap]
-        if gap <= tolerance * mean or not fits:
+        if gap <= tolerance * mean:
+            return out
+        # What leaves the fullest and what comes back for it, (0, -1) for nothing: nearest to half the gap.
+        takes, gives = by_size.setdefault(empty, []), by_size[full]
+        best = None
+        for size, slot in gives:
+            at = bisect_left(takes, (size - gap // 2, -1))
+            for back in [(0, -1), *takes[max(at - 1, 0):at + 1]]:
+                change = size - back[0]
+                if 0 < change < gap and (best is None or abs(2 * change - gap) < best[0]):
+                    best = abs(2 * change - gap), (size, slot), back
+        if best is None:
             return out
-        slot = min(fits, key=lambda s: (abs(2 * sizes[s] - gap), s))
-        own[full].remove(slot)
-        own[empty].append(slot)
-        out[slot] = empty
-        held[full] -= sizes[slot]
-        held[empty] += sizes[slot]
+        _, given, back = best
+        for moved, source, target in ((given, full, empty), (back, empty, full)):
+            if moved[1] >= 0:
+                by_size[source].remove(moved)
+                by_size[target].insert(bisect_left(by_size[target], moved), moved)
+                out[moved[1]] = target
+                held[source] -= moved[0]
+                held[target] += moved[0]
 
 
 def _held(shard_of: list[int], sizes: dict[int, int], shards: int) -> tuple[list[int], dict[int, list[int]]]:
@@ -147,17 +168,22 @@ def placed(rows: DataFrame, sizes: DataFrame, slot_map: DataFrame) -> DataFrame:
 
 
 def shard(docs: DataFrame, shards: int = SHARDS, slots: int = SLOTS, path: str | None = None) -> DataFrame:
-    """doc_id, size, text_crc32, virtual_slot, shard and slot; version 1 of the map is written below path."""
+    """doc_id, size, text_crc32, virtual_slot, shard and slot by version 2 of the map, and shard_if_grown by
+    version 3; the versions are written below path."""
     spark = docs.sparkSession
-    rows = stored(records(docs, slots), "records")
+    rows = stored(in_slots(stored(records(docs), "records"), slots), "slotted")
     sizes = stored(slot_sizes(rows), "slot-sizes")
     by_slot = {r.virtual_slot: r.bytes for r in sizes.toLocalIterator()}
-    slot_map = SlotMap(spark, path or workdir(spark, "slot-map")).write(1, dealt(by_slot, slots, shards))
-    return placed(rows, sizes, slot_map)
+    kept = SlotMap(spark, path or workdir(spark, "slot-map"))
+    kept.write(1, numbered(slots, shards))
+    balanced = kept.write(2, rebalanced(kept.shards(1), by_slot, shards))
+    larger = kept.write(3, grown(kept.shards(2), by_slot, shards))
+    after = larger.withColumnRenamed("shard", "shard_if_grown")
+    return placed(rows, sizes, balanced).join(F.broadcast(after), "virtual_slot")  # a row per slot
 
 
 @query("op10_virtual_slots")
 def op10(spark, sf_dir):
     return shard(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
-        F.lit(None).cast("int").alias("grown_shard"), "virtual_slot")
+        F.lit(None).cast("int").alias("grown_shard"), "virtual_slot", "shard_if_grown")
