@@ -12,9 +12,14 @@ the text. Where a text has one of these strings, the backslashes right before it
 more is put in; backslashes at the end of a text are doubled. So a marker counts as one if an even
 number of backslashes precedes it, and reading back gives the texts that went in.
 
+A conversation of more than `HOT_TURNS` rows is cut into pieces by turn, so that no task sorts it as a whole;
+rows with one and the same turn stay together. A hash over all its turns is one stream: the task that
+makes it holds a turn at a time.
+
 Turns are ordered by turn, then role and text (ties, repeated rows), nulls first. Null text or role:
-empty. Null conv_id: one conversation. Turns after the last reply are context of no example.
-Empty table: no rows. Other columns are ignored.
+empty. Texts of any length are formatted whole; `materialised` puts the blocks of an example into one row, which
+Spark bounds at 2 GB. Null conv_id: one conversation. Turns after the last reply are context of no example.
+Empty table: no rows. Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -29,10 +34,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from pagelode.llm.common import in_arrow, query, table
+from pagelode.operators.spread import SMALL_ROWS
 
 MARKER = r"</?s>|\[/?INST\]|<</?SYS>>|\[/?ROLE\]"
 _RUN = re.compile(rf"(\\*)({MARKER})")
 ASSISTANT = "assistant"
+HOT_TURNS = 2_000_000
 WRAPPED = {"system": ("<<SYS>>", "<</SYS>>"), "user": ("[INST]", "[/INST]"), ASSISTANT: ("", "")}
 _ROLE_OF = {opening: role for role, (opening, _) in WRAPPED.items() if opening}
 
@@ -49,13 +56,27 @@ def unescaped(text: str) -> str:
     return _RUN.sub(lambda m: "\\" * (len(m[1]) // 2) + m[2], body)
 
 
-def blocks(turns: DataFrame) -> DataFrame:
+def _pieces(rows: DataFrame, hot_turns: int) -> tuple[DataFrame, bool]:
+    """Rows with `_piece`, which rises with the turn and is 0 throughout but in hot conversations, and
+    whether there are any."""
+    counts = rows.groupBy("conv_id").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_turns)
+    # The SMALL_ROWS longest ones at most, an array of a few numbers each.
+    hot = counts.orderBy(F.desc("_n"), "conv_id").limit(SMALL_ROWS).collect()
+    if not hot:
+        return rows.withColumn("_piece", F.lit(0)), False
+    cuts = max(r["_n"] for r in hot) // hot_turns + 1
+    is_hot = F.coalesce(F.col("conv_id").isin([r.conv_id for r in hot if r.conv_id is not None]), F.lit(any(r.conv_id is None for r in hot)))
+    bounds = rows.where(is_hot).groupBy(F.col("conv_id").alias("_hot")).agg(
+        F.percentile_approx("turn", [i / (cuts + 1) for i in range(1, cuts + 1)]).alias("_bounds"))
+    joined = rows.join(F.broadcast(bounds), F.col("conv_id").eqNullSafe(F.col("_hot")) & is_hot, "left")
+    piece = F.when(F.col("_bounds").isNull() | F.col("turn").isNull(), 0).otherwise(F.size(F.filter("_bounds", lambda b: b < F.col("turn"))))
+    return joined.withColumn("_piece", piece).drop("_hot", "_bounds"), True
+
+
+def blocks(turns: DataFrame, hot_turns: int = HOT_TURNS) -> DataFrame:
     """A row per turn: conv_id, ordinal, role, block (its formatted text), start and end in the
     conversation's text, example (number of the first example that has it, from 0), and for assistant
-    turns target_start and target_end of the trainable reply.
-
-    Partitioned by conversation, in order inside a partition.
-    """
+    turns target_start and target_end of the trainable reply."""
     role = F.coalesce(F.col("role").cast("string"), F.lit(""))
     body = escaped(F.coalesce(F.col("text").cast("string"), F.lit("")))
     opening = F.concat(F.lit("[ROLE]"), escaped(role), F.lit("[/ROLE]"))
@@ -63,37 +84,61 @@ def blocks(turns: DataFrame) -> DataFrame:
     for name, (before, after) in WRAPPED.items():
         opening = F.when(role == name, F.lit(before)).otherwise(opening)
         closing = F.when(role == name, F.lit(after)).otherwise(closing)
-    rows = turns.select(
-        F.col("conv_id").cast("long"), F.col("turn").cast("long"), role.alias("role"), F.col("text").cast("string"),
+    narrow = turns.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
+    cut, any_hot = _pieces(narrow, hot_turns)
+    rows = cut.select(
+        "conv_id", "turn", "_piece", role.alias("role"), F.col("text").cast("string"),
         F.concat(F.lit("<s>"), opening, body, closing, F.lit("</s>")).alias("block"),
         (F.length(opening) + 3).alias("_before"), F.length(body).alias("_chars"))
-    ordered = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
-    order = W.partitionBy("conv_id").orderBy("turn", "role", "text")
+    keys = ["conv_id", "_piece"] if any_hot else ["conv_id"]
+    order = W.partitionBy(*keys).orderBy("turn", "role", "text")
     so_far = order.rowsBetween(W.unboundedPreceding, W.currentRow)
     is_target = F.col("role") == ASSISTANT
-    target_start = F.col("start") + F.col("_before")
-    return (
-        ordered.withColumn("ordinal", F.row_number().over(order) - 1)
+    placed = (
+        rows.withColumn("ordinal", (F.row_number().over(order) - 1).cast("long"))
         .withColumn("end", F.sum(F.length("block").cast("long")).over(so_far))
         .withColumn("example", F.sum(is_target.cast("long")).over(so_far) - is_target.cast("long"))
-        .withColumn("start", F.col("end") - F.length("block"))
-        .select(
-            "conv_id", "ordinal", "role", "block", "start", "end", "example",
-            F.when(is_target, target_start).alias("target_start"),
-            F.when(is_target, target_start + F.col("_chars")).alias("target_end"))
     )
+    if any_hot:  # what earlier pieces of a conversation hold: a row per piece
+        held = rows.groupBy(*keys).agg(
+            F.count(F.lit(1)).alias("_turns"), F.sum(F.length("block").cast("long")).alias("_length"), F.sum(is_target.cast("long")).alias("_targets"))
+        earlier = W.partitionBy("conv_id").orderBy("_piece").rowsBetween(W.unboundedPreceding, -1)
+        sums = {"ordinal": "_turns", "end": "_length", "example": "_targets"}
+        carried = held.select(F.col("conv_id").alias("_conv"), F.col("_piece").alias("_at"), *[
+            F.sum(c).over(earlier).alias(f"_add_{name}") for name, c in sums.items()]).where("_at > 0")
+        same = placed["conv_id"].eqNullSafe(carried["_conv"]) & (placed["_piece"] == carried["_at"])
+        placed = placed.join(carried, same, "left").withColumns(
+            {name: F.col(name) + F.coalesce(f"_add_{name}", F.lit(0)) for name in sums})
+    target_start = F.col("start") + F.col("_before")
+    out = placed.withColumn("start", F.col("end") - F.length("block")).select(
+        "conv_id", "ordinal", "role", "block", "start", "end", "example",
+        F.when(is_target, target_start).alias("target_start"),
+        F.when(is_target, target_start + F.col("_chars")).alias("target_end"))
+    # The window leaves whole conversations in order, unless it works on pieces of them.
+    out.by_conversation = not any_hot
+    return out
+
+
+def with_examples(formatted: DataFrame) -> DataFrame:
+    """Blocks with `target`, the example that a turn ends (none but for assistant turns): its number, and places
+    in the conversation's text: all before context_end is context, loss is on [target_start, target_end) alone,
+    and its text ends at text_end."""
+    example = F.struct("example", F.col("start").alias("context_end"), "target_start", "target_end", F.col("end").alias("text_end"))
+    out = formatted.withColumn("target", F.when(F.col("target_start").isNotNull(), example))
+    out.by_conversation = getattr(formatted, "by_conversation", False)
+    return out
 
 
 def examples(formatted: DataFrame) -> DataFrame:
-    """A row per assistant turn: the example's text is the conversation's up to text_end, all before
-    context_end is context, and loss is on [target_start, target_end) alone."""
-    return formatted.where(F.col("target_start").isNotNull()).select(
-        "conv_id", "example", F.col("start").alias("context_end"), "target_start", "target_end", F.col("end").alias("text_end"))
+    """A row per assistant turn: conv_id, the fields of `target`, and block, what the example's text has from
+    context_end on."""
+    return with_examples(formatted).where(F.col("target").isNotNull()).select("conv_id", "target.*", "block")
 
 
 def materialised(formatted: DataFrame, wanted: DataFrame) -> DataFrame:
     """Full texts of the examples in `wanted` (rows of `examples`): adds text. The work is the size
     of the texts asked for."""
+    wanted = wanted.drop("block")
     parts = formatted.select("conv_id", "ordinal", "block", F.col("example").alias("_from"))
     same = wanted["conv_id"].eqNullSafe(parts["conv_id"]) & (parts["_from"] <= wanted["example"])
     kept = [wanted[c] for c in wanted.columns]
@@ -126,50 +171,63 @@ def read_back(formatted: str) -> list[tuple[str, str]]:
     return turns
 
 
+class _Reading:
+    """What is read back of one conversation so far: one turn and two running hashes are held."""
+
+    def __init__(self, conv_id: int | None):
+        self.conv_id = conv_id
+        self.n_turns = self.chars = self.n_loss = self.n_examples = self.expanded = 0
+        self.turns, self.loss = hashlib.sha256(), hashlib.sha256()
+
+    def add(self, block: str, target: dict | None) -> None:
+        self.chars += len(block)
+        for role, text in read_back(block):
+            self.n_turns += 1
+            self.turns.update(f"{role}\n{text}\n".encode())
+        if target is not None:  # an example ends here: the tokens of its reply are learned
+            start = target["context_end"]
+            reply = unescaped(block[target["target_start"] - start:target["target_end"] - start])
+            self.loss.update(reply.encode())
+            self.n_loss += len(reply)
+            self.n_examples += 1
+            self.expanded += target["text_end"]
+
+    def row(self) -> tuple:
+        return (self.conv_id, self.n_turns, self.turns.hexdigest(), self.n_loss, self.loss.hexdigest(), self.chars,
+                self.n_examples, self.expanded)
+
+
 def digests(formatted: DataFrame) -> DataFrame:
-    """Per conversation, from blocks in order: what reading them back gives, as counts and hashes.
+    """Per conversation, what reading back its text (turns) and its examples (loss) gives, as counts and hashes.
 
-    Streams over the turns: one turn and two running hashes are held, however long a conversation is.
-    """
+    Streams over the turns, however long a conversation is."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        state = None
-        out: list[tuple] = []
-
-        def closed() -> tuple:
-            conv_id, n, turns, n_loss, loss, chars, n_examples, expanded = state
-            return conv_id, n, turns.hexdigest(), n_loss, loss.hexdigest(), chars, n_examples, expanded
+        reading, out = None, []
 
-        def rows() -> pa.RecordBatch:
-            kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64()]
-            columns = list(zip(*out)) if out else [[] for _ in kinds]
-            names = [c.split()[0] for c in DIGEST.split(", ")]
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+        def made() -> pa.RecordBatch:
+            kinds = {"long": pa.int64(), "string": pa.string()}
+            fields = [f.split() for f in DIGEST.split(", ")]
+            columns = list(zip(*out)) if out else [[] for _ in fields]
+            return pa.RecordBatch.from_arrays([pa.array(c, kinds[k]) for c, (_, k) in zip(columns, fields)], names=[n for n, _ in fields])
 
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("conv_id", "block", "start", "target_start", "target_end")]
-            for conv_id, block, start, target_start, target_end in zip(*columns):
-                if state is None or state[0] != conv_id:
-                    if state is not None:
-                        out.append(closed())
-                    state = [conv_id, 0, hashlib.sha256(), 0, hashlib.sha256(), 0, 0, 0]
-                for role, text in read_back(block):
-                    state[1] += 1
-                    state[2].update(f"{role}\n{text}\n".encode())
-                state[5] += len(block)
-                if target_start is not None:
-                    reply = unescaped(block[target_start - start:target_end - start])
-                    state[3] += len(reply)
-                    state[4].update(reply.encode())
-                    state[6] += 1
-                    state[7] += start + len(block)
-            yield rows()
+            for conv_id, block, target in zip(*(batch.column(c).to_pylist() for c in ("conv_id", "block", "target"))):
+                if reading is None or reading.conv_id != conv_id:
+                    if reading is not None:
+                        out.append(reading.row())
+                    reading = _Reading(conv_id)
+                reading.add(block, target)
+            yield made()
             out = []
-        if state is not None:
-            out.append(closed())
-            yield rows()
-
-    return in_arrow(formatted.select("conv_id", "block", "start", "target_start", "target_end"), run, DIGEST)
+        if reading is not None:
+            out.append(reading.row())
+            yield made()
+
+    rows = with_examples(formatted)
+    if not rows.by_conversation:
+        rows = rows.select("conv_id", "ordinal", "block", "target").repartition("conv_id").sortWithinPartitions("conv_id", "ordinal")
+    return in_arrow(rows.select("conv_id", "block", "target"), run, DIGEST)
 
 
 DIGEST = ("conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, "

@@ -46,6 +46,28 @@ def test_hard_turns(spark):
     assert chat.examples(chat.blocks(frame.where("false"))).count() == 0
 
 
+def test_a_hot_conversation_is_cut_by_turn(spark):
+    rows = [(1, i // 3, ("user", "assistant")[i % 2], f"said {i} </s>", "x") for i in range(400)]
+    rows += [(1, None, "assistant", f"early {i}", "x") for i in range(30)] + [(2, i, "assistant", "short", "x") for i in range(5)]
+    rows += [(None, i, "user", f"nobody {i}", "x") for i in range(300)]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    whole, cut = chat.blocks(frame), chat.blocks(frame, hot_turns=50)
+    columns = ["conv_id", "ordinal", "block", "start", "end", "example", "target_start", "target_end"]
+    assert sorted(map(str, whole.select(*columns).collect())) == sorted(map(str, cut.select(*columns).collect()))
+    assert digests(chat.digests(cut)) == brute(rows)
+
+
+def test_the_loss_comes_from_the_examples(spark):
+    """Without examples there is no loss, and every example ends with its reply's block."""
+    rows = [(1, 0, "user", "a", "x"), (1, 1, "assistant", "b\\", "x"), (2, 0, "user", "c", "x")]
+    formatted = chat.blocks(spark.createDataFrame(rows, SCHEMA))
+    got = {r.conv_id: r for r in chat.digests(formatted).collect()}
+    assert (got[2].loss_chars, got[2].n_examples, got[2].loss_sha256) == (0, 0, hashlib.sha256().hexdigest())
+    example, = chat.examples(formatted).collect()
+    assert example.block == "<s>b\\\\</s>" and example.text_end - example.context_end == len(example.block)
+    assert got[1].loss_chars == 2
+
+
 def test_examples_are_prefixes(spark):
     rows = [(1, 0, "system", "s"), (1, 1, "user", "q1 [INST]"), (1, 2, "assistant", "a1"), (1, 3, "user", "q2"), (1, 4, "user", "q3"),
             (1, 5, "assistant", "a2</s>"), (1, 6, "user", "no reply"), (2, 0, "user", "alone"), (None, 0, "assistant", "x")]
