@@ -2,16 +2,23 @@
 
 A record's leaf is the SHA-256 of its bytes with its offset and length. The lowest nodes hash the
 leaves of one range of offsets in order, and each higher node the nodes of `FANOUT` neighbouring
-ranges, up to one root per file. Ranges are fixed by offset, not by record number, so that a lost or
-an added record changes its own range and none after it. An audit compares the roots of two
-replicas and then, level by level, only the children of nodes that differ, down to the records.
+ranges, up to one root per file. An audit compares the roots of two replicas and then, level by level,
+only the children of nodes that differ, down to the ranges.
+
+A replica is laid out from its own rows, so where it lost or gained bytes, all later records of the file
+lie elsewhere and their ranges differ too. So the records of neighbouring differing ranges are realigned: the
+k-th record with a digest in one replica is the k-th with it in the other, wherever it lies. What is left
+over is a fault: `changed` if the other replica has a record at the same distance behind the last record that
+both have, else `missing` or `extra`. Records that only lie elsewhere are none.
 
 All of it is joins and groups of bounded size: a node has at most `FANOUT` children, the lowest one
-the records of `RANGE_BYTES`. Payloads are hashed where they are read and never move.
+the records of `RANGE_BYTES`, a file the distinct records of `PAGES_PER_FILE` pages; a file of more than
+`MOST_RECORDS` is several, by a hash of the url. Payloads are hashed where they are read and never move.
 
-Null columns: an empty url or payload; a record without a page_id lies in file -1. Repeated rows:
-each is a record with its own offset, as ordered by all columns. Empty tables: no rows; a replica
-without a file lacks all its records. Other columns are ignored.
+Null columns: an empty url or payload; a record without a page_id lies in file -1 (or a file that goes on from it).
+Payloads of any length are hashed whole. Repeated rows: each is a record with its own offset; equal records are
+told apart by their order. Ties: records of one page lie in the order of their digests. Empty tables: no rows; a replica
+without a file lacks all its records. Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -21,11 +28,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from pagelode.llm.common import query, stored, table
+from pagelode.operators.spread import hot_pieces
 
 RANGE_BYTES = 65_536
 FANOUT = 16
 LEVELS = 4
 PAGES_PER_FILE = 1000
+MOST_RECORDS = 100_000
+# Added to a file's number for each further file of the same pages.
+NEXT_FILE = 1 << 40
 
 
 def record_bytes(url: Column, payload: Column) -> Column:
@@ -35,24 +46,28 @@ def record_bytes(url: Column, payload: Column) -> Column:
         F.octet_length(payload).cast("string"), F.lit("\r\n\r\n"), payload, F.lit("\r\n\r\n"))
 
 
-def archive(pages: DataFrame, pages_per_file: int = PAGES_PER_FILE, as_found=None) -> DataFrame:
+def archive(pages: DataFrame, pages_per_file: int = PAGES_PER_FILE, as_found=None, most_records: int = MOST_RECORDS) -> DataFrame:
     """page_id, file, offset, length and digest of each page's record, records laid end to end per file.
 
-    `as_found(record, page_id)` gives the bytes that a replica holds in the record's place; their
-    length and digest are then found_length and found_digest.
-    """
+    `as_found(record, page_id)` gives the bytes that a replica holds in the record's place."""
     url, payload = (F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("url", "html"))
     record = record_bytes(url, payload)
-
-    def measured(r: Column, prefix: str = "") -> list[Column]:
-        return [F.octet_length(r).cast("long").alias(f"{prefix}length"), F.sha2(r.cast("binary"), 256).alias(f"{prefix}digest")]
-
-    found = measured(as_found(record, F.col("page_id")), "found_") if as_found else []
-    rows = pages.select(
+    if as_found:
+        record = as_found(record, F.col("page_id"))
+    rows = stored(pages.select(
         F.col("page_id").cast("long"), F.coalesce(F.floor(F.col("page_id") / pages_per_file), F.lit(-1)).cast("long").alias("file"),
-        *measured(record), *found)
-    before = W.partitionBy("file").orderBy("page_id", "digest").rowsBetween(W.unboundedPreceding, -1)
-    return rows.withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0)).cast("long"))
+        F.xxhash64(url).alias("_url"), F.octet_length(record).cast("long").alias("length"), F.sha2(record.cast("binary"), 256).alias("digest")), "records")
+    # Equal records need no order among them: they lie behind one another.
+    distinct = rows.groupBy("file", "page_id", "_url", "digest", "length").agg(F.count(F.lit(1)).alias("_n"))
+    large = hot_pieces(distinct.groupBy("file").agg(F.count(F.lit(1)).alias("_m")), "file", "_m", most_records)
+    part = F.coalesce(F.pmod(F.col("_url"), F.col("_pieces")), F.lit(0))
+    placed = distinct.join(F.broadcast(large), "file", "left").withColumn("file", F.col("file") + part * NEXT_FILE)
+    before = W.partitionBy("file").orderBy("page_id", "digest", "length", "_url").rowsBetween(W.unboundedPreceding, -1)
+    return (
+        placed.withColumn("_start", F.coalesce(F.sum(F.col("length") * F.col("_n")).over(before), F.lit(0)))
+        .select("page_id", "file", "_start", "length", "digest", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1)).alias("_copy"))
+        .select("page_id", "file", (F.col("_start") + F.col("_copy") * F.col("length")).alias("offset"), "length", "digest")
+    )
 
 
 def tree(records: DataFrame, range_bytes: int = RANGE_BYTES, fanout: int = FANOUT, levels: int = LEVELS) -> list[DataFrame]:
@@ -79,8 +94,9 @@ def _differing(a: DataFrame, b: DataFrame, key: list[str]) -> DataFrame:
 
 
 def audit(a: DataFrame, b: DataFrame, range_bytes: int = RANGE_BYTES, fanout: int = FANOUT, levels: int = LEVELS) -> DataFrame:
-    """Records in which replica b differs from a: file, offset, status (changed, missing, extra), both
-    digests and lengths (length 0: no record), and both roots of the file. Inputs have file, offset, length and digest."""
+    """Records in which replica b differs from a: file, offset (in a; of an extra record in b), status (changed,
+    missing, extra), both digests and lengths (length 0: no record), and both roots of the file. Inputs have file,
+    offset, length and digest."""
     columns = ["file", "offset", "length", "digest"]
     a, b = stored(a.select(*columns), "replica-a"), stored(b.select(*columns), "replica-b")
     trees = [tree(x, range_bytes, fanout, levels) for x in (a, b)]
@@ -95,22 +111,41 @@ def audit(a: DataFrame, b: DataFrame, range_bytes: int = RANGE_BYTES, fanout: in
             t[level].withColumn("_parent", F.floor(F.col("node") / fanout).cast("long")).join(parents, ["file", "_parent"], "left_semi")
             for t in trees]
         found = _differing(*sides, ["file", "node"])
-    parents = found.select("file", F.col("node").alias("_parent"))
-    sides = []
-    for x, side in ((a, "a"), (b, "b")):
-        inside = x.withColumn("_parent", F.floor(F.col("offset") / range_bytes).cast("long")).join(parents, ["file", "_parent"], "left_semi")
-        # Several records at one offset are told apart by their order.
-        place = F.row_number().over(W.partitionBy("file", "offset").orderBy("digest", "length"))
-        sides.append(inside.select("file", "offset", place.alias("_place"), F.col("length").alias(f"length_{side}"), F.col("digest").alias(f"digest_{side}")))
+    # Neighbouring ranges that differ are one run, numbered by the place of its first range.
+    runs = found.select("file", "node", (F.col("node") - F.row_number().over(W.partitionBy("file").orderBy("node"))).alias("run"))
+    left, right = (_aligned(x, runs, range_bytes) for x in (a, b))
+    key = ["file", "run", "digest", "length", "_k"]
+    pairs = left.select(*key, F.col("offset").alias("_in_a")).join(right.select(*key, F.col("offset").alias("_in_b")), key)
+    faults = [_unpaired(left, pairs, "_in_a", "_in_a", "a"), _unpaired(right, pairs, "_in_b", "_in_a", "b")]
     status = F.when(F.col("digest_b").isNull(), "missing").when(F.col("digest_a").isNull(), "extra").otherwise("changed")
-    same = F.col("digest_a").eqNullSafe(F.col("digest_b")) & F.col("length_a").eqNullSafe(F.col("length_b"))
     return (
-        sides[0].join(sides[1], ["file", "offset", "_place"], "full").where(~same)
-        .join(roots, "file")
-        .select("file", "offset", status.alias("status"), *[F.coalesce(c, F.lit(0)).alias(c) for c in ("length_a", "length_b")], "digest_a", "digest_b", "root_a", "root_b")
+        faults[0].join(faults[1], ["file", "run", "_anchor", "_distance", "_place"], "full").join(roots, "file")
+        .select("file", F.coalesce("offset_a", "offset_b").alias("offset"), status.alias("status"),
+                *[F.coalesce(c, F.lit(0)).alias(c) for c in ("length_a", "length_b")], "digest_a", "digest_b", "root_a", "root_b")
     )
 
 
+def _aligned(records: DataFrame, runs: DataFrame, range_bytes: int) -> DataFrame:
+    """The records of the differing ranges, each with its run and its place `_k` among equal ones there."""
+    inside = records.withColumn("node", F.floor(F.col("offset") / range_bytes).cast("long")).join(runs, ["file", "node"]).drop("node")
+    return inside.withColumn("_k", F.row_number().over(W.partitionBy("file", "run", "digest", "length").orderBy("offset")))
+
+
+def _unpaired(records: DataFrame, pairs: DataFrame, own: str, anchor: str, side: str) -> DataFrame:
+    """Records without a partner, with the last paired record before (by its offset in replica a), their distance from
+    it, and their place among several at that distance."""
+    paired = records.join(pairs.select("file", "run", F.col(own).alias("offset"), "digest", "length", "_k", F.col(anchor).alias("_anchor"), F.lit(True).alias("_paired")),
+                          ["file", "run", "offset", "digest", "length", "_k"], "left")
+    before = W.partitionBy("file", "run").orderBy("offset", "digest", "length", "_k").rowsBetween(W.unboundedPreceding, -1)
+    last = {"_last": F.last("_anchor", True).over(before), "_at": F.last(F.when(F.col("_paired"), F.col("offset")), True).over(before)}
+    alone = paired.withColumns(last).where(F.col("_paired").isNull())
+    placed = alone.select(
+        "file", "run", F.coalesce("_last", F.lit(-1)).alias("_anchor"), (F.col("offset") - F.coalesce("_at", F.lit(0))).alias("_distance"),
+        "offset", "length", "digest")
+    place = F.row_number().over(W.partitionBy("file", "run", "_anchor", "_distance").orderBy("digest", "length"))
+    return placed.withColumn("_place", place).withColumnsRenamed({c: f"{c}_{side}" for c in ("offset", "length", "digest")})
+
+
 def faulty(record: Column, page_id: Column) -> Column:
     """Changed bytes in some records, a lost last byte in others."""
     return (
@@ -118,12 +153,10 @@ def faulty(record: Column, page_id: Column) -> Column:
         .when(page_id % 101 == 5, F.substr(record, F.lit(1), F.length(record) - 1)).otherwise(record))
 
 
-def damaged(records: DataFrame) -> DataFrame:
-    """A replica as found: faulty records, some lost, and stray copies one byte further on."""
-    kept = records.where(~F.coalesce(F.col("page_id") % 103 == 7, F.lit(False))).select(
-        "file", "offset", F.col("found_length").alias("length"), F.col("found_digest").alias("digest"))
-    stray = records.where(F.col("page_id") % 107 == 9).select("file", (F.col("offset") + 1).alias("offset"), "length", "digest")
-    return kept.unionByName(stray)
+def damaged(pages: DataFrame) -> DataFrame:
+    """The pages that a replica holds records of: some are lost, some are there twice."""
+    kept = pages.where(~F.coalesce(F.col("page_id") % 103 == 7, F.lit(False)))
+    return kept.unionByName(pages.where(F.col("page_id") % 107 == 9))
 
 
 def _tree_sql(side: str) -> str:
@@ -147,29 +180,48 @@ WITH raw AS (
     || chr(13) || chr(10) || chr(13) || chr(10) AS r
   FROM (SELECT page_id, coalesce(url, '') AS url, coalesce(html, '') AS html FROM pages)),
 a AS (
-  SELECT page_id, file, mark, r, strlen(r) AS length, sha256(r) AS digest,
-    coalesce(sum(strlen(r)) OVER (PARTITION BY file ORDER BY page_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS "offset"
+  SELECT file, strlen(r) AS length, sha256(r) AS digest,
+    coalesce(sum(strlen(r)) OVER (PARTITION BY file ORDER BY page_id, sha256(r) ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS "offset"
   FROM raw),
 worse AS (
-  SELECT file, "offset", mark,
-    CASE WHEN mark % 97 = 3 THEN replace(r, 'e', '3') WHEN mark % 101 = 5 THEN left(r, length(r) - 1) ELSE r END AS r FROM a),
+  SELECT page_id, file, mark,
+    CASE WHEN mark % 97 = 3 THEN replace(r, 'e', '3') WHEN mark % 101 = 5 THEN left(r, length(r) - 1) ELSE r END AS r FROM raw),
+held AS (SELECT * FROM worse WHERE mark % 103 <> 7 UNION ALL SELECT * FROM worse WHERE mark % 107 = 9),
 b AS (
-  SELECT file, "offset", strlen(r) AS length, sha256(r) AS digest FROM worse WHERE mark % 103 <> 7
-  UNION ALL SELECT file, "offset" + 1, length, digest FROM a WHERE mark % 107 = 9),
+  SELECT file, strlen(r) AS length, sha256(r) AS digest,
+    coalesce(sum(strlen(r)) OVER (PARTITION BY file ORDER BY page_id, sha256(r) ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS "offset"
+  FROM held),
 {_tree_sql("a")},
 {_tree_sql("b")},
 roots AS (
   SELECT file, x.digest AS root_a, y.digest AS root_b FROM a_{LEVELS} AS x FULL JOIN b_{LEVELS} AS y USING (file)
-  WHERE x.digest IS DISTINCT FROM y.digest)
-SELECT file, "offset",
+  WHERE x.digest IS DISTINCT FROM y.digest),
+runs AS (
+  SELECT file, node, node - row_number() OVER (PARTITION BY file ORDER BY node) AS run
+  FROM a_0 AS x FULL JOIN b_0 AS y USING (file, node) WHERE x.digest IS DISTINCT FROM y.digest),
+{",".join(f"""
+in_{x} AS (
+  SELECT r.file, run, "offset", length, digest, row_number() OVER (PARTITION BY r.file, run, digest, length ORDER BY "offset") AS k
+  FROM {x} AS r JOIN runs ON runs.file = r.file AND runs.node = r."offset" // {RANGE_BYTES})""" for x in "ab")},
+{",".join(f"""
+alone_{x} AS (
+  SELECT file, run, coalesce(paired_last, -1) AS anchor, "offset" - coalesce(own_last, 0) AS distance, "offset", length, digest,
+    row_number() OVER (PARTITION BY file, run, coalesce(paired_last, -1), "offset" - coalesce(own_last, 0) ORDER BY digest, length) AS place
+  FROM (
+    SELECT m.file, m.run, m."offset", m.length, m.digest, o."offset" IS NOT NULL AS paired,
+      last_value(CASE WHEN o."offset" IS NOT NULL THEN {first}."offset" END IGNORE NULLS) OVER before AS paired_last,
+      last_value(CASE WHEN o."offset" IS NOT NULL THEN m."offset" END IGNORE NULLS) OVER before AS own_last
+    FROM in_{x} AS m LEFT JOIN in_{y} AS o USING (file, run, digest, length, k)
+    WINDOW before AS (PARTITION BY m.file, m.run ORDER BY m."offset", m.digest, m.length, m.k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+  WHERE NOT paired)""" for x, y, first in (("a", "b", "m"), ("b", "a", "o")))}
+SELECT file, coalesce(x."offset", y."offset") AS "offset",
   CASE WHEN y.digest IS NULL THEN 'missing' WHEN x.digest IS NULL THEN 'extra' ELSE 'changed' END AS status,
   coalesce(x.length, 0) AS length_a, coalesce(y.length, 0) AS length_b, x.digest AS digest_a, y.digest AS digest_b, root_a, root_b
-FROM a AS x FULL JOIN b AS y USING (file, "offset") JOIN roots USING (file)
-WHERE x.digest IS DISTINCT FROM y.digest
+FROM alone_a AS x FULL JOIN alone_b AS y USING (file, run, anchor, distance, place) JOIN roots USING (file)
 """
 
 
 @query("op8_merkle_fixity", SQL)
 def op8(spark, sf_dir):
-    records = stored(archive(table(spark, sf_dir, "pages"), as_found=faulty), "archive")
-    return audit(records, damaged(records))
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return audit(archive(pages), archive(damaged(pages), as_found=faulty))

@@ -1,5 +1,7 @@
 import hashlib
 
+from pyspark.sql import functions as F
+
 from pagelode.llm import fixity
 
 
@@ -55,7 +57,7 @@ def test_a_tree_of_one_file(spark):
 def test_hard_pages(spark):
     rows = [(1, "http://a/", "ab"), (1, "http://a/", "ab"), (2, None, None), (None, "u", "x" * 100_000), (4, "ü", "日本")]
     pages = spark.createDataFrame([(*r, 1) for r in rows], "page_id long, url string, html string, offset int")
-    laid = fixity.archive(pages, as_found=fixity.faulty)
+    laid = fixity.archive(pages)
     got = laid.orderBy("file", "offset").collect()
     assert len(got) == 5
     for file in (-1, 0):
@@ -66,5 +68,48 @@ def test_hard_pages(spark):
     raw = "WARC/1.0\r\nWARC-Type: response\r\nWARC-Target-URI: ü\r\nContent-Length: 6\r\n\r\n日本\r\n\r\n".encode()
     assert (len(raw), hashlib.sha256(raw).hexdigest()) in {(r.length, r.digest) for r in got}
     assert fixity.audit(laid, laid).count() == 0
-    assert fixity.audit(laid, fixity.damaged(laid)).count() == 0  # no page_id of these has a fault
+    assert fixity.audit(laid, fixity.archive(fixity.damaged(pages), as_found=fixity.faulty)).count() == 0  # no page_id of these has a fault
     assert fixity.archive(pages.where("false"), as_found=fixity.faulty).count() == 0
+
+
+def pages_of(spark, n=300):
+    rows = [(i, f"http://a/{i}", f"page {i} " * (50 + i % 7)) for i in range(n)]
+    return spark.createDataFrame(rows, "page_id long, url string, html string")
+
+
+def audited(spark, pages, other, **options):
+    small = {"range_bytes": 4000, "fanout": 4, "levels": 2}
+    laid = fixity.archive(pages, **options)
+    at = {(r.file, r.offset): r.page_id for r in laid.collect()}
+    out = fixity.audit(laid, fixity.archive(other, **options), **small).collect()
+    return sorted((at.get((r.file, r.offset)), r.status) for r in out if r.status != "extra"), sum(r.status == "extra" for r in out)
+
+
+def test_a_replica_of_its_own_rows_with_one_record_gone(spark):
+    pages = pages_of(spark)
+    assert audited(spark, pages, pages.where("page_id <> 40"), pages_per_file=100) == ([(40, "missing")], 0)
+    assert audited(spark, pages, pages, pages_per_file=100) == ([], 0)
+
+
+def test_a_replica_of_its_own_rows_with_many_faults(spark):
+    pages = pages_of(spark)
+    worse = pages.where("page_id not in (0, 57, 58, 299)").withColumn(
+        "html", F.when(F.col("page_id").isin(5, 150, 298), F.concat("html", F.lit("!"))).otherwise(F.col("html")))
+    worse = worse.unionByName(pages.where("page_id in (80, 210)"))
+    faults, extra = audited(spark, pages, worse, pages_per_file=100)
+    assert faults == [(0, "missing"), (5, "changed"), (57, "missing"), (58, "missing"), (150, "changed"), (298, "changed"), (299, "missing")]
+    assert extra == 2
+
+
+def test_large_files_are_cut(spark):
+    rows = [(None, f"u{i}", "x") for i in range(500)] + [(7, "same", "copy")] * 400
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    laid = fixity.archive(pages, most_records=50)
+    assert laid.count() == 900
+    sizes = {r.file: r["count"] for r in laid.where("page_id is null").groupBy("file").count().collect()}
+    assert len(sizes) >= 8 and max(sizes.values()) < 120
+    same = sorted((r.offset, r.length) for r in laid.where("page_id = 7").collect())
+    assert [o for o, _ in same] == [i * same[0][1] for i in range(400)]
+    gone = spark.createDataFrame(rows[3:-2], "page_id long, url string, html string")
+    out = fixity.audit(laid, fixity.archive(gone, most_records=50)).collect()
+    assert sorted(r.status for r in out) == ["missing"] * 5
