@@ -9,17 +9,23 @@ lost, however long the document is: unlike a sketch of the document, which would
 of an item's shingles as the document grows, its whole shingle set is probed, one lookup per
 shingle in the partitions' sketches. Candidates are verified on the shingles themselves.
 
-Documents are read once per block of items and never shuffled; a block's items and sketches have a
-bounded size, so any number of items works. Words are runs of letters and digits, lower-cased. An
-item with fewer words than a shingle has one shingle, all its words.
-
-Null or empty item: no shingles, leaks nowhere. Null text: no words. Repeated rows of documents or
-items: a row each. Empty tables: no rows. Other columns are ignored.
+Items, their sketches and shingles are tables. Tasks that read documents hold two bit filters, over the
+hashes of sketches and of all items' shingles, of at most `MOST_BITS` bits for any number of items: they let
+through the documents with a value of a sketch, and of those the shingles that an item may have. These few rows
+meet sketches and shingles in joins, once per distinct text; a value that only looked right falls away there.
+Words are runs of letters and digits, lower-cased. An item with fewer words than a shingle has one
+shingle, all its words.
+
+Null or empty item: no shingles, leaks nowhere. Null text: no words. Texts of any length are searched whole. Repeated rows of
+documents or items: a row each. Containment of just the threshold (ties) is a leak. Empty tables: no rows. Other columns are
+ignored, whatever their names.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -27,14 +33,17 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagelode.llm.common import in_arrow, query, slices, table
+from pagelode.llm.common import discard, in_arrow, query, slices, stored, table
+from pagelode.operators.spread import is_small
 
 SHINGLE_WORDS = 5
 THRESHOLD = 0.8
-# Characters of the item texts of one block, at most (one longer item is a block of its own).
-BLOCK_CHARS = 4_000_000
+# Bits of a filter: so many per value, within these powers of two. The larger one is 32 MB.
+BITS_PER_VALUE = 128
+LEAST_BITS, MOST_BITS = 20, 28
+# A value sets a bit for each of these parts of its hash.
+FILTER_SHIFTS = (0, 18, 36)
 NOT_WORD = r"[^\p{L}\p{N}]+"
-_FILTER_BITS = 20
 
 
 def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
@@ -78,120 +87,153 @@ def may_miss(count: int, threshold: float) -> int:
     return count - max(need, 1)
 
 
-class Items:
-    """A block of items: their shingles, and the sketches by shingle length and size class."""
-
-    def __init__(self, rows: list[tuple[int | None, str | None]], n: int, threshold: float):
-        self.n, self.threshold = n, threshold
-        self.items: list[tuple[int | None, set[tuple[str, ...]]]] = []
-        sketch: dict[int, list[tuple[int, int]]] = {}
-        flat, bounds = words_of(pa.array([text for _, text in rows], pa.string()))
-        sized = []
-        for number, (item_id, _) in enumerate(rows):
-            own = flat[bounds[number]:bounds[number + 1]].to_pylist()
-            size = min(n, len(own))
-            if size:
-                sized.append((item_id, size, shingles(own, size)))
-        # Size classes double; the sketch size of a class is set by its largest item.
-        largest: dict[int, int] = {}
-        for _, _, own in sized:
-            k = len(own).bit_length()
-            largest[k] = max(largest.get(k, 0), may_miss(len(own), threshold))
-        for number, (item_id, size, own) in enumerate(sized):
-            self.items.append((item_id, own))
-            listed = list(own)
-            hashed = word_hashes(pa.array([w for s in listed for w in s], pa.string())).reshape(len(listed), size)
-            mark = np.sort(np.concatenate([rolling(row, size) for row in hashed]))
-            for h in mark[:largest[len(own).bit_length()] + 1]:
-                sketch.setdefault(size, []).append((int(h), number))
-        self.probes = {}
-        for size, entries in sketch.items():
-            hashes = np.array([h for h, _ in entries], np.uint64)
-            order = np.argsort(hashes, kind="stable")
-            seen = np.zeros(1 << _FILTER_BITS, bool)
-            seen[hashes & np.uint64((1 << _FILTER_BITS) - 1)] = True
-            self.probes[size] = (hashes[order], np.array([i for _, i in entries])[order], seen)
-
-    def candidates(self, hashes: np.ndarray, bounds: np.ndarray) -> set[tuple[int, int]]:
-        """(document number, item number) with a sketch value among the document's shingles."""
-        found: set[tuple[int, int]] = set()
-        for size, (sketch, item, seen) in self.probes.items():
-            rolled = rolling(hashes, size)
-            at = np.flatnonzero(seen[rolled & np.uint64((1 << _FILTER_BITS) - 1)])
-            first, last = np.searchsorted(sketch, rolled[at], "left"), np.searchsorted(sketch, rolled[at], "right")
-            at, first, last = at[last > first], first[last > first], last[last > first]
-            doc = np.searchsorted(bounds, at, "right") - 1
-            for d, p, f, l in zip(doc.tolist(), at.tolist(), first.tolist(), last.tolist()):
-                if p + size <= bounds[d + 1]:  # not across two documents
-                    found.update((d, int(i)) for i in item[f:l])
-        return found
-
-
-def item_blocks(benchmark: DataFrame, chars: int = BLOCK_CHARS) -> Iterator[list[tuple]]:
-    """Items in blocks of bounded text, read one partition at a time."""
-    block, held = [], 0
-    for row in benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).toLocalIterator():
-        size = len(row[1] or "")
-        if block and held + size > chars:
-            yield block
-            block, held = [], 0
-        block.append((row[0], row[1]))
-        held += size
-    if block:
-        yield block
-
-
-def _search(rows: list[tuple], n: int, threshold: float, whole_rows: bool):
-    """The task function: leaks of a batch, or the rows without leaks."""
+def marks(hashes: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of runs of `size` words, told apart by the size, as signed numbers."""
+    return (hashes ^ np.uint64(size * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)).view(np.int64)
+
+
+ITEM = "item long, item_id long, size int, n_shingles long, shingles array<string>, marks array<long>, sketch array<long>"
+
+
+def items_of(benchmark: DataFrame, n: int = SHINGLE_WORDS, threshold: float = THRESHOLD) -> DataFrame:
+    """A row per item with a word: its number, id, words of a shingle, distinct shingles with their hashes, and
+    its sketch, as many values as its size class needs: the largest size of a class may miss the most."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items = Items(rows, n, threshold)
         for batch in slices(batches):
             flat, bounds = words_of(batch.column("text"))
-            out = []
-            own: dict[int, set] = {}
-            pairs = sorted(items.candidates(word_hashes(flat), bounds))
-            for d, number in pairs:
-                item_id, wanted = items.items[number]
-                size = len(next(iter(wanted)))
-                if own.get("d") != (d, size):
-                    own = {"d": (d, size), "s": shingles(flat[bounds[d]:bounds[d + 1]].to_pylist(), size)}
-                shared = len(wanted & own["s"])
-                if shared >= threshold * len(wanted) - 1e-9:
-                    out.append((d, item_id, len(wanted), shared))
-            if whole_rows:
-                clean = np.ones(batch.num_rows, bool)
-                clean[[d for d, *_ in out]] = False
-                yield batch.filter(pa.array(clean))
-            else:
-                ids = batch.column("doc_id").to_pylist()
-                names = ["doc_id", "item_id", "n_shingles", "n_shared"]
-                columns = list(zip(*[(ids[d], *rest) for d, *rest in out])) or [[]] * 4
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
-
-    return run
+            rows = []
+            for k, (number, item_id) in enumerate(zip(batch.column("item").to_pylist(), batch.column("item_id").to_pylist())):
+                own = flat[bounds[k]:bounds[k + 1]].to_pylist()
+                size = min(n, len(own))
+                if not size:
+                    continue
+                listed = sorted(shingles(own, size))
+                hashed = word_hashes(pa.array([w for s in listed for w in s], pa.string())).reshape(len(listed), size)
+                mark = np.concatenate([rolling(row, size) for row in hashed])
+                largest = 2 ** len(listed).bit_length() - 1
+                sketch = np.sort(mark)[:may_miss(largest, threshold) + 1]
+                rows.append((number, item_id, size, len(listed), [" ".join(s) for s in listed],
+                             marks(mark, size).tolist(), marks(sketch, size).tolist()))
+            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.int64()), pa.list_(pa.int64())]
+            columns = list(zip(*rows)) if rows else [[] for _ in kinds]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=[c.split()[0] for c in ITEM.split(", ")])
+
+    numbered = benchmark.select(F.monotonically_increasing_id().alias("item"), F.col("item_id").cast("long"), F.col("text").cast("string"))
+    return stored(in_arrow(numbered, run, ITEM), "items")
+
+
+def bit_filter(values: DataFrame, column: str, most_bits: int = MOST_BITS) -> np.ndarray:
+    """The bits of all values of a column, in words of 64. Its size is bounded; a fuller one lets more through."""
+    n = values.count()
+    bits = min(max((n * BITS_PER_VALUE).bit_length(), LEAST_BITS), most_bits)
+    at = F.explode(F.array(*[F.shiftrightunsigned(column, k).bitwiseAND(F.lit((1 << bits) - 1)) for k in FILTER_SHIFTS]))
+    words = values.select(at.alias("at")).groupBy(F.shiftright("at", 6).alias("word")).agg(
+        F.expr("bit_or(shiftleft(1L, cast(at & 63 as int)))").alias("bits")).toArrow()
+    out = np.zeros(max(1 << bits >> 6, 1), np.uint64)
+    out[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
+    return out
+
+
+def in_filter(values: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    found, raw = np.ones(len(values), bool), values.view(np.uint64)
+    for k in FILTER_SHIFTS:
+        at = (raw >> np.uint64(k)) & np.uint64(len(bits) * 64 - 1)
+        found &= (bits[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
+    return found
+
+
+@dataclass
+class Benchmark:
+    """Stored items, and what tasks need to find documents that may hold one: the sizes of shingles (`n` at
+    most), and the filters of sketches and shingles."""
+
+    items: DataFrame
+    sizes: list[int]
+    sketches: np.ndarray
+    shingles: np.ndarray
+
+
+def benchmark_of(benchmark: DataFrame, n: int = SHINGLE_WORDS, threshold: float = THRESHOLD, most_bits: int = MOST_BITS) -> Benchmark:
+    items = items_of(benchmark, n, threshold)
+    sizes = sorted(r.size for r in items.select("size").distinct().collect())
+    filters = [bit_filter(items.select(F.explode(c).alias("value")), "value", most_bits) for c in ("sketch", "marks")]
+    return Benchmark(items, sizes, *filters)
+
+
+HITS = "doc_id long, text_key binary, hits array<struct<size: int, mark: long, shingle: string>>"
+
+
+def suspects(docs: DataFrame, known: Benchmark) -> DataFrame:
+    """Documents that may hold a value of a sketch: doc_id, text_key (SHA-256 of the text), and the distinct
+    shingles that an item may have."""
+    shared = docs.sparkSession.sparkContext.broadcast((known.sketches, known.shingles))
+    sizes = known.sizes
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sketches, all_shingles = shared.value
+        for batch in slices(batches):
+            texts = batch.column("text")
+            flat, bounds = words_of(texts)
+            hashes = word_hashes(flat)
+            rolled = {size: marks(rolling(hashes, size), size) for size in sizes}
+            suspected: set[int] = set()
+            for size, mark in rolled.items():
+                at = np.flatnonzero(in_filter(mark, sketches))
+                doc = np.searchsorted(bounds, at, "right") - 1
+                suspected.update(doc[at + size <= bounds[doc + 1]].tolist())  # not across two documents
+            rows = []
+            ids = batch.column("doc_id")
+            for d in sorted(suspected):
+                first, last = int(bounds[d]), int(bounds[d + 1])
+                found = {}
+                for size, mark in rolled.items():
+                    own = mark[first:max(last - size + 1, first)]
+                    for p in np.flatnonzero(in_filter(own, all_shingles)).tolist():
+                        found.setdefault((size, " ".join(flat[first + p:first + p + size].to_pylist())), int(own[p]))
+                key = hashlib.sha256(texts[d].as_py().encode()).digest()
+                rows.append((ids[d].as_py(), key, [{"size": size, "mark": m, "shingle": s} for (size, s), m in found.items()]))
+            hit = pa.struct([("size", pa.int32()), ("mark", pa.int64()), ("shingle", pa.string())])
+            columns = list(zip(*rows)) if rows else [[], [], []]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.binary(), pa.list_(hit)))], names=["doc_id", "text_key", "hits"])
+
+    narrow = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    return stored(in_arrow(narrow, run, HITS), "suspects")
+
+
+def leaking_texts(hits: DataFrame, known: Benchmark, threshold: float = THRESHOLD) -> DataFrame:
+    """text_key, item_id, n_shingles of the item, n_shared with the text; a row per distinct text and item."""
+    once = hits.groupBy("text_key").agg(F.any_value("hits").alias("hits")).select("text_key", F.inline("hits"))
+    held = stored(once, "shingles")  # read twice, a few rows per leak
+    sketches = known.items.select("item", "size", F.explode("sketch").alias("mark")).distinct()
+    candidates = held.join(sketches, ["size", "mark"]).select("text_key", "item").distinct()
+    wanted = known.items.select("item", "item_id", "size", "n_shingles", F.explode("shingles").alias("shingle"))
+    shared = candidates.join(wanted, "item").join(held.select("text_key", "size", "shingle"), ["text_key", "size", "shingle"])
+    counts = shared.groupBy("text_key", "item", "item_id", "n_shingles").agg(F.count(F.lit(1)).alias("n_shared"))
+    return counts.where(F.col("n_shared") >= threshold * F.col("n_shingles") - 1e-9).drop("item")
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, n: int = SHINGLE_WORDS, threshold: float = THRESHOLD,
-          block_chars: int = BLOCK_CHARS) -> DataFrame:
+          most_bits: int = MOST_BITS) -> DataFrame:
     """doc_id, item_id, n_shingles of the item, n_shared with the document, containment."""
-    narrow = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    schema = "doc_id long, item_id long, n_shingles long, n_shared long"
-    out = None
-    for rows in item_blocks(benchmark, block_chars):
-        found = in_arrow(narrow, _search(rows, n, threshold, False), schema)
-        out = found if out is None else out.unionByName(found)
-    if out is None:
-        out = narrow.limit(0).mapInArrow(_search([], n, threshold, False), schema)
-    return out.withColumn("containment", F.round(F.col("n_shared") / F.col("n_shingles"), 6))
+    known = benchmark_of(benchmark, n, threshold, most_bits)
+    hits = suspects(docs, known)
+    found = stored(leaking_texts(hits, known, threshold), "leaks")
+    side = F.broadcast(found) if is_small(found) else found
+    return hits.select("doc_id", "text_key").join(side, "text_key").select(
+        "doc_id", "item_id", "n_shingles", "n_shared", F.round(F.col("n_shared") / F.col("n_shingles"), 6).alias("containment"))
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, n: int = SHINGLE_WORDS, threshold: float = THRESHOLD,
-                  block_chars: int = BLOCK_CHARS) -> DataFrame:
+                  most_bits: int = MOST_BITS) -> DataFrame:
     """The documents into which no item leaks, all their columns kept."""
-    for rows in item_blocks(benchmark, block_chars):
-        docs = in_arrow(docs, _search(rows, n, threshold, True), docs.schema)
-    return docs
+    known = benchmark_of(benchmark, n, threshold, most_bits)
+    hits = suspects(docs, known)
+    leaky = stored(leaking_texts(hits, known, threshold).select("text_key").distinct(), "leaky")
+    discard(hits, known.items)
+    side = F.broadcast(leaky) if is_small(leaky) else leaky
+    return docs.join(side, F.unhex(F.sha2(F.col("text").cast("binary"), 256)) == side["text_key"], "left_anti")
 
 
 _WORDS = "list_filter(string_split_regex(lower(regexp_replace(text, '[^\\p{L}\\p{N}]+', ' ', 'g')), ' +'), lambda x: x <> '')"

@@ -37,8 +37,8 @@ def test_documents(spark, sf_dir, documents):
     assert got and got == brute(documents, items)
 
 
-@pytest.mark.parametrize("block", [10**6, 60])
-def test_partial_short_and_hard_items(spark, hard_docs, no_docs, block):
+@pytest.mark.parametrize("bits", [d.MOST_BITS, 8])
+def test_partial_short_and_hard_items(spark, hard_docs, no_docs, bits):
     rng = random.Random(5)
     vocabulary = [f"w{i}" for i in range(400)]
     item = [rng.choice(vocabulary) for _ in range(40)]
@@ -54,8 +54,8 @@ def test_partial_short_and_hard_items(spark, hard_docs, no_docs, block):
     benchmark = spark.createDataFrame([(i, t, "x") for i, t in items], "item_id long, text string, doc_id string")
     plain = [(r.doc_id, r.text) for r in docs.collect()]
     want = brute(plain, items)
-    assert rows(d.leaks(docs, benchmark, block_chars=block)) == want
-    left = d.without_leaks(docs, benchmark, block_chars=block).collect()
+    assert rows(d.leaks(docs, benchmark, most_bits=bits)) == want
+    left = d.without_leaks(docs, benchmark, most_bits=bits).collect()
     bad = {w[0] for w in want}
     assert sorted(str(r.doc_id) for r in left) == sorted(str(i) for i, t in plain if not brute([(i, t)], items))
     assert bad
@@ -69,3 +69,27 @@ def test_sketches_lose_no_item_at_the_threshold():
         miss = d.may_miss(count, 0.8)
         assert miss < count
         assert (count - miss) >= 0.8 * count - 1e-9 > count - miss - 1 - 1e-9
+
+
+def test_copies_are_verified_once(spark):
+    """A third of the rows is one leaking text; another third almost leaks."""
+    words = [f"w{i}" for i in range(60)]
+    item = " ".join(words[:40])
+    rows = [(i, "intro " + item + " outro") for i in range(300)] + [(300 + i, " ".join(words[:20])) for i in range(300)] + [(600 + i, f"clean text {i}") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    benchmark = spark.createDataFrame([(9, item)], "item_id long, text string")
+    known = d.benchmark_of(benchmark)
+    hits = d.suspects(docs, known)
+    assert 300 <= hits.count() <= 600 and d.leaking_texts(hits, known).count() == 1
+    assert sorted(r.doc_id for r in d.leaks(docs, benchmark).collect()) == list(range(300))
+    assert sorted(r.doc_id for r in d.without_leaks(docs, benchmark).collect()) == list(range(300, 900))
+
+
+def test_filters_hold_all_values(spark):
+    import numpy as np
+    values = np.random.default_rng(3).integers(-2**63, 2**63, 3000)
+    frame = spark.createDataFrame([(int(v),) for v in values], "value long")
+    bits = d.bit_filter(frame, "value")
+    assert len(bits) * 64 == 1 << d.LEAST_BITS and d.in_filter(values, bits).all()
+    assert d.in_filter(np.random.default_rng(4).integers(-2**63, 2**63, 100_000), bits).mean() < 1e-4
+    assert not d.in_filter(values, d.bit_filter(frame.where("false"), "value")).any()
