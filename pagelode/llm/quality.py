@@ -1,19 +1,22 @@
 """Operator 2: quality classifier on random-indexing word vectors.
 
-Random indexing: every word has a fixed sparse vector of a few +1 and -1 (its index vector), and
-its word vector is the sum of the index vectors of the words around it, over the whole corpus.
-Words are hashed into a fixed number of rows, so the table of vectors has the same few MB for any
-corpus; each task sums its part and Spark adds the parts. A document is pooled from its words'
-vectors (mean, spread, length of the mean, repeated neighbours, number of words) and scored by a two-layer network in
-numpy, whose logits are divided by a temperature fitted on rows that the training left out.
+Random indexing: every word has a fixed sparse vector of a few +1 and -1 (its index vector, from a 64-bit
+hash of the word), and its word vector is the sum of the index vectors of the words around it, over the
+whole corpus. Counts and sums are per word and over all documents; each task sums its part and Spark adds the
+parts. Words with less than `MIN_SHARE` of all words keep their index vector, at every size of the corpus:
+so at most `1 / MIN_SHARE` words have a learned one, a proven bound on what tasks hold. A document is
+pooled from its words' vectors (mean, spread, length of the mean, repeated neighbours, number of words) and
+scored by a two-layer network in numpy, whose logits are divided by a temperature fitted on rows that the
+training left out.
 
 Words are runs of letters, of digits, and of other characters, in lower case; a word in capitals is
-preceded by a mark. Labels come from at most `MAX_LABELLED` rows (those with the smallest hash of
-doc_id); word vectors are from all documents. Labels, lang, source and doc_id are no inputs.
+preceded by a mark. Labels come from at most `MAX_LABELLED` labelled ids and as many rows (those with the
+smallest hashes); word vectors are from all documents. Labels, lang, source and doc_id are no inputs.
 
-Null or empty text: no words, pooled zeros, scored like any other. Null doc_id: scored, never learned
-from. Several labels of a document: each counts. No labels, or one class: the smoothed share of
-label 1 for every document. Empty table: no rows. Other columns are kept by `scored`.
+Null or empty text: no words, pooled zeros, scored like any other. Texts of any length are pooled whole, in pieces of
+`PIECE_WORDS` words. Null doc_id: scored, never learned from. Repeated rows: each is scored, and learned from once.
+Several labels of a document: each counts. No labels, or one class: the smoothed share of label 1 for every
+document. A score at the threshold (ties) is predicted 1. Empty table: no rows. Other columns are kept by `scored`.
 """
 
 from __future__ import annotations
@@ -28,9 +31,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagelode.llm.common import fold, in_arrow, query, slices, table, with_fields
+from pagelode.llm.common import discard, fold, in_arrow, query, slices, stored, table, with_fields
 
-ROWS = 16_384
+# Of all words of the corpus, a learned vector is for those with this share or more.
+MIN_SHARE = 1e-5
 DIMENSIONS = 64
 NONZERO = 4
 WINDOW = 2
@@ -47,11 +51,14 @@ _PARTS = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+|_+")
 CAPITALS = "\x01capitals"
 
 
-def index_vectors(rows: int = ROWS, dimensions: int = DIMENSIONS, nonzero: int = NONZERO) -> tuple[np.ndarray, np.ndarray]:
-    """Places and signs of the nonzero values of each row's index vector, the same everywhere."""
-    rng = np.random.default_rng(SEED)
-    places = rng.permuted(np.tile(np.arange(dimensions), (rows, 1)), axis=1)[:, :nonzero]
-    return places, rng.choice(np.array([-1, 1]), (rows, nonzero))
+def index_vectors(hashes: np.ndarray, dimensions: int = DIMENSIONS, nonzero: int = NONZERO) -> tuple[np.ndarray, np.ndarray]:
+    """Places and signs of the nonzero values of each word's index vector, from bits of its hash: one
+    value in each of `nonzero` equal parts."""
+    width = dimensions // nonzero
+    bits = [hashes >> np.uint64(13 * k) for k in range(nonzero)]
+    places = [(b & np.uint64(0xFFF)).astype(np.int64) % width + k * width for k, b in enumerate(bits)]
+    signs = [1 - 2 * ((b >> np.uint64(12)) & np.uint64(1)).astype(np.int64) for b in bits]
+    return np.stack(places, axis=1), np.stack(signs, axis=1)
 
 
 def parts(token: str) -> list[str]:
@@ -66,29 +73,30 @@ def parts(token: str) -> list[str]:
     return out
 
 
-def word_rows(texts: pa.Array, rows: int = ROWS) -> tuple[np.ndarray, np.ndarray]:
-    """Rows of all words of the texts, and where each text's words begin and end."""
+def word_ids(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the distinct words of the texts, all words as places in them, and where each text's words
+    begin and end."""
     import xxhash
 
     lists = pc.utf8_split_whitespace(pc.fill_null(texts, ""))
     coded = lists.flatten().dictionary_encode()
     digest = xxhash.xxh64_intdigest
-    split = [[digest(p) % rows for p in parts(t)] for t in coded.dictionary.to_pylist()]
+    split = [[digest(p) for p in parts(t)] for t in coded.dictionary.to_pylist()]
     sizes = np.array([len(s) for s in split], np.int64)
-    flat = np.array([r for s in split for r in s], np.int64)
+    hashes, flat = np.unique(np.array([r for s in split for r in s], np.uint64), return_inverse=True)
     starts = np.cumsum(sizes) - sizes
     token = coded.indices.to_numpy().astype(np.int64)
-    # Each token as its run of word rows.
+    # Each token as its run of words.
     n = sizes[token] if len(token) else np.empty(0, np.int64)
     ends = np.cumsum(n)
     words = flat[np.repeat(starts[token] if len(token) else n, n) + np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - n, n)]
     offsets = lists.offsets.to_numpy().astype(np.int64)
-    return words, np.r_[0, ends][offsets - offsets[0]]
+    return hashes, words, np.r_[0, ends][offsets - offsets[0]]
 
 
-def _context_sums(words: np.ndarray, bounds: np.ndarray, places: np.ndarray, signs: np.ndarray, out: np.ndarray) -> None:
-    """Add the index vectors of each word's neighbours (in its text) to the word's row."""
-    rows, dimensions = out.shape
+def _context_sums(words: np.ndarray, bounds: np.ndarray, places: np.ndarray, signs: np.ndarray, dimensions: int) -> np.ndarray:
+    """Per distinct word, the sum of the index vectors of its neighbours in the texts."""
+    rows = len(places)
     text = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
     total = np.zeros(rows * dimensions)
     for d in range(1, WINDOW + 1):
@@ -97,56 +105,96 @@ def _context_sums(words: np.ndarray, bounds: np.ndarray, places: np.ndarray, sig
         for word, other in ((left, right), (right, left)):
             for k in range(places.shape[1]):
                 total += np.bincount(word * dimensions + places[other, k], signs[other, k], rows * dimensions)
-    out += total.reshape(rows, dimensions).astype(np.int64)
+    return total.reshape(rows, dimensions).astype(np.int64)
+
+
+@dataclass
+class Words:
+    """Words with a learned vector, by hash (sorted), and their vectors."""
+
+    hashes: np.ndarray
+    vectors: np.ndarray
+
+    def of(self, hashes: np.ndarray) -> np.ndarray:
+        """The vectors of words; one that is not known has its index vector."""
+        dimensions = self.vectors.shape[1]
+        out = np.zeros((len(hashes), dimensions), np.float32)
+        places, signs = index_vectors(hashes, dimensions)
+        np.put_along_axis(out, places, (signs / np.sqrt(places.shape[1])).astype(np.float32), axis=1)
+        if len(self.hashes):
+            at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+            known = self.hashes[at] == hashes
+            out[known] = self.vectors[at[known]]
+        return out
 
 
-def word_vectors(docs: DataFrame, rows: int = ROWS, dimensions: int = DIMENSIONS) -> np.ndarray:
-    """The table of word vectors, each of length one (own index vector and context in equal parts)
-    and weighted down if the word is frequent. Its size is fixed."""
+def word_counts(docs: DataFrame) -> DataFrame:
+    """word (the hash as a long) and n, over all documents."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            hashes, words, _ = word_ids(batch.column("text"))
+            n = np.bincount(words, minlength=len(hashes))
+            yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(n.astype(np.int64))], names=["word", "n"])
+
+    return in_arrow(docs.select(F.col("text").cast("string")), run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def word_vectors(docs: DataFrame, min_share: float = MIN_SHARE, dimensions: int = DIMENSIONS) -> Words:
+    """Word vectors, each of length one (own index vector and context in equal parts) and weighted down if
+    the word is frequent."""
+    counts = stored(word_counts(docs), "word-counts")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    common = counts.where(F.col("n") >= max(1, min_share * total)).toArrow()  # 1 / min_share rows at most
+    discard(counts)
+    hashes = common.column("word").to_numpy().view(np.uint64)
+    order = np.argsort(hashes)
+    hashes, n = hashes[order], common.column("n").to_numpy()[order]
     names = [f"d{k}" for k in range(dimensions)]
+    shared = docs.sparkSession.sparkContext.broadcast(hashes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        places, signs = index_vectors(rows, dimensions)
-        sums, counts = np.zeros((rows, dimensions), np.int64), np.zeros(rows, np.int64)
+        known = shared.value
+        sums, used = np.zeros((len(known), dimensions), np.int64), np.zeros(len(known), bool)
         for batch in slices(batches):
-            words, bounds = word_rows(batch.column("text"), rows)
-            _context_sums(words, bounds, places, signs, sums)
-            counts += np.bincount(words, minlength=rows)
-        used = np.flatnonzero(counts)
-        if len(used):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(used), pa.array(counts[used]), *(pa.array(sums[used, k]) for k in range(dimensions))], names=["row", "n", *names])
-
-    schema = "row long, n long, " + ", ".join(f"{c} long" for c in names)
-    summed = in_arrow(docs.select(F.col("text").cast("string")), run, schema).groupBy("row").agg(*[F.sum(c).alias(c) for c in ["n", *names]])
-    got = summed.toArrow()  # `rows` rows at most
-    places, signs = index_vectors(rows, dimensions)
-    own = np.zeros((rows, dimensions))
-    np.put_along_axis(own, places, signs, axis=1)
-    context, n = np.zeros((rows, dimensions)), np.zeros(rows)
+            found, words, bounds = word_ids(batch.column("text"))
+            if not len(known) or not len(found):
+                continue
+            part = _context_sums(words, bounds, *index_vectors(found, dimensions), dimensions)
+            at = np.minimum(np.searchsorted(known, found), len(known) - 1)
+            same = known[at] == found
+            sums[at[same]] += part[same]
+            used[at[same]] = True
+        rows = np.flatnonzero(used)
+        if len(rows):
+            yield pa.RecordBatch.from_arrays([pa.array(rows), *(pa.array(sums[rows, k]) for k in range(dimensions))], names=["row", *names])
+
+    schema = "row long, " + ", ".join(f"{c} long" for c in names)
+    summed = in_arrow(docs.select(F.col("text").cast("string")), run, schema).groupBy("row").agg(*[F.sum(c).alias(c) for c in names])
+    got = summed.toArrow()  # a row per learned word
+    own, context = Words(hashes[:0], np.zeros((0, dimensions))).of(hashes).astype(np.float64), np.zeros((len(hashes), dimensions))
     at = got.column("row").to_numpy()
-    n[at] = got.column("n").to_numpy()
     context[at] = np.stack([got.column(c).to_numpy() for c in names], axis=1) if len(at) else 0
     context -= np.outer(context.sum(axis=1), np.full(dimensions, 1 / dimensions))
     vectors = _unit(own) + _unit(context)
-    share = n / max(n.sum(), 1)
-    return (_unit(vectors) * (1e-3 / (1e-3 + share))[:, None]).astype(np.float32)
+    return Words(hashes, (_unit(vectors) * (1e-3 / (1e-3 + n / max(total, 1)))[:, None]).astype(np.float32))
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
 
 
-def pooled_width(vectors: np.ndarray) -> int:
-    return 2 * vectors.shape[1] + 3
+def pooled_width(dimensions: int) -> int:
+    return 2 * dimensions + 3
 
 
-def pooled(texts: pa.Array, vectors: np.ndarray) -> np.ndarray:
-    """Mean and spread of each text's word vectors, length of the mean, share of words whose vector
-    is that of a word just before again, and log of the number of words."""
-    words, bounds = word_rows(texts, len(vectors))
+def pooled(texts: pa.Array, known: Words) -> np.ndarray:
+    """Mean and spread of each text's word vectors, length of the mean, share of words that are one of the
+    words just before again, and log of the number of words."""
+    hashes, words, bounds = word_ids(texts)
+    vectors = known.of(hashes)
     n = np.diff(bounds)
-    out = np.zeros((len(n), pooled_width(vectors)), np.float32)
+    out = np.zeros((len(n), pooled_width(vectors.shape[1])), np.float32)
     again = np.zeros(len(words), bool)
     text = np.repeat(np.arange(len(n)), n)
     for d in range(1, WINDOW + 1):
@@ -233,45 +281,50 @@ def train(x: np.ndarray, y: np.ndarray, hidden: int = HIDDEN, steps: int = 6000,
 
 @dataclass
 class Classifier:
-    vectors: np.ndarray
+    words: Words
     network: Network
 
     def scores(self, texts: pa.Array) -> np.ndarray:
-        return self.network.probability(pooled(texts, self.vectors))
+        return self.network.probability(pooled(texts, self.words))
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> Classifier:
-    """Learns from labels outside the held-out fold, on at most `max_labelled` rows."""
-    vectors = word_vectors(docs)
+    """Learns from labels outside the held-out fold, on at most `max_labelled` ids and rows."""
+    words = word_vectors(docs)
     known = (
         labels.select(F.col("doc_id").cast("long"), F.col("quality").cast("int").alias("label"))
-        .where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & (fold(folds=FOLDS) != 0))
+        .where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & (fold(folds=FOLDS) != 0)).distinct()
         .orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(max_labelled))
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(vectors)
+    # Plain arrays: a broadcast of a class of this package would need the package on the executors.
+    shared = spark.sparkContext.broadcast((words.hashes, words.vectors))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            x = pooled(batch.column("text"), shared.value)
+            x = pooled(batch.column("text"), Words(*shared.value))
             flat = pa.ListArray.from_arrays(pa.array(np.arange(0, x.size + 1, x.shape[1]), pa.int32()), pa.array(x.ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), flat], names=["doc_id", "label", "x"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "label", "mark")), flat], names=["doc_id", "label", "mark", "x"])
 
-    # The labelled rows are bounded, and so is what is broadcast and what comes back.
+    # The labelled ids are bounded, and so is what is broadcast. An id may have any number of rows: equal
+    # ones are put together by their tasks, and the rest is limited as well.
+    mark = F.xxhash64("text").alias("mark")
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(F.broadcast(known), "doc_id")
-    got = in_arrow(rows, run, "doc_id long, label int, x array<float>").toArrow().sort_by([("doc_id", "ascending"), ("label", "ascending")])
-    width = pooled_width(vectors)
+    inputs = in_arrow(rows.select("doc_id", "label", mark, "text"), run, "doc_id long, label int, mark long, x array<float>")
+    once = inputs.groupBy("doc_id", "label", "mark").agg(F.any_value("x").alias("x"))
+    got = once.orderBy(F.xxhash64("doc_id", "mark"), "doc_id", "label").limit(max_labelled).toArrow()
+    got = got.sort_by([("doc_id", "ascending"), ("label", "ascending"), ("mark", "ascending")])
+    width = pooled_width(words.vectors.shape[1])
     x = got.column("x").combine_chunks().flatten().to_numpy().reshape(-1, width) if got.num_rows else np.zeros((0, width), np.float32)
-    return Classifier(vectors, train(x, got.column("label").to_numpy().astype(np.float64)))
+    return Classifier(words, train(x, got.column("label").to_numpy().astype(np.float64)))
 
 
 def scored(docs: DataFrame, model: Classifier, column: str = "_score") -> DataFrame:
     """All columns of docs and the score as a last one."""
-    # Plain arrays: a broadcast of a class of this package would need the package on the executors.
-    shared = docs.sparkSession.sparkContext.broadcast((model.vectors, *vars(model.network).values()))
+    shared = docs.sparkSession.sparkContext.broadcast((model.words.hashes, model.words.vectors, *vars(model.network).values()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vectors, *parts = shared.value
-        here = Classifier(vectors, Network(*parts))
+        hashes, vectors, *parts = shared.value
+        here = Classifier(Words(hashes, vectors), Network(*parts))
         for batch in slices(batches):
             score = pa.array(here.scores(batch.column("text")).astype(np.float64))
             yield pa.RecordBatch.from_arrays([*batch.columns, score], names=[*batch.schema.names, column])
