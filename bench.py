@@ -43,7 +43,7 @@ def main() -> None:
     # 100 queries with terms: 20 terms in five forms each.
     asked = through_table(D.search_queries(index.vocab, 20).where("query_id >= 10"), workdir(spark, "queries"))
     one = through_table(asked.where("query_id = 14"), workdir(spark, "query"))
-    wiki = through_table(D.wiki_store(spark, SF_DIR), workdir(spark, "store"))
+    wiki = crawl.write_store(D.wiki_store(spark, SF_DIR), workdir(spark, "store"))
     n_asked = asked.count()
     n_ruled = url_queries.ruled(spark, SF_DIR).count()
     ruled = through_table(url_queries.ruled(spark, SF_DIR), workdir(spark, "ruled"))

@@ -332,6 +332,25 @@ def politeness_wait(rows: DataFrame, stats: DataFrame, now: Column,
         "wait_seconds", wait).drop("_last")
 
 
+def politeness_schedule(rows: DataFrame, stats: DataFrame | None = None,
+                        delay_seconds: float = O.CrawlOptions.per_domain_delay_seconds,
+                        target: int = spread.BUCKET_ROWS) -> DataFrame:
+    """When each access can start, `start_micros`, if the accesses of a domain keep the delay, also to the last
+    one in `stats` (domain, last_access), and how long it waits. Expects `domain`, `ts` (from when
+    on it can start) and a unique `event_id` to order equal times. A hot domain is no single task."""
+    micros = round(delay_seconds * 1e6)
+    earliest = None if stats is None else stats.select(
+        "domain", (F.unix_micros(F.col("last_access").cast("timestamp")) + micros).alias("_from"))
+    rows = rows.withColumn("_ts", F.col("ts").cast("timestamp"))
+    out = spread.spaced_starts(rows, "domain", ["_ts", "event_id"], micros, "start_micros", earliest, target)
+    return out.withColumn("wait_seconds", (F.col("start_micros") - F.unix_micros("_ts")) / F.lit(1e6)).drop("_ts")
+
+
+def politeness_due(schedule: DataFrame, now: Column) -> DataFrame:
+    """The accesses of a schedule that a round at `now` may take."""
+    return schedule.where(F.col("start_micros") <= F.unix_micros(now.cast("timestamp")))
+
+
 def politeness_gaps(accesses: DataFrame, delay_seconds: float = O.CrawlOptions.per_domain_delay_seconds,
                     target: int = spread.BUCKET_ROWS) -> DataFrame:
     """Seconds since the access before, per domain, and whether that is too soon.

@@ -76,12 +76,16 @@ def monitor_ticks(events: DataFrame, seconds: int = 5,
     tick = F.floor(F.unix_seconds("_at") / seconds)
     net = [
         F.sum((F.col("state") == s).cast("long") - F.coalesce((F.col("before") == s).cast("long"), F.lit(0)))
-        .alias(f"_{s}") for s in STATES]
-    per_tick = changes.groupBy(tick.alias("tick")).agg(*net)
-    out = spread.bucket_offsets(per_tick, "tick", {f"_{s}": f"_b{s}" for s in STATES})
+        .alias(f"net_{s}") for s in STATES]
+    return gauges_of(changes.groupBy(tick.alias("tick")).agg(*net), seconds, max_queue)
+
+
+def gauges_of(per_tick: DataFrame, seconds: int, max_queue: int) -> DataFrame:
+    """Gauges and pressure from what each tick adds to every state: tick (its number), net_<state>."""
+    out = spread.bucket_offsets(per_tick, "tick", {f"net_{s}": f"_b{s}" for s in STATES})
     sizes = out.select(
         F.timestamp_seconds(F.col("tick") * seconds).alias("tick_start"),
-        *[(F.col(f"_{s}") + F.col(f"_b{s}")).alias(f"_{s}") for s in STATES])
+        *[(F.col(f"net_{s}") + F.col(f"_b{s}")).alias(f"_{s}") for s in STATES])
     gauges = sizes.select(
         "tick_start", F.col("_queued").alias("queue_size"), F.col("_inflight").alias("inflight_size"),
         F.col("_visited").alias("visited_count"))

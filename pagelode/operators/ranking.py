@@ -52,13 +52,14 @@ def query_terms(queries: DataFrame) -> DataFrame:
         "query_id", "qterm").agg(F.count(F.lit(1)).alias("qtf"))
 
 
-# A query term is a few bytes and gets at most 50 expansions per field, so with up to this many terms
-# the query side stays within a few ten MB and may be broadcast.
+# Up to this many terms, their keys (some 300 per term at most) are a few ten MB and may be broadcast.
 SMALL_QUERY_TERMS = 2000
 # Up to this many terms are compared with the vocabulary of their lengths; beyond, keys are cheaper.
 FEW_TERMS = 100
 # Up to this many terms are also written into the plan, so that the scans skip what has none of them.
 LITERAL_TERMS = 500
+# Terms of more letters count as of that many where the vocabulary is kept by length.
+LONGEST = 100
 
 
 def bucket_of(value: Column, buckets: int) -> Column:
@@ -72,7 +73,8 @@ def few_terms(terms: DataFrame, vocab: DataFrame) -> DataFrame:
     has distinct `qterm`, at most `FEW_TERMS`; `vocab` has the `size` of its terms.
     """
     most = edits.allowed_edits(F.col("qterm"))
-    asked = terms.select("qterm", most.alias("_most"), F.explode(F.sequence(F.length("qterm") - most, F.length("qterm") + most)).alias("size"))
+    sizes = F.transform(F.sequence(F.length("qterm") - most, F.length("qterm") + most), lambda n: F.least(n, F.lit(LONGEST)))
+    asked = terms.select("qterm", most.alias("_most"), F.explode(F.array_distinct(sizes)).alias("size"))
     met = vocab.join(F.broadcast(asked), "size").where(F.levenshtein("term", "qterm", 4).between(0, 2 * F.col("_most")))
     return met.withColumn("edits", edits.edits(F.col("qterm"), F.col("term"))).where(F.col("edits") <= F.col("_most")) \
         .select("field", "qterm", "term", "df", "edits")

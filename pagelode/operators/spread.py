@@ -109,6 +109,21 @@ def order_buckets(rows: DataFrame, column: str, target: int = BUCKET_ROWS) -> tu
     return out, width
 
 
+def cut_ties(bucketed: DataFrame, column: str, target: int = BUCKET_ROWS) -> DataFrame:
+    """Adds `_sub` to bucketed rows: where a bucket of one value has more than `target` rows, a number that rises
+    with a second order column (an integer), else 0. The order of (_bucket, _sub) is that of both columns."""
+    counts = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > target).select("_bucket")
+    large = through_table(counts, workdir(bucketed.sparkSession, "ties"))
+    if large.isEmpty():
+        return bucketed.withColumn("_sub", F.lit(0).cast("long"))
+    # One row per oversized bucket: broadcast within the bound, which is checked.
+    side = F.broadcast(large) if is_small(large) else large
+    tied = bucketed.join(side, "_bucket", "left_semi").withColumnRenamed("_bucket", "_first")
+    cut, _ = order_buckets(tied, column, target)
+    rest = bucketed.join(side, "_bucket", "left_anti").withColumn("_sub", F.lit(0).cast("long"))
+    return rest.unionByName(cut.withColumnRenamed("_bucket", "_sub").withColumnRenamed("_first", "_bucket"))
+
+
 def numbered(rows: DataFrame, order: list[str], out: str = "seq", target: int = BUCKET_ROWS) -> DataFrame:
     """Dense numbers from 1 in the order given. The first order column is an integer; a value
     of it holds a bounded number of rows (it is a row id, or a page id with its links).
@@ -144,26 +159,62 @@ def kth_smallest(rows: DataFrame, column: str, k: int, target: int = BUCKET_ROWS
     return inside.agg(F.max(column).alias(column))
 
 
+def _time_cells(rows: DataFrame, order: list[str], target: int) -> DataFrame:
+    """Rows with `_micros`, `_bucket` and `_sub`: cells of at most about `target` rows in the order of a timestamp
+    and, where many rows have one time, of an integer."""
+    timed = rows.withColumn("_micros", F.unix_micros(F.col(order[0]).cast("timestamp")))
+    bucketed, _ = order_buckets(timed, "_micros", target)
+    return cut_ties(bucketed, order[1], target) if len(order) > 1 else bucketed.withColumn("_sub", F.lit(0).cast("long"))
+
+
 def previous_value(rows: DataFrame, key: str, order: list[str], value: str, out: str,
                    target: int = BUCKET_ROWS) -> DataFrame:
-    """`value` of the row before, per key, in the order given; its first column is a timestamp.
+    """`value` of the row before, per key, in the order given; its first column is a timestamp, the second,
+    if any, an integer.
 
-    A hot key is spread over time buckets. Inside a bucket the row before is a plain `lag`;
-    the first row of a bucket takes the last value of the nearest earlier bucket of its key,
-    found on one summary row per key and bucket.
+    A hot key is spread over cells of time, and one instant over cells of the second column. Inside
+    a cell the row before is a plain `lag`; the first row of a cell takes the last value of the nearest
+    earlier cell of its key, found on one summary row per key and cell.
     """
-    timed = rows.withColumn("_micros", F.unix_micros(F.col(order[0]).cast("timestamp")))
-    bucketed, _ = order_buckets(timed, "_micros", target)
-    cells = bucketed.groupBy(key, "_bucket").agg(
+    bucketed = _time_cells(rows, order, target)
+    cells = bucketed.groupBy(key, "_bucket", "_sub").agg(
         F.max(F.struct(*[F.col(c) for c in order], F.col(value).alias("_v")))["_v"].alias("_last"))
     carried = cells.withColumn(
-        "_carried", F.lag("_last").over(W.partitionBy(key).orderBy("_bucket"))
-    ).select(key, "_bucket", "_carried")
-    inside = W.partitionBy(key, "_bucket").orderBy(*order)
+        "_carried", F.lag("_last").over(W.partitionBy(key).orderBy("_bucket", "_sub"))
+    ).select(key, "_bucket", "_sub", "_carried")
+    inside = W.partitionBy(key, "_bucket", "_sub").orderBy(*order)
     return (
         bucketed.withColumn("_lag", F.lag(value).over(inside))
         .withColumn("_first", F.row_number().over(inside) == 1)
-        .join(carried, [key, "_bucket"])
+        .join(carried, [key, "_bucket", "_sub"])
         .withColumn(out, F.when(F.col("_first"), F.col("_carried")).otherwise(F.col("_lag")))
-        .drop("_bucket", "_lag", "_first", "_carried", "_micros")
+        .drop("_bucket", "_sub", "_lag", "_first", "_carried", "_micros")
+    )
+
+
+def spaced_starts(rows: DataFrame, key: str, order: list[str], micros: int, out: str, earliest: DataFrame | None = None,
+                  target: int = BUCKET_ROWS) -> DataFrame:
+    """The time in microseconds at which each row of a key can start, in the order given (a timestamp, then an
+    integer): not before its own time, and `micros` behind the row before. `earliest` has, per key, a time
+    (`_from`, microseconds) before which no row starts.
+
+    With the i-th row's time t(i), start(i) is i * micros plus the largest t(j) - j * micros up to i. So a key may
+    be cut into cells anywhere: a cell is summed up as its number of rows and its largest such value, and sums and
+    largest values of the earlier cells carry over.
+    """
+    cells, step = _time_cells(rows, order, target), F.lit(micros).cast("long")
+    inside = W.partitionBy(key, "_bucket", "_sub").orderBy(*order)
+    placed = cells.withColumn("_i", F.row_number().over(inside) - 1).withColumn("_v", F.col("_micros") - F.col("_i") * step)
+    earlier = W.partitionBy(key).orderBy("_bucket", "_sub").rowsBetween(W.unboundedPreceding, -1)
+    sums = placed.groupBy(key, "_bucket", "_sub").agg(F.count(F.lit(1)).alias("_n"), F.max("_v").alias("_most"))
+    sums = sums.withColumn("_rows", F.coalesce(F.sum("_n").over(earlier), F.lit(0))) \
+        .withColumn("_carry", F.max(F.col("_most") - F.col("_rows") * step).over(earlier))
+    if earliest is not None:
+        sums = sums.join(earliest, key, "left").withColumn("_carry", F.greatest("_carry", "_from")).drop("_from")
+    so_far = F.max("_v").over(inside.rowsBetween(W.unboundedPreceding, W.currentRow))
+    start = (F.col("_rows") + F.col("_i")) * step + F.greatest(F.col("_so_far") - F.col("_rows") * step, F.col("_carry"))
+    return (
+        placed.withColumn("_so_far", so_far).join(sums.drop("_n", "_most"), [key, "_bucket", "_sub"])
+        .withColumn(out, start.cast("long"))
+        .drop("_bucket", "_sub", "_i", "_v", "_so_far", "_rows", "_carry", "_micros")
     )

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import functools
 import json
 import time
 import uuid
@@ -17,6 +16,7 @@ from pagelode.operators import frontier, links, robots
 from pagelode.options import CrawlOptions
 from pagelode.session import no_rows, path_exists, through_table, workdir
 from pagelode.sources import crawl_log, index, url_batches
+from pagelode.sources.url_log import UrlLog
 
 
 @dataclass(frozen=True)
@@ -68,7 +68,7 @@ def parsed_store(pages: DataFrame, options: CrawlOptions = CrawlOptions(), want=
 def crawl_step(batch: DataFrame, store: DataFrame, visited: DataFrame | None, discovered: DataFrame,
                domain_counts: DataFrame, budgets: DataFrame | None = None, queue_size: int = 0,
                options: CrawlOptions = CrawlOptions(), rules: DataFrame | None = None,
-               path: str | None = None) -> CrawlStep:
+               path: str | None = None, documents_path: str | None = None) -> CrawlStep:
     """One round over `batch(url, depth, seq)`; `store` is a parsed store, `rules` robots rules.
 
     A page is indexed before its links are judged. A page that is missing or denied is
@@ -80,7 +80,7 @@ def crawl_step(batch: DataFrame, store: DataFrame, visited: DataFrame | None, di
     due, _ = depth_gate(batch, options.max_depth)
     if rules is not None:
         due = robots.robots_filter(due, rules, options.robots_agent).where("allowed").select(*batch.columns)
-    found = through_table(due.join(store, "url"), f"{path}/documents")
+    found = through_table(due.join(store, "url"), documents_path or f"{path}/documents")
     cap = options.max_urls_per_page
     offered = found.select(
         F.col("url").alias("src"), F.col("seq").alias("_page"), F.col("depth").alias("_depth"),
@@ -103,15 +103,17 @@ def acks(batch: DataFrame, found: DataFrame) -> DataFrame:
 
 
 class CrawlState:
-    """Crawl state as tables in a shared folder, one generation per finished round.
+    """Crawl state as tables in a shared folder, one part (`gen`) of each per finished round.
 
-    A round first writes its tables and then one row of progress. A round without that row
+    A round first writes its parts and then one row of progress. A round without that row
     never happened: after a restart it is done again from the state before it, so its leases
-    come back exactly once.
+    come back exactly once. What is discovered is kept in buckets by URL as well, so that a round looks
+    its links up without a shuffle of all that was ever found.
     """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
+        self.found = UrlLog.at(spark, f"{path}/discovered")
 
     _PROGRESS = "round int, batch_size long, added long, left_over long, pages_crawled long, at double, seconds double"
     _QUEUE = frontier.QUEUE
@@ -126,9 +128,13 @@ class CrawlState:
         return self.progress().orderBy(F.desc("round")).first()
 
     def read(self, name: str, schema: str, first: int, last: int) -> DataFrame:
-        paths = [f"{self.path}/round-{r}/{name}" for r in range(first, last + 1)]
-        reader = self.spark.read.schema(schema)
-        return reader.parquet(*paths) if paths else no_rows(self.spark, schema)
+        """Rows of the rounds from first to last: one table, of which other parts are not read."""
+        if first > last:
+            return no_rows(self.spark, schema)
+        if first == last:
+            return self.spark.read.schema(schema).parquet(self.folder(name, first))
+        rows = self.spark.read.schema(f"{schema}, gen int").parquet(f"{self.path}/{name}")
+        return rows.where(F.col("gen").between(first, last)).drop("gen")
 
     def queue(self, last) -> DataFrame:
         fresh = self.read("added", self._QUEUE, last.round, last.round)
@@ -137,7 +143,8 @@ class CrawlState:
         return fresh.unionByName(self.read("left", self._QUEUE, last.round, last.round))
 
     def discovered(self, r: int) -> DataFrame:
-        return self.read("added", self._QUEUE, 0, r).select("url")
+        """Distinct URLs that were queued in the rounds up to r, in buckets."""
+        return self.found.read(r).distinct()
 
     def acks(self, r: int) -> DataFrame:
         """All URLs of the rounds up to r: domain, depth and whether their page was read. Worked out from
@@ -149,8 +156,8 @@ class CrawlState:
         last = self.last()
         if last is None or not last.round:
             return None
-        rounds = [self.spark.read.parquet(f"{self.folder(r)}/{name}").withColumn("round", F.lit(r)) for r in range(1, last.round + 1)]
-        return functools.reduce(DataFrame.unionByName, rounds)
+        rows = self.spark.read.parquet(f"{self.path}/{name}").where(F.col("gen") <= last.round)
+        return rows.withColumnRenamed("gen", "round")
 
     def documents(self) -> DataFrame | None:
         """The pages read so far, to be indexed: all columns of the store, depth and round."""
@@ -178,11 +185,11 @@ class CrawlState:
     def domains(self, r: int) -> DataFrame:
         return self.read("domains", "domain string, n long", r, r)
 
-    def folder(self, r: int) -> str:
-        return f"{self.path}/round-{r}"
+    def folder(self, name: str, r: int) -> str:
+        return f"{self.path}/{name}/gen={r}"
 
     def write(self, df: DataFrame, name: str, r: int) -> None:
-        df.write.mode("overwrite").parquet(f"{self.folder(r)}/{name}")
+        df.write.mode("overwrite").parquet(self.folder(name, r))
 
     def commit(self, r: int, batch_size: int, added: int, left_over: int, pages_crawled: int, began: float | None = None):
         now = time.time()
@@ -194,26 +201,39 @@ class CrawlState:
         return done
 
 
-def write_store(store: DataFrame, path: str) -> DataFrame:
-    """Write a parsed store in buckets by URL, as many as the session has shuffle partitions, so that
-    a round deals out its batch alone and the store stays where it lies."""
+# Bytes of URLs and links in a bucket of a store.
+STORE_BUCKET_BYTES = 128 * 2**20
+MOST_STORE_BUCKETS = 4096
+
+
+def write_store(store: DataFrame, path: str, buckets: int | None = None) -> DataFrame:
+    """Write a parsed store in buckets by URL, so that a round deals out its batch alone and the store stays
+    where it lies. Their number follows the size of URLs and links, unless it is given, and is no less than
+    the session's shuffle partitions."""
     spark = store.sparkSession
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if buckets is None:
+        size = F.octet_length("url") + F.coalesce(F.octet_length(F.array_join("links", " ")), F.lit(0))
+        total = store.agg(F.sum(size.cast("long"))).first()[0] or 0
+        buckets = min(max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // STORE_BUCKET_BYTES)), MOST_STORE_BUCKETS)
+    name = f"store_{uuid.uuid4().hex}"
     store.repartition(buckets, "url").write.mode("overwrite").option("path", f"{path}/rows") \
-        .bucketBy(buckets, "url").sortBy("url").saveAsTable(f"store_{uuid.uuid4().hex}")
+        .bucketBy(buckets, "url").sortBy("url").saveAsTable(name)
+    spark.sql(f"DROP TABLE {name}")  # an external table: its files stay
     spark.range(0, 1, 1, 1).select(F.lit(buckets).alias("buckets"), F.lit(store.schema.json()).alias("schema")) \
         .write.mode("overwrite").parquet(f"{path}/layout")
     return open_store(spark, path)
 
 
 def open_store(spark: SparkSession, path: str) -> DataFrame:
-    """A written store, in this session or a later one."""
+    """A written store, in this session or a later one. The catalog names it only until it is resolved."""
     layout = spark.read.schema("buckets int, schema string").parquet(f"{path}/layout").first()
     columns = T.StructType.fromJson(json.loads(layout.schema)).toDDL()
-    name = f"store_{uuid.uuid4().hex}"
+    name, place = f"store_{uuid.uuid4().hex}", f"{path}/rows".replace("\\", "\\\\").replace("'", "\\'")
     spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY (url) SORTED BY (url) "
-              f"INTO {layout.buckets} BUCKETS LOCATION '{path}/rows'")
-    return spark.table(name)
+              f"INTO {layout.buckets} BUCKETS LOCATION '{place}'")
+    rows = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return rows
 
 
 def _budget_frame(spark: SparkSession, budgets: dict) -> DataFrame | None:
@@ -261,8 +281,9 @@ def _begin(state: CrawlState, start: DataFrame, options: CrawlOptions, budgets:
     seeds = frontier.seeds(start, empty, empty, options.valid_domains)
     decision = frontier.decide(
         seeds, None, none, no_counts, budgets, 0,
-        options.max_frontier_queue_size, options.domain_max_requests_default, f"{state.folder(0)}/facts")
+        options.max_frontier_queue_size, options.domain_max_requests_default, state.folder("facts", 0))
     state.write(decision.queue(options.priority_enabled), "added", 0)
+    state.found.append(state.read("added", state._QUEUE, 0, 0), 0)
     state.write(no_counts, "domains", 0)
     return state.commit(0, 0, decision.added, 0, 0)
 
@@ -283,11 +304,14 @@ def _round(state: CrawlState, last, store: DataFrame, options: CrawlOptions, bud
 
     # Whatever is visited was discovered before, so the discovered set alone keeps URLs out.
     step = crawl_step(batch, store, None, state.discovered(last.round), state.domains(last.round), budgets,
-                      left_over, options, rules, state.folder(r))
+                      left_over, options, rules, state.folder("step", r), state.folder("documents", r))
     state.write(step.admission.queue(options.priority_enabled, r), "added", r)
+    state.found.append(state.read("added", state._QUEUE, r, r), r)
     counts = state.domains(last.round).unionByName(
         frontier.with_domain(batch).groupBy("domain").agg(F.count(F.lit(1)).alias("n")))
     state.write(counts.groupBy("domain").agg(F.sum("n").alias("n")), "domains", r)
     now = F.date_format(F.timestamp_seconds(F.lit(began)), "yyyy-MM-dd'T'HH:mm:ss")
     state.write(step.messages(now if published_at is None else published_at, options.url_batch_size), "messages", r)
-    return state.commit(r, taken, step.admission.added, left_over, last.pages_crawled + taken, began)
+    done = state.commit(r, taken, step.admission.added, left_over, last.pages_crawled + taken, began)
+    state.found.compact_if_due(r)
+    return done

@@ -12,6 +12,9 @@ from pagelode.operators import ranking
 # Text per bucket of terms; postings have about the size of their text.
 BUCKET_BYTES = 32 * 2**20
 LEAST_BUCKETS = 16
+# Folders do not grow with the corpus: beyond these numbers, what lies in them does.
+MOST_BUCKETS = 1024
+SHARDS = 1024
 
 _DOCS = "doc long, url string, title string, content string, shard int"
 _POSTINGS = "doc long, field string, dl int, term string, tf long, opens boolean, term_bucket int"
@@ -32,7 +35,7 @@ class TextIndex:
 
 def doc_shard(doc: Column) -> Column:
     """The folder of a document: numbers given out by one task share their upper bits."""
-    return F.shiftright(doc, 33).cast("int")
+    return F.pmod(F.shiftright(doc, 33), F.lit(SHARDS)).cast("int")
 
 
 def build_index(docs: DataFrame, path: str, buckets: int | None = None) -> TextIndex:
@@ -42,7 +45,7 @@ def build_index(docs: DataFrame, path: str, buckets: int | None = None) -> TextI
     of a URL, equal scores are told apart by it as they would be by the URL, and a search reads
     the text of its results from the shards that hold them. Postings are partitioned by a hash of
     the term and sorted by term inside, so a search reads the buckets of its terms alone; the
-    number of buckets follows the size of the text, unless it is given. The rebalance splits a
+    number of buckets follows the size of the text up to `MOST_BUCKETS`, unless it is given. The rebalance splits a
     bucket that a frequent term has made large. The vocabulary is partitioned by the length of its
     terms, since typos change it by two letters at most. Vocabulary and statistics come from the
     stored postings, so documents are cut into tokens once.
@@ -54,7 +57,7 @@ def build_index(docs: DataFrame, path: str, buckets: int | None = None) -> TextI
     ordered.observe(seen, F.sum(size.cast("long")).alias("bytes")) \
         .withColumn("doc", F.monotonically_increasing_id()).withColumn("shard", doc_shard(F.col("doc"))) \
         .write.mode("overwrite").partitionBy("shard").parquet(f"{path}/docs")
-    buckets = buckets or max(LEAST_BUCKETS, -(-(seen.get["bytes"] or 0) // BUCKET_BYTES))
+    buckets = buckets or min(max(LEAST_BUCKETS, -(-(seen.get["bytes"] or 0) // BUCKET_BYTES)), MOST_BUCKETS)
 
     rows = ranking.postings(spark.read.schema(_DOCS).parquet(f"{path}/docs"), "doc")
     (
@@ -64,7 +67,7 @@ def build_index(docs: DataFrame, path: str, buckets: int | None = None) -> TextI
         .write.mode("overwrite").partitionBy("term_bucket").parquet(f"{path}/postings")
     )
     posted = spark.read.schema(_POSTINGS).parquet(f"{path}/postings")
-    ranking.vocabulary(posted).withColumn("size", F.length("term")).sortWithinPartitions("size") \
+    ranking.vocabulary(posted).withColumn("size", F.least(F.length("term"), F.lit(ranking.LONGEST))).sortWithinPartitions("size") \
         .write.mode("overwrite").partitionBy("size").parquet(f"{path}/vocab")
     ranking.field_stats(posted).withColumn("buckets", F.lit(buckets)).write.mode("overwrite").parquet(f"{path}/stats")
     return open_index(spark, path, buckets)

@@ -5,15 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagelode.operators import ranking
+from pagelode.operators import ranking, spread
 from pagelode.options import SearchOptions
 from pagelode.plans.index_build import TextIndex, doc_shard
 from pagelode.session import through_table, workdir
 
 
 def found_terms(index: TextIndex, terms: DataFrame) -> tuple[DataFrame, bool]:
-    """Vocabulary terms of the distinct query terms, `field, qterm, term, df, edits`, and whether all
-    that comes of them is small enough to be broadcast.
+    """Vocabulary terms of the distinct query terms, `field, qterm, term, df, edits`, and whether the
+    terms are few.
 
     Terms are counted against a bound by reading one more than it. A few are compared with the
     vocabulary of their lengths, the only part that is read; more are found by keys.
@@ -25,7 +25,7 @@ def found_terms(index: TextIndex, terms: DataFrame) -> tuple[DataFrame, bool]:
     known = spark.createDataFrame([(t,) for t in asked], "qterm string")
     if len(asked) > ranking.FEW_TERMS:
         return ranking.fuzzy_terms(known, index.vocab, True), True
-    sizes = sorted({n for t in asked for n in range(len(t) - 2, len(t) + 3)})
+    sizes = sorted({min(n, ranking.LONGEST) for t in asked for n in range(len(t) - 2, len(t) + 3)})
     return ranking.few_terms(known, index.vocab.where(F.col("size").isin(sizes))), True
 
 
@@ -36,15 +36,16 @@ def looked_up(rows: DataFrame, words: list[str], buckets: list[int]) -> DataFram
 
 def asked_terms(index: TextIndex, queries: DataFrame,
                 options: SearchOptions = SearchOptions(), path: str | None = None) -> tuple[DataFrame, bool]:
-    """What the queries look up, stored, and whether it is small enough to be broadcast: terms, and
-    with them queries and results, are counted against a bound. The table is written to `path`
-    (a new folder if none is given); it is of no use once the results are read."""
+    """What the queries look up, stored, and whether it is small enough to be broadcast: a row per query,
+    term and expansion, which are counted, since many queries may share few terms. The table is written to
+    `path` (a new folder if none is given); it is of no use once the results are read."""
     terms = ranking.query_terms(queries)
     found, small = found_terms(index, terms.select("qterm").distinct())
     asked = ranking.asked_terms(ranking.expansions(found, options), terms).withColumn(
         "term_bucket", ranking.bucket_of(F.col("term"), index.buckets))
     # All weights are above 0; the filter lets the planner prune term buckets by this table.
-    return through_table(asked, path or workdir(queries.sparkSession, "asked")).where(F.col("weight") > 0), small
+    asked = through_table(asked, path or workdir(queries.sparkSession, "asked"))
+    return asked.where(F.col("weight") > 0), small and spread.is_small(asked)
 
 
 def term_hits(index: TextIndex, asked: DataFrame, small: bool) -> DataFrame:
@@ -59,10 +60,12 @@ def term_hits(index: TextIndex, asked: DataFrame, small: bool) -> DataFrame:
 
 def search_pool(index: TextIndex, queries: DataFrame,
                 options: SearchOptions = SearchOptions(), path: str | None = None) -> tuple[DataFrame, bool]:
-    """The 50 best documents per query, `query_id, doc, score, rank`, and whether they are few."""
+    """The 50 best documents per query, `query_id, doc, score, rank`, and whether they are few enough to
+    be broadcast: rows are counted by queries, 50 for each."""
     asked, small = asked_terms(index, queries, options, path)
     scores = ranking.document_scores(term_hits(index, asked, small), index.stats, options, "doc")
-    return ranking.search_rank(scores, options.pool_size, "doc"), small
+    few = small and spread.is_small(asked.select("query_id").distinct(), spread.SMALL_ROWS // options.pool_size)
+    return ranking.search_rank(scores, options.pool_size, "doc"), few
 
 
 def with_docs(rows: DataFrame, index: TextIndex, columns: tuple[str, ...], small: bool) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pagelode.functions import urls
 
 from pagelode.options import CrawlOptions
-from pagelode.plans import crawl
+from pagelode.plans import crawl, worker_crawl
 from pagelode.registry import derived as D
 from pagelode.registry import query
 from pagelode.registry import sql as S
@@ -117,7 +117,7 @@ def crawl_bfs_limits(spark, sf_dir):
 
 
 # What a crawl leaves behind, over a store whose pages have links that are turned down as well.
-_LEFT = CrawlOptions(max_depth=2)
+_LEFT = CrawlOptions()
 
 
 def _left(spark, sf_dir):
@@ -177,3 +177,24 @@ SELECT (depth + 1)::INTEGER AS round, n AS batch_size, (sum(n) OVER (ORDER BY de
 def crawl_progress(spark, sf_dir):
     state = bfs(spark, sf_dir)[2]
     return state.progress().where("round > 0").select("round", "batch_size", "pages_crawled")
+
+
+# Pages whose name ends in 3 lose their first worker, those that end in 7 have one that is late.
+_SLOW = CrawlOptions(max_depth=_NO_LIMIT, domain_max_requests_default=_NO_LIMIT, lease_seconds=50, per_domain_delay_seconds=0.001)
+
+
+def _outcome(leases):
+    first, digit = F.col("epoch") == 1, F.substring("url", -1, 1)
+    return leases.withColumn("after_seconds", F.when(first & (digit == "3"), F.lit(None)).when(first & (digit == "7"), 70.0).otherwise(0.001))
+
+
+@query("worker_crawl", f"""WITH RECURSIVE {S.WIKI},
+found AS (SELECT url FROM wiki_seeds UNION SELECT link FROM found JOIN wiki_links USING (url) WHERE pos <= 50)
+SELECT url, CASE WHEN right(url, 1) IN ('3', '7') THEN 2 ELSE 1 END AS epoch, 'done' AS status FROM found
+UNION ALL SELECT url, 1, 'late' FROM found WHERE right(url, 1) = '7'""")
+def worker_crawl_query(spark, sf_dir):
+    """All pages that can be reached, by workers of which some crash and some are late."""
+    store = stored_wiki(spark, sf_dir)
+    workers = worker_crawl.Workers(_outcome, count=8, batch_size=_NO_LIMIT)
+    state = worker_crawl.crawl_by_workers(store.drop("s"), D.wiki_seeds(store), workdir(spark, "worker-crawl"), workers, _SLOW)
+    return state.acknowledged().select("url", "epoch", "status")

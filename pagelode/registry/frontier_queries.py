@@ -251,6 +251,34 @@ def politeness_gaps(spark, sf_dir):
     return gaps.select("event_id", "domain", "ts", F.coalesce("gap_seconds", F.lit(-1.0)).alias("gap_seconds"), "too_soon")
 
 
+# Accesses as wishes: every domain may be entered every ten minutes, and not within ten minutes of its last
+# access before the second week.
+_STARTS = """a AS (SELECT event_id, 'd' || (user_id % 20) || '.edu' AS domain, epoch_us(ts) AS t, ts FROM events),
+early AS (SELECT domain, max(t) + 600000000 AS from_us FROM a WHERE ts < TIMESTAMP '2024-01-08 00:00:00' GROUP BY domain),
+n AS (SELECT *, row_number() OVER (PARTITION BY domain ORDER BY t, event_id) - 1 AS i FROM a WHERE ts >= TIMESTAMP '2024-01-08 00:00:00'),
+starts AS (SELECT event_id, n.domain, t, i * 600000000 + greatest(
+    max(t - i * 600000000) OVER (PARTITION BY n.domain ORDER BY i), coalesce(from_us, 0)) AS start_micros
+  FROM n LEFT JOIN early ON early.domain = n.domain)"""
+
+
+def _schedule(spark, sf_dir):
+    accesses, week = D.domain_access(spark, sf_dir), F.lit("2024-01-08 00:00:00").cast("timestamp_ntz")
+    stats = frontier.domain_stats(accesses.where(F.col("ts") < week))
+    return frontier.politeness_schedule(accesses.where(F.col("ts") >= week), stats, 600)
+
+
+@query("politeness_schedule", f"""WITH {_STARTS} SELECT event_id, domain, start_micros::BIGINT AS start_micros,
+  (start_micros - t) / 1000000.0::DOUBLE AS wait_seconds FROM starts""")
+def politeness_schedule(spark, sf_dir):
+    return _schedule(spark, sf_dir).select("event_id", "domain", "start_micros", "wait_seconds")
+
+
+@query("politeness_due", f"""WITH {_STARTS} SELECT event_id, domain FROM starts
+WHERE start_micros <= epoch_us(TIMESTAMP '2024-01-15 00:00:00')""")
+def politeness_due(spark, sf_dir):
+    return frontier.politeness_due(_schedule(spark, sf_dir), F.lit("2024-01-15 00:00:00")).select("event_id", "domain")
+
+
 @query("politeness_wait", """WITH a AS (SELECT 'd' || (user_id % 20) || '.edu' AS domain, max(ts) AS last FROM events
   WHERE ts <= TIMESTAMP '2024-01-15 00:00:00' GROUP BY 1),
 p AS (SELECT page_id, 'd' || (page_id % 25) || '.edu' AS domain FROM pages)

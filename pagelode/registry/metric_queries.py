@@ -45,7 +45,7 @@ def crawl_rate(spark, sf_dir):
     return metrics.crawl_rate(acks, F.date_trunc("day", "ts").cast("timestamp_ntz"))
 
 
-@query("monitor_ticks", f"""WITH {LOG_SQL}, s AS (
+TICKS_SQL = f"""WITH {LOG_SQL}, s AS (
   SELECT url, ts, {_STATE} AS state, lag({_STATE}) OVER (PARTITION BY url ORDER BY ts, event_id) AS before
   FROM log WHERE action IN ('enqueue', 'reserve', 'acknowledge')),
 d AS (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS tick_start,
@@ -54,7 +54,10 @@ d AS (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS tick_start,
   sum((state = 'visited')::INT - coalesce((before = 'visited')::INT, 0)) AS v FROM s GROUP BY 1),
 c AS (SELECT tick_start, (sum(q) OVER w)::BIGINT AS queue_size, (sum(i) OVER w)::BIGINT AS inflight_size, (sum(v) OVER w)::BIGINT AS visited_count
   FROM d WINDOW w AS (ORDER BY tick_start ROWS UNBOUNDED PRECEDING))
-SELECT *, 500::BIGINT AS threshold, queue_size > 400 AS pressure FROM c""")
+SELECT *, 500::BIGINT AS threshold, queue_size > 400 AS pressure FROM c"""
+
+
+@query("monitor_ticks", TICKS_SQL)
 def monitor_ticks(spark, sf_dir):
     ticks = metrics.monitor_ticks(D.lease_events(spark, sf_dir, per_user=True), 3600, 500)
     return ticks.withColumn("tick_start", F.col("tick_start").cast("timestamp_ntz"))

@@ -11,6 +11,7 @@ from pagelode.registry import derived as D
 from pagelode.registry import query
 from pagelode.registry import sql as S
 from pagelode.registry.frontier_queries import LOG_SQL
+from pagelode.registry.metric_queries import TICKS_SQL
 from pagelode.registry.page_queries import _PUBLISHED, _UPSERT_SQL
 from pagelode.session import workdir
 from pagelode.streaming import leases, streams
@@ -98,6 +99,17 @@ def monitor_ticks_stream(spark, sf_dir):
                                 "tick_start timestamp_ntz, to_queued long, to_inflight long, to_visited long")
 
 
+@query("stream_gauges", TICKS_SQL)
+def stream_gauges(spark, sf_dir):
+    """Queue, inflight, visited and pressure at the end of every tick, from the stream."""
+    path = workdir(spark, "gauges")
+    with streams.disk_state(spark):
+        events = D.lease_events(spark, sf_dir, per_user=True, rows=_events(spark, sf_dir))
+        streams.stream_gauges(events, f"{path}/out", f"{path}/checkpoint", 3600).awaitTermination()
+    ticks = streams.read_gauges(spark, f"{path}/out", 3600, 500)
+    return ticks.withColumn("tick_start", F.col("tick_start").cast("timestamp_ntz"))
+
+
 _DAY = 86_400_000
 _RAN_OUT = f"acc.status = 'inflight' AND e.at >= acc.since + {_DAY}"
 _TAKES = f"e.action = 'reserve' AND (acc.status = 'queued' OR ({_RAN_OUT}))"

@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+import pandas as pd
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from pagelode import options as O
 from pagelode.functions import urls
@@ -182,6 +184,67 @@ def read_url_batch_stream(spark: SparkSession, path: str) -> DataFrame:
     return url_batches.read_url_batches(messages.select("value"))
 
 
+class StateSteps(StatefulProcessor):
+    """The state of each URL; a change leaves one row that takes one from the old state and adds one to the new.
+
+    Events of a key are taken in time order within a micro-batch, so they have to come in order from one
+    micro-batch to the next."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.state = handle.getValueState("state", "state string")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        events = sorted(row for batch in rows for row in zip(batch["at_micros"], batch["event_id"], batch["state"]))
+        before = self.state.get()[0] if self.state.exists() else None
+        out = []
+        for at, _, state in events:
+            out.append((at, *[(state == s) - (before == s) for s in metrics.STATES]))
+            before = state
+        self.state.update((before,))
+        yield pd.DataFrame(out, columns=["at_micros", *[f"net_{s}" for s in metrics.STATES]])
+
+    def close(self) -> None:
+        pass
+
+
+_NETS = "tick long, " + ", ".join(f"net_{s} long" for s in metrics.STATES)
+
+
+def stream_gauges(events: DataFrame, path: str, checkpoint: str, seconds: int = 5) -> StreamingQuery:
+    """What every tick adds to the sizes of queue, inflight and visited: state per URL, then sums per tick,
+    written as a generation per micro-batch. Expects `url, ts, event_id, action`; `read_gauges` adds them up.
+    The session needs the RocksDB state store."""
+    steps = events.withColumn("state", metrics.state_after(F.col("action"))).where(F.col("state").isNotNull()).select(
+        "url", F.unix_micros(F.col("ts").cast("timestamp")).alias("at_micros"), "event_id", "state")
+    schema = "at_micros long, " + ", ".join(f"net_{s} long" for s in metrics.STATES)
+    changes = steps.groupBy("url").transformWithStateInPandas(
+        statefulProcessor=StateSteps(), outputStructType=schema, outputMode="Append", timeMode="None")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        tick = F.floor(F.col("at_micros") / (seconds * 1_000_000)).alias("tick")
+        nets = batch.groupBy(tick).agg(*[F.sum(f"net_{s}").alias(f"net_{s}") for s in metrics.STATES])
+        nets.write.mode("overwrite").parquet(f"{path}/generation={batch_id}")
+
+    return (
+        changes.writeStream.foreachBatch(write).outputMode("append")
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    )
+
+
+def _sum_of_nets(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("tick").agg(*[F.sum(f"net_{s}").alias(f"net_{s}") for s in metrics.STATES])
+
+
+def read_gauges(spark: SparkSession, path: str, seconds: int = 5, max_queue: int = O.CrawlOptions.max_frontier_queue_size) -> DataFrame:
+    """Gauges and pressure at the end of every tick that saw a change, from the generations so far."""
+    return metrics.gauges_of(_sum_of_nets(_generations(spark, path, _NETS)[0]), seconds, max_queue)
+
+
+def compact_gauges(spark: SparkSession, path: str) -> int:
+    """Put the generations so far together: a row per tick."""
+    return compact(spark, path, _NETS, lambda rows: _sum_of_nets(rows).withColumn("generation", F.lit(0)))
+
+
 def stream_ticks(events: DataFrame, width: str = "5 seconds", delay: str = "1 minute") -> DataFrame:
     """Events per tick and kind of state change, by event time. Expects `ts`, `action`."""
     timed = events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", delay)

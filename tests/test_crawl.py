@@ -81,7 +81,7 @@ def test_stop_and_go_on(spark):
     path = workdir(spark, "crawl")
     crawl.crawl_bfs(store, start, path, max_rounds=1)
     # A round that was begun and lost leaves files but no progress; it is done again.
-    store.limit(0).select("url").write.parquet(f"{path}/round-2/batch")
+    store.limit(0).select("url").write.parquet(f"{path}/batch/gen=2")
     resumed = crawl.crawl_bfs(store, start, path)
     whole = crawl.crawl_bfs(store, start, workdir(spark, "crawl"))
     a, b = (s.acks(s.last().round) for s in (resumed, whole))
@@ -149,3 +149,11 @@ def test_the_store_is_not_dealt_out_again(spark):
     batch = kept.select("url").limit(20).selectExpr("url", "0 AS depth", "1L AS seq")
     plan = batch.hint("merge").join(kept, "url")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan
+
+
+def test_a_store_leaves_no_table_and_may_lie_anywhere(spark):
+    store = spark.createDataFrame([(ROOT.format("a", i), [ROOT.format("b", i)]) for i in range(30)], "url string, links array<string>")
+    before = {t.name for t in spark.catalog.listTables()}
+    kept = crawl.write_store(store, workdir(spark, "it's a store"))
+    assert {t.name for t in spark.catalog.listTables()} == before
+    assert kept.count() == 30 and kept.join(store.select("url"), "url").count() == 30

@@ -162,3 +162,27 @@ def test_document_numbers_rise_with_the_url(spark):
     got = [r.url for r in index.docs.orderBy("doc").collect()]
     assert got == sorted(f"u{i}" for i in range(500))
     assert index.stats.where("field = 'title'").first().n_docs == 500
+
+
+def test_many_queries_over_few_words_are_not_broadcast(spark):
+    """Rows of the query side are counted, not its distinct terms."""
+    docs = spark.createDataFrame(DOCS, "url string, title string, content string")
+    index = index_build.build_index(docs, workdir(spark, "index"), buckets=3)
+    words = ["graph", "theory", "vertex", "edge", "cooking", "pasta", "water", "graphs", "grpah", "and"]
+    one = F.element_at(F.array(*[F.lit(w) for w in words]), (F.col("id") % 10 + 1).cast("int"))
+    many = spark.range(100_000).select(F.col("id").alias("query_id"), one.alias("q"))
+    asked, small = search.asked_terms(index, many)
+    assert asked.count() > 100_000 and not small
+    pool, few = search.search_pool(index, many)
+    plan = search.with_docs(pool, index, ("url",), few)._jdf.queryExecution().analyzed().toString()
+    assert not few and plan.count("strategy=broadcast") == 1  # the statistics, a row per field
+    assert search.search_pool(index, many.limit(20))[1]
+
+
+def test_long_terms_are_found(spark):
+    long = "x" * 99 + "abc"
+    vocab = spark.createDataFrame([("content", w, 1, min(len(w), ranking.LONGEST)) for w in (long, long + "d", long + "def", "x" * 98)],
+                                  "field string, term string, df long, size int")
+    for term, wanted in ((long, {long, long + "d"}), ("x" * 99, {"x" * 98}), (long + "de", {long, long + "d", long + "def"})):
+        got = ranking.few_terms(spark.createDataFrame([(term,)], "qterm string"), vocab).collect()
+        assert {r.term for r in got} == wanted

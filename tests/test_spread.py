@@ -84,3 +84,31 @@ def test_the_list_of_hot_keys_is_bounded(spark, monkeypatch):
     counts = spark.createDataFrame([(f"k{i}", 10 * i) for i in range(10)], "k string, n long")
     got = {r.k: r._pieces for r in spread.hot_pieces(counts, "k", "n", 20).collect()}
     assert got == {"k9": 5, "k8": 4, "k7": 4}
+
+
+def test_one_instant_is_cut_by_the_second_column(spark):
+    """A third of the rows at one instant: no cell of a key has more than the target, or little more."""
+    rng = random.Random(6)
+    rows = [(i, "ab"[i % 5 == 0], 777 if i % 3 == 0 else rng.randint(0, 2000)) for i in range(6000)]
+    df = spark.createDataFrame(rows, "event_id long, key string, s long").withColumn("ts", F.timestamp_seconds("s"))
+    cells = spread._time_cells(df, ["ts", "event_id"], 300).groupBy("_bucket", "_sub").count().collect()
+    assert max(r["count"] for r in cells) <= 300 and sum(r["count"] for r in cells) == 6000
+    got = {r.event_id: r.prev for r in spread.previous_value(df, "key", ["ts", "event_id"], "event_id", "prev", target=300).collect()}
+    for key in "ab":
+        own = [i for i, _, _ in sorted((r for r in rows if r[1] == key), key=lambda r: (r[2], r[0]))]
+        assert [got[i] for i in own] == [None, *own[:-1]]
+
+
+def test_spaced_starts_equal_a_walk(spark):
+    rng = random.Random(8)
+    rows = [(i, rng.choice("aaab"), 500 if i % 3 == 0 else rng.randint(0, 3000)) for i in range(900)]
+    df = spark.createDataFrame(rows, "event_id long, key string, s long").withColumn("ts", F.timestamp_seconds("s"))
+    known = spark.createDataFrame([("a", 700 * 10**6), ("c", 5)], "key string, _from long")
+    for earliest, first in ((None, {}), (known, {"a": 700 * 10**6})):
+        got = {r.event_id: r.start for r in spread.spaced_starts(df, "key", ["ts", "event_id"], 2 * 10**6, "start", earliest, target=40).collect()}
+        for key in "ab":
+            free = first.get(key, 0)
+            for i, _, s in sorted((r for r in rows if r[1] == key), key=lambda r: (r[2], r[0])):
+                start = max(s * 10**6, free)
+                assert got[i] == start
+                free = start + 2 * 10**6

@@ -157,3 +157,35 @@ def test_gauges_and_ticks_by_hand(spark):
     assert all(r.pressure == (r.queue_size > 8) for r in ticks)
     gauges = metrics.frontier_gauges(metrics.url_states(df)).first()
     assert (gauges.queue_size, gauges.inflight_size, gauges.visited_count) == sizes[max(sizes)]
+
+
+def test_gauges_equal_the_batch_form(spark, rocks):
+    """Over files, restarts and a compaction; ticks are divided among micro-batches."""
+    rng = random.Random(11)
+    rows = [(i, i // 3, rng.choice(["enqueue", "reserve", "acknowledge", "crash"]), f"u{rng.randint(0, 20)}", "w") for i in range(400)]
+    add = lambda df: df.withColumn("ts", F.timestamp_seconds("s")).drop("s")
+    schema = "event_id long, action string, url string, worker_id string, ts timestamp"
+    out = workdir(spark, "gauges")
+
+    def run(upto):
+        path = files(spark, rows[:upto], ACTIONS, 4, add) if upto < len(rows) else paths[0]
+        stream = streams.file_stream(spark, path, "*.parquet", schema, 1)
+        streams.stream_gauges(stream, f"{out}/t", f"{out}/c", 10).awaitTermination()
+        return path
+
+    def same(upto):
+        frame = add(spark.createDataFrame(rows[:upto], ACTIONS))
+        wanted = metrics.monitor_ticks(frame, 10, 8).orderBy("tick_start").collect()
+        assert streams.read_gauges(spark, f"{out}/t", 10, 8).orderBy("tick_start").collect() == wanted and wanted
+
+    paths = [run(200)]
+    same(200)
+    assert streams.compact_gauges(spark, f"{out}/t") >= 0
+    same(200)
+    size = 50
+    for i in range(4, 8):
+        add(spark.createDataFrame(rows[i * size:(i + 1) * size], ACTIONS)).coalesce(1).write.mode("append").parquet(paths[0])
+    run(400)
+    same(400)
+    streams.compact_gauges(spark, f"{out}/t")
+    same(400)
