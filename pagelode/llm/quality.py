@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagelode.llm.common import discard, fold, in_arrow, query, slices, stored, table, with_fields
+from pagelode.llm.common import discard, fold, gathered, in_arrow, query, slices, stored, table, with_fields
 
 # Of all words of the corpus, a learned vector is for those with this share or more.
 MIN_SHARE = 1e-5
@@ -80,10 +80,19 @@ def word_ids(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
     lists = pc.utf8_split_whitespace(pc.fill_null(texts, ""))
     coded = lists.flatten().dictionary_encode()
-    digest = xxhash.xxh64_intdigest
-    split = [[digest(p) for p in parts(t)] for t in coded.dictionary.to_pylist()]
-    sizes = np.array([len(s) for s in split], np.int64)
-    hashes, flat = np.unique(np.array([r for s in split for r in s], np.uint64), return_inverse=True)
+    distinct: dict[str, int] = {}
+    place = distinct.setdefault
+    flat_list, sizes_list = [], []
+    for token in coded.dictionary.to_pylist():
+        if token.isalpha() and (len(token) == 1 or not token.isupper()):
+            flat_list.append(place(token.lower(), len(distinct)))
+            sizes_list.append(1)
+        else:
+            own = [place(p, len(distinct)) for p in parts(token)]
+            flat_list += own
+            sizes_list.append(len(own))
+    hashes = np.array([xxhash.xxh64_intdigest(word) for word in distinct], np.uint64)
+    flat, sizes = np.array(flat_list, np.int64), np.array(sizes_list, np.int64)
     starts = np.cumsum(sizes) - sizes
     token = coded.indices.to_numpy().astype(np.int64)
     # Each token as its run of words.
@@ -94,18 +103,24 @@ def word_ids(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return hashes, words, np.r_[0, ends][offsets - offsets[0]]
 
 
-def _context_sums(words: np.ndarray, bounds: np.ndarray, places: np.ndarray, signs: np.ndarray, dimensions: int) -> np.ndarray:
-    """Per distinct word, the sum of the index vectors of its neighbours in the texts."""
-    rows = len(places)
+def _add_context(words: np.ndarray, bounds: np.ndarray, own: np.ndarray, rows: np.ndarray, out: np.ndarray) -> None:
+    """Add to `out`, for each distinct word with a row there, the index vectors of its neighbours in the texts.
+    `own` has the index vectors of the distinct words, `rows` their rows, -1 for none."""
     text = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-    total = np.zeros(rows * dimensions)
-    for d in range(1, WINDOW + 1):
-        near = text[d:] == text[:-d]
-        left, right = words[:-d][near], words[d:][near]
-        for word, other in ((left, right), (right, left)):
-            for k in range(places.shape[1]):
-                total += np.bincount(word * dimensions + places[other, k], signs[other, k], rows * dimensions)
-    return total.reshape(rows, dimensions).astype(np.int64)
+    for first in range(0, len(words), PIECE_WORDS):
+        last = min(first + PIECE_WORDS, len(words))
+        low, high = max(first - WINDOW, 0), min(last + WINDOW, len(words))
+        vectors, near = own[words[low:high]], np.zeros((high - low, own.shape[1]), np.int8)
+        for d in range(1, WINDOW + 1):
+            same = (text[low + d:high] == text[low:high - d]).astype(np.int8)[:, None]
+            near[d:] += vectors[:-d] * same
+            near[:-d] += vectors[d:] * same
+        row = rows[words[first:last]]
+        known = np.flatnonzero(row >= 0)
+        known = known[np.argsort(row[known], kind="stable")]
+        if len(known):
+            starts = np.flatnonzero(np.r_[True, np.diff(row[known]) > 0])
+            out[row[known[starts]]] += np.add.reduceat(near[known + first - low], starts, axis=0, dtype=np.int64)
 
 
 @dataclass
@@ -129,15 +144,21 @@ class Words:
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
-    """word (the hash as a long) and n, over all documents."""
+    """word (the hash as a long) and n, over all documents. Runs without white space are counted by Spark, and
+    each distinct one is cut into its words once."""
+    tokens = docs.select(F.explode(F.split(F.col("text").cast("string"), r"\s+")).alias("token"))
+    counted = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            hashes, words, _ = word_ids(batch.column("text"))
-            n = np.bincount(words, minlength=len(hashes))
-            yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(n.astype(np.int64))], names=["word", "n"])
+        import xxhash
+
+        for batch in gathered(batches, 50_000):
+            split = [parts(t) for t in batch.column("token").to_pylist()]
+            words = [xxhash.xxh64_intdigest(w) for own in split for w in own]
+            n = np.repeat(batch.column("n").to_numpy(), [len(own) for own in split])
+            yield pa.RecordBatch.from_arrays([pa.array(np.array(words, np.uint64).view(np.int64)), pa.array(n)], names=["word", "n"])
 
-    return in_arrow(docs.select(F.col("text").cast("string")), run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return counted.mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def word_vectors(docs: DataFrame, min_share: float = MIN_SHARE, dimensions: int = DIMENSIONS) -> Words:
@@ -160,11 +181,13 @@ def word_vectors(docs: DataFrame, min_share: float = MIN_SHARE, dimensions: int
             found, words, bounds = word_ids(batch.column("text"))
             if not len(known) or not len(found):
                 continue
-            part = _context_sums(words, bounds, *index_vectors(found, dimensions), dimensions)
+            own = np.zeros((len(found), dimensions), np.int8)
+            places, signs = index_vectors(found, dimensions)
+            np.put_along_axis(own, places, signs.astype(np.int8), axis=1)
             at = np.minimum(np.searchsorted(known, found), len(known) - 1)
-            same = known[at] == found
-            sums[at[same]] += part[same]
-            used[at[same]] = True
+            at[known[at] != found] = -1
+            _add_context(words, bounds, own, at, sums)
+            used[at[at >= 0]] = True
         rows = np.flatnonzero(used)
         if len(rows):
             yield pa.RecordBatch.from_arrays([pa.array(rows), *(pa.array(sums[rows, k]) for k in range(dimensions))], names=["row", *names])
