@@ -43,7 +43,7 @@ class Workers:
 
     outcome: Callable[[DataFrame], DataFrame]
     count: int = 8
-    batch_size: int = 100_000
+    batch_size: int | None = None
     round_seconds: float = 60.0
     begin: float = 0.0
 
@@ -176,7 +176,8 @@ def _round(state: WorkerCrawl, last, store: DataFrame, options: CrawlOptions, bu
         again = robots_to_read(due, cache, now, options.robots_ttl_seconds).withColumn("fetched_at", F.lit(now))
         cache = cache.join(again.select("domain"), "domain", "left_anti").unionByName(again)
     cache = state.write(cache, "robots", r, CACHE)
-    taken = due.orderBy(*frontier.queue_order(("round", "seq"))).limit(workers.batch_size)
+    ordered = due.orderBy(*frontier.queue_order(("round", "seq")))
+    taken = ordered.limit(workers.batch_size) if workers.batch_size else due
     if history is None:
         judged = taken.withColumn("allowed", F.lit(True))
     else:

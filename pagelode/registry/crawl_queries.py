@@ -195,6 +195,6 @@ UNION ALL SELECT url, 1, 'late' FROM found WHERE right(url, 1) = '7'""")
 def worker_crawl_query(spark, sf_dir):
     """All pages that can be reached, by workers of which some crash and some are late."""
     store = stored_wiki(spark, sf_dir)
-    workers = worker_crawl.Workers(_outcome, count=8, batch_size=_NO_LIMIT)
+    workers = worker_crawl.Workers(_outcome, count=8)
     state = worker_crawl.crawl_by_workers(store.drop("s"), D.wiki_seeds(store), workdir(spark, "worker-crawl"), workers, _SLOW)
     return state.acknowledged().select("url", "epoch", "status")
