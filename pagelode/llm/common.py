@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -84,7 +85,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", chars: int =
     for batch in batches:
         sizes = batch.column(column).fill_null("").cast(pa.large_binary())
         start, held = 0, 0
-        for i, size in enumerate(pa.compute.binary_length(sizes).to_pylist()):
+        for i, size in enumerate(pc.binary_length(sizes).to_pylist()):
             if held and held + size > chars:
                 yield batch.slice(start, i - start)
                 start, held = i, 0

@@ -11,7 +11,8 @@ it ends when no two sequences have such a step or their number is at its lower b
 leaves underfull is dealt anew with the leftovers of other groups, as long as that removes a
 sequence or until one group is left. Rows are a few numbers per piece; token ids never move.
 
-Null text: an empty text, one end token. Null or repeated doc_ids: pieces are rows, not keys; each
+Null text: an empty text, one end token. Texts of any length are encoded whole. Equal lengths (ties) are placed in the order of
+their rows. Null or repeated doc_ids: pieces are rows, not keys; each
 is placed once. Empty table: no rows. Other columns are ignored.
 """
 

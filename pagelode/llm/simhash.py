@@ -15,7 +15,7 @@ fewer links than members, and near linear work where a group is dense. Anchors w
 is equal if at most three bits differ). Components of all links come from alternating star steps
 on stored tables.
 
-Null text: no words, fingerprint zero. Null doc_id: has a fingerprint and takes part; the smallest
+Null text: no words, fingerprint zero. Texts of any length are hashed whole. Null doc_id: has a fingerprint and takes part; the smallest
 doc_id ignores nulls. Repeated rows: one fingerprint, same component. Empty table: no rows. Other
 columns are ignored.
 """

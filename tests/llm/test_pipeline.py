@@ -54,4 +54,5 @@ def test_stages_on_hard_texts(spark, sf_dir, hard_docs, no_docs):
         assert out.columns == hard_docs.columns, name
         assert set(out.collect()) <= set(hard_docs.collect()), name
         assert stage(spark, no_docs, sf_dir).count() == 0, name
+    check_packing(pipeline.pack(spark, hard_docs, sf_dir).collect(), [(r.doc_id, r.text) for r in hard_docs.collect()])
     assert pipeline.pack(spark, no_docs, sf_dir).count() == 0
