@@ -5,8 +5,11 @@ the shared folder and reads it back as the next one's docs, so a lost executor c
 most. All but the last return the columns of docs.
 
 Nulls, empty texts, repeated rows and empty tables are as the operators define them: a null or
-empty text is scored by the first stage, is `und` and goes in the second. With no labels every
-document has the same score and stays.
+empty text is scored by the first stage, is `und` and goes in the second. Texts of any length go through
+whole; one of more than a sequence's tokens is cut by the last stage alone. A score or share at its
+threshold (ties) stays, containment at its threshold goes; of equal rows near each other the one with the smallest
+id stays. Columns of docs may have any names: what a stage adds gets a free one, and all but the last return the
+columns of docs. With no labels every document has the same score and stays.
 """
 
 from __future__ import annotations
