@@ -20,7 +20,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from pagelode.functions import urls  # noqa: E402
 from pagelode.operators import frontier  # noqa: E402
 from pagelode.options import CrawlOptions  # noqa: E402
-from pagelode.plans import crawl, search  # noqa: E402
+from pagelode.plans import crawl, search, segment_search, segments  # noqa: E402
 from pagelode.registry import QUERIES, derived as D, load  # noqa: E402
 from pagelode.registry import frontier_queries, url_queries  # noqa: E402
 from pagelode.session import local_session, through_table, workdir  # noqa: E402
@@ -44,6 +44,10 @@ def main() -> None:
     asked = through_table(D.search_queries(index.vocab, 20).where("query_id >= 10"), workdir(spark, "queries"))
     one = through_table(asked.where("query_id = 14"), workdir(spark, "query"))
     wiki = crawl.write_store(D.wiki_store(spark, SF_DIR), workdir(spark, "store"))
+    live = segments.upsert(segments.create(spark, workdir(spark, "segments")), D.search_docs(spark, SF_DIR))
+    # Some one in a hundred documents, written again with another text.
+    fresh = through_table(D.search_docs(spark, SF_DIR).where(F.pmod(F.xxhash64("url"), F.lit(100)) == 0).withColumn(
+        "content", F.concat("content", F.lit(" again"))), workdir(spark, "fresh"))
     n_asked = asked.count()
     n_ruled = url_queries.ruled(spark, SF_DIR).count()
     ruled = through_table(url_queries.ruled(spark, SF_DIR), workdir(spark, "ruled"))
@@ -81,6 +85,9 @@ def main() -> None:
         "build_index": lambda: D.search_index(spark, SF_DIR),
         "search_100": lambda: drain(search.search(index, asked)),
         "search_1": lambda: drain(search.search(index, one)),
+        "segment_search_100": lambda: drain(segment_search.search(live, asked)),
+        "segment_search_1": lambda: drain(segment_search.search(live, one)),
+        "segment_upsert": lambda: segments.upsert(live, fresh),
         "crawl_bfs": bfs,
         "stream_discovered": registered("stream_discovered"),
         "stream_domain_counts": registered("stream_domain_counts"),
@@ -101,6 +108,7 @@ def main() -> None:
         "admission_rows_per_sec": round(n_candidates / seconds["admission"]),
         "search_ms_per_query_of_100": round(1000 * seconds["search_100"] / n_asked, 1),
         "search_ms_alone": round(1000 * seconds["search_1"], 1),
+        "segment_search_ms_alone": round(1000 * seconds["segment_search_1"], 1),
         "crawl_sec_per_level": round(seconds["crawl_bfs"] / rounds["n"], 3),
     }
     print(json.dumps({
