@@ -102,7 +102,8 @@ def audit(a: DataFrame, b: DataFrame, range_bytes: int = RANGE_BYTES, fanout: in
     trees = [tree(x, range_bytes, fanout, levels) for x in (a, b)]
     height = max(map(len, trees))
     trees = [tree(x, range_bytes, fanout, height - 1) if len(t) < height else t for x, t in zip((a, b), trees)]
-    found = _differing(trees[0][-1], trees[1][-1], ["file", "node"])
+    # A few rows per level, stored, so that no plan holds those of the levels above.
+    found = stored(_differing(trees[0][-1], trees[1][-1], ["file", "node"]), "differing")
     roots = found.select("file", F.col("_a").alias("root_a"), F.col("_b").alias("root_b"))
     for level in range(height - 2, -1, -1):
         # Only children of nodes that differ are looked at.
@@ -110,12 +111,12 @@ def audit(a: DataFrame, b: DataFrame, range_bytes: int = RANGE_BYTES, fanout: in
         sides = [
             t[level].withColumn("_parent", F.floor(F.col("node") / fanout).cast("long")).join(parents, ["file", "_parent"], "left_semi")
             for t in trees]
-        found = _differing(*sides, ["file", "node"])
+        found = stored(_differing(*sides, ["file", "node"]), "differing")
     # Neighbouring ranges that differ are one run, numbered by the place of its first range.
     runs = found.select("file", "node", (F.col("node") - F.row_number().over(W.partitionBy("file").orderBy("node"))).alias("run"))
-    left, right = (_aligned(x, runs, range_bytes) for x in (a, b))
+    left, right = (stored(_aligned(x, runs, range_bytes), "aligned") for x in (a, b))
     key = ["file", "run", "digest", "length", "_k"]
-    pairs = left.select(*key, F.col("offset").alias("_in_a")).join(right.select(*key, F.col("offset").alias("_in_b")), key)
+    pairs = stored(left.select(*key, F.col("offset").alias("_in_a")).join(right.select(*key, F.col("offset").alias("_in_b")), key), "pairs")
     faults = [_unpaired(left, pairs, "_in_a", "_in_a", "a"), _unpaired(right, pairs, "_in_b", "_in_a", "b")]
     status = F.when(F.col("digest_b").isNull(), "missing").when(F.col("digest_a").isNull(), "extra").otherwise("changed")
     return (
