@@ -40,7 +40,7 @@ FAMILY = 100
 LONGEST_START = 5
 TIE_CHARS = 100
 # Rows of one task where a window needs them in order.
-BLOCK = 4096
+BLOCK = 20_000
 # Arcs that one task ranks by walking.
 WALKED = 50_000
 # conv_ids of one text that is hashed at once.
