@@ -5,22 +5,31 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from pagelode.options import CrawlOptions
 
+# Keys of the state of URLs. A bucket that has an event is read and written as a whole; so there should be some hundred
+# or thousand URLs in one, whatever the number of events.
+BUCKETS = 4096
 OUTPUT = "url string, at_ms long, status string, worker_id string"
-_STATE = "status string, worker_id string, reserved_ms long"
+_STATE = "url array<string>, status array<string>, worker_id array<string>, reserved_ms array<long>"
+
+
+def url_bucket(buckets: int = BUCKETS) -> Column:
+    return F.pmod(F.xxhash64("url"), F.lit(buckets)).alias("bucket")
 
 
 class LeaseTracker(StatefulProcessor):
     """queued -> inflight -> visited per URL; an unacknowledged lease runs out to queued.
 
-    Events of a key are taken in time order within a micro-batch, whose size the source's
-    trigger options bound. A lease that ran out before the next event is seen at that event,
-    otherwise by the timer, so the result does not depend on how events are batched.
+    A key is a bucket of URLs and its state the rows of those URLs, so that a call, its trips to the state
+    store and its frames serve many URLs. Events of a URL are taken in time order within a
+    micro-batch, whose size the source's trigger options bound. A lease that ran out before the next event is seen
+    at that event, otherwise by the bucket's timer, which is set to its earliest end, so the result does not depend on
+    how events are batched.
     """
 
     def __init__(self, lease_ms: int):
@@ -28,67 +37,82 @@ class LeaseTracker(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.lease = handle.getValueState("lease", _STATE)
+        self.leases = handle.getValueState("leases", _STATE)
+
+    def _held(self) -> dict:
+        kept = self.leases.get()
+        return {} if kept is None else {url: rest for url, *rest in zip(*kept)}
+
+    def _keep(self, held: dict, before: int | None) -> None:
+        """Store the bucket and move its timer from the earliest end `before` to the one now."""
+        if held:
+            self.leases.update((list(held), *map(list, zip(*held.values()))))
+        after = self._first_end(held)
+        if before != after:
+            if before is not None:
+                self.handle.deleteTimer(before)
+            if after is not None:
+                self.handle.registerTimer(after)
+
+    def _first_end(self, held: dict) -> int | None:
+        since = [s for status, _, s in held.values() if status == "inflight"]
+        return min(since) + self.lease_ms if since else None
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         events = pd.concat(list(rows)).sort_values(["at_ms", "event_id"])
-        status, worker, since = self.lease.get() if self.lease.exists() else (None, None, None)
-        before = since if status == "inflight" else None
-        out = []
-        for at, action, who in zip(events["at_ms"], events["action"], events["worker_id"]):
+        held = self._held()
+        before, out = self._first_end(held), []
+        for url, at, action, who in zip(*[events[c].tolist() for c in ("url", "at_ms", "action", "worker_id")]):
+            status, worker, since = held.get(url, (None, None, None))
             if status == "inflight" and at >= since + self.lease_ms:
-                out.append((since + self.lease_ms, "queued", worker))
-                status, worker, since = "queued", None, None
+                out.append((url, since + self.lease_ms, "queued", worker))
+                status, worker, since = held[url] = ("queued", None, None)
             if action == "enqueue" and status is None:
-                status = "queued"
+                held[url] = ("queued", None, None)
             elif action == "reserve" and status == "queued":
-                status, worker, since = "inflight", who, at
+                held[url] = ("inflight", who, at)
             elif action == "acknowledge" and status != "visited":
-                status, worker, since = "visited", who, None
+                held[url] = ("visited", who, None)
             else:
                 continue
-            out.append((at, status, who))
-        if status is not None:
-            self.lease.update((status, worker, None if since is None else int(since)))
-        after = since if status == "inflight" else None
-        if before != after:
-            if before is not None:
-                self.handle.deleteTimer(int(before) + self.lease_ms)
-            if after is not None:
-                self.handle.registerTimer(int(after) + self.lease_ms)
-        yield self._frame(key, out)
+            out.append((url, at, held[url][0], who))
+        self._keep(held, before)
+        yield self._frame(out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        status, worker, since = self.lease.get()
+        """All leases of the bucket that ended before the watermark: a timer set now would be seen a micro-batch later."""
+        held, ended = self._held(), timerValues.getCurrentWatermarkInMs() - self.lease_ms
         out = []
-        if status == "inflight":
-            out.append((since + self.lease_ms, "queued", worker))
-            self.lease.update(("queued", None, None))
-        yield self._frame(key, out)
+        for url, (status, worker, since) in held.items():
+            if status == "inflight" and since < ended:
+                out.append((url, since + self.lease_ms, "queued", worker))
+                held[url] = ("queued", None, None)
+        # The timer that rang is deleted by its caller.
+        self._keep(held, None)
+        yield self._frame(out)
 
     def close(self) -> None:
         pass
 
     @staticmethod
-    def _frame(key, out) -> pd.DataFrame:
+    def _frame(out) -> pd.DataFrame:
+        urls, times, statuses, workers = zip(*out) if out else ((), (), (), ())
         return pd.DataFrame({
-            "url": pd.Series([key[0]] * len(out), dtype=object),
-            "at_ms": pd.Series([int(o[0]) for o in out], dtype="int64"),
-            "status": pd.Series([o[1] for o in out], dtype=object),
-            "worker_id": pd.Series([o[2] for o in out], dtype=object),
-        })
+            "url": pd.Series(urls, dtype=object), "at_ms": pd.Series(times, dtype="int64"),
+            "status": pd.Series(statuses, dtype=object), "worker_id": pd.Series(workers, dtype=object)})
 
 
 def stream_leases(events: DataFrame, lease_seconds: int = CrawlOptions.lease_seconds,
-                  delay: str = "1 minute") -> DataFrame:
+                  delay: str = "1 minute", buckets: int = BUCKETS) -> DataFrame:
     """State changes per URL. Expects `url, ts, event_id, action, worker_id`; the session needs
-    the RocksDB state store. Events may come out of order by `delay`; timers wait for it."""
+    the RocksDB state store. Events may come out of order by `delay`; timers wait for it. State is kept in
+    `buckets` of URLs, which a checkpoint is bound to."""
     timed = (
         events.where(F.col("action").isin("enqueue", "reserve", "acknowledge"))
         .withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", delay)
         .withColumn("at_ms", F.unix_millis("ts"))
         .select("url", "ts", "at_ms", "event_id", "action", F.col("worker_id").cast("string").alias("worker_id"))
     )
-    return timed.groupBy("url").transformWithStateInPandas(
+    return timed.groupBy(url_bucket(buckets)).transformWithStateInPandas(
         statefulProcessor=LeaseTracker(lease_seconds * 1000), outputStructType=OUTPUT,
         outputMode="Append", timeMode="EventTime")

@@ -1,8 +1,11 @@
+import glob
 import random
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
 
+from pagelode import schemas
 from pagelode.operators import metrics
 from pagelode.session import workdir
 from pagelode.streaming import leases, streams
@@ -77,6 +80,27 @@ def test_index_stream_last_write_wins(spark):
     assert streams.read_index_quarantine(spark, out, "url string, at long").count() == 1
 
 
+@pytest.mark.parametrize("parts", [1, 3])
+def test_a_table_is_a_file_or_a_folder(spark, parts):
+    from __spark_entry__ import queries
+
+    home = workdir(spark, "tables")
+    rows = [(i, f"https://en.wikipedia.org/wiki/P{i}", f"<title>T{i}</title><a href='/wiki/Mountain_{'abcde'[i % 5] * 3}'>x</a>") for i in range(30)]
+    made = spark.createDataFrame(rows, schemas.PAGES).repartition(parts)
+    if parts > 1:
+        made.write.parquet(f"{home}/pages.parquet")
+    else:
+        made.coalesce(1).write.parquet(f"{home}/written")
+        [file] = glob.glob(f"{home}/written/*.parquet")
+        shutil.copy(file, f"{home}/pages.parquet")
+    stream = streams.file_stream(spark, home, "pages.parquet", schemas.PAGES, 1)
+    table, _ = drain(spark, stream.select("page_id"))
+    assert sorted(r.page_id for r in table.collect()) == list(range(30))
+    assert queries()["stream_index_upsert"](spark, home).count() == 30
+    got = queries()["stream_url_batches"](spark, home).collect()
+    assert {(r.url, r.n) for r in got} == {(f"https://en.wikipedia.org/wiki/Mountain_{c * 3}", 6) for c in "abcde"}
+
+
 def test_a_micro_batch_is_made_once(spark):
     rows = [(f"http://a.edu/{i % 30}", i) for i in range(90)]
     path = files(spark, rows, "url string, at long", 3)
