@@ -113,6 +113,6 @@ def stream_leases(events: DataFrame, lease_seconds: int = CrawlOptions.lease_sec
         .withColumn("at_ms", F.unix_millis("ts"))
         .select("url", "ts", "at_ms", "event_id", "action", F.col("worker_id").cast("string").alias("worker_id"))
     )
-    return timed.groupBy(url_bucket(buckets)).transformWithStateInPandas(
+    return timed.withColumn("bucket", url_bucket(buckets)).groupBy("bucket").transformWithStateInPandas(
         statefulProcessor=LeaseTracker(lease_seconds * 1000), outputStructType=OUTPUT,
         outputMode="Append", timeMode="EventTime")

@@ -213,3 +213,17 @@ def test_gauges_equal_the_batch_form(spark, rocks):
     same(400)
     streams.compact_gauges(spark, f"{out}/t")
     same(400)
+
+
+def _lease_files(spark):
+    rows = [(i, i // 3, ("enqueue", "reserve", "acknowledge")[i % 3], f"u{i // 3}", f"w{i // 3}") for i in range(30)]
+    path = files(spark, rows, "event_id long, s long, action string, url string, worker_id string", 1,
+                 lambda df: df.withColumn("ts", F.timestamp_seconds("s")).drop("s"))
+    return streams.file_stream(spark, path, "*.parquet", "event_id long, action string, url string, worker_id string, ts timestamp")
+
+
+def test_the_key_of_leases_is_a_column(spark, rocks):
+    """As an expression of groupBy it could not be resolved."""
+    table, _ = drain(spark, leases.stream_leases(_lease_files(spark), 60, buckets=2), label="leases")
+    assert sorted((r.url, r.status) for r in table.collect()) == sorted(
+        (f"u{i}", s) for i in range(10) for s in ("queued", "inflight", "visited"))
