@@ -216,7 +216,7 @@ def test_gauges_equal_the_batch_form(spark, rocks):
 
 
 def _lease_files(spark):
-    rows = [(i, i // 3, ("enqueue", "reserve", "acknowledge")[i % 3], f"u{i // 3}", f"w{i // 3}") for i in range(30)]
+    rows = [(i, 1 + i // 3, ("enqueue", "reserve", "acknowledge")[i % 3], f"u{i // 3}", f"w{i // 3}") for i in range(30)]
     path = files(spark, rows, "event_id long, s long, action string, url string, worker_id string", 1,
                  lambda df: df.withColumn("ts", F.timestamp_seconds("s")).drop("s"))
     return streams.file_stream(spark, path, "*.parquet", "event_id long, action string, url string, worker_id string, ts timestamp")
@@ -227,3 +227,10 @@ def test_the_key_of_leases_is_a_column(spark, rocks):
     table, _ = drain(spark, leases.stream_leases(_lease_files(spark), 60, buckets=2), label="leases")
     assert sorted((r.url, r.status) for r in table.collect()) == sorted(
         (f"u{i}", s) for i in range(10) for s in ("queued", "inflight", "visited"))
+
+
+def test_the_key_of_gauges_is_a_column(spark, rocks):
+    out = workdir(spark, "gauges")
+    streams.stream_gauges(_lease_files(spark), f"{out}/t", f"{out}/c", 5, buckets=2).awaitTermination()
+    last = streams.read_gauges(spark, f"{out}/t", 5).orderBy(F.desc("tick_start")).first()
+    assert [v for k, v in last.asDict().items() if "visited" in k] == [10]
