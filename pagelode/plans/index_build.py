@@ -57,9 +57,10 @@ def build_index(docs: DataFrame, path: str, buckets: int | None = None) -> TextI
     ordered.observe(seen, F.sum(size.cast("long")).alias("bytes")) \
         .withColumn("doc", F.monotonically_increasing_id()).withColumn("shard", doc_shard(F.col("doc"))) \
         .write.mode("overwrite").partitionBy("shard").parquet(f"{path}/docs")
-    buckets = buckets or min(max(LEAST_BUCKETS, -(-(seen.get["bytes"] or 0) // BUCKET_BYTES)), MOST_BUCKETS)
+    n_bytes = seen.get["bytes"] or 0
+    buckets = buckets or min(max(LEAST_BUCKETS, -(-n_bytes // BUCKET_BYTES)), MOST_BUCKETS)
 
-    rows = ranking.postings(spark.read.schema(_DOCS).parquet(f"{path}/docs"), "doc")
+    rows = ranking.postings(spark.read.schema(_DOCS).parquet(f"{path}/docs"), "doc", n_bytes=n_bytes)
     (
         rows.withColumn("term_bucket", ranking.bucket_of(F.col("term"), buckets))
         .hint("rebalance", "term_bucket")

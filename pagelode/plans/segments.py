@@ -207,7 +207,7 @@ def _write_sums(index: SegmentIndex, number: int, vocab: DataFrame, stats: DataF
 def _append(index: SegmentIndex, rows: DataFrame, gone: DataFrame | None, block_bits: int) -> SegmentIndex:
     number, spark = _next_number(index), index.spark
     docs, n_docs, n_bytes = _write_docs(index, rows, number)
-    posted = _write_postings(index, ranking.postings(docs, "doc"), number, n_bytes, block_bits)
+    posted = _write_postings(index, ranking.postings(docs, "doc", n_bytes=n_bytes), number, n_bytes, block_bits)
     vocab = posted.select("field", "term", F.col("n").alias("df"), "total_tf")
     stats = posted.select("field", F.col("n_opens").alias("n_docs"), F.col("total_tf").alias("n_tokens"))
     n_dead = 0

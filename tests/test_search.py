@@ -186,3 +186,17 @@ def test_long_terms_are_found(spark):
     for term, wanted in ((long, {long, long + "d"}), ("x" * 99, {"x" * 98}), (long + "de", {long, long + "d", long + "def"})):
         got = ranking.few_terms(spark.createDataFrame([(term,)], "qterm string"), vocab).collect()
         assert {r.term for r in got} == wanted
+
+
+def test_tasks_that_count_tokens_follow_the_text(spark, monkeypatch):
+    """Parts of a bounded size, whatever the session's number of partitions; repeated and null keys are put together."""
+    monkeypatch.setattr(ranking, "PART_BYTES", 1000)
+    rows = [(i % 90 if i % 90 else None, "a b a", f"w{i % 7} common {'x' * 50}") for i in range(180)]
+    docs = spark.createDataFrame(rows, "url long, title string, content string")
+    posted = ranking.postings(docs)
+    assert ranking.text_bytes(docs) == sum(len(t) + len(c) for _, t, c in rows)
+    assert posted.rdd.getNumPartitions() == -(-ranking.text_bytes(docs) // 1000) > 10
+    assert ranking.postings(docs, n_bytes=2500).rdd.getNumPartitions() == 3
+    got = {(r.url, r.field, r.term): (r.dl, r.tf, r.opens) for r in posted.collect()}
+    assert len(got) == posted.count() and got[(None, "title", "a")] == (3, 4, True) and got[(None, "title", "b")] == (3, 2, False)
+    assert ranking.postings(docs.limit(0)).count() == 0
