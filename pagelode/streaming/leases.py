@@ -55,16 +55,18 @@ class LeaseTracker(StatefulProcessor):
                 self.handle.registerTimer(after)
 
     def _first_end(self, held: dict) -> int | None:
-        since = [s for status, _, s in held.values() if status == "inflight"]
+        since = [s for status, _, s in held.values() if status == "inflight" and s is not None]
         return min(since) + self.lease_ms if since else None
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         events = pd.concat(list(rows)).sort_values(["at_ms", "event_id"])
         held = self._held()
         before, out = self._first_end(held), []
-        for url, at, action, who in zip(*[events[c].tolist() for c in ("url", "at_ms", "action", "worker_id")]):
+        # One null time makes floats of a column. Events without a time come last, and their leases do not end.
+        times = [None if pd.isna(at) else int(at) for at in events["at_ms"].tolist()]
+        for url, at, action, who in zip(events["url"].tolist(), times, events["action"].tolist(), events["worker_id"].tolist()):
             status, worker, since = held.get(url, (None, None, None))
-            if status == "inflight" and at >= since + self.lease_ms:
+            if status == "inflight" and None not in (at, since) and at >= since + self.lease_ms:
                 out.append((url, since + self.lease_ms, "queued", worker))
                 status, worker, since = held[url] = ("queued", None, None)
             if action == "enqueue" and status is None:
@@ -84,7 +86,7 @@ class LeaseTracker(StatefulProcessor):
         held, ended = self._held(), timerValues.getCurrentWatermarkInMs() - self.lease_ms
         out = []
         for url, (status, worker, since) in held.items():
-            if status == "inflight" and since < ended:
+            if status == "inflight" and since is not None and since < ended:
                 out.append((url, since + self.lease_ms, "queued", worker))
                 held[url] = ("queued", None, None)
         # The timer that rang is deleted by its caller.
@@ -98,7 +100,7 @@ class LeaseTracker(StatefulProcessor):
     def _frame(out) -> pd.DataFrame:
         urls, times, statuses, workers = zip(*out) if out else ((), (), (), ())
         return pd.DataFrame({
-            "url": pd.Series(urls, dtype=object), "at_ms": pd.Series(times, dtype="int64"),
+            "url": pd.Series(urls, dtype=object), "at_ms": pd.Series(times, dtype="Int64"),
             "status": pd.Series(statuses, dtype=object), "worker_id": pd.Series(workers, dtype=object)})
 
 

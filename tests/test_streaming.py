@@ -229,6 +229,16 @@ def test_the_key_of_leases_is_a_column(spark, rocks):
         (f"u{i}", s) for i in range(10) for s in ("queued", "inflight", "visited"))
 
 
+def test_an_event_without_a_time_does_not_stop_the_leases(spark, rocks):
+    rows = [(0, 100, "enqueue", "u", "w"), (1, 110, "reserve", "u", "w"), (2, None, "acknowledge", "u", "w"), (3, 120, "enqueue", "v", "w"),
+            (4, None, "reserve", "v", "w")]
+    path = files(spark, rows, ACTIONS, 1, lambda df: df.withColumn("ts", F.timestamp_seconds("s")).drop("s"))
+    stream = streams.file_stream(spark, path, "*.parquet", "event_id long, action string, url string, worker_id string, ts timestamp")
+    table, _ = drain(spark, leases.stream_leases(stream, 300, buckets=1), label="leases")
+    assert {(r.url, r.at_ms, r.status) for r in table.collect()} == {
+        ("u", 100_000, "queued"), ("u", 110_000, "inflight"), ("u", None, "visited"), ("v", 120_000, "queued"), ("v", None, "inflight")}
+
+
 def test_the_key_of_gauges_is_a_column(spark, rocks):
     out = workdir(spark, "gauges")
     streams.stream_gauges(_lease_files(spark), f"{out}/t", f"{out}/c", 5, buckets=2).awaitTermination()
