@@ -244,3 +244,14 @@ def test_the_key_of_gauges_is_a_column(spark, rocks):
     streams.stream_gauges(_lease_files(spark), f"{out}/t", f"{out}/c", 5, buckets=2).awaitTermination()
     last = streams.read_gauges(spark, f"{out}/t", 5).orderBy(F.desc("tick_start")).first()
     assert [v for k, v in last.asDict().items() if "visited" in k] == [10]
+
+
+def test_links_of_a_folder_of_pages_are_batched(spark):
+    from __spark_entry__ import queries
+
+    home = workdir(spark, "tables")
+    rows = [(i, f"https://www.example.org/wiki/P{i}", f"<title>T{i}</title><a href='/wiki/Mountain_{'abcde'[i % 5] * 3}'>x</a>") for i in range(30)]
+    spark.createDataFrame(rows, schemas.PAGES).repartition(3).write.parquet(f"{home}/pages.parquet")
+    assert queries()["stream_index_upsert"](spark, home).count() == 30
+    got = queries()["stream_url_batches"](spark, home).collect()
+    assert {(r.url, r.n) for r in got} == {(f"https://www.example.org/wiki/Mountain_{c * 3}", 6) for c in "abcde"}
