@@ -18,9 +18,12 @@ One writer at a time.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, replace
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,7 +34,10 @@ BLOCK_BITS = 12
 SHARDS = 1024
 LEAST_BUCKETS, MOST_BUCKETS = 16, 1024
 BUCKET_BYTES = 32 * 2**20
-SLICE_BYTES = 128 * 2**20
+# Text per slice of a bucket: one task sorts and writes its postings.
+SLICE_BYTES = 16 * 2**20
+# Buckets of a small segment are put together up to this much text per task.
+LEAST_BYTES = 4 * 2**20
 # So many segments of one size class are merged; a class is so many times larger than the one before.
 FAN_IN, GROWTH = 4, 8
 # A segment with a larger share of dead documents is merged too.
@@ -175,18 +181,54 @@ def _layout(n_bytes: int) -> tuple[int, int]:
     return buckets, max(1, -(-n_bytes // (buckets * SLICE_BYTES)))
 
 
+def _folded(batches: Iterator[pa.RecordBatch], block_bits: int) -> Iterator[pa.RecordBatch]:
+    """Rows in the order of term, field and doc as one row per block; a batch holds back its last block, which
+    the next one may go on with."""
+    held = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = pa.Table.from_batches([*held, batch]).combine_chunks()
+        block = rows.column("doc").to_numpy() >> block_bits
+        new = np.append(True, block[1:] != block[:-1])
+        for name in ("term", "field"):
+            column = rows.column(name)
+            new[1:] |= pc.not_equal(column.slice(1), column.slice(0, rows.num_rows - 1)).to_numpy()
+        starts = np.flatnonzero(new)
+        if len(starts) > 1:
+            yield _blocks(rows.slice(0, starts[-1]), starts[:-1], block_bits)
+        held = rows.slice(starts[-1]).to_batches()
+    if held:
+        yield _blocks(pa.Table.from_batches(held), np.zeros(1, dtype=int), block_bits)
+
+
+def _blocks(rows: pa.Table, starts: np.ndarray, block_bits: int) -> pa.RecordBatch:
+    """Blocks of postings; `starts` has the row that each begins with."""
+    field, term, doc, tf, dl, opens = (rows.column(c).combine_chunks() for c in ("field", "term", "doc", "tf", "dl", "opens"))
+    first, ends, counts = pa.array(starts), np.append(starts, rows.num_rows).astype(np.int32), tf.to_numpy()
+    return pa.RecordBatch.from_pydict({
+        "field": field.take(first), "term": term.take(first), "block": pa.array(doc.to_numpy()[starts] >> block_bits),
+        "n": pa.array(np.diff(ends).astype(np.int64)), "total_tf": pa.array(np.add.reduceat(counts, starts)),
+        "max_tf": pa.array(np.maximum.reduceat(counts, starts)), "min_dl": pa.array(np.minimum.reduceat(dl.to_numpy(), starts)),
+        "n_opens": pa.array(np.add.reduceat(opens.cast("int64").to_numpy(), starts)),
+        "hits": pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays([doc, tf, dl], ["doc", "tf", "dl"]))})
+
+
 def _write_postings(index: SegmentIndex, hits: DataFrame, number: int, n_bytes: int, block_bits: int) -> DataFrame:
     """Rows (doc, field, dl, term, tf, opens) as blocks. One shuffle, in which a bucket has several slices
-    of its blocks, so that a frequent term is no single task."""
+    of its blocks, so that a frequent term is no single task. A task has one slice, whose text is bounded, or
+    neighbouring buckets of a small segment; it sorts its rows once and folds them into blocks as they come."""
     buckets, slices = _layout(n_bytes)
     path = f"{index.path}/postings/segment={number}"
-    hits.withColumn("bucket", ranking.bucket_of(F.col("term"), buckets)) \
-        .withColumn("block", F.shiftright("doc", block_bits)).withColumn("_slice", F.pmod("block", F.lit(slices))) \
-        .repartition("bucket", "_slice").groupBy("bucket", "_slice", "field", "term", "block").agg(
-            F.count(F.lit(1)).alias("n"), F.sum("tf").alias("total_tf"), F.max("tf").alias("max_tf"), F.min("dl").alias("min_dl"),
-            F.count_if("opens").alias("n_opens"),
-            F.collect_list(F.struct("doc", "tf", "dl")).alias("hits")).drop("_slice") \
-        .sortWithinPartitions("bucket", "term", "field", "block") \
+    parts = min(buckets * slices, max(1, -(-n_bytes // LEAST_BYTES)))
+    bucket = ranking.bucket_of(F.col("term"), buckets)
+    # By a hash, since numbers given out by different tasks are far apart and end alike.
+    place = bucket * slices + ranking.bucket_of(F.shiftright("doc", block_bits), slices)
+    hits.select("field", "term", "doc", "tf", "dl", "opens") \
+        .repartitionById(parts, F.floor(place * parts / (buckets * slices)).cast("int")) \
+        .sortWithinPartitions("term", "field", "doc") \
+        .mapInArrow(lambda batches: _folded(batches, block_bits), POSTINGS.removesuffix(", segment int, bucket int")) \
+        .withColumn("bucket", bucket).sortWithinPartitions("bucket", "term", "field", "block") \
         .write.mode("overwrite").partitionBy("bucket").parquet(path)
     return index.spark.read.schema(POSTINGS.replace(", segment int", "")).parquet(path)
 

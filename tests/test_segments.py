@@ -1,5 +1,7 @@
 import random
+from itertools import groupby
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -231,3 +233,30 @@ def test_ranges_cover_the_prefixes():
         spans = vocabulary.ranges(wanted, most)
         assert len(spans) <= most and all(any(a <= w <= b for a, b in spans) for w in wanted)
     assert vocabulary.ranges([], 3) == [] and ("xyzä", "xyzä") in vocabulary.ranges(wanted, 10)
+
+
+def test_a_frequent_term_is_written_by_several_tasks(spark):
+    """Also if every document's number was given out by another task."""
+    index = segments.create(spark, workdir(spark, "segments"))
+    hits = spark.range(64).select((F.col("id") * 2**33).alias("doc"), F.lit("content").alias("field"), F.lit(3).alias("dl"),
+                                  F.lit("graph").alias("term"), F.lit(2).cast("long").alias("tf"), F.lit(True).alias("opens"))
+    posted = segments._write_postings(index, hits, 0, 2**30, segments.BLOCK_BITS)
+    assert posted.select(F.input_file_name()).distinct().count() == 2
+    assert posted.agg(F.count("block"), F.sum("n"), F.sum("total_tf"), F.sum("n_opens")).first() == (64, 64, 128, 64)
+
+
+@pytest.mark.parametrize("size", [1, 2, 7, 1000])
+def test_blocks_go_on_from_batch_to_batch(size):
+    rng = random.Random(size)
+    keys = sorted({(rng.choice(["a", "b", "é"]), rng.choice(["content", "title"]), rng.randrange(40) + rng.choice([0, 2**33])) for _ in range(90)})
+    rows = [{"field": f, "term": t, "doc": d, "tf": rng.randint(1, 9), "dl": rng.randint(1, 99), "opens": rng.random() < 0.3} for t, f, d in keys]
+    schema = pa.schema([("field", "string"), ("term", "string"), ("doc", "int64"), ("tf", "int64"), ("dl", "int32"), ("opens", "bool")])
+    batches = [pa.RecordBatch.from_pylist(rows[i:i + size], schema) for i in range(0, len(rows), size)]
+    got = [r for b in segments._folded(iter([pa.RecordBatch.from_pylist([], schema), *batches]), 3) for r in b.to_pylist()]
+    wanted = []
+    for (term, field, block), group in groupby(rows, lambda r: (r["term"], r["field"], r["doc"] >> 3)):
+        group = list(group)
+        wanted.append({
+            "field": field, "term": term, "block": block, "n": len(group), "total_tf": sum(r["tf"] for r in group), "max_tf": max(r["tf"] for r in group),
+            "min_dl": min(r["dl"] for r in group), "n_opens": sum(r["opens"] for r in group), "hits": [{c: r[c] for c in ("doc", "tf", "dl")} for r in group]})
+    assert got == wanted
