@@ -23,6 +23,26 @@ def is_small(rows: DataFrame, bound: int = SMALL_ROWS) -> bool:
     return rows.limit(bound + 1).count() <= bound
 
 
+def _session_parts(rows: DataFrame) -> int:
+    return int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def dealt(rows: DataFrame, amount: int, share: int, *keys: str, always: bool = False) -> DataFrame:
+    """Rows dealt out by their keys in as many parts as `amount` (rows or bytes) needs at `share` each, so that a
+    task of the join or sum by these keys that follows does not grow with the table. Where the session has that many
+    partitions, nothing is done, unless it is to be `always`: the exchange of what follows is fine."""
+    parts = -(-amount // share)
+    if parts > _session_parts(rows):
+        return rows.repartition(parts, *keys)
+    return rows.repartition(*keys) if always else rows
+
+
+def ranged(rows: DataFrame, amount: int, share: int, *keys: str) -> DataFrame:
+    """Rows in ranges of their keys, in as many as the session has partitions, or more if `amount` needs them."""
+    parts = -(-amount // share)
+    return rows.repartitionByRange(parts, *keys) if parts > _session_parts(rows) else rows.repartitionByRange(*keys)
+
+
 def hot_pieces(counts: DataFrame, key: str, count: str, hot_rows: int) -> DataFrame:
     """Keys with more than `hot_rows` rows and the number of pieces to cut each into.
 

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagelode.operators import ranking
+from pagelode.operators import ranking, spread
 
 # Text per bucket of terms; postings have about the size of their text.
 BUCKET_BYTES = 32 * 2**20
@@ -39,9 +39,10 @@ def doc_shard(doc: Column) -> Column:
 
 
 def build_index(docs: DataFrame, path: str, buckets: int | None = None) -> TextIndex:
-    """Write the index of `docs` (one row per URL; see `sources.index.upsert`).
+    """Write the index of `docs` (one row per URL; see `sources.index.upsert`). They are read three times: for the
+    bytes of their text, for the ranges of URLs, and to be written.
 
-    Documents are stored in URL order and numbered on the way: postings carry a number instead
+    Documents are stored in URL order, `ranking.DOC_BYTES` of text per task at most, and numbered on the way: postings carry a number instead
     of a URL, equal scores are told apart by it as they would be by the URL, and a search reads
     the text of its results from the shards that hold them. Postings are partitioned by a hash of
     the term and sorted by term inside, so a search reads the buckets of its terms alone; the
@@ -51,13 +52,10 @@ def build_index(docs: DataFrame, path: str, buckets: int | None = None) -> TextI
     stored postings, so documents are cut into tokens once.
     """
     spark = docs.sparkSession
-    seen = Observation()
-    ordered = docs.select("url", "title", "content").repartitionByRange("url").sortWithinPartitions("url")
-    size = F.coalesce(F.octet_length("title"), F.lit(0)) + F.coalesce(F.octet_length("content"), F.lit(0))
-    ordered.observe(seen, F.sum(size.cast("long")).alias("bytes")) \
-        .withColumn("doc", F.monotonically_increasing_id()).withColumn("shard", doc_shard(F.col("doc"))) \
+    n_bytes = ranking.text_bytes(docs)
+    ordered = spread.ranged(docs.select("url", "title", "content"), n_bytes, ranking.DOC_BYTES, "url").sortWithinPartitions("url")
+    ordered.withColumn("doc", F.monotonically_increasing_id()).withColumn("shard", doc_shard(F.col("doc"))) \
         .write.mode("overwrite").partitionBy("shard").parquet(f"{path}/docs")
-    n_bytes = seen.get["bytes"] or 0
     buckets = buckets or min(max(LEAST_BUCKETS, -(-n_bytes // BUCKET_BYTES)), MOST_BUCKETS)
 
     rows = ranking.postings(spark.read.schema(_DOCS).parquet(f"{path}/docs"), "doc", n_bytes=n_bytes)

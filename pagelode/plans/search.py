@@ -58,6 +58,11 @@ def term_hits(index: TextIndex, asked: DataFrame, small: bool) -> DataFrame:
     return ranking.postings_join(index.postings, asked, small)
 
 
+def hit_count(asked: DataFrame) -> int:
+    """How many rows `term_hits` has, from the document frequencies of the (stored) asked terms."""
+    return asked.agg(F.sum("df")).first()[0] or 0
+
+
 def search_pool(index: TextIndex, queries: DataFrame,
                 options: SearchOptions = SearchOptions(), path: str | None = None) -> tuple[DataFrame, bool]:
     """The 50 best documents per query, `query_id, doc, score, rank`, and whether they are few enough to
@@ -68,10 +73,10 @@ def search_pool(index: TextIndex, queries: DataFrame,
     return ranking.search_rank(scores, options.pool_size, "doc"), few
 
 
-def with_docs(rows: DataFrame, index: TextIndex, columns: tuple[str, ...], small: bool) -> DataFrame:
+def with_docs(rows: DataFrame, index: TextIndex, columns: tuple[str, ...], small: bool, n_rows: int = 0) -> DataFrame:
     """Join rows to columns of their documents. Few rows are broadcast, and then only the
-    shards they point to are read."""
-    keyed = rows.withColumn("shard", doc_shard(F.col("doc")))
+    shards they point to are read. Many are dealt by their number `n_rows`, if it is known."""
+    keyed = spread.dealt(rows.withColumn("shard", doc_shard(F.col("doc"))), n_rows, ranking.HIT_ROWS, "shard", "doc")
     docs = index.docs.select("doc", "shard", *columns)
     return docs.join(F.broadcast(keyed) if small else keyed, ["shard", "doc"]).drop("shard")
 

@@ -200,3 +200,40 @@ def test_tasks_that_count_tokens_follow_the_text(spark, monkeypatch):
     got = {(r.url, r.field, r.term): (r.dl, r.tf, r.opens) for r in posted.collect()}
     assert len(got) == posted.count() and got[(None, "title", "a")] == (3, 4, True) and got[(None, "title", "b")] == (3, 2, False)
     assert ranking.postings(docs.limit(0)).count() == 0
+
+
+def exchanges(df):
+    """Keys and number of partitions of every shuffle by a hash."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    found = re.findall(r"Exchange hashpartitioning\((.*), (\d+)\)", plan)
+    return [(re.findall(r"(\w+)#", keys), int(n)) for keys, n in found]
+
+
+def many_docs(spark, n=400):
+    return spark.createDataFrame([(f"https://example.org/{i:04d}", f"graph w{i % 7}", f"graph edge w{i % 5} {'x' * (i % 9)}") for i in range(n)],
+                                 "url string, title string, content string")
+
+
+def test_tasks_where_hits_meet_follow_their_number(spark, monkeypatch):
+    """Joins of hits to URLs have as many parts as there are hits for, whatever the session's number of partitions."""
+    index = index_build.build_index(many_docs(spark), workdir(spark, "index"), buckets=3)
+    queries = spark.createDataFrame([(1, "graph"), (2, "edge grahp"), (3, "zzzz")], "query_id long, q string")
+    asked, small = search.asked_terms(index, queries)
+    hits = search.term_hits(index, asked, small)
+    n = search.hit_count(asked)
+    assert n == hits.count() > 1000
+    plain = search.with_docs(hits, index, ("url",), False, n)
+    wanted = sorted(map(tuple, plain.select("query_id", "term", "url", "tf").collect()))
+    monkeypatch.setattr(ranking, "HIT_ROWS", 50)
+    joined = search.with_docs(hits, index, ("url",), False, n)
+    assert (["shard", "doc"], -(-n // 50)) in exchanges(joined)
+    assert sorted(map(tuple, joined.select("query_id", "term", "url", "tf").collect())) == wanted
+
+
+def test_tasks_that_order_documents_follow_the_text(spark, monkeypatch):
+    docs = many_docs(spark)
+    monkeypatch.setattr(ranking, "DOC_BYTES", 400)
+    index = index_build.build_index(docs, workdir(spark, "index"), buckets=3)
+    parts = index.docs.select(F.shiftright("doc", 33).alias("part")).groupBy("part").count().collect()
+    assert len(parts) > 16 and max(r["count"] for r in parts) < 100
+    assert [r.url for r in index.docs.orderBy("doc").collect()] == sorted(r.url for r in docs.collect())
