@@ -68,7 +68,7 @@ def search_pool(index: TextIndex, queries: DataFrame,
     """The 50 best documents per query, `query_id, doc, score, rank`, and whether they are few enough to
     be broadcast: rows are counted by queries, 50 for each."""
     asked, small = asked_terms(index, queries, options, path)
-    scores = ranking.document_scores(term_hits(index, asked, small), index.stats, options, "doc")
+    scores = ranking.document_scores(term_hits(index, asked, small), index.stats, options, "doc", hit_count(asked))
     few = small and spread.is_small(asked.select("query_id").distinct(), spread.SMALL_ROWS // options.pool_size)
     return ranking.search_rank(scores, options.pool_size, "doc"), few
 

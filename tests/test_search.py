@@ -230,6 +230,17 @@ def test_tasks_where_hits_meet_follow_their_number(spark, monkeypatch):
     assert sorted(map(tuple, joined.select("query_id", "term", "url", "tf").collect())) == wanted
 
 
+def test_tasks_that_add_up_scores_follow_the_hits(spark, monkeypatch):
+    index = index_build.build_index(many_docs(spark), workdir(spark, "index"), buckets=3)
+    queries = spark.createDataFrame([(1, "graph"), (2, "edge grahp"), (3, "zzzz")], "query_id long, q string")
+    wanted = sorted(map(tuple, search.search_pool(index, queries)[0].collect()))
+    monkeypatch.setattr(ranking, "HIT_ROWS", 50)
+    pool = search.search_pool(index, queries)[0]
+    n = search.hit_count(search.asked_terms(index, queries)[0])
+    assert (["query_id", "doc"], -(-n // 50)) in exchanges(pool)
+    assert wanted and sorted(map(tuple, pool.collect())) == wanted
+
+
 def test_tasks_that_order_documents_follow_the_text(spark, monkeypatch):
     docs = many_docs(spark)
     monkeypatch.setattr(ranking, "DOC_BYTES", 400)
