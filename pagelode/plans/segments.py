@@ -89,19 +89,29 @@ class SegmentIndex:
     def dead(self) -> DataFrame:
         return self.table("dead", DEAD, [s.number for s in self.segments if s.n_dead])
 
-    def without_dead(self, rows: DataFrame) -> DataFrame:
-        """Rows (segment, doc, ...) whose document is live."""
+    def without_dead(self, rows: DataFrame, n_rows: int = 0) -> DataFrame:
+        """Rows (segment, doc, ...) whose document is live. Many are dealt by their number, if it is known."""
         if not any(s.n_dead for s in self.segments):
             return rows
         gone = self.dead.select(F.col("in_segment").alias("segment"), "doc")
-        return rows.join(gone, ["segment", "doc"], "left_anti")
+        return spread.dealt(rows, n_rows, ranking.HIT_ROWS, "segment", "doc").join(gone, ["segment", "doc"], "left_anti")
 
     @property
     def docs(self) -> DataFrame:
         return self.table("docs", DOCS)
 
-    def live_docs(self) -> DataFrame:
-        return self.without_dead(self.docs)
+    def live_docs(self, only: Iterable[int] | None = None) -> DataFrame:
+        """Live documents of all segments or of some of them. Few dead ones are broadcast; where they are many, texts
+        are dealt by their bytes."""
+        chosen = [s for s in self.segments if only is None or s.number in only]
+        docs, n_dead = self.table("docs", DOCS, [s.number for s in chosen]), sum(s.n_dead for s in self.segments)
+        if not n_dead:
+            return docs
+        gone = self.dead.select(F.col("in_segment").alias("segment"), "doc")
+        if n_dead <= spread.SMALL_ROWS:
+            return docs.join(F.broadcast(gone), ["segment", "doc"], "left_anti")
+        dealt = spread.dealt(docs, sum(s.n_bytes for s in chosen), ranking.DOC_BYTES, "segment", "doc")
+        return dealt.join(gone, ["segment", "doc"], "left_anti")
 
     @property
     def postings(self) -> DataFrame:
@@ -162,12 +172,15 @@ def _next_number(index: SegmentIndex) -> int:
     return max([s.number for s in index.segments] + used, default=-1) + 1
 
 
-def _write_docs(index: SegmentIndex, rows: DataFrame, number: int, extra: tuple[str, ...] = ()) -> tuple[DataFrame, int, int]:
-    """Documents in URL order with their numbers; returns them, how many they are and their bytes."""
+def _write_docs(index: SegmentIndex, rows: DataFrame, number: int, extra: tuple[str, ...] = (),
+                most_bytes: int | None = None) -> tuple[DataFrame, int, int]:
+    """Documents in URL order with their numbers, `ranking.DOC_BYTES` of text per task at most; returns them, how many
+    they are and their bytes. `most_bytes` bounds their text; it is summed up here unless it is known."""
     seen = Observation()
     size = F.coalesce(F.octet_length("title"), F.lit(0)) + F.coalesce(F.octet_length("content"), F.lit(0))
     path = f"{index.path}/docs/segment={number}"
-    rows.select("url", "title", "content", *extra).repartitionByRange("url").sortWithinPartitions("url") \
+    most_bytes = ranking.text_bytes(rows) if most_bytes is None else most_bytes
+    spread.ranged(rows.select("url", "title", "content", *extra), most_bytes, ranking.DOC_BYTES, "url").sortWithinPartitions("url") \
         .observe(seen, F.count(F.lit(1)).alias("n"), F.sum(size.cast("long")).alias("bytes")) \
         .withColumn("doc", F.monotonically_increasing_id()).withColumn("shard", shard_of(F.col("doc"))) \
         .write.mode("overwrite").partitionBy("shard").parquet(path)
@@ -260,9 +273,11 @@ def _append(index: SegmentIndex, rows: DataFrame, gone: DataFrame | None, block_
         n_dead = dead.count()
         dead.select(F.col("segment").alias("in_segment"), "doc").write.mode("overwrite").parquet(f"{index.path}/dead/segment={number}")
     if n_dead:
-        side = F.broadcast(dead) if n_dead <= spread.SMALL_ROWS else dead
-        old = index.docs.join(side, ["segment", "shard", "doc"]).select(
-            F.struct("segment", "doc").alias("_doc"), "title", "content")
+        small, on = n_dead <= spread.SMALL_ROWS, ["segment", "shard", "doc"]
+        texts = index.docs if small else spread.dealt(index.docs, sum(s.n_bytes for s in index.segments), ranking.DOC_BYTES, *on)
+        old = texts.join(F.broadcast(dead) if small else dead, on).select(F.struct("segment", "doc").alias("_doc"), "title", "content")
+        if not small:  # read twice below
+            old = through_table(old, workdir(spark, "old"))
         # Read twice below, as rows of a few bytes.
         taken = through_table(ranking.postings(old, "_doc").groupBy("field", "term").agg(
             (-F.count(F.lit(1))).alias("df"), (-F.sum("tf")).alias("total_tf"), (-F.count_if("opens")).alias("n_docs")), workdir(spark, "taken"))
@@ -292,14 +307,14 @@ def merge(index: SegmentIndex, numbers: Iterable[int], block_bits: int = BLOCK_B
     if not inside:
         return index
     number = _next_number(index)
-    live = index.without_dead(index.table("docs", DOCS, chosen))
-    old = live.select("url", "title", "content", F.col("segment").cast("long").alias("old_segment"), F.col("doc").alias("old_doc"))
-    docs, n_docs, n_bytes = _write_docs(index, old, number, ("old_segment", "old_doc"))
+    most_bytes = sum(s.n_bytes for s in inside)
+    old = index.live_docs(chosen).select("url", "title", "content", F.col("segment").cast("long").alias("old_segment"), F.col("doc").alias("old_doc"))
+    docs, n_docs, n_bytes = _write_docs(index, old, number, ("old_segment", "old_doc"), most_bytes)
     numbered = docs.select(F.col("old_segment").cast("int").alias("segment"), F.col("old_doc").alias("_old"), "doc")
     hits = index.table("postings", POSTINGS, chosen).select("segment", "field", "term", F.explode("hits").alias("_h")).select(
         "segment", F.col("_h.doc").alias("_old"), "field", "term", F.col("_h.tf").alias("tf"), F.col("_h.dl").alias("dl"))
     # Statistics are added up below, so no posting opens a field here.
-    moved = hits.join(numbered, ["segment", "_old"]).select("doc", "field", "dl", "term", "tf", F.lit(False).alias("opens"))
+    moved = spread.dealt(hits, most_bytes, ranking.PART_BYTES, "segment", "_old").join(numbered, ["segment", "_old"]).select("doc", "field", "dl", "term", "tf", F.lit(False).alias("opens"))
     _write_postings(index, moved, number, n_bytes, block_bits)
     _write_sums(index, number, index.table("vocab", VOCAB, chosen).select("field", "term", "df", "total_tf"),
                 index.table("stats", STATS, chosen).select("field", "n_docs", "n_tokens"))

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagelode.operators import ranking
+from pagelode.operators import ranking, spread
 from pagelode.plans import segment_search, segments
 from pagelode.registry import derived as D
 from pagelode.registry import query
 from pagelode.registry import sql as S
-from pagelode.session import workdir
+from pagelode.session import through_table, workdir
 
 ITEM = "https://en.wikipedia.org/wiki/Item_"
 
@@ -39,16 +39,22 @@ def changed_index(spark: SparkSession, sf_dir: str) -> segments.SegmentIndex:
     pages, those labelled toxic are deleted."""
     labels = D.table(spark, sf_dir, "labels")
     documents = D.table(spark, sf_dir, "documents")
+    index = base_index(spark, sf_dir)
+    n_bytes = sum(s.n_bytes for s in index.segments)
 
     def labelled(which) -> DataFrame:
-        return documents.join(labels.where(which).select("doc_id").distinct(), "doc_id", "left_semi")
+        ids = labels.where(which).select("doc_id").distinct()
+        if spread.is_small(ids):
+            return documents.join(F.broadcast(ids), "doc_id", "left_semi")
+        return spread.dealt(documents, n_bytes, ranking.DOC_BYTES, "doc_id").join(ids, "doc_id", "left_semi")
 
     revised = D.as_search_docs(labelled(F.col("quality") == 0)).select(
         "url", F.concat(F.lit("Revised "), "title").alias("title"), F.replace("content", F.lit("e"), F.lit("ee")).alias("content"))
     items = D.table(spark, sf_dir, "benchmark").select(
         F.concat(F.lit(ITEM), F.col("item_id").cast("string"), F.lit("#0")).alias("url"),
         F.split_part("text", F.lit("\n"), F.lit(1)).alias("title"), F.col("text").alias("content"))
-    index = segments.upsert(base_index(spark, sf_dir), revised)
+    # Stored, since a segment reads its documents more than once.
+    index = segments.upsert(index, through_table(revised, workdir(spark, "revised")))
     index = segments.upsert(index, items)
     return segments.delete(index, D.as_search_docs(labelled(F.col("toxic") == 1)).select("url"))
 

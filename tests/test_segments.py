@@ -5,10 +5,11 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from pagelode.operators import vocabulary
+from pagelode.operators import ranking, spread, vocabulary
 from pagelode.plans import index_build, search, segment_search, segments
+from pagelode.registry import segment_queries
 from pagelode.session import workdir
-from test_search import changed, edit_distance, limit
+from test_search import changed, edit_distance, exchanges, limit
 
 WORDS = [f"{a}{b}{c}" for a in ("graph", "node", "edge", "tree", "path", "cycle") for b in ("", "s", "al", "ing") for c in ("", "x", "um")]
 SCHEMA = "url string, title string, content string"
@@ -260,3 +261,28 @@ def test_blocks_go_on_from_batch_to_batch(size):
             "field": field, "term": term, "block": block, "n": len(group), "total_tf": sum(r["tf"] for r in group), "max_tf": max(r["tf"] for r in group),
             "min_dl": min(r["dl"] for r in group), "n_opens": sum(r["opens"] for r in group), "hits": [{c: r[c] for c in ("doc", "tf", "dl")} for r in group]})
     assert got == wanted
+
+
+def test_documents_of_a_segment_are_ordered_in_tasks_that_follow_the_text(spark, monkeypatch):
+    monkeypatch.setattr(ranking, "DOC_BYTES", 400)
+    index = segments.upsert(segments.create(spark, workdir(spark, "segments")), frame(spark, rows(7, 200)))
+    parts = index.docs.select(F.shiftright("doc", 33).alias("part")).groupBy("part").count().collect()
+    assert len(parts) > 16 and max(r["count"] for r in parts) < 60
+    assert [r.url for r in index.docs.orderBy("doc").collect()] == sorted(rows(7, 200))
+
+
+def test_many_dead_documents(spark, monkeypatch):
+    """More than may be broadcast: texts are dealt by their bytes, and nothing changes."""
+    live, more = rows(1, 120), rows(2, 60, 40)
+    index = segments.upsert(segments.create(spark, workdir(spark, "segments")), frame(spark, live))
+    monkeypatch.setattr(spread, "SMALL_ROWS", 5)
+    monkeypatch.setattr(ranking, "DOC_BYTES", 300)
+    monkeypatch.setattr(ranking, "PART_BYTES", 300)
+    index = segments.delete(segments.upsert(index, frame(spark, more)), spark.createDataFrame([(u,) for u in sorted(more)[:9]], "url string"))
+    live = {u: d for u, d in (live | more).items() if u not in sorted(more)[:9]}
+    assert index.segments[1].n_dead == 60 and any(on == ["segment", "doc"] and n > 8 for on, n in exchanges(index.live_docs()))
+    whole, merged = fresh(spark, live), segments.merge(index, [0, 1, 2])
+    for found in (index, merged):
+        assert sorted(tuple(r) for r in found.live_docs().select("url", "title", "content").collect()) == sorted((u, *d) for u, d in live.items())
+        assert sums(found.vocabulary()) == sums(whole.vocab.select("field", "term", "df", "total_tf"))
+        assert results(spark, found, segment_search.search) == results(spark, whole, search.search)
