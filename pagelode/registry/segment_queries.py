@@ -77,7 +77,8 @@ def segment_stats(spark, sf_dir):
 @query("segment_postings", changed(f"WITH {S.POSTINGS} SELECT url, field, term, tf, dl::INTEGER AS dl FROM post"))
 def segment_postings(spark, sf_dir):
     index = segments.merge(changed_index(spark, sf_dir), [1, 2, 3])
-    hits = index.without_dead(index.postings.select("segment", "field", "term", F.inline("hits")))
+    n_hits = index.postings.agg(F.sum("n")).first()[0] or 0
+    hits = index.without_dead(index.postings.select("segment", "field", "term", F.inline("hits")), n_hits)
     return hits.join(index.docs.select("segment", "doc", "url"), ["segment", "doc"]).select("url", "field", "term", "tf", "dl")
 
 

@@ -286,3 +286,14 @@ def test_many_dead_documents(spark, monkeypatch):
         assert sorted(tuple(r) for r in found.live_docs().select("url", "title", "content").collect()) == sorted((u, *d) for u, d in live.items())
         assert sums(found.vocabulary()) == sums(whole.vocab.select("field", "term", "df", "total_tf"))
         assert results(spark, found, segment_search.search) == results(spark, whole, search.search)
+
+
+def test_postings_meet_their_documents_in_tasks_that_follow_their_number(spark, changed_index, monkeypatch):
+    index, _ = changed_index
+    monkeypatch.setattr(ranking, "HIT_ROWS", 50)
+    monkeypatch.setattr(segment_queries, "changed_index", lambda *a: index)
+    found = segment_queries.segment_postings(spark, None)
+    assert any(on == ["segment", "doc"] and n > 16 for on, n in exchanges(found))
+    whole = fresh(spark, changed_index[1])
+    wanted = whole.postings.join(whole.docs.select("doc", "url"), "doc").select("url", "field", "term", "tf", "dl")
+    assert sums(found) == sums(wanted)
