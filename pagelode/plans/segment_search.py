@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from pagelode.functions import text
-from pagelode.operators import ranking, vocabulary
+from pagelode.operators import ranking, spread, vocabulary
 from pagelode.options import SearchOptions
 from pagelode.plans.segments import SegmentIndex, shard_of
 from pagelode.session import through_table, workdir
@@ -43,6 +43,10 @@ class Held:
 
     rows: DataFrame
     listed: pa.Table | None
+    among: int = 0  # how many rows these were chosen from
+
+    def count(self) -> int:
+        return self.rows.count() if self.listed is None else self.listed.num_rows
 
     @property
     def side(self) -> DataFrame:
@@ -57,12 +61,12 @@ class Held:
         return found if len(found) <= most else None
 
 
-def held(rows: DataFrame, label: str, bound: int | None = None) -> Held:
+def held(rows: DataFrame, label: str, bound: int | None = None, among: int = 0) -> Held:
     spark, bound = rows.sparkSession, HELD_ROWS if bound is None else bound
     got = rows.limit(bound + 1).toArrow()
     if got.num_rows <= bound:
-        return Held(spark.createDataFrame(got, rows.schema), got)
-    return Held(through_table(rows, workdir(spark, label)), None)
+        return Held(spark.createDataFrame(got, rows.schema), got, among)
+    return Held(through_table(rows, workdir(spark, label)), None, among)
 
 
 def distinct_queries(queries: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -124,32 +128,38 @@ def block_bounds(index: SegmentIndex, asked: Held, stats: DataFrame, options: Se
     return _best(rows, stats, options, ["query_id", "segment", "block"])
 
 
-def scored_blocks(index: SegmentIndex, asked: Held, stats: DataFrame, options: SearchOptions, blocks: DataFrame | None = None) -> DataFrame:
+def scored_blocks(index: SegmentIndex, asked: Held, stats: DataFrame, options: SearchOptions, blocks: Held | None = None) -> DataFrame:
     """Scores of live documents, query_id, segment, doc, score, in the given (query_id, segment, block) or
-    in all. Rows of a query and block meet in one task, with at most a block's documents per term."""
-    rows = asked_postings(index, asked, ["hits"])
-    if blocks is not None:
-        rows = rows.join(blocks, ["query_id", "segment", "block"])
-    met = rows.repartition("query_id", "segment", "block").select(
-        "query_id", "segment", "block", "field", "qtf", "weight", "shared_df", F.inline("hits"))
-    best = _best(met, stats, options, ["query_id", "segment", "block", "doc"])
-    return index.without_dead(best.select("query_id", "segment", "doc", F.round("best", 6).alias("score")))
+    in all. Rows of a query and block meet in one task, with at most a block's documents per term; how many
+    tasks there are follows the number of given blocks."""
+    rows, on = asked_postings(index, asked, ["hits"]), ["query_id", "segment", "block"]
+    n_blocks = 0 if blocks is None else blocks.count()
+    size = max([min(2 ** s.block_bits, s.n_docs) for s in index.segments], default=0)
+    if blocks is not None and blocks.listed is not None:
+        met = spread.dealt(rows.join(blocks.side, on), n_blocks * size, ranking.HIT_ROWS, *on, always=True)
+    else:
+        # A join that shuffles meets all blocks, those that are not needed too.
+        met = spread.dealt(rows, max(n_blocks, blocks.among if blocks else 0) * size, ranking.HIT_ROWS, *on, always=True)
+        met = met if blocks is None else met.join(blocks.rows, on)
+    best = _best(met.select(*on, "field", "qtf", "weight", "shared_df", F.inline("hits")), stats, options, [*on, "doc"])
+    return index.without_dead(best.select("query_id", "segment", "doc", F.round("best", 6).alias("score")), n_blocks * size)
 
 
 def needed_blocks(index: SegmentIndex, asked: Held, stats: DataFrame, options: SearchOptions,
-                  seeds: int = SEED_BLOCKS, direct: int = DIRECT_BLOCKS) -> DataFrame | None:
+                  seeds: int = SEED_BLOCKS, direct: int = DIRECT_BLOCKS) -> Held | None:
     """The (query_id, segment, block) whose hits have to be read; None for all."""
     bounds = held(block_bounds(index, asked, stats, options), "bounds")
     if bounds.listed is not None and bounds.listed.num_rows <= direct:
         return None
     order = W.partitionBy("query_id").orderBy(F.desc("best"), "segment", "block")
     first = bounds.rows.withColumn("_place", F.row_number().over(order)).where(F.col("_place") <= seeds).select("query_id", "segment", "block")
-    first = F.broadcast(first) if bounds.listed is not None else first
+    n_blocks = bounds.count()
+    first = held(first, "first", among=n_blocks)
     pool = ranking.search_rank(scored_blocks(index, asked, stats, options, first), options.pool_size, "doc")
     # Fewer results than the pool holds say nothing about the other blocks.
     last = pool.where(F.col("rank") == options.pool_size).select("query_id", F.col("score").alias("_last"))
     reach = F.col("best") * (1 + 1e-9) + 1e-6 >= F.coalesce("_last", F.lit(0.0))
-    return held(bounds.rows.join(last, "query_id", "left").where(reach).select("query_id", "segment", "block"), "blocks").side
+    return held(bounds.rows.join(last, "query_id", "left").where(reach).select("query_id", "segment", "block"), "blocks", among=n_blocks)
 
 
 def with_docs(rows: Held, index: SegmentIndex, columns: list[str]) -> DataFrame:

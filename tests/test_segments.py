@@ -288,6 +288,24 @@ def test_many_dead_documents(spark, monkeypatch):
         assert results(spark, found, segment_search.search) == results(spark, whole, search.search)
 
 
+@pytest.mark.parametrize("listed", [True, False])
+def test_tasks_that_score_blocks_follow_their_number(spark, changed_index, monkeypatch, listed):
+    index, live = changed_index
+    asked = spark.createDataFrame(list(enumerate(QUERIES)), "query_id long, q string")
+    _, terms = segment_search.distinct_queries(asked)
+    asked = segment_search.asked_terms(index, segment_search.held(terms, "terms"), segment_search.SearchOptions())
+    blocks = segment_search.needed_blocks(index, asked, index.field_stats(), segment_search.SearchOptions(), direct=0)
+    wanted = results(spark, index, segment_search.search)
+    monkeypatch.setattr(ranking, "HIT_ROWS", 10)
+    if not listed:
+        blocks = segment_search.Held(blocks.rows, None, blocks.among)
+        monkeypatch.setattr(segment_search, "HELD_ROWS", 20)
+    scores = segment_search.scored_blocks(index, asked, index.field_stats(), segment_search.SearchOptions(), blocks)
+    n = blocks.count() if listed else blocks.among
+    assert (["query_id", "segment", "block"], -(-n * 4 // 10)) in exchanges(scores)
+    assert results(spark, index, segment_search.search, direct=0) == wanted
+
+
 def test_postings_meet_their_documents_in_tasks_that_follow_their_number(spark, changed_index, monkeypatch):
     index, _ = changed_index
     monkeypatch.setattr(ranking, "HIT_ROWS", 50)
