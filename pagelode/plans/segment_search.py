@@ -23,7 +23,7 @@ from pagelode.functions import text
 from pagelode.operators import ranking, spread, vocabulary
 from pagelode.options import SearchOptions
 from pagelode.plans.segments import SegmentIndex, shard_of
-from pagelode.session import through_table, workdir
+from pagelode.session import shuffles_released, through_table, workdir
 
 # Distinct query terms that walk the vocabulary; more are matched by keys.
 FEW_TERMS = 100
@@ -63,10 +63,11 @@ class Held:
 
 def held(rows: DataFrame, label: str, bound: int | None = None, among: int = 0) -> Held:
     spark, bound = rows.sparkSession, HELD_ROWS if bound is None else bound
-    got = rows.limit(bound + 1).toArrow()
-    if got.num_rows <= bound:
-        return Held(spark.createDataFrame(got, rows.schema), got, among)
-    return Held(through_table(rows, workdir(spark, label)), None, among)
+    with shuffles_released(spark):
+        got = rows.limit(bound + 1).toArrow()
+        if got.num_rows > bound:
+            return Held(through_table(rows, workdir(spark, label)), None, among)
+    return Held(spark.createDataFrame(got, rows.schema), got, among)
 
 
 def distinct_queries(queries: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -141,7 +142,7 @@ def scored_blocks(index: SegmentIndex, asked: Held, stats: DataFrame, options: S
         # A join that shuffles meets all blocks, those that are not needed too.
         met = spread.dealt(rows, max(n_blocks, blocks.among if blocks else 0) * size, ranking.HIT_ROWS, *on, always=True)
         met = met if blocks is None else met.join(blocks.rows, on)
-    best = _best(met.select(*on, "field", "qtf", "weight", "shared_df", F.inline("hits")), stats, options, [*on, "doc"])
+    best = _best(index.hits(met.select(*on, "field", "qtf", "weight", "shared_df", "hits")), stats, options, [*on, "doc"])
     return index.without_dead(best.select("query_id", "segment", "doc", F.round("best", 6).alias("score")), n_blocks * size)
 
 

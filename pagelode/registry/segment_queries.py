@@ -10,7 +10,7 @@ from pagelode.plans import segment_search, segments
 from pagelode.registry import derived as D
 from pagelode.registry import query
 from pagelode.registry import sql as S
-from pagelode.session import through_table, workdir
+from pagelode.session import shuffles_released, through_table, workdir
 
 ITEM = "https://en.wikipedia.org/wiki/Item_"
 
@@ -54,7 +54,9 @@ def changed_index(spark: SparkSession, sf_dir: str) -> segments.SegmentIndex:
         F.concat(F.lit(ITEM), F.col("item_id").cast("string"), F.lit("#0")).alias("url"),
         F.split_part("text", F.lit("\n"), F.lit(1)).alias("title"), F.col("text").alias("content"))
     # Stored, since a segment reads its documents more than once.
-    index = segments.upsert(index, through_table(revised, workdir(spark, "revised")))
+    with shuffles_released(spark):
+        revised = through_table(revised, workdir(spark, "revised"))
+    index = segments.upsert(index, revised)
     index = segments.upsert(index, items)
     return segments.delete(index, D.as_search_docs(labelled(F.col("toxic") == 1)).select("url"))
 
@@ -78,7 +80,7 @@ def segment_stats(spark, sf_dir):
 def segment_postings(spark, sf_dir):
     index = segments.merge(changed_index(spark, sf_dir), [1, 2, 3])
     n_hits = index.postings.agg(F.sum("n")).first()[0] or 0
-    hits = index.without_dead(index.postings.select("segment", "field", "term", F.inline("hits")), n_hits)
+    hits = index.without_dead(index.hits(index.postings.select("segment", "block", "field", "term", "hits")), n_hits)
     return hits.join(index.docs.select("segment", "doc", "url"), ["segment", "doc"]).select("url", "field", "term", "tf", "dl")
 
 
@@ -94,6 +96,7 @@ def segment_pool(spark, sf_dir):
     """After a merge of all segments; every block is judged by its bound."""
     index = changed_index(spark, sf_dir)
     index = segments.merge(index, [s.number for s in index.segments], block_bits=6)
+    segments.vacuum(index)  # the index is this query's own
     named, pool, _ = segment_search.search_pool(index, D.search_queries(index.vocabulary()), direct=0)
     return named.join(pool.withColumnRenamed("query_id", "words"), "words").select("query_id", "url", "score", "rank")
 

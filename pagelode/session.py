@@ -5,6 +5,8 @@ from __future__ import annotations
 import functools
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -61,6 +63,19 @@ def through_table(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def shuffles_released(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of a job that is begun and ended inside go when it ends. Else they stay until the driver happens
+    to collect its garbage, so a plan of several jobs needs the disk of all of them."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a table was ever written there, in whatever store the path is in."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -1,11 +1,13 @@
+import os
 import random
 from itertools import groupby
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from pagelode.operators import ranking, spread, vocabulary
+from pagelode.operators import packed, ranking, spread, vocabulary
 from pagelode.plans import index_build, search, segment_search, segments
 from pagelode.registry import segment_queries
 from pagelode.session import workdir
@@ -315,3 +317,92 @@ def test_postings_meet_their_documents_in_tasks_that_follow_their_number(spark,
     whole = fresh(spark, changed_index[1])
     wanted = whole.postings.join(whole.docs.select("doc", "url"), "doc").select("url", "field", "term", "tf", "dl")
     assert sums(found) == sums(wanted)
+
+
+POSTED = pa.schema([("term", "string"), ("field", "string"), ("doc", "int64"), ("tf", "int64"), ("dl", "int32"), ("opens", "bool")])
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_packs_give_their_postings_back(seed):
+    rng = random.Random(seed)
+    words = ["a", "é", "日本", "x" * 700] + [f"w{i}" for i in range(40)]
+    keys = {(rng.choice(words), rng.choice(["content", "title"]), (rng.choice([0, 1, 3, 900]) << 33) + rng.randrange(2**33 if i % 9 == 0 else 50)) for i in range(900)}
+    made = [{"term": t, "field": f, "doc": d, "tf": rng.choice([1, 2, 300, 2**40]), "dl": rng.randint(1, 2**31 - 1 if seed == 3 else 90), "opens": rng.random() < 0.1} for t, f, d in keys]
+    made.append({"term": "w1", "field": "title", "doc": 2**62, "tf": 1, "dl": 1, "opens": True})
+    part = np.array([len(r["term"]) % 3 for r in made])
+    got = {p: packed.opened(x).to_pylist() for p, x in packed.pack(pa.Table.from_pylist(made, POSTED), part)}
+    place = lambda r: (r["term"], r["field"], r["doc"])
+    assert {p: sorted(rows, key=place) for p, rows in got.items()} == {p: sorted((r for r, q in zip(made, part) if q == p), key=place) for p in set(part.tolist())}
+    assert list(packed.pack(pa.Table.from_pylist([], POSTED), np.zeros(0, int))) == []
+
+
+def test_packs_go_on_from_batch_to_batch(monkeypatch):
+    monkeypatch.setattr(packed, "PACKED_ROWS", 10)
+    monkeypatch.setattr(packed, "OPENED_ROWS", 10)
+    made = [{"term": f"w{i % 5}", "field": "title", "doc": i, "tf": 1, "dl": 2, "opens": False} for i in range(57)]
+    batches = [pa.RecordBatch.from_pylist(made[i:i + 4], POSTED) for i in range(0, 57, 4)]
+    sent = list(packed.packs(iter([pa.RecordBatch.from_pylist([], POSTED), *batches]), lambda rows: rows.column("doc").to_numpy() % 2))
+    assert len(sent) == 5 and {p for b in sent for p in b.column("part").to_pylist()} == {0, 1}
+    got = [r for b in packed.unpacked(iter(sent)) for r in b.to_pylist()]
+    assert sorted(got, key=lambda r: r["doc"]) == made
+
+
+def test_postings_are_shuffled_in_a_few_bytes_each():
+    """A row per posting took some sixteen."""
+    rng = np.random.default_rng(4)
+    n = 60_000
+    term = np.minimum(rng.zipf(1.2, n), 9_000)
+    keys = np.unique(np.stack([term, rng.integers(0, 3, n) * 2**33 + rng.integers(0, 900, n)]), axis=1)
+    term, doc = keys
+    rows_ = pa.table({"term": [f"word{t}" for t in term], "field": ["content"] * len(doc), "doc": doc, "tf": np.ones(len(doc), np.int64),
+                      "dl": (doc % 613).astype(np.int32), "opens": np.zeros(len(doc), bool)})
+    assert sum(len(x) for _, x in packed.pack(rows_, term % 16)) < 7 * len(doc)
+
+
+def spark_files(spark):
+    home = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return sorted(f for top in home.localDirsString() for _, _, names in os.walk(top) for f in names if f.startswith("shuffle_"))
+
+
+def test_shuffle_files_of_a_batch_do_not_stay(spark):
+    """They stayed until the driver collected its garbage: the disk of all steps at once."""
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    had, before = spark.conf.get(setting), spark_files(spark)
+    index = segments.upsert(segments.create(spark, workdir(spark, "segments")), frame(spark, rows(1, 60)))
+    index = segments.upsert(index, frame(spark, rows(2, 30, 40)))
+    index = segments.merge(segments.delete(index, index.docs.select("url").limit(5)), [0, 1, 2])
+    assert set(spark_files(spark)) <= set(before)
+    assert index.segments[0].n_docs == 65 and spark.conf.get(setting) == had
+
+
+def test_a_merge_shuffles_no_hit_by_its_document(spark, changed_index, monkeypatch):
+    """New numbers go to the tasks as runs of neighbours; where these are too many, hits meet them in a join."""
+    index, live = changed_index
+    runs, met = segments._runs, []
+    monkeypatch.setattr(segments, "_runs", lambda numbered: met.append(runs(numbered)) or met[-1])
+    monkeypatch.setattr(spread, "dealt", lambda *a, **k: pytest.fail("hits are dealt"))
+    merged = segments.merge(index, [s.number for s in index.segments], block_bits=3)
+    assert met[0].num_rows < len(live) == sum(met[0].column("n").to_pylist())
+    monkeypatch.undo()
+    monkeypatch.setattr(segments, "MOST_RUNS", 5)
+    joined = segments.merge(index, [s.number for s in index.segments], block_bits=3)
+    hits = [sums(m.hits(m.postings.select("segment", "block", "field", "term", "hits")).drop("segment")) for m in (merged, joined)]
+    assert hits[0] == hits[1] and len({h[3] for h in hits[0]}) > 3
+
+
+def test_runs_of_numbers():
+    runs = segments._by_segment(pa.table({"segment": pa.array([4, 2, 4], pa.int32()), "_old": [2**33, 0, 5], "doc": [90, 7, 20], "n": [3, 1, 2]}))
+    made = pa.RecordBatch.from_pydict({"segment": pa.array([4] * 8 + [2, 2, 3], pa.int32()), "doc": [4, 5, 6, 7, 2**33 - 1, 2**33, 2**33 + 2, 2**33 + 3, 0, 1, 0], "tf": list(range(11))})
+    assert segments._moved(made, runs).to_pydict() == {"segment": [4, 4, 4, 4, 2], "doc": [20, 21, 90, 92, 7], "tf": [1, 2, 5, 6, 8]}
+
+
+def test_texts_stay_where_dead_documents_fit_in_lists(spark, monkeypatch):
+    live, more = rows(1, 120), rows(2, 40, 40)
+    index = segments.upsert(segments.create(spark, workdir(spark, "segments")), frame(spark, live))
+    monkeypatch.setattr(spread, "SMALL_ROWS", 5)
+    monkeypatch.setattr(ranking, "DOC_BYTES", 300)
+    index = segments.upsert(index, frame(spark, more))
+    live |= more
+    assert index.segments[1].n_dead == 40 and not any(on == ["segment", "doc"] for on, _ in exchanges(index.live_docs()))
+    assert sorted(tuple(r) for r in index.live_docs().select("url", "title", "content").collect()) == sorted((u, *d) for u, d in live.items())
+    assert sums(index.vocabulary()) == sums(fresh(spark, live).vocab.select("field", "term", "df", "total_tf"))
