@@ -1,8 +1,8 @@
-"""Postings packed for a shuffle: a row per receiving task and some million postings, in place of a row per posting.
+"""Postings packed for a shuffle: a row per receiving task and some 10^5 postings, in place of a row per posting.
 
 A pack holds its postings in the order of term, field and document. A term is written once, document numbers as
-distances, and every column as planes of bytes that are compressed together: some four bytes per posting, where a row of
-its own takes fifteen.
+distances, and every column as planes of bytes that are compressed together: some four to seven bytes per posting, where a row of
+its own takes sixteen.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 # Postings that a task holds while it packs them.
-PACKED_ROWS = 2**20
+PACKED_ROWS = 2**18
 # Rows that are handed on at once where packs are opened.
 OPENED_ROWS = 2**16
 # Numbers given out by one task share the bits above this one.
